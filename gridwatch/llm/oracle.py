@@ -2,4 +2,41 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+#: White space that is stripped and that separates words.
+SPACE = r"\x20\x09-\x0D"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+LINES = rf"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT doc_id, pos, line, translate(regexp_replace(line, '^[{SPACE}]+|[{SPACE}]+$', '', 'g'), '{UPPER}', '{LOWER}') AS key FROM l),
+f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+j AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+#: Jump consistent hashing by 128-bit integers; the same walk gives the shard among 24 and among 25.
+SHARDS = """
+WITH RECURSIVE jump(doc_id, k, b, j, now, grown) AS (
+  SELECT doc_id, CAST(doc_id AS HUGEINT), CAST(-1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+  FROM (SELECT DISTINCT doc_id FROM documents)
+  UNION ALL
+  SELECT doc_id, n, j, CAST(floor(CAST(j + 1 AS DOUBLE) * (2147483648.0 / (CAST(n // 8589934592 AS DOUBLE) + 1))) AS BIGINT),
+         CASE WHEN j < 24 THEN j ELSE now END, j
+  FROM (SELECT *, (k * 2862933555777941757 + 1) % 18446744073709551616::HUGEINT AS n FROM jump WHERE j < 25)
+),
+s AS (SELECT doc_id, now, grown FROM jump WHERE j >= 25),
+bits AS (SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: xor(a >> 1, (a & 1) * 3988292384)) AS v FROM range(256) t(i)),
+tab AS (SELECT list(v ORDER BY i) AS t FROM bits),
+c AS (SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size,
+        xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+            lambda a, x: xor(a >> 8, t[CAST(xor(a, x) & 255 AS INT) + 1]))) AS text_crc32
+      FROM documents, tab)
+SELECT c.doc_id, size, text_crc32, 'key' AS law, CAST(now AS INT) AS shard,
+       row_number() OVER (PARTITION BY now ORDER BY c.doc_id, size, text_crc32) - 1 AS slot, CAST(grown AS INT) AS grown_shard
+FROM c JOIN s USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op9_line_dedup": LINES, "op5_shards": SHARDS}

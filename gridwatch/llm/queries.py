@@ -10,6 +10,7 @@ from gridwatch.llm.common import documents
 from gridwatch.llm.count_tokens import token_counts
 from gridwatch.llm.encode import bpe_encode
 from gridwatch.llm.language import language_id
+from gridwatch.llm.lines import kept_text, line_dedup
 from gridwatch.llm.quality import quality_rules
 from gridwatch.llm.shards import consistent_shards
 
@@ -35,8 +36,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = kept_text(line_dedup(documents(spark, sf_dir)))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_encode, op5_shards, op7_quality_rules, op8_token_counts, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_bpe_encode, op5_shards, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id)}
