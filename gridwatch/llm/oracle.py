@@ -39,4 +39,17 @@ SELECT c.doc_id, size, text_crc32, 'key' AS law, CAST(now AS INT) AS shard,
 FROM c JOIN s USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_line_dedup": LINES, "op5_shards": SHARDS}
+NEAR = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^{SPACE}]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS g FROM w),
+n AS (SELECT w.doc_id, count(g) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 75 * (na.n + nb.n - i)),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY 1)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(m.b, n.doc_id)) AS component_id, n.doc_id = least(n.doc_id, coalesce(m.b, n.doc_id)) AS kept
+FROM n LEFT JOIN m ON m.a = n.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_near_duplicates": NEAR, "op9_line_dedup": LINES, "op5_shards": SHARDS}

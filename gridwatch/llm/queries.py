@@ -11,6 +11,7 @@ from gridwatch.llm.count_tokens import token_counts
 from gridwatch.llm.encode import bpe_encode
 from gridwatch.llm.language import language_id
 from gridwatch.llm.lines import kept_text, line_dedup
+from gridwatch.llm.neardup import near_duplicates
 from gridwatch.llm.quality import quality_rules
 from gridwatch.llm.shards import consistent_shards
 
@@ -27,6 +28,10 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consistent_shards(documents(spark, sf_dir))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).drop("text")
 
@@ -45,4 +50,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_encode, op5_shards, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_bpe_encode, op5_shards, op6_near_duplicates, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id)}
