@@ -14,10 +14,16 @@ from gridwatch.llm.lines import kept_text, line_dedup
 from gridwatch.llm.neardup import near_duplicates
 from gridwatch.llm.quality import quality_rules
 from gridwatch.llm.shards import consistent_shards
+from gridwatch.llm.substrings import substring_dedup
 
 TOKEN_LIMIT = 1024
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text."""
     rows = bpe_encode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
@@ -50,4 +56,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_encode, op5_shards, op6_near_duplicates, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe_encode, op5_shards, op6_near_duplicates, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id)}
