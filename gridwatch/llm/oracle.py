@@ -52,4 +52,20 @@ SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(m.b, n.doc_id)) AS
 FROM n LEFT JOIN m ON m.a = n.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_near_duplicates": NEAR, "op9_line_dedup": LINES, "op5_shards": SHARDS}
+LEAKS = rf"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[{SPACE}]+'), lambda x: x <> '') AS ws FROM documents),
+d AS (SELECT doc_id, list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) AS h FROM w WHERE len(ws) >= 5),
+v AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[{SPACE}]+'), lambda x: x <> '') AS ws FROM benchmark),
+b AS (SELECT item_id, list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) AS h, len(ws) - 4 AS n FROM v WHERE len(ws) >= 5),
+p AS (SELECT DISTINCT doc_id, item_id FROM (SELECT doc_id, unnest(h) AS g FROM d) JOIN (SELECT item_id, unnest(h) AS g FROM b) USING (g)),
+c AS (SELECT doc_id, item_id, b.h AS bh, least(n, len(d.h)) AS size, unnest(range(0, len(d.h) - least(n, len(d.h)) + 1)) AS start, d.h AS dh
+      FROM p JOIN d USING (doc_id) JOIN b USING (item_id)),
+x AS (SELECT doc_id, item_id, size, start, bh, dh[start + 1 : start + size] AS win FROM c),
+s AS (SELECT doc_id, item_id, size, start, len(bh) + len(win) AS united,
+             coalesce(list_sum(list_transform(list_distinct(win), lambda e: least(len(list_filter(win, lambda y: y = e)), len(list_filter(bh, lambda y: y = e))))), 0) AS shared FROM x),
+r AS (SELECT *, CAST(shared AS DOUBLE) / (united - shared) AS similarity FROM s)
+SELECT doc_id, item_id, CAST(arg_max(start, [similarity, -start]) AS INT) AS start, CAST(any_value(size) + 4 AS INT) AS n_words, max(similarity) AS similarity
+FROM r WHERE similarity >= 0.75 GROUP BY doc_id, item_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_leaks": LEAKS, "op6_near_duplicates": NEAR, "op9_line_dedup": LINES, "op5_shards": SHARDS}

@@ -10,6 +10,7 @@ from gridwatch.llm.common import documents
 from gridwatch.llm.count_tokens import token_counts
 from gridwatch.llm.encode import bpe_encode
 from gridwatch.llm.language import language_id
+from gridwatch.llm.leaks import leaks
 from gridwatch.llm.lines import kept_text, line_dedup
 from gridwatch.llm.neardup import near_duplicates
 from gridwatch.llm.quality import quality_rules
@@ -30,6 +31,10 @@ def op2_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op3_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consistent_shards(documents(spark, sf_dir))
 
@@ -56,4 +61,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe_encode, op5_shards, op6_near_duplicates, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe_encode, op3_leaks, op5_shards, op6_near_duplicates, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id)}
