@@ -14,6 +14,7 @@ from gridwatch.llm.leaks import leaks
 from gridwatch.llm.lines import kept_text, line_dedup
 from gridwatch.llm.neardup import near_duplicates
 from gridwatch.llm.quality import quality_rules
+from gridwatch.llm.scoring import lm_scores
 from gridwatch.llm.shards import consistent_shards
 from gridwatch.llm.substrings import substring_dedup
 
@@ -35,6 +36,10 @@ def op3_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consistent_shards(documents(spark, sf_dir))
 
@@ -61,4 +66,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe_encode, op3_leaks, op5_shards, op6_near_duplicates, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe_encode, op3_leaks, op4_lm_scores, op5_shards, op6_near_duplicates, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id)}
