@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -108,9 +109,11 @@ def test_stream_counts_windows_and_drops_late_rows(spark, tmp_path):
     source, out = tmp_path / "in", []
     source.mkdir()
     event = lambda t, lat=10.1: {"latitude": lat, "longitude": 105.1, "acquired_at_utc": t, "firms_source": "x"}
-    batches = [[event(f"2024-01-01T00:0{i}:00Z") for i in range(7)] + ["bad"], [event("2024-01-01T05:00:00Z")], [event("2024-01-01T00:08:00Z")]]
+    batches = [[event(f"2024-01-01T00:0{i}:00Z") for i in range(7)] + ["bad"], [event("2024-01-01T05:00:00Z")], [event("2024-01-01T05:01:00Z")], [event("2024-01-01T00:08:00Z")]]  # late rows are told by the batch before
     for i, rows in enumerate(batches):
-        (source / f"{i}.txt").write_text("\n".join(x if isinstance(x, str) else json.dumps(x) for x in rows))
+        file = source / f"{i}.txt"
+        file.write_text("\n".join(x if isinstance(x, str) else json.dumps(x) for x in rows))
+        os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))  # read in this order
     raw = spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))
     alerts = stream_alerts(raw, Grid(0.5), threshold=5)
     q = alerts.writeStream.outputMode("update").foreachBatch(lambda b, _: out.extend(b.collect())).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
