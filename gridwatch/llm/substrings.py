@@ -62,18 +62,19 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """did, th, text, anchor positions -> each distinct window that holds one of them, where it starts first."""
+    """did, th, text, anchor positions -> each distinct window of which one is the anchor, where it starts first."""
     schema = pa.schema([("wh", pa.int64()), ("did", pa.int64()), ("th", pa.int64()), ("start", pa.int32())])
     for batch, texts in slices(batches, most=1 << 19):
         w = Words(texts)
-        grams = gram_hashes(w.hashes(), WINDOW)
-        wanted = np.zeros(len(grams) + WINDOW + 1, np.int32)
-        for first, count, found in zip(w.first, w.count, batch.column(3).to_pylist(), strict=False):
-            p = np.array(found, np.int64)
-            low, high = np.maximum(p - (WINDOW - PHRASE), 0), np.minimum(p, count - WINDOW)
-            np.add.at(wanted, first + low, 1)
-            np.add.at(wanted, first + high + 1, -1)
-        at = np.flatnonzero(np.cumsum(wanted)[: len(grams)] > 0)
+        words = w.hashes()
+        grams, phrases = gram_hashes(words, WINDOW), gram_hashes(words, PHRASE) | np.uint64(1)
+        own = np.full(len(phrases), ~np.uint64(0))
+        for first, found in zip(w.first, batch.column(3).to_pylist(), strict=False):
+            p = first + np.array(found, np.int64)
+            own[p] = phrases[p]
+        n = WINDOW - PHRASE + 1  # a window is wanted if its least phrase is one of those
+        least = slide(phrases, n, np.minimum)
+        at = np.flatnonzero((slide(own, n, np.minimum) == least) & (w.doc[: len(least)] == w.doc[WINDOW - 1 :]))
         doc = w.doc[at]
         key = np.lexsort((at, grams[at], doc))
         at, doc = at[key], doc[key]
@@ -205,8 +206,8 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     texts = rows.groupBy("th").agg(F.min("did").alias("first"))  # equal texts: the least document stands for all
     post = map_arrow(rows, anchor_rows, "h long, did long, th long, pos int")
     recurring = post.groupBy("h").agg(F.min("th").alias("a"), F.max("th").alias("b")).filter("a <> b").select("h")
-    found = post.join(recurring, "h").groupBy("did", "th").agg(F.collect_list("pos").alias("pos"))
-    found = found.join(texts, "th").filter("did = first").select("did", "th", "pos")
+    found = post.select("h", "th", "pos").join(recurring, "h").groupBy("th").agg(F.collect_set("pos").alias("pos"))
+    found = found.join(texts, "th").select(F.col("first").alias("did"), "th", "pos")
     windows = map_arrow(rows.join(found, ["did", "th"]).select("did", "th", "text", "pos"), window_rows, "wh long, did long, th long, start int")
     repeated = windows.groupBy("wh").agg(F.min("did").alias("source"), F.max("did").alias("other")).filter("source <> other").select("wh", "source")
     owned = windows.join(repeated, "wh")
