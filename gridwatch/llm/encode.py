@@ -26,7 +26,7 @@ SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 #: Characters that str.split() takes for white space and the vocabulary's library does not.
 CONTROL = regex.compile(r"[\x1c-\x1f]")
 WORD_END = "</w>"
-CACHE, PAIRS = 300_000, 1_000_000
+CACHE, PAIRS = 500_000, 1_000_000
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 DDL = "doc_id long, n_tokens long, ids binary, decoded string"
 
@@ -103,8 +103,6 @@ class TrieEncoder:
             for s in self.symbols(word):
                 node = node.setdefault(s, {})
             node[None] = word
-        if len(self.words) + len(new) > CACHE:
-            self.words.clear()
         paths, tokens, sizes = [""], [""], [0]
         stack = [iter(root.items())]
         while stack:
@@ -141,7 +139,10 @@ class TrieEncoder:
             self.chunks.clear()
             new = list(chunks)
         split = [(c, self.words_of(c)) for c in new]
-        self.learn({w for _, words in split for w in words})
+        needed = {w for _, words in split for w in words}
+        if len(self.words) + len(needed) > CACHE:
+            self.words.clear()
+        self.learn(needed - self.words.keys())
         for c, words in split:
             tokens = [t for w in words for t in self.words[w]]
             self.chunks[c] = (np.array([self.ids[t] for t in tokens], "<u4").tobytes(), " ".join(tokens))
