@@ -18,7 +18,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select([(F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
 
 
-def dedup(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+def dedup(df: DataFrame, keys: list[str], order: list[Column | str] | None = None) -> DataFrame:
     """One row for each key, of the key columns that exist: the first in `order`, else any. Without keys: distinct rows."""
     keys = [k for k in keys if k in df.columns]
     if not keys:
@@ -28,7 +28,7 @@ def dedup(df: DataFrame, keys: list[str], order: list[Column] | None = None) ->
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
 
 
-def clean_fires(fires: DataFrame, threshold: float = 30.0, order: list[Column] | None = None) -> DataFrame:
+def clean_fires(fires: DataFrame, threshold: float = 30.0, order: list[Column | str] | None = None) -> DataFrame:
     """Adds confidence_score, keeps scores of `threshold` or more, one row for each fire key."""
     return dedup(fires.withColumn("confidence_score", confidence_score("confidence")).filter(F.col("confidence_score") >= threshold), FIRE_KEY, order)
 

@@ -20,7 +20,8 @@ from gridwatch.sources.fixtures import view
 GRID = G.Grid(0.5)
 BOX = (104.0, 10.0, 108.0, 18.0)
 BOUNDARY_BOX = (103.0, 9.0, 109.75, 22.5)
-ORDER = [F.col("event_id")]
+#: Of equal fires the first event stays.
+ORDER = ["event_id"]
 THRESHOLDS = [0.1, 0.25, 0.5, 0.75, 0.9]
 #: The regions a dashboard offers, as boxes.
 REGIONS = {"north": (102.0, 19.0, 110.0, 24.0), "central": (102.0, 13.0, 110.0, 19.0), "south": (102.0, 8.0, 110.0, 13.0)}
