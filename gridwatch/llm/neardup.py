@@ -3,8 +3,9 @@
 Each class of equal shingle sets is posted under its (coordinate, value) tokens. A pair with `MATCHES`
 equal coordinates of `COORDINATES` shares a token among each one's COORDINATES - MATCHES + 1 rarest, so
 only these are posted (the prefix), and tokens that one class alone has need no posting at all. In each
-posting all classes are first held against one pivot; later only pairs that are still in different
-components are counted (the skip). Counts at or above `MATCHES` go on to the full sets.
+posting all classes are first held against one pivot, the one nearest the group's middle; later only pairs that are still in different
+components and whose common shingles could suffice are counted (the skip). Counts at or above `MATCHES`
+go on to the full sets.
 """
 
 from __future__ import annotations
@@ -97,6 +98,18 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
 
 
+def common_parts(chosen: DataFrame, sets: DataFrame) -> DataFrame:
+    """cid, n and v of each chosen class: v of its n shingles are in another chosen class too.
+
+    Two classes share at most the lesser v, so v alone rules out most pairs of a group whose members each
+    have changes of their own. One shuffle of the chosen sets' shingles.
+    """
+    held = sets.join(chosen, "cid").select("cid", "n", "shingles")
+    alone = held.select("cid", F.explode("shingles").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("df"), F.min("cid").alias("cid")).filter("df = 1")
+    alone = alone.groupBy("cid").agg(F.count(F.lit(1)).alias("u"))
+    return held.select("cid", "n").join(alone, "cid", "left").select("cid", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("v"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """A row for each document: doc_id, n_shingles, component_id, kept.
 
@@ -115,7 +128,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     tokens = classes.select("cid", F.explode("sig").alias("tok"))
     shared = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     ranked = tokens.join(shared, "tok").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("t")).filter(F.size("t") >= MATCHES)
-    posted = ranked.select("cid", F.explode(F.slice("t", F.lit(1), F.size("t") - (MATCHES - 1))).alias("t")).select("cid", "t.tok")
+    ranked = ranked.withColumn("weight", F.aggregate("t", F.lit(0).cast("long"), lambda s, x: s + x["df"]))
+    posted = ranked.select("cid", "weight", F.explode(F.slice("t", F.lit(1), F.size("t") - (MATCHES - 1))).alias("t")).select("cid", "weight", "t.tok")
     posted = materialize(posted, "postings")
 
     chosen = posted.select("cid").distinct().join(classes, "cid")
@@ -123,21 +137,26 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = map_arrow(texts.select("cid", F.col("full_text").alias("text"), "sig"), with_sets, "cid long, sig array<long>, n long, shingles array<long>")
     sets = materialize(sets, "sets")
 
-    # Each class against the pivot (least doc_id) of its postings that it shares most coordinates with.
-    named = posted.join(classes.select("cid", "did"), "cid")
-    pivots = named.groupBy("tok").agg(F.min(F.struct("did", "cid")).alias("p"), F.count(F.lit(1)).alias("df")).filter("df > 1")
-    stars = posted.join(pivots.select("tok", F.col("p.cid").alias("b")), "tok").filter("cid <> b").select(F.col("cid").alias("a"), "b").distinct()
+    # Each class against the pivot (with the most widely shared coordinates) of its postings that it shares most with.
+    pivots = posted.groupBy("tok").agg(F.max_by("cid", F.struct("weight", "cid")).alias("b"), F.count(F.lit(1)).alias("df")).filter("df > 1")
+    stars = posted.join(pivots.select("tok", "b"), "tok").filter("cid <> b").select(F.col("cid").alias("a"), "b").distinct()
     best = counted(stars, sets).groupBy("a").agg(F.max_by("b", F.struct("equal", "b")).alias("b"))
     links = materialize(confirmed(best, sets, percent), "links")
     comp = components(links)
 
     # Pairs of a posting that are not yet in one component; members of its largest one need no count among themselves.
-    at = posted.join(comp.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    at = posted.select("cid", "tok").join(comp.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     at = materialize(at, "placed")
-    most = at.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("tok").agg(F.max_by("comp", "c").alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-    mixed = at.join(most.select("tok", "main"), "tok")
-    minor = mixed.filter("comp <> main").select("tok", F.col("cid").alias("x"), F.col("comp").alias("cx"))
-    pairs = minor.join(mixed.select("tok", F.col("cid").alias("y"), F.col("comp").alias("cy"), "main"), "tok").filter("cx <> cy and (cy = main or x < y)")
+    mixed = at.join(at.groupBy("tok").agg(F.countDistinct("comp").alias("comps")).filter("comps > 1").select("tok"), "tok")
+    mixed = materialize(mixed.join(common_parts(mixed.select("cid").distinct(), sets), "cid").filter(100 * F.col("v") >= percent * F.col("n")), "mixed")
+    most = mixed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")).groupBy("tok")
+    most = most.agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.min("n").alias("low")).filter("comps > 1")
+    room = ((100 + percent) * F.col("v") - percent * F.col("n")) / percent  # the largest partner's size
+    mixed = mixed.join(most.select("tok", "main", "low"), "tok").filter(room >= F.col("low"))
+    minor = mixed.filter("comp <> main").select("tok", F.col("cid").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("v").alias("vx"))
+    other = mixed.select("tok", F.col("cid").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("v").alias("vy"), "main")
+    may_link = (100 + percent) * F.least("vx", "vy") >= percent * (F.col("nx") + F.col("ny"))
+    pairs = minor.join(other, "tok").filter(F.expr("cx <> cy and (cy = main or x < y)") & may_link)
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     more = materialize(confirmed(counted(pairs, sets), sets, percent), "links")
     if not more.isEmpty():
