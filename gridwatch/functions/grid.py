@@ -81,10 +81,10 @@ def severity_rank(column: Column) -> Column:
 
 
 def composite_date(name: Column) -> Column:
-    """The date in a raster's file name: 20YYMMDD or doyYYYYDDD."""
-    plain = F.try_to_timestamp(F.regexp_extract(name, r"(20\d{6})", 1), F.lit("yyyyMMdd")).cast("date")
-    year, day = (F.regexp_extract(name, r"doy(\d{4})(\d{3})", k).try_cast("int") for k in (1, 2))
-    return F.coalesce(F.date_add(F.make_date(year, F.lit(1), F.lit(1)), day - 1), plain)
+    """The date in a raster's file name: 20YYMMDD, else doyYYYYDDD; null for none and for a bad date."""
+    plain = F.regexp_extract(name, r"(?<![0-9])(20[0-9]{6})", 1)
+    year, day = (F.regexp_extract(name, r"(?i)doy(20[0-9]{2})([0-9]{3})", k).try_cast("int") for k in (1, 2))
+    return F.when(plain != "", F.try_to_timestamp(plain, F.lit("yyyyMMdd")).cast("date")).otherwise(F.date_add(F.make_date(year, F.lit(1), F.lit(1)), day - 1))
 
 
 def safe_name(column: Column) -> Column:
@@ -92,5 +92,6 @@ def safe_name(column: Column) -> Column:
 
 
 def byte_text(n: Column) -> Column:
-    size = lambda unit, name: F.concat(F.format_number(n / unit, 1), F.lit(f" {name}"))
-    return F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B"))).when(n < 1 << 20, size(1 << 10, "KB")).when(n < 1 << 30, size(1 << 20, "MB")).otherwise(size(1 << 30, "GB"))
+    """A size with one decimal, from B to GB; ties go to the even digit. Null stays null."""
+    size = lambda unit, name: F.format_string(f"%.1f {name}", F.bround(n / unit, 1))
+    return F.when(n < 1 << 10, size(1, "B")).when(n < 1 << 20, size(1 << 10, "KB")).when(n < 1 << 30, size(1 << 20, "MB")).when(n.isNotNull(), size(1 << 30, "GB"))

@@ -53,6 +53,26 @@ def grid_product(spark, grid: Grid, box: tuple[float, float, float, float]) -> D
     return cells.withColumns({"grid_id": F.concat_ws("_", "grid_lat_index", "grid_lon_index"), "grid_lat": F.round(F.col("grid_lat_index") * grid.size, 6), "grid_lon": F.round(F.col("grid_lon_index") * grid.size, 6)})
 
 
+def touched_cells(cells: DataFrame, edges: DataFrame, grid: Grid) -> DataFrame:
+    """The cells whose closed box meets some polygon: an edge passes through the box, or the box lies inside.
+
+    An edge meets only the cells of its own bounding box, by an equality join on the indexes; a cell that no
+    edge meets is inside or outside as a whole, so its corner decides. Degrees need not fill whole cells.
+    """
+    size = F.lit(grid.size)
+    span = lambda a, b: F.explode(F.sequence((F.ceil(F.least(a, b) / size) - 1).cast("int"), F.floor(F.greatest(a, b) / size).cast("int")))
+    parts = edges.withColumn("grid_lat_index", span("y1", "y2")).withColumn("grid_lon_index", span("x1", "x2"))
+    both = cells.join(parts, ["grid_lat_index", "grid_lon_index"])
+    enter, leave = [F.lit(0.0)], [F.lit(1.0)]  # where along the edge it is between two sides; level edges have no such place
+    for a, b, index in (("x1", "x2", "grid_lon_index"), ("y1", "y2", "grid_lat_index")):
+        low, high = (F.try_divide((F.col(index) + k) * size - F.col(a), F.col(b) - F.col(a)) for k in (0, 1))
+        enter.append(F.least(low, high))
+        leave.append(F.greatest(low, high))
+    met = both.filter(F.greatest(*enter) <= F.least(*leave)).select("grid_id").distinct()
+    rest = within_polygons(cells.join(met, "grid_id", "left_anti"), edges, "grid_lat", "grid_lon")
+    return cells.join(met, "grid_id", "left_semi").unionByName(rest)
+
+
 def attach_cells(points: DataFrame, cells: DataFrame, grid: Grid) -> DataFrame:
     """Points with the cell that holds them, without those outside all cells: an equality join on the indexes."""
     return grid.with_cells(points).join(cells.select("grid_id"), "grid_id")

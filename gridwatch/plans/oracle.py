@@ -97,6 +97,19 @@ ORACLE_SQL = {
     "heatmap": f"{ALL}, {INSIDE} SELECT grid_id, (grid_lat_index + 0.5) * 0.5::DOUBLE AS lat, (grid_lon_index + 0.5) * 0.5::DOUBLE AS lon, count(*) AS n FROM fc JOIN ins USING (latitude, longitude) GROUP BY grid_id, grid_lat_index, grid_lon_index ORDER BY n DESC, grid_id LIMIT 100",
     "points_in_boundary": f"{ALL}, {INSIDE} SELECT latitude, longitude, count(*) AS n FROM fires_raw JOIN ins USING (latitude, longitude) GROUP BY 1, 2",
     "point_cells": f"{ALL} SELECT grid_id, grid_lat, grid_lon, count(*) AS n FROM fc WHERE grid_lat_index BETWEEN 18 AND 45 AND grid_lon_index BETWEEN 206 AND 219 GROUP BY ALL",
+    "boundary_cells": f"""{ALL}, box AS (SELECT i || '_' || j AS grid_id, CAST(i AS DOUBLE) / 2 AS y0, CAST(j AS DOUBLE) / 2 AS x0 FROM range(18, 46) a(i), range(206, 220) b(j)),
+turn AS (SELECT grid_id, x0, y0, poly, ring, least(x1, x2) <= x0 + 0.5 AND greatest(x1, x2) >= x0 AND least(y1, y2) <= y0 + 0.5 AND greatest(y1, y2) >= y0 AS near,
+  (x2 - x1) * (y0 - y1) - (y2 - y1) * (x0 - x1) AS c, (x2 - x1) * 0.5 AS up, (y2 - y1) * -0.5 AS rt,
+  (y1 > y0) <> (y2 > y0) AND x0 < (x2 - x1) * (y0 - y1) / nullif(y2 - y1, 0) + x1 AS crossed FROM box, edges),
+ring AS (SELECT grid_id, x0, y0, poly, ring, bool_or(near AND least(c, c + up, c + rt, c + up + rt) <= 0 AND greatest(c, c + up, c + rt, c + up + rt) >= 0) AS met, count(*) FILTER (crossed) % 2 = 1 AS odd FROM turn GROUP BY ALL),
+poly AS (SELECT grid_id, x0, y0, poly, bool_or(met) OR (bool_or(odd AND ring = 0) AND NOT bool_or(odd AND ring > 0)) AS ok FROM ring GROUP BY ALL),
+fired AS (SELECT grid_id, count(*) AS n FROM fc GROUP BY 1)
+SELECT grid_id, y0 AS grid_lat, x0 AS grid_lon, coalesce(any_value(n), 0) AS fires FROM poly LEFT JOIN fired USING (grid_id) WHERE ok GROUP BY 1, 2, 3""",
+    "composite_dates": f"""{duck('raster_names')} SELECT CASE WHEN o.file_name LIKE '%doy%' THEN CAST(make_date(CAST(substr(file_name, 9, 4) AS INT), 1, 1) + CAST(substr(file_name, 13, 3) AS INT) - 1 AS DATE)
+  WHEN o.file_name LIKE '%_20%' THEN CAST(try_strptime(substr(file_name, 6, 8), '%Y%m%d') AS DATE) END AS composite_date, count(*) AS n FROM raster_names o GROUP BY 1""",
+    "safe_names": "SELECT page_id, regexp_replace(url, '[^A-Za-z0-9_.-]+', '_', 'g') AS file_name FROM pages",
+    "size_texts": """WITH b AS (SELECT o_custkey, CAST(sum(o_orderkey * o_orderkey) AS BIGINT) AS bytes FROM orders GROUP BY 1)
+SELECT o_custkey, bytes, CASE WHEN bytes < 1024 THEN format('{:.1f} B', bytes / 1) WHEN bytes < 1048576 THEN format('{:.1f} KB', bytes / 1024) WHEN bytes < 1073741824 THEN format('{:.1f} MB', bytes / 1048576) ELSE format('{:.1f} GB', bytes / 1073741824) END AS size_text FROM b""",
     "nearest_station": f"""{ALL}, p AS (SELECT DISTINCT CAST(latitude * 64 AS INT) || '_' || CAST(longitude * 64 AS INT) AS point_id, latitude, longitude FROM fires_raw),
 km AS (SELECT point_id, s.id, round(2 * 6371.0088 * asin(sqrt(pow(sin(radians(s.latitude - p.latitude) / 2), 2) + cos(radians(p.latitude)) * cos(radians(s.latitude)) * pow(sin(radians(s.longitude - p.longitude) / 2), 2))), 3) AS d FROM p, stations s)
 SELECT point_id, arg_min(id, [d, id]) AS station_id, round(min(d), 2) AS distance_km FROM km GROUP BY 1""",

@@ -154,6 +154,26 @@ def point_cells(spark, d):
     return geo.attach_cells(fires(spark, d), cells, GRID).groupBy("grid_id", "grid_lat", "grid_lon").agg(F.count(F.lit(1)).alias("n"))
 
 
+def boundary_cells(spark, d):
+    cells = geo.grid_product(spark, GRID, BOUNDARY_BOX)
+    counts = GRID.with_cells(fires(spark, d)).groupBy("grid_id").agg(F.count(F.lit(1)).alias("n"))
+    touched = geo.touched_cells(cells, view(spark, d, "edges"), GRID)
+    return touched.join(counts, "grid_id", "left").select("grid_id", "grid_lat", "grid_lon", F.coalesce("n", F.lit(0)).alias("fires"))
+
+
+def composite_dates(spark, d):
+    return view(spark, d, "raster_names").groupBy(G.composite_date(F.col("file_name")).alias("composite_date")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def safe_names(spark, d):
+    return spark.read.parquet(f"{d}/pages.parquet").select("page_id", G.safe_name(F.col("url")).alias("file_name"))
+
+
+def size_texts(spark, d):
+    sizes = spark.read.parquet(f"{d}/orders.parquet").groupBy("o_custkey").agg(F.sum(F.col("o_orderkey") * F.col("o_orderkey")).alias("bytes"))
+    return sizes.select("o_custkey", "bytes", G.byte_text(F.col("bytes")).alias("size_text"))
+
+
 def nearest_station(spark, d):
     points = view(spark, d, "fires_raw").select((F.col("latitude") * 64).cast("int").alias("a"), (F.col("longitude") * 64).cast("int").alias("b"), "latitude", "longitude").distinct()
     keyed = points.select(F.concat_ws("_", "a", "b").alias("point_id"), "latitude", "longitude")
@@ -275,7 +295,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         fire_cell_days, confidence_scores, fires_dedup, acquired, box_filter, region_counts, recent_fires, station_days, weather_cell_days, ndvi_grid, ndvi_window, feature_table, advanced_features,
-        unmatched_fires, coverage_bounds, column_profile, risk_value_counts, integrity_rules, duplicate_audit, date_split, heatmap, points_in_boundary, point_cells, nearest_station, dense_calendar,
+        unmatched_fires, coverage_bounds, column_profile, risk_value_counts, integrity_rules, duplicate_audit, date_split, heatmap, points_in_boundary, point_cells, boundary_cells, composite_dates, safe_names, size_texts, nearest_station, dense_calendar,
         monthly_trend, annual_rollup, risk_by_day, zscore_anomalies, latest_cells, top_predictions, alert_matches, undelivered_alerts, subscriber_top, subscriber_upsert, hot_zones, class_weights,
         threshold_curve, best_threshold, top_fraction, calibration_bins, auc_roc, dbscan_points, cluster_hulls, forest_scores,
     )

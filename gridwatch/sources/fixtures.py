@@ -47,6 +47,12 @@ FROM {customer}""",
     "scores": """
 SELECT event_id, CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS INT) AS label,
        CAST((event_id * 7919) % 1024 AS DOUBLE) / 1024 AS probability FROM {events}""",
+    "raster_names": """
+SELECT o_orderkey, CASE CAST(o_orderkey % 3 AS INT)
+            WHEN 0 THEN concat('ndvi_doy', CAST(2020 + o_custkey % 5 AS STRING), lpad(CAST(1 + o_orderkey % 366 AS STRING), 3, '0'), '.tif')
+            WHEN 1 THEN concat('ndvi_20', CAST(20 + o_custkey % 5 AS STRING), lpad(CAST(1 + o_orderkey % 12 AS STRING), 2, '0'), lpad(CAST(1 + o_custkey % 30 AS STRING), 2, '0'), '.tif')
+            ELSE 'ndvi.tif' END AS file_name
+FROM {orders}""",
     "edges": """
 SELECT poly, ring, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1, CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2 FROM (VALUES
  (0,0,103.0,9.0,109.0,9.0),(0,0,109.0,9.0,109.0,20.0),(0,0,109.0,20.0,106.0,22.5),(0,0,106.0,22.5,103.0,20.0),(0,0,103.0,20.0,103.0,9.0),
