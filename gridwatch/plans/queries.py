@@ -161,6 +161,12 @@ def boundary_cells(spark, d):
     return touched.join(counts, "grid_id", "left").select("grid_id", "grid_lat", "grid_lon", F.coalesce("n", F.lit(0)).alias("fires"))
 
 
+def clipped_boundary(spark, d):
+    counts = GRID.with_cells(fires(spark, d)).groupBy("grid_id").agg(F.count(F.lit(1)).alias("fires"))
+    parts = geo.clipped_cells(view(spark, d, "edges"), GRID).join(counts, "grid_id", "left")
+    return rounded(parts.select("grid_id", "poly", "ring", "area", F.coalesce("fires", F.lit(0)).alias("fires")))
+
+
 def composite_dates(spark, d):
     return view(spark, d, "raster_names").groupBy(G.composite_date(F.col("file_name")).alias("composite_date")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -295,7 +301,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         fire_cell_days, confidence_scores, fires_dedup, acquired, box_filter, region_counts, recent_fires, station_days, weather_cell_days, ndvi_grid, ndvi_window, feature_table, advanced_features,
-        unmatched_fires, coverage_bounds, column_profile, risk_value_counts, integrity_rules, duplicate_audit, date_split, heatmap, points_in_boundary, point_cells, boundary_cells, composite_dates, safe_names, size_texts, nearest_station, dense_calendar,
+        unmatched_fires, coverage_bounds, column_profile, risk_value_counts, integrity_rules, duplicate_audit, date_split, heatmap, points_in_boundary, point_cells, boundary_cells, clipped_boundary, composite_dates, safe_names, size_texts, nearest_station, dense_calendar,
         monthly_trend, annual_rollup, risk_by_day, zscore_anomalies, latest_cells, top_predictions, alert_matches, undelivered_alerts, subscriber_top, subscriber_upsert, hot_zones, class_weights,
         threshold_curve, best_threshold, top_fraction, calibration_bins, auc_roc, dbscan_points, cluster_hulls, forest_scores,
     )

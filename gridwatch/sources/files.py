@@ -36,7 +36,7 @@ def sniff(column: str) -> Column:
 
 
 def polygon_edges(spark: SparkSession, path: str) -> DataFrame:
-    """GeoJSON polygons and multipolygons as edges (poly, ring, x1, y1, x2, y2); poly is a hash of the polygon's text."""
+    """GeoJSON polygons and multipolygons as edges (poly, ring, seq, x1, y1, x2, y2); poly is a hash of the polygon's text."""
     shape = "struct<features:array<struct<geometry:struct<type:string,coordinates:string>>>>"
     doc = spark.read.text(path, wholetext=True).select(F.from_json("value", shape).alias("d")).select(F.explode("d.features.geometry").alias("g"))
     one = F.array(F.from_json("g.coordinates", "array<array<array<double>>>"))
@@ -44,7 +44,7 @@ def polygon_edges(spark: SparkSession, path: str) -> DataFrame:
     rings = doc.select(F.explode(polys).alias("p")).select(F.xxhash64(F.to_json("p")).alias("poly"), F.posexplode("p").alias("ring", "r"))
     points = rings.select("poly", "ring", "r", F.posexplode("r").alias("i", "b"))
     before = F.element_at("r", F.when(F.col("i") == 0, F.lit(-1)).otherwise(F.col("i")).cast("int"))
-    return points.select("poly", "ring", before[0].alias("x1"), before[1].alias("y1"), F.col("b")[0].alias("x2"), F.col("b")[1].alias("y2")).filter("x1 <> x2 or y1 <> y2")
+    return points.select("poly", "ring", F.col("i").alias("seq"), before[0].alias("x1"), before[1].alias("y1"), F.col("b")[0].alias("x2"), F.col("b")[1].alias("y2")).filter("x1 <> x2 or y1 <> y2")
 
 
 def geojson_features(df: DataFrame, geometry: Column, properties: list[str]) -> DataFrame:

@@ -54,11 +54,11 @@ SELECT o_orderkey, CASE CAST(o_orderkey % 3 AS INT)
             ELSE 'ndvi.tif' END AS file_name
 FROM {orders}""",
     "edges": """
-SELECT poly, ring, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1, CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2 FROM (VALUES
- (0,0,103.0,9.0,109.0,9.0),(0,0,109.0,9.0,109.0,20.0),(0,0,109.0,20.0,106.0,22.5),(0,0,106.0,22.5,103.0,20.0),(0,0,103.0,20.0,103.0,9.0),
- (0,1,105.0,12.0,107.0,12.0),(0,1,107.0,12.0,107.0,14.0),(0,1,107.0,14.0,105.0,14.0),(0,1,105.0,14.0,105.0,12.0),
- (1,0,109.25,21.0,109.75,21.0),(1,0,109.75,21.0,109.75,22.0),(1,0,109.75,22.0,109.25,22.0),(1,0,109.25,22.0,109.25,21.0)
-) AS t(poly, ring, x1, y1, x2, y2)""",
+SELECT poly, ring, seq, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1, CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2 FROM (VALUES
+ (0,0,0,103.0,9.0,109.0,9.0),(0,0,1,109.0,9.0,109.0,20.0),(0,0,2,109.0,20.0,106.0,22.5),(0,0,3,106.0,22.5,103.0,20.0),(0,0,4,103.0,20.0,103.0,9.0),
+ (0,1,0,105.0,12.0,107.0,12.0),(0,1,1,107.0,12.0,107.0,14.0),(0,1,2,107.0,14.0,105.0,14.0),(0,1,3,105.0,14.0,105.0,12.0),
+ (1,0,0,109.25,21.0,109.75,21.0),(1,0,1,109.75,21.0,109.75,22.0),(1,0,2,109.75,22.0,109.25,22.0),(1,0,3,109.25,22.0,109.25,21.0)
+) AS t(poly, ring, seq, x1, y1, x2, y2)""",
 }
 
 
