@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridwatch.functions.grid import Grid
-from gridwatch.operators.alerts import hot_zone_alerts, hot_zones
+from gridwatch.functions.grid import Grid, severity_rank
+from gridwatch.operators.alerts import hot_zone_alerts, hot_zones, matching_subscribers, undelivered
 
 EVENT = "firms_source string, latitude double, longitude double, acq_date string, acq_time int, acquired_at_utc string, fetched_at_utc string, satellite string, instrument string, confidence string, frp double, daynight string"
 
@@ -46,3 +46,30 @@ def write_alerts(alerts: DataFrame, sink: Callable[[DataFrame, int], None], chec
 def kafka_rows(alerts: DataFrame) -> DataFrame:
     """key and JSON value for a Kafka sink."""
     return alerts.select(F.col("alert_id").alias("key"), F.to_json(F.struct("*")).alias("value"))
+
+
+LOG = "subscriber_id long, alert_id string, status string, sent_at timestamp, batch_id long"
+
+
+def fan_out(subscribers: Callable[[], DataFrame], log_path: str, send: Callable[[DataFrame], DataFrame], grid: Grid) -> Callable[[DataFrame, int], None]:
+    """A sink for `write_alerts`: each alert goes once to each subscriber whom it concerns.
+
+    `send` turns (subscriber_id, alert_id) into the same with a status. Each batch writes its own folder of the
+    log, so a batch that runs again replaces its rows; pairs that earlier batches have as sent are left out, failed
+    ones are tried again. Subscribers are read anew for each batch.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = spark.read.schema(LOG).option("ignoreMissingFiles", True).parquet(log_path) if _exists(spark, log_path) else spark.createDataFrame([], LOG)
+        placed = batch.select("alert_id", grid.centre("grid_lat_index").alias("latitude"), grid.centre("grid_lon_index").alias("longitude"), severity_rank(F.col("severity")).alias("rank"))
+        pairs = matching_subscribers(placed, subscribers()).distinct()
+        told = send(undelivered(pairs, known.filter(F.col("batch_id") != batch_id)))
+        told.select("subscriber_id", "alert_id", "status", F.current_timestamp().alias("sent_at")).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+
+    return sink
+
+
+def _exists(spark, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)

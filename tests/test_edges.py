@@ -15,7 +15,7 @@ from gridwatch.operators.features import advanced, rolling
 from gridwatch.operators.geo import clipped_cells, within_banded, within_polygons
 from gridwatch.operators.measures import at_top_fraction
 from gridwatch.sources.files import date_windows, polygon_edges
-from gridwatch.streaming.hotzones import stream_alerts
+from gridwatch.streaming.hotzones import fan_out, stream_alerts
 
 
 def test_confidence(spark):
@@ -142,3 +142,17 @@ def test_size_and_date_texts(spark):
     names = ["doy2020060.tif", "DOY2020060_20210305T01.tif", "x20211332.tif", "120210305.tif", None]
     got = spark.createDataFrame([(i, v) for i, v in enumerate(names)], "k int, n string").select("k", composite_date(F.col("n")).alias("d")).orderBy("k").collect()
     assert [str(r.d) for r in got] == ["2020-02-29", "2021-03-05", "None", "None", "None"]
+
+
+def test_fan_out_sends_once(spark, tmp_path):
+    """A failed pair is tried again, a sent one is not, and a batch that runs again changes nothing."""
+    people = spark.createDataFrame([(1, 0, "active"), (2, 2, "active"), (3, 0, "inactive")], "id long, min_severity_rank int, status string")
+    people = people.withColumns({f"bbox_{m}_{c}": F.lit(None).cast("double") for m in ("min", "max") for c in ("lon", "lat")})
+    alerts = spark.createDataFrame([("a", 20, 210, "high"), ("b", 20, 211, "low")], "alert_id string, grid_lat_index int, grid_lon_index int, severity string")
+    status = {0: "failed", 1: "sent", 2: "sent"}
+    log = str(tmp_path / "log")
+    for batch in (0, 1, 1, 2):
+        fan_out(lambda: people, log, lambda p, b=batch: p.withColumn("status", F.lit(status[b])), Grid(0.5))(alerts, batch)
+    rows = sorted((r.batch_id, r.subscriber_id, r.alert_id, r.status) for r in spark.read.parquet(log).collect())
+    pairs = [(1, "a"), (1, "b"), (2, "a")]
+    assert rows == [(0, *p, "failed") for p in pairs] + [(1, *p, "sent") for p in pairs]
