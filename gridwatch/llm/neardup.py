@@ -3,9 +3,9 @@
 Each class of equal shingle sets is posted under its (coordinate, value) tokens. A pair with `MATCHES`
 equal coordinates of `COORDINATES` shares a token among each one's COORDINATES - MATCHES + 1 rarest, so
 only these are posted (the prefix), and tokens that one class alone has need no posting at all. In each
-posting all classes are first held against one pivot, the one nearest the group's middle; later only pairs that are still in different
-components and whose common shingles could suffice are counted (the skip). Counts at or above `MATCHES`
-go on to the full sets.
+posting all classes are first held against one pivot, the one nearest the group's middle; later only pairs
+that are still in different components and whose common shingles, counted by cell of the hash space, could
+suffice are counted (the skip). Counts at or above `MATCHES` go on to the full sets.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from gridwatch.llm.lines import NO_ID, keyed
 SHINGLE, PERCENT = 5, 75
 #: At a similarity of exactly 0.75 a pair has fewer matches with a probability of about 1e-5.
 COORDINATES, MATCHES = 48, 24
+#: Parts of the hash space by which the shingles that pairs may share are counted.
+CELLS = 128
 _draw = np.random.default_rng(11)
 _FLIP = _draw.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 _ODD = _draw.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,16 +100,31 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
 
 
+def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """cid, toks, n, shingles, lone -> cid, toks, n, v, cells: how many shingles beside the lone ones, in all and by cell."""
+    schema = pa.schema([("cid", pa.int64()), ("toks", pa.list_(pa.int64())), ("n", pa.int64()), ("v", pa.int64()), ("cells", pa.list_(pa.int32()))])
+    for batch in batches:
+        rows = batch.num_rows
+        count = np.zeros(rows * CELLS, np.int64)
+        for column, sign in ((3, 1), (4, -1)):
+            lists = batch.column(column)
+            size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            count += sign * np.bincount(np.repeat(np.arange(rows), size) * CELLS + (lists.flatten().to_numpy() & (CELLS - 1)), minlength=len(count))
+        cells = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * CELLS), pa.array(count.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(count.reshape(-1, CELLS).sum(1)), cells], schema=schema)
+
+
 def common_parts(chosen: DataFrame, sets: DataFrame) -> DataFrame:
-    """cid, n and v of each chosen class: v of its n shingles are in another chosen class too.
+    """cid, toks, n, v and cells of each chosen class: v of its n shingles are in another chosen class too.
 
-    Two classes share at most the lesser v, so v alone rules out most pairs of a group whose members each
-    have changes of their own. One shuffle of the chosen sets' shingles.
+    Two classes share at most the lesser v, and at most the sum of the lesser counts by cell of the hash
+    space, so these rule out most pairs of a group whose members each have changes of their own: changes
+    at different places fall into different cells. One shuffle of the chosen sets' shingles.
     """
-    held = sets.join(chosen, "cid").select("cid", "n", "shingles")
+    held = sets.join(chosen, "cid").select("cid", "toks", "n", "shingles")
     alone = held.select("cid", F.explode("shingles").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("df"), F.min("cid").alias("cid")).filter("df = 1")
-    alone = alone.groupBy("cid").agg(F.count(F.lit(1)).alias("u"))
-    return held.select("cid", "n").join(alone, "cid", "left").select("cid", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("v"))
+    alone = alone.groupBy("cid").agg(F.collect_list("g").alias("lone"))
+    return map_arrow(held.join(alone, "cid", "left").select("cid", "toks", "n", "shingles", "lone"), celled, "cid long, toks array<long>, n long, v long, cells array<int>")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -120,8 +137,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows share a component, and all rows with its least id are kept.
     """
     rows = keyed(docs)
-    table = map_arrow(rows, signed, SIGNED_DDL)
-    members = materialize(table.drop("sig"), "members")
+    table = materialize(map_arrow(rows, signed, SIGNED_DDL), "signatures")
+    members = table.drop("sig")
     classes = table.filter("n > 0").groupBy("cid", "cid2").agg(F.min(F.struct("did", "th")).alias("r"), F.first("sig").alias("sig"))
     classes = materialize(classes.select("cid", "r.did", "r.th", "sig"), "classes")
 
@@ -148,21 +165,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     at = posted.select("cid", "tok").join(comp.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     at = materialize(at, "placed")
     mixed = at.join(at.groupBy("tok").agg(F.countDistinct("comp").alias("comps")).filter("comps > 1").select("tok"), "tok")
-    mixed = materialize(mixed.join(common_parts(mixed.select("cid").distinct(), sets), "cid").filter(100 * F.col("v") >= percent * F.col("n")), "mixed")
+    held_at = mixed.groupBy("cid").agg(F.collect_list("tok").alias("toks"))  # at most COORDINATES - MATCHES + 1
+    mixed = materialize(mixed.join(common_parts(held_at, sets), "cid").filter(100 * F.col("v") >= percent * F.col("n")), "mixed")
     most = mixed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")).groupBy("tok")
     most = most.agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.min("n").alias("low")).filter("comps > 1")
     room = ((100 + percent) * F.col("v") - percent * F.col("n")) / percent  # the largest partner's size
     mixed = mixed.join(most.select("tok", "main", "low"), "tok").filter(room >= F.col("low"))
-    minor = mixed.filter("comp <> main").select("tok", F.col("cid").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("v").alias("vx"))
-    other = mixed.select("tok", F.col("cid").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("v").alias("vy"), "main")
-    may_link = (100 + percent) * F.least("vx", "vy") >= percent * (F.col("nx") + F.col("ny"))
+    minor = mixed.filter("comp <> main").select("tok", F.col("cid").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("v").alias("vx"), F.col("cells").alias("px"), F.col("toks").alias("tx"))
+    other = mixed.select("tok", F.col("cid").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("v").alias("vy"), F.col("cells").alias("py"), F.col("toks").alias("ty"), "main")
+    least = percent * (F.col("nx") + F.col("ny"))
+    by_cell = F.aggregate(F.zip_with("px", "py", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
+    once = F.array_min(F.array_intersect("tx", "ty")) == F.col("tok")  # a pair counts at the first posting it shares
+    may_link = ((100 + percent) * F.least("vx", "vy") >= least) & once & ((100 + percent) * by_cell >= least)
     pairs = minor.join(other, "tok").filter(F.expr("cx <> cy and (cy = main or x < y)") & may_link)
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     more = materialize(confirmed(counted(pairs, sets), sets, percent), "links")
     if not more.isEmpty():
-        comp = components(links.unionByName(more))
+        comp = components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more))
 
     held = members.join(comp.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "cid")))
-    least = held.filter("n > 0").groupBy("comp").agg(F.min("did").alias("least"))
-    out = held.join(least, "comp", "left").withColumn("least", F.coalesce("least", "did"))
+    low = held.filter("n > 0").groupBy("comp").agg(F.min("did").alias("least"))
+    out = held.join(low, "comp", "left").withColumn("least", F.coalesce("least", "did"))
     return out.select(F.nullif("did", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif("least", F.lit(NO_ID)).alias("component_id"), (F.col("did") == F.col("least")).alias("kept"))
