@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from gridwatch.llm import attention, queries
+from gridwatch.llm import attention, queries, scoring
 from gridwatch.llm.count_tokens import PairCounter
 from gridwatch.llm.encode import TrieEncoder
 from gridwatch.llm.lines import DROP, OPEN, SUMMARY, Runs, kept_text, line_dedup
@@ -221,6 +221,25 @@ def test_attention_is_causal_and_scores_each_token_once():
     assert np.allclose(one[:49], two[101:150], atol=1e-5)
 
 
+def test_class_counts_cover_rows_outside_the_sample(spark):
+    path, texts = public_tokenizers.path("byte_bpe_50k.json"), [t for _, t in corpus(4)] + ODD
+    rows = scoring.keyed(frame(spark, list(enumerate(texts)))).repartition(3)
+    counted = scoring.map_arrow(rows.select("text"), lambda b: scoring.word_counts(b, path), "subword boolean, w long, c long")
+    model = scoring.fit(rows, path, counted.filter("subword").groupBy("w").agg({"c": "sum"}).toDF("w", "c"), len(texts), 2)
+    told = Tokenizer.from_file(path)
+    found = [np.array([i for w in re.findall(WORD, lower(t or "")) for i in told.encode(" " + w, add_special_tokens=False).ids], np.int64) for t in texts]
+    ids = np.bincount(np.concatenate(found), minlength=len(model.class_of))
+    assert (model.class_of == attention.classes_of(ids)).all()
+    pairs = np.full((attention.CLASSES, attention.CLASSES), 0.1)
+    for x in found:
+        s = [attention.END, *model.class_of[x].tolist(), attention.END]
+        for a, b in zip(s, s[1:]):
+            pairs[a, b] += 1
+    assert np.allclose(model.bigram, np.log(pairs / pairs.sum(axis=1, keepdims=True)), atol=1e-5)
+    mass = np.bincount(model.class_of, ids + 0.02, attention.CLASSES)[model.class_of]
+    assert np.allclose(model.log_share, np.log((ids + 0.02) / mass))
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
