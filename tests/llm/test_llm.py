@@ -240,6 +240,25 @@ def test_class_counts_cover_rows_outside_the_sample(spark):
     assert np.allclose(model.log_share, np.log((ids + 0.02) / mass))
 
 
+def test_scores_are_those_of_all_words_whatever_the_head_holds(spark):
+    path, rows = public_tokenizers.path("byte_bpe_50k.json"), [(i or 7, t) for i, t in corpus(5)] + [(3, "bad abE")] * 2
+    get = lambda head: sorted(map(tuple, scoring.lm_scores(frame(spark, rows), path, head_words=head).collect()))
+    whole, some, none = get(1 << 20), get(20), get(0)
+    assert len(whole) == len(some) == len(none) == len(rows)
+    for a, b, c in zip(whole, some, none, strict=True):
+        assert a[:5] == b[:5] == c[:5] and np.allclose(a[5:], b[5:]) and np.allclose(a[5:], c[5:])
+    learned = [lower(t or "") for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = {}
+    for w in (w for t in learned for w in WORD.findall(t)):
+        counts[w] = counts.get(w, 0) + 1
+    total = sum(counts.values()) + len(learned)
+    texts, norm = {(i, len(WORD.findall(t or "")) + 1): lower(t or "") for i, t in rows}, np.log10(total + len(counts) + 2)
+    for i, held, n, known, train, base, _ in some:
+        w = WORD.findall(texts[i, n])
+        assert (held, known, train) == (zlib.crc32(str(i).encode()) % 7 == 2, sum(x in counts for x in w) + 1, total)
+        assert np.isclose(base, sum(np.log10(counts.get(x, 0) + 1) - norm for x in w) + np.log10(len(learned) + 1) - norm)
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
