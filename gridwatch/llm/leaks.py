@@ -1,9 +1,7 @@
-"""Benchmark decontamination by SimHash windows, Hamming blocks and exact similarity; DataFrame functions only."""
+"""Benchmark decontamination by shared shingles, windows and exact weighted similarity; DataFrame functions only."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,10 +9,6 @@ from gridwatch.llm.common import SPACE_CLASS, materialize
 from gridwatch.llm.lines import NO_ID, keyed
 
 SHINGLE, SIMILARITY = 5, 0.75
-#: At a similarity of 0.75 about 17 % of the 64 bits differ: 11 with a deviation of 3.
-RADIUS, BLOCKS, BLOCK_BITS = 23, 8, 8
-#: One block of two fingerprints within RADIUS differs by so few bits at most.
-BLOCK_RADIUS = RADIUS // BLOCKS
 #: Shingles of a benchmark that are broadcast (about 40 bytes each); a larger one is joined by shuffles.
 BROADCAST_SHINGLES = 500_000
 #: Four counters of 16 bits in a long, to count 64 bits in 16 sums; a window has fewer than 32,768 shingles.
@@ -33,24 +27,6 @@ def shingles(df: DataFrame, keep: list[str]) -> DataFrame:
     return split.select(*keep, F.slice(h, F.lit(1), F.greatest(F.lit(0), F.size("w") - (SHINGLE - 1))).alias("h"))
 
 
-def simhash(h: Column, size: Column) -> Column:
-    """64 majority bits over the hashes, each counted as often as it occurs (its weight)."""
-    def lane(j: int) -> Column:
-        return F.aggregate(h, F.lit(0).cast("long"), lambda a, x: a + F.shiftrightunsigned(x, j).bitwiseAND(F.lit(LANE_MASK)))
-
-    sums = [lane(j) for j in range(LANES)]
-    bits = [
-        F.when(F.shiftrightunsigned(sums[j], LANE_BITS * k).bitwiseAND(F.lit(0xFFFF)) * 2 > size, F.shiftleft(F.lit(1).cast("long"), j + LANE_BITS * k)).otherwise(F.lit(0).cast("long"))
-        for k in range(64 // LANES)
-        for j in range(LANES)
-    ]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
-
-
-def block(fingerprint: Column, i: Column) -> Column:
-    return F.call_function("shiftrightunsigned", fingerprint, i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
-
-
 def windows_near(hits: Column, size: Column, need: Column, total: Column) -> Column:
     """Starts of all windows of `size` shingle positions that hold `need` of the sorted hit positions."""
     least = lambda j: F.greatest(F.lit(0), F.get(hits, j + need - 1) - size + 1)
@@ -59,20 +35,19 @@ def windows_near(hits: Column, size: Column, need: Column, total: Column) -> Col
     return F.when(F.size(hits) >= need, F.array_distinct(F.flatten(runs))).otherwise(F.array().cast("array<int>"))
 
 
-def weighted_similarity(a: Column, b: Column) -> Column:
-    """Shared weight by united weight, a shingle's weight being how often it occurs."""
-    times = lambda x, e: F.size(F.filter(x, lambda y: y == e))
-    shared = F.aggregate(F.array_distinct(a), F.lit(0), lambda s, e: s + F.least(times(a, e), times(b, e)))
-    return shared / (F.size(a) + F.size(b) - shared)
+def features(h: Column) -> Column:
+    """The members of a sorted array as a set: an equal one's n-th occurrence counts as its own member."""
+    nth = lambda x, i: i - F.array_position(h, x).cast("int") + 2
+    return F.transform(h, lambda x, i: F.when((i > 0) & (F.get(h, i - 1) == x), F.xxhash64(x, nth(x, i))).otherwise(x))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, start, n_words, similarity: benchmark items that documents hold, the best window of each.
 
     A window has as many words as the item (or is the whole document if that is shorter), lower-cased, at
-    any position. Its SimHash is compared with the item's within RADIUS by an index of Hamming blocks, and
-    the exact weighted similarity of five-word shingles decides: 0.75 or more (`similarity` must not be less).
-    Only windows that share enough shingles with the item to reach it are fingerprinted, which loses none.
+    any position. The exact weighted similarity of five-word shingles decides: 0.75 or more (`similarity`).
+    Only windows that share enough shingles with the item to reach it are compared, which loses none.
+    There is no fingerprint between: a SimHash radius can only drop windows that the shingles have found.
     Items and documents of fewer than five words, null or empty, match nothing. A null doc_id or item_id
     stays null in the result; repeated documents give one row for an item, repeated items one each.
     """
@@ -94,18 +69,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     size = F.least(F.col("n"), F.size("h"))
     need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n") + size) - 1e-9).cast("int")
     starts = windows_near(F.col("hits"), size, need, F.size("h"))
-    cut = again.join(hits, ["did", "th"]).select("did", "th", "item", F.explode(F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice("h", s + 1, size).alias("win")))).alias("x"))
-    windows = cut.select("did", "th", "item", "x.start", "x.win").withColumn("print", simhash(F.col("win"), F.size("win")))
-    prints = items.select("item", "h", simhash(F.col("h"), F.col("n")).alias("item_print"))
-    near = F.filter(F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1)), lambda m: F.bit_count(m) <= BLOCK_RADIUS)
-    index = prints.select("item", "item_print", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block")).withColumn("part", block(F.col("item_print"), F.col("block")))
-    index = index.select("item", "item_print", "block", F.explode(F.transform(near, lambda m: m.bitwiseXOR(F.col("part")))).alias("part"))
-    keys = windows.select("did", "th", "item", "start", "print", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block")).withColumn("part", block(F.col("print"), F.col("block")))
-    close = keys.join(index, ["item", "block", "part"]).filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS).select("did", "th", "item", "start").distinct()
-
-    exact = windows.join(close, ["did", "th", "item", "start"]).join(items.select("item", "h"), "item").withColumn("similarity", weighted_similarity(F.col("win"), F.col("h")))
+    cut = again.join(hits, ["did", "th"]).select("did", "th", "item", F.explode(F.transform(starts, lambda s: F.struct(s.alias("start"), F.sort_array(F.slice("h", s + 1, size)).alias("win")))).alias("x"))
+    windows = cut.select("did", "th", "item", "x.start", "x.win").withColumn("set", features(F.col("win")))
+    held = items.select("item", F.sort_array("h").alias("h")).distinct().select("item", features(F.col("h")).alias("item_set"))
+    shared = F.size(F.array_intersect("set", "item_set"))
+    exact = windows.join(held, "item").withColumn("shared", shared).withColumn("similarity", F.col("shared") / (F.size("set") + F.size("item_set") - F.col("shared")))
     exact = exact.filter(F.col("similarity") >= similarity)
-    best = exact.groupBy("did", "item").agg(F.max_by(F.struct("start", F.size("win").alias("size"), "similarity"), F.struct("similarity", -F.col("start"))).alias("b"))
+    best = exact.groupBy("did", "item").agg(F.max_by(F.struct("start", F.size("set").alias("size"), "similarity"), F.struct("similarity", -F.col("start"))).alias("b"))
     return best.join(named.select("item", "item_id"), "item").select(
         F.nullif("did", F.lit(NO_ID)).alias("doc_id"), "item_id", F.col("b.start").alias("start"), (F.col("b.size") + SHINGLE - 1).alias("n_words"), F.col("b.similarity").alias("similarity")
     )

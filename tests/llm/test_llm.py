@@ -170,6 +170,24 @@ def test_leaks_find_near_copies_at_any_place(spark):
     assert got == {(d, i): s for d, s in ((1, 40), (2, 7), (3, 0)) for i in (10, None)}
 
 
+def test_leaks_weigh_repeated_shingles(spark):
+    """Copies that lack an item's run of one word are found at their weighted similarity."""
+    draw, items, rows = random.Random(6), [], []
+    for i, (distinct, times) in enumerate([(60, 8), (100, 14), (200, 28), (196, 14)] * 4):
+        w = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(distinct + 4)]
+        items.append((i, " ".join(w + ["_"] * (times + 4))))
+        rows.append((i, " ".join(w)))
+    split = lambda t: [" ".join(w) for w in zip(*(t.split()[k:] for k in range(5)))]
+    want = {}
+    for (i, t), (_, u) in zip(rows, items, strict=True):
+        a, b = split(t), split(u)
+        shared = sum(min(a.count(x), b.count(x)) for x in set(a))
+        want[i, i] = shared / (len(a) + len(b) - shared)
+    assert min(want.values()) >= 0.75
+    got = {(r.doc_id, r.item_id): r.similarity for r in leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want
+
+
 def test_shards(spark):
     def jump(key, n):
         key, b, j = key % (1 << 64), -1, 0
