@@ -28,8 +28,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many share; n_chars is counted anew."""
-    kept = kept_text(line_dedup(docs)).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), "th", "kept").dropDuplicates(["did", "th"])
+    """Documents without the lines that many share, but for the first document of each; n_chars is counted anew.
+
+    Documents that lost lines and have no word left go: others keep all that they said.
+    """
+    found = kept_text(line_dedup(docs, keep_first=True)).filter((F.col("n_dropped") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
+    kept = found.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), "th", "kept").dropDuplicates(["did", "th"])
     rest = _keys(docs).select("did", "th", "doc_id", "lang", "source")
     return rest.join(kept, ["did", "th"]).select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
 

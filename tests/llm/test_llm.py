@@ -277,6 +277,14 @@ def test_scores_are_those_of_all_words_whatever_the_head_holds(spark):
         assert np.isclose(base, sum(np.log10(counts.get(x, 0) + 1) - norm for x in w) + np.log10(len(learned) + 1) - norm)
 
 
+def test_pipeline_lines_stage_leaves_one_of_many_copies(spark):
+    import corpus_pipeline
+
+    rows = [(i, "one two\nthree four") for i in range(12)] + [(20, "one two\nown line"), (21, ""), (22, "own text")]
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, frame(spark, rows), DATA).collect()}
+    assert got == {0: "one two\nthree four", 20: "own line", 21: "", 22: "own text"}
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
