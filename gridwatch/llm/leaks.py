@@ -11,9 +11,6 @@ from gridwatch.llm.lines import NO_ID, keyed
 SHINGLE, SIMILARITY = 5, 0.75
 #: Shingles of a benchmark that are broadcast (about 40 bytes each); a larger one is joined by shuffles.
 BROADCAST_SHINGLES = 500_000
-#: Four counters of 16 bits in a long, to count 64 bits in 16 sums; a window has fewer than 32,768 shingles.
-LANES, LANE_MASK, LANE_BITS = 16, 0x0001000100010001, 16
-MAX_ITEM_SHINGLES = 32_000
 
 
 def words(text: Column) -> Column:
@@ -28,11 +25,11 @@ def shingles(df: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def windows_near(hits: Column, size: Column, need: Column, total: Column) -> Column:
-    """Starts of all windows of `size` shingle positions that hold `need` of the sorted hit positions."""
-    least = lambda j: F.greatest(F.lit(0), F.get(hits, j + need - 1) - size + 1)
+    """Starts of all windows of `size` shingle positions that hold `need` of the sorted hit positions, each once."""
     most = lambda j: F.least(F.get(hits, j), total - size)
+    least = lambda j: F.greatest(F.lit(0), F.get(hits, j + need - 1) - size + 1, F.coalesce(F.when(j > 0, most(j - 1) + 1), F.lit(0)))
     runs = F.transform(F.sequence(F.lit(0), F.size(hits) - need), lambda j: F.when(least(j) <= most(j), F.sequence(least(j), most(j))).otherwise(F.array().cast("array<int>")))
-    return F.when(F.size(hits) >= need, F.array_distinct(F.flatten(runs))).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size(hits) >= need, F.flatten(runs)).otherwise(F.array().cast("array<int>"))
 
 
 def features(h: Column) -> Column:
@@ -54,9 +51,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     rows = keyed(docs)
     named = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).withColumn("item", F.xxhash64("text"))
     items = shingles(named.filter("text is not null").dropDuplicates(["item"]), ["item"]).withColumn("n", F.size("h"))
-    posted = items.select("item", "n", F.explode_outer("h").alias("g")).filter(F.col("n").between(1, MAX_ITEM_SHINGLES)).distinct()
-    if posted.count() <= BROADCAST_SHINGLES:
-        posted = F.broadcast(posted)
+    posted = items.select("item", "n", F.explode_outer("h").alias("g")).filter("g is not null").distinct()
+    held = items.select("item", F.sort_array("h").alias("h")).distinct().select("item", features(F.col("h")).alias("item_set"))
+    if (items.agg(F.sum("n")).first()[0] or 0) <= BROADCAST_SHINGLES:
+        posted, held = F.broadcast(posted), F.broadcast(held)
 
     # Nothing but the keys stands beside the generator: an array there would be copied, or made anew, for each row.
     # Outer, as else a filter on the array's size is pushed below the words and splits the text for each of them.
@@ -69,13 +67,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     size = F.least(F.col("n"), F.size("h"))
     need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n") + size) - 1e-9).cast("int")
     starts = windows_near(F.col("hits"), size, need, F.size("h"))
-    cut = again.join(hits, ["did", "th"]).select("did", "th", "item", F.explode(F.transform(starts, lambda s: F.struct(s.alias("start"), F.sort_array(F.slice("h", s + 1, size)).alias("win")))).alias("x"))
-    windows = cut.select("did", "th", "item", "x.start", "x.win").withColumn("set", features(F.col("win")))
-    held = items.select("item", F.sort_array("h").alias("h")).distinct().select("item", features(F.col("h")).alias("item_set"))
-    shared = F.size(F.array_intersect("set", "item_set"))
-    exact = windows.join(held, "item").withColumn("shared", shared).withColumn("similarity", F.col("shared") / (F.size("set") + F.size("item_set") - F.col("shared")))
-    exact = exact.filter(F.col("similarity") >= similarity)
-    best = exact.groupBy("did", "item").agg(F.max_by(F.struct("start", F.size("set").alias("size"), "similarity"), F.struct("similarity", -F.col("start"))).alias("b"))
+    # Only starts are generated and only numbers leave the stage: all windows of a long item at once would fill the memory.
+    cut = again.join(hits, ["did", "th"]).join(held, "item").select("did", "item", "h", "item_set", size.alias("size"), F.explode(starts).alias("start"))
+    sets = cut.withColumn("win", F.sort_array(F.slice("h", F.col("start") + 1, F.col("size")))).select("did", "item", "start", "size", "item_set", features(F.col("win")).alias("set"))
+    shared = sets.select("did", "item", "start", "size", (F.col("size") + F.size("item_set")).alias("both"), F.size(F.array_intersect("set", "item_set")).alias("shared"))
+    exact = shared.withColumn("similarity", F.col("shared") / (F.col("both") - F.col("shared")))
+    best = exact.groupBy("did", "item").agg(F.max_by(F.struct("start", "size", "similarity"), F.struct("similarity", -F.col("start"))).alias("b")).filter(F.col("b.similarity") >= similarity)  # not before: the filter would be pushed below and sort a window for each shingle
     return best.join(named.select("item", "item_id"), "item").select(
         F.nullif("did", F.lit(NO_ID)).alias("doc_id"), "item_id", F.col("b.start").alias("start"), (F.col("b.size") + SHINGLE - 1).alias("n_words"), F.col("b.similarity").alias("similarity")
     )

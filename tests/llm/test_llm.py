@@ -188,6 +188,15 @@ def test_leaks_weigh_repeated_shingles(spark):
     assert got == want
 
 
+def test_leaks_find_items_of_any_length(spark):
+    draw = random.Random(9)
+    item = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(33_000)]
+    rows = [(1, " ".join(item)), (2, " ".join(["x"] * 40 + item[:20_000] + ["edit"] + item[20_001:] + ["y"] * 30)), (3, " ".join(item[:20_000]))]
+    bench = spark.createDataFrame([(10, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.start, r.n_words, r.similarity) for r in leaks(frame(spark, rows), bench).collect()}
+    assert got == {1: (0, 33_000, 1.0), 2: (40, 33_000, 32_991 / 33_001)}
+
+
 def test_shards(spark):
     def jump(key, n):
         key, b, j = key % (1 << 64), -1, 0
