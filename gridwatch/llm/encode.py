@@ -9,14 +9,16 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gridwatch.llm.common import batch_of, id_and_text, map_arrow, slices
 from gridwatch.llm.count_tokens import byte_symbols
@@ -26,170 +28,224 @@ SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 #: Characters that str.split() takes for white space and the vocabulary's library does not.
 CONTROL = regex.compile(r"[\x1c-\x1f]")
 WORD_END = "</w>"
-CACHE, PAIRS = 500_000, 1_000_000
+#: Entries of a task's caches: chunks (two generations of so many and of a part's own), pairs of tokens, steps of the suffix automaton.
+CHUNKS, PAIRS, STEPS = 150_000, 500_000, 500_000
+#: Longer chunks are not kept for long.
+LONGEST = 64
+NEVER = 1 << 40
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 DDL = "doc_id long, n_tokens long, ids binary, decoded string"
 
 
-class TrieEncoder:
-    """Encodes words under the merges of a tokenizers file with word ends."""
+class Vocabulary:
+    """A tokenizers file with word ends: tokens, merges and how each token comes about.
+
+    A word's symbols are one character each: its bytes, the last one moved up by 256.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
-        self.ids: dict[str, int] = told["model"]["vocab"] | {t["content"]: t["id"] for t in told["added_tokens"]}
-        self.rank = {(a, b): i for i, (a, b) in enumerate(told["model"]["merges"])}
-        self.vocab = told["model"]["vocab"]
-        self.letter = byte_symbols()
-        marks = sorted((t["content"] for t in told["added_tokens"]), key=len, reverse=True)
-        self.special = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")")
-        #: All endings of tokens: a longer ending of a path is no token once a shorter one isn't here.
-        self.tails = {t[i:] for t in self.vocab for i in range(len(t))}
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, list[str]] = {}
-        self.chunks: dict[str, tuple[bytes, str]] = {}
-
-    def symbols(self, word: str) -> list[str]:
-        s = [self.letter[b] for b in word.encode()]
-        s[-1] += WORD_END
-        return s
-
-    def merged(self, symbols: list[str]) -> list[str]:
-        """Plain merging, for single tokens and pairs of tokens."""
-        rank, s = self.rank, list(symbols)
-        while len(s) > 1:
-            r, i = min((rank.get(p, 1 << 40), i) for i, p in enumerate(pairwise(s)))
-            if r == 1 << 40:
-                break
-            s[i : i + 2] = [s[i] + s[i + 1]]
-        return s
-
-    @staticmethod
-    def parts(token: str) -> list[str]:
-        if token.endswith(WORD_END) and token != WORD_END:
-            s = list(token[: -len(WORD_END)])
-            s[-1] += WORD_END
-            return s
-        return list(token)
-
-    def fits(self, before: str, token: str) -> bool:
-        """Whether merging keeps the two tokens apart (or, with none before, whether it makes the token)."""
-        key = (before, token)
-        if (known := self.apart.get(key)) is None:
-            if len(self.apart) >= PAIRS:
-                self.apart.clear()
-            parts = self.parts(token)
-            known = self.merged(parts) == [token] if not before else self.merged(self.parts(before) + parts) == [before, token]
-            self.apart[key] = known
-        return known
-
-    def last_token(self, path: str, depth: int, tokens: list[str]) -> tuple[str, int]:
-        """The last token of the path's encoding and its size, given those of all shorter prefixes."""
-        k, found, tails, vocab = 2, [], self.tails, self.vocab
-        while k <= depth and (token := path[depth - k :]) in tails:
-            if token in vocab:
-                found.append((token, k))
-            k += 1
-        for token, k in reversed(found):
-            if self.fits(tokens[depth - k], token):
-                return token, k
-        return path[depth - 1 :], 1
-
-    def learn(self, new: set[str]) -> None:
-        """Insert distinct words into a trie and walk it depth first."""
-        root: dict = {}
-        for word in new:
-            node = root
-            for s in self.symbols(word):
-                node = node.setdefault(s, {})
-            node[None] = word
-        paths, tokens, sizes = [""], [""], [0]
-        stack = [iter(root.items())]
-        while stack:
-            step = next(stack[-1], None)
-            if step is None:
-                stack.pop()
-                paths.pop(), tokens.pop(), sizes.pop()
+        ids, letter = told["model"]["vocab"], byte_symbols()
+        self.marks = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in told["added_tokens"]}
+        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.marks, key=len, reverse=True))) + ")")
+        names = {i: s for s, i in ids.items()} | {t["id"]: t["content"] for t in told["added_tokens"]}
+        self.names = pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.string())
+        #: Id of each token that merging its own symbols gives, by its symbols.
+        self.told = {chr(k): ids[s] for b, s in enumerate(letter) for k, s in ((b, s), (b + 256, s + WORD_END))}
+        #: When a token is made (the rank of its last merge; -1: a symbol), and of what.
+        self.when, self.left, self.right = {i: -1 for i in self.told.values()}, {}, {}
+        self.rank: dict[int, int] = {}
+        spelt = {i: s for s, i in self.told.items()}
+        for rank, (x, y) in enumerate(told["model"]["merges"]):
+            self.rank[ids[x] << 20 | ids[y]] = rank
+        for rank, (x, y) in enumerate(told["model"]["merges"]):
+            a, b, new = ids[x], ids[y], ids[x + y]
+            if new in self.when or a not in self.when or b not in self.when or not self.apart(a, b, rank):
                 continue
-            symbol, child = step
-            if symbol is None:
-                found, at = [], len(paths) - 1
-                while at:
-                    found.append(tokens[at])
-                    at -= sizes[at]
-                self.words[child] = found[::-1]
-                continue
-            token, k = self.last_token(paths[-1] + symbol, len(paths), tokens)
-            paths.append(paths[-1] + symbol)
-            tokens.append(token)
-            sizes.append(k)
-            stack.append(iter(child.items()))
+            if max(self.when[a], self.when[b]) >= rank:
+                raise ValueError(f"merge {rank} comes before those of its parts")
+            self.when[new], self.left[new], self.right[new] = rank, a, b
+            spelt[new] = spelt[a] + spelt[b]
+            self.told[spelt[new]] = new
+        #: All beginnings of tokens.
+        self.heads = {s[:k] for s in self.told for k in range(1, len(s) + 1)}
+
+    def apart(self, a: int, b: int, own: int = -1) -> bool:
+        """Whether merging leaves tokens a and b side by side (but for the rule of rank `own`).
+
+        Undoes the merges at the border, the latest first. A rule across the border must come up before
+        the parts beside it go into larger ones; of equal ranks the leftmost pair is merged first.
+        """
+        until_a = until_b = NEVER
+        while True:
+            q = self.rank.get(a << 20 | b, NEVER)
+            if q != own and q < until_a and q <= until_b and q < NEVER:
+                return False
+            if self.when[a] > self.when[b]:
+                until_a, a = self.when[a], self.right[a]
+            elif self.when[b] >= 0:
+                until_b, b = self.when[b], self.left[b]
+            else:
+                return True
+
+    def decode(self, ids: list[bytes]) -> pa.Array:
+        """Texts of packed ids (little-endian unsigned 32 bits): their tokens, joined by one space. A null has a null text."""
+        ends = np.append(0, np.cumsum(np.fromiter((len(i or b"") // 4 for i in ids), np.int64, len(ids))))
+        tokens = self.names.take(pa.array(np.frombuffer(b"".join(i or b"" for i in ids), "<u4")))
+        texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), tokens), " ")
+        return pc.if_else(pa.array([i is not None for i in ids], pa.bool_()), texts, pa.scalar(None, pa.string()))
+
 
-    def words_of(self, chunk: str) -> list[str]:
+class TrieEncoder:
+    """Encodes texts under a vocabulary; its caches are a task's own and bounded."""
+
+    def __init__(self, vocabulary: Vocabulary, chunks: int = CHUNKS):
+        self.v, self.most = vocabulary, chunks
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.fits: dict[int, bool] = {}
+        #: The suffix automaton as far as it was walked: the longest beginning of a token at the end of a path.
+        self.state = {"": 0}
+        self.spelt, self.ends, self.steps = [""], [()], {}
+
+    def step(self, state: int, symbol: int) -> tuple[int, tuple]:
+        """The state after one more symbol, and the tokens that end there with their sizes, the longest first."""
+        s = self.spelt[state] + chr(symbol)
+        while s not in self.v.heads:
+            s = s[1:]
+        new = self.state.setdefault(s, len(self.spelt))
+        if new == len(self.spelt):
+            self.spelt.append(s)
+            self.ends.append(tuple((self.v.told[s[k:]], len(s) - k) for k in range(len(s)) if s[k:] in self.v.told))
+        if len(self.steps) >= STEPS:
+            self.steps.clear()
+        told = self.steps[state << 9 | symbol] = (new, self.ends[new])
+        return told
+
+    def fitting(self, before: int, token: int) -> bool:
+        if len(self.fits) >= PAIRS:
+            self.fits.clear()
+        told = self.fits[before << 20 | token] = self.v.apart(before, token)
+        return told
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of distinct words. Sorted, they are the trie's leaves as a depth-first walk meets them.
+
+        What a word shares with the one before it is the part of the walk's path that stays, with its last
+        tokens; each symbol after that is a new node. Memory is that of one path.
+        """
+        steps, fits, out = self.steps, self.fits, {}
+        path, states, tokens, sizes = b"", [0], [0], [0]
+        for word in sorted(words):
+            s = word.encode()
+            n, k = len(s), 0
+            for x, y in zip(path, s):
+                if x != y:
+                    break
+                k += 1
+            path, k = s, min(k, len(path) - 1, n - 1) if path else 0  # a last symbol is like no other
+            del states[k + 1 :], tokens[k + 1 :], sizes[k + 1 :]
+            state, symbols = states[k], list(s)
+            symbols[-1] += 256
+            for d in range(k, n):
+                c = symbols[d]
+                state, ends = steps.get(state << 9 | c) or self.step(state, c)
+                for token, size in ends:
+                    at = d + 1 - size
+                    if not at:
+                        break
+                    ok = fits.get(tokens[at] << 20 | token)
+                    if ok or ok is None and self.fitting(tokens[at], token):
+                        break
+                states.append(state)
+                tokens.append(token)
+                sizes.append(size)
+            found, at = array("I"), n
+            while at:
+                found.append(tokens[at])
+                at -= sizes[at]
+            found.reverse()
+            out[word] = found.tobytes()
+        return out
+
+    @staticmethod
+    def words_of(chunk: str) -> list[str]:
         if not chunk.isascii():
-            chunk = "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
-        return SPLIT.findall(chunk.lower() if chunk.isascii() else chunk)
-
-    def prepare(self, chunks: set[str]) -> None:
-        """Make sure that all these chunks are in the cache."""
-        new = [c for c in chunks if c not in self.chunks]
-        if not new:
-            return
-        if len(self.chunks) + len(new) > CACHE:
-            self.chunks.clear()
-            new = list(chunks)
-        split = [(c, self.words_of(c)) for c in new]
-        needed = {w for _, words in split for w in words}
-        if len(self.words) + len(needed) > CACHE:
-            self.words.clear()
-        self.learn(needed - self.words.keys())
-        for c, words in split:
-            tokens = [t for w in words for t in self.words[w]]
-            self.chunks[c] = (np.array([self.ids[t] for t in tokens], "<u4").tobytes(), " ".join(tokens))
+            return SPLIT.findall("".join(map(str.lower, unicodedata.normalize("NFC", chunk))))
+        return [chunk.lower()] if chunk.isalpha() else SPLIT.findall(chunk.lower())
+
+    def add(self, chunks: set[str]) -> None:
+        """Have the ids of all these chunks in `young`: from before, special strings, and the words of all others by one walk."""
+        young, old, marks, new, needed = self.young, self.old, self.v.marks, [], set()
+        for c in chunks.difference(young):
+            ids = old.get(c)
+            if ids is None:
+                ids = marks.get(c)
+            if ids is None:
+                words = self.words_of(c)
+                new.append((c, words))
+                needed.update(words)
+            else:
+                young[c] = ids
+        # A word of ASCII is a chunk as well.
+        known = {w: ids for w in needed if (ids := young.get(w) or old.get(w)) is not None and w.isascii()}
+        known |= self.learn(needed.difference(known))
+        young |= {w: ids for w, ids in known.items() if w.isascii()}
+        for c, words in new:
+            young[c] = known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words])
 
     def cut(self, text: str) -> list[str]:
         """Chunks between white space; special strings stand alone."""
-        if "<|" in text and self.special.search(text):
-            return [c for i, part in enumerate(self.special.split(text)) for c in ([part] if i % 2 else self.cut_plain(part))]
+        if "<|" in text and self.v.special.search(text):
+            return [c for i, part in enumerate(self.v.special.split(text)) for c in ([part] if i % 2 else self.cut_plain(part))]
         return self.cut_plain(text)
 
     @staticmethod
     def cut_plain(text: str) -> list[str]:
         return [c for c in regex.split(r"\s+", text) if c] if CONTROL.search(text) else text.split()
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """For each text its ids (little-endian unsigned 32 bits) and its decoded text."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """For each text its ids, as little-endian unsigned 32 bits."""
         cut = [self.cut(t) for t in texts]
-        for mark in self.special.pattern and self.vocab_marks():
-            self.chunks.setdefault(mark, (np.array([self.ids[mark]], "<u4").tobytes(), mark))
-        self.prepare(set().union(*cut))
-        out = []
-        for chunks in cut:
-            pairs = [self.chunks[c] for c in chunks]
-            out.append((b"".join([p[0] for p in pairs]), " ".join([p[1] for p in pairs if p[1]])))
-        return out
-
-    def vocab_marks(self) -> list[str]:
-        return [t for t in self.ids if t not in self.vocab]
+        self.add(set().union(*cut))
+        ids = [b"".join(map(self.young.__getitem__, chunks)) for chunks in cut]
+        if len(self.young) > self.most:
+            self.old, self.young = {c: x for c, x in self.young.items() if len(c) <= LONGEST}, {}
+        return ids
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> TrieEncoder:
-    return TrieEncoder(path)
+@lru_cache(maxsize=1)
+def vocabulary(path: str) -> Vocabulary:
+    """One for a worker; only its caches are a task's own."""
+    return Vocabulary(path)
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    coder = TrieEncoder(vocabulary(path))
     for batch, texts in slices(batches):
-        ids, decoded = zip(*encoder(path).encode([(t or b"").decode() for t in texts]), strict=True)
-        yield batch_of(SCHEMA, doc_id=batch.column(0), n_tokens=[len(i) // 4 for i in ids], ids=list(ids), decoded=list(decoded))
+        ids = coder.encode([(t or b"").decode() for t in texts])
+        yield batch_of(SCHEMA, doc_id=batch.column(0), n_tokens=[len(i) // 4 for i in ids], ids=ids, decoded=coder.v.decode(ids))
 
 
 def bpe_encode(docs: DataFrame, path: str) -> DataFrame:
     """A row for each document: doc_id, n_tokens, ids (packed little-endian unsigned 32-bit) and decoded text.
 
-    Ids and decoded text are those of the vocabulary file's library, without begin and end tokens.
-    One pass without a shuffle; a part of about 1 MB of text at a time shares a trie, and a bounded cache
-    carries words over to the next. A null text counts as empty: no ids, an empty decoded text. Repeated
-    rows each get a row; other columns are not read.
+    Ids are those of the vocabulary file's library, without begin and end tokens; the text is decoded from
+    them. One pass without a shuffle; a part of about 1 MB of text at a time shares a trie, and a task's
+    bounded cache carries chunks over to the next. Memory grows with a text's length, not its square. A
+    null text counts as empty: no ids, an empty decoded text. A null doc_id stays null. Repeated rows each
+    get a row; other columns are not read. An empty table gives an empty result.
     """
     return map_arrow(id_and_text(docs), lambda batches: encoded(batches, path), DDL)
+
+
+def bpe_decode(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """A row for each of `rows` (doc_id, packed ids): doc_id, decoded. Null ids have a null text, none an empty one."""
+    schema = pa.schema([("doc_id", pa.int64()), ("decoded", pa.string())])
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, ids in slices(batches, "ids"):
+            yield batch_of(schema, doc_id=batch.column(0), decoded=vocabulary(path).decode(ids))
+
+    return map_arrow(rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("binary").alias("ids")), decoded, "doc_id long, decoded string")
