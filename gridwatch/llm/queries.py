@@ -33,7 +33,7 @@ def op2_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("th")
 
 
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir)).drop("th")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
