@@ -35,7 +35,7 @@ c AS (SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size,
             lambda a, x: xor(a >> 8, t[CAST(xor(a, x) & 255 AS INT) + 1]))) AS text_crc32
       FROM documents, tab)
 SELECT c.doc_id, size, text_crc32, 'key' AS law, CAST(now AS INT) AS shard,
-       row_number() OVER (PARTITION BY now ORDER BY c.doc_id, size, text_crc32) - 1 AS slot, CAST(grown AS INT) AS grown_shard
+       row_number() OVER (PARTITION BY now ORDER BY (c.doc_id % 2147483647 + 2147483647) % 2147483647 * 48271 % 2147483647, c.doc_id, size, text_crc32) - 1 AS slot, CAST(grown AS INT) AS grown_shard
 FROM c JOIN s USING (doc_id)
 """
 

@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 SHARDS = 24
 #: Rows of a numbering block, about: a block is one window partition.
 BLOCK_ROWS = 50_000
+#: Slots go by turn: doc_id times SPREAD modulo the prime TURNS, so ids far apart or close by fill blocks alike.
+TURNS, SPREAD = (1 << 31) - 1, 48271
 #: Fixed values of the published algorithm's generator.
 MULTIPLIER, MODULUS, HIGH = 2862933555777941757, 1 << 64, 1 << 33
 
@@ -42,9 +44,11 @@ def consistent_shards(docs: DataFrame, shards: int = SHARDS, block_rows: int = B
 
     Only doc_id and the number of shards decide the shard; with one more, rows move into the new shard
     alone. A null doc_id counts as -1 for that. size is the text's UTF-8 bytes (null: none) plus 8, and the
-    crc32 of a null text is that of an empty one. Slots count from 0 in each shard by doc_id, then size
-    and crc32: blocks of doc_ids are numbered apart and offset by the counts of the blocks before, so
-    that no task holds a shard. Equal rows get any order among themselves. No text is shuffled.
+    crc32 of a null text is that of an empty one. Slots count from 0 in each shard by the id's turn
+    (doc_id * SPREAD modulo TURNS; null counts as -1), then doc_id, size and crc32: blocks of turns are numbered
+    apart and offset by the counts of the blocks before, so that no task holds a shard. Equal rows get
+    any order among themselves. No text is shuffled. Other columns are not read; an empty table gives an
+    empty result.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
@@ -54,14 +58,13 @@ def consistent_shards(docs: DataFrame, shards: int = SHARDS, block_rows: int = B
     )
     jumps = jump_path(F.coalesce(F.col("doc_id"), F.lit(-1)), shards)
     rows = rows.withColumn("_jump", jumps).select("*", F.col("_jump.now").alias("shard"), F.col("_jump.grown").alias("grown_shard")).drop("_jump")
-    # One row; a block is a range of ids as wide as holds block_rows of them for a shard on average.
-    spread = docs.select(F.col("doc_id").cast("long").alias("i")).agg(F.min("i").alias("low"), F.max("i").alias("high"), F.count(F.lit(1)).alias("n"))
-    width = F.greatest(F.lit(1.0), F.coalesce((F.col("high") - F.col("low") + 1).cast("double"), F.lit(1.0)) * (shards * block_rows) / F.greatest(F.col("n"), F.lit(1)))
-    spread = spread.select(F.col("low"), F.floor(width).cast("long").alias("width"))
-    rows = rows.crossJoin(F.broadcast(spread)).withColumn("block", F.coalesce(F.floor((F.col("doc_id") - F.col("low")) / F.col("width")), F.lit(-1)).cast("long")).drop("low", "width")
+    turns = F.lit(TURNS).cast("long")
+    rows = rows.withColumn("turn", F.pmod(F.pmod(F.coalesce(F.col("doc_id"), F.lit(-1)), turns) * SPREAD, turns))
+    counted = docs.agg(F.ceil(F.count(F.lit(1)) / (shards * block_rows)).alias("blocks"))  # one row
+    rows = rows.crossJoin(F.broadcast(counted)).withColumn("block", F.floor(F.col("turn") * F.col("blocks") / turns).cast("long")).drop("blocks")
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n")).select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("shard", "block").orderBy("doc_id", "size", "text_crc32")
+    within = Window.partitionBy("shard", "block").orderBy("turn", "doc_id", "size", "text_crc32")
     return (
         rows.withColumn("_n", F.row_number().over(within))
         .join(offsets, ["shard", "block"])
