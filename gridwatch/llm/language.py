@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from gridwatch.llm.common import batch_of, crc_mod, map_arrow, slices
 
 BUCKETS, ORDERS, PRIOR_COUNT = 1 << 15, (2, 3), 0.5
-#: A language is a row of the broadcast matrix; more distinct values than this are refused.
+#: A language is a row of the broadcast matrix (256 KB); more distinct values than this are refused with an error.
 MAX_LANGUAGES = 256
+#: Languages whose counts a task holds; beyond them they go out and start anew.
+HELD_LANGUAGES = 64
 FOLDS, HELD_OUT = 4, 2
 LETTER = regex.compile(r"\p{L}")
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -45,19 +47,26 @@ def grams(texts: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np.nd
 
 
 def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each task's counts by language and bucket (-1: documents)."""
+    """Each task's counts by language and bucket (-1: documents); a pair may come more than once."""
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
     counts: dict[str, np.ndarray] = {}
+
+    def told() -> Iterator[pa.RecordBatch]:
+        for lang, row in counts.items():
+            at = np.flatnonzero(row)
+            yield batch_of(schema, lang=[lang] * len(at), bucket=np.where(at == BUCKETS, -1, at).astype(np.int32), n=row[at])
+        counts.clear()
+
     for batch, texts in slices(batches, most=1 << 19):
         langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
         for lang in set(langs):
             own = [t or b"" for t, x in zip(texts, langs, strict=True) if x == lang]
+            if lang not in counts and len(counts) >= HELD_LANGUAGES:
+                yield from told()
             row = counts.setdefault(lang, np.zeros(BUCKETS + 1, np.int64))
             row[:BUCKETS] += np.bincount(grams(own)[0], minlength=BUCKETS)
             row[BUCKETS] += len(own)
-    for lang, row in counts.items():
-        at = np.flatnonzero(row)
-        yield batch_of(schema, lang=[lang] * len(at), bucket=np.where(at == BUCKETS, -1, at).astype(np.int32), n=row[at])
+    yield from told()
 
 
 @dataclass
@@ -78,11 +87,11 @@ class LanguageModel:
 
 def fit(train: DataFrame) -> LanguageModel:
     """Counts over all training rows (text, lang); the matrix has MAX_LANGUAGES rows at most."""
-    rows = map_arrow(train.select("text", "lang"), gram_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = rows.toArrow()
+    found = train.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if found > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages; the matrix takes no more")
+    table = map_arrow(train.select("text", "lang"), gram_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names, at = np.unique(np.array(table["lang"].to_pylist(), object).astype(str), return_inverse=True) if table.num_rows else ([], None)
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"{len(names)} languages; the matrix takes {MAX_LANGUAGES}")
     if not len(names):
         return LanguageModel([], np.zeros(0), np.zeros((0, BUCKETS)))
     counts = np.zeros((len(names), BUCKETS + 1))
@@ -97,7 +106,8 @@ def language_id(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -
     Learns from every row whose crc32(doc_id) mod `folds` is not `held_out` and whose lang is not null
     (a null text counts as an empty one). Predictions use the text only. Without text or a letter, or
     with nothing to learn from: `und` with score 0. Repeated rows each get a row. Ties go to the
-    language first in order.
+    language first in order. More than MAX_LANGUAGES distinct languages raise a ValueError before anything is
+    counted. Other columns are not read; an empty table gives an empty result.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     base = base.withColumn("held_out", crc_mod("doc_id", folds) == held_out)

@@ -172,27 +172,29 @@ def kept_lines(text: bytes, bitmap: bytes | None) -> bytes:
     return b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i >= len(keep) or keep[i])
 
 
-def line_dedup(docs: DataFrame, min_docs: int = 10, keep_first: bool = False) -> DataFrame:
-    """A row for each document: doc_id, th (hash of the text), text, n_lines, n_dropped, keep_bitmap (null: all stay).
+def line_dedup(docs: DataFrame, min_docs: int = 10, keep_first: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each document: doc_id, th (hash of the text), text, n_lines, n_dropped, keep_bitmap (null: all stay), carried.
 
     A line's key is the line stripped of white space, A-Z lower-cased. Keys of one character at least in
     `min_docs` documents (by doc_id; null ids count as one document) lose their lines everywhere, or
     with `keep_first` all but the first one by doc_id and position. Blank lines stay. A null text is one
-    empty line. Repeated rows get equal results. `kept_text` applies the bitmaps.
+    empty line. Repeated rows get equal results. `carried` is a struct of the columns named by `carry`; other
+    columns are not read. An empty table gives an empty result. `kept_text` applies the bitmaps.
     """
-    rows = keyed(docs)
+    ids = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text").cast("string").alias("text")]
+    rows = docs.select(*ids, F.struct(*[F.col(c) for c in carry] or [F.lit(None).cast("string").alias("none")]).alias("carried"))
     lines = F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))), F.lit(0)) + 1
-    found = rows.join(line_bitmaps(rows, min_docs, keep_first), ["did", "th"], "left")
-    return found.select(F.nullif("did", F.lit(NO_ID)).alias("doc_id"), "th", "text", lines.cast("long").alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"), "keep_bitmap")
+    found = rows.join(line_bitmaps(keyed(docs), min_docs, keep_first), ["did", "th"], "left")
+    return found.select(F.nullif("did", F.lit(NO_ID)).alias("doc_id"), "th", "text", lines.cast("long").alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"), "keep_bitmap", "carried")
 
 
 def kept_text(found: DataFrame) -> DataFrame:
-    """line_dedup's rows as doc_id, th, n_lines, n_dropped, kept: the lines that stay, joined by \\n."""
-    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept", pa.string())])
+    """line_dedup's rows as doc_id, th, n_lines, n_dropped, carried, kept: the lines that stay, joined by \\n."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, texts in slices(batches):
             kept = [kept_lines(t or b"", m) for t, m in zip(texts, b.column(5).to_pylist(), strict=True)]
-            yield batch_of(schema, doc_id=b.column(0), th=b.column(1), n_lines=b.column(3), n_dropped=b.column(4), kept=[k.decode() for k in kept])
+            columns = {k: b.column(b.schema.get_field_index(k)) for k in ("doc_id", "th", "n_lines", "n_dropped", "carried")}
+            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array([k.decode() for k in kept], pa.string())], names=[*columns, "kept"])
 
-    return map_arrow(found, apply, "doc_id long, th long, n_lines long, n_dropped long, kept string")
+    return map_arrow(found, apply, f"doc_id long, th long, n_lines long, n_dropped long, carried {found.schema['carried'].dataType.simpleString()}, kept string")

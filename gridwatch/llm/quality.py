@@ -114,8 +114,22 @@ def judge(batches: Iterator[pa.RecordBatch], bands: tuple = BANDS) -> Iterator[p
 def quality_rules(docs: DataFrame, bands: tuple = BANDS) -> DataFrame:
     """A row for each document: its text, counts, ratios, `base_failed` and the verdict `kept`.
 
-    One pass without a shuffle; the work for a document needs its text only. A null text counts as
-    empty, and an empty one has no words and fails. Repeated rows each get their own row; other
-    columns of `docs` are not read. An empty table gives an empty result.
+    One pass without a shuffle; the work for a document needs its text only. A text over 2,048 bytes is also
+    judged by its chunks of 2,048 bytes; a last chunk under 512 bytes is not, as bands say little of it. A null
+    text counts as empty, and an empty one has no words and fails. Repeated rows each get their own row;
+    other columns of `docs` are not read. An empty table gives an empty result.
     """
     return map_arrow(id_and_text(docs), lambda batches: judge(batches, bands), DDL)
+
+
+def quality_kept(docs: DataFrame, bands: tuple = BANDS) -> DataFrame:
+    """The rows of `docs`, with all their columns, that `quality_rules` keeps: one pass without a shuffle."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(at)], names=["doc_id", "text"])
+            keep = [x.column(SCHEMA.get_field_index("kept")) for x in judge(iter([pair]), bands)]
+            yield batch.filter(pa.chunked_array(keep, pa.bool_()).combine_chunks()) if keep else batch
+
+    return docs.mapInArrow(kept, docs.schema)

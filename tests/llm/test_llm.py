@@ -9,16 +9,20 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 from gridwatch.llm import attention, queries, scoring
 from gridwatch.llm.count_tokens import PairCounter
-from gridwatch.llm.encode import TrieEncoder
+from gridwatch.llm.count_tokens import token_counts
+from gridwatch.llm.encode import TrieEncoder, Vocabulary, bpe_decode, bpe_encode
+from gridwatch.llm.language import language_id
 from gridwatch.llm.lines import DROP, OPEN, SUMMARY, Runs, kept_text, line_dedup
+from gridwatch.llm import leaks as leak_module
 from gridwatch.llm.leaks import leaks
 from gridwatch.llm.neardup import near_duplicates
 from gridwatch.llm.oracle import ORACLE_SQL
-from gridwatch.llm.quality import quality_rules
+from gridwatch.llm.quality import BANDS, quality_kept, quality_rules
 from gridwatch.llm.shards import consistent_shards
 from gridwatch.llm.substrings import substring_dedup
 
@@ -77,9 +81,56 @@ def test_tokens_equal_the_library():
     assert list(map(PairCounter(path).count, texts)) == [len(e.ids) for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    for (ids, decoded), e in zip(TrieEncoder(path).encode(texts), library.encode_batch(texts, add_special_tokens=False), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == e.ids
-        assert decoded == library.decode(e.ids, skip_special_tokens=False)
+    vocabulary = Vocabulary(path)
+    ids, told = TrieEncoder(vocabulary).encode(texts), library.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(i, "<u4").tolist() for i in ids] == [e.ids for e in told]
+    assert vocabulary.decode([*ids, None]).to_pylist() == [library.decode(e.ids, skip_special_tokens=False) for e in told] + [None]
+    small = TrieEncoder(vocabulary, chunks=8)  # its caches start anew all the time
+    marked = ["g h <|endoftext|> i j k l", "m <|endoftext|> n o p q r s", *texts, "g <|startoftext|><|endoftext|> h"]
+    for k in range(0, len(marked), 2):
+        got = [np.frombuffer(i, "<u4").tolist() for i in small.encode(marked[k : k + 2])]
+        assert got == [e.ids for e in library.encode_batch(marked[k : k + 2], add_special_tokens=False)]
+    long = "".join(draw.choices("abcdefgh", k=100_000))
+    assert np.frombuffer(small.encode([long])[0], "<u4").tolist() == library.encode(long, add_special_tokens=False).ids
+    assert max(map(len, [*small.young, *small.old, ""])) <= len(long) and long not in small.old
+
+
+def test_tokens_of_tables(spark):
+    """Null, empty, odd and repeated rows, extra columns, and no rows at all, against the library."""
+    rows = [(i, t) for i, t in enumerate(ODD * 2)] + [(None, "a b"), (7, None), (7, None), (8, "x" * 20_000)]
+    library = Tokenizer.from_file(path := public_tokenizers.path("word_bpe_49k.json"))
+    found = bpe_encode(frame(spark, rows), path)
+    text = {r.doc_id: r.decoded for r in bpe_decode(found.withColumnRenamed("doc_id", "id"), path, "id").collect()}
+    want = []
+    for i, t in rows:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((i, len(ids), np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False)))
+    got = [(r.doc_id, r.n_tokens, bytes(r.ids), r.decoded) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert text == {i: d for i, _, _, d in want}
+    library = Tokenizer.from_file(path := public_tokenizers.path("byte_bpe_50k.json"))
+    want = [(i, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in rows]
+    assert sorted(map(tuple, token_counts(frame(spark, rows), path).collect()), key=str) == sorted(want, key=str)
+    empty, words = frame(spark, []), public_tokenizers.path("word_bpe_49k.json")
+    assert bpe_encode(empty, words).count() == bpe_decode(bpe_encode(empty, words), words).count() == token_counts(empty, path).count() == 0
+
+
+def test_languages(spark):
+    """Held-out accuracy, and rows without text, letters or language."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    said = language_id(docs).alias("s").join(docs.alias("d"), "doc_id").filter("s.held_out and d.lang is not null and lang_pred <> 'und'").select("lang", "lang_pred", "score").collect()
+    assert len(said) > 20 and sum(r.lang == r.lang_pred for r in said) >= 0.97 * len(said)
+    assert all(0 <= r.score <= 1 for r in said)
+    rows = [(1, "the cat and the dog", "en"), (3, "der hund und die katze", "de"), (4, "the dog", None), (5, None, "en"), (6, "", "en"), (7, "12 34 !", "de"), (8, "der hund " * 5000, "de"), (8, "der hund " * 5000, "de"), (None, "the", "en")]
+    got = language_id(spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, lang string, score string, bucket int")).collect()
+    assert len(got) == len(rows) and all(r.lang_pred in ("en", "de", "und") for r in got)
+    assert all(r.held_out == (zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 4 == 2) for r in got)
+    assert {r.doc_id for r in got if r.lang_pred == "und"} == {5, 6, 7} and all(r.score == 0 for r in got if r.lang_pred == "und")
+    assert language_id(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
+    assert {r.lang_pred for r in language_id(spark.createDataFrame([(1, "a b", None)], "doc_id long, text string, lang string")).collect()} == {"und"}
+    many = spark.createDataFrame([(i, "a b", f"l{i}") for i in range(600)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        language_id(many)
 
 
 @pytest.mark.parametrize("seed", [0, 1])
@@ -188,13 +239,35 @@ def test_leaks_weigh_repeated_shingles(spark):
     assert got == want
 
 
-def test_leaks_find_items_of_any_length(spark):
+def test_leaks_find_long_items_and_repeats(spark):
     draw = random.Random(9)
-    item = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(33_000)]
-    rows = [(1, " ".join(item)), (2, " ".join(["x"] * 40 + item[:20_000] + ["edit"] + item[20_001:] + ["y"] * 30)), (3, " ".join(item[:20_000]))]
+    item = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(2500)]
+    rows = [(1, " ".join(item)), (2, " ".join(["x"] * 40 + item[:2000] + ["edit"] + item[2001:] + ["y"] * 30)), (3, " ".join(item[:1500])), (1, " ".join(item)), (1, " ".join(item[1:])), (None, " ".join(item))]
     bench = spark.createDataFrame([(10, " ".join(item))], "item_id long, text string")
-    got = {r.doc_id: (r.start, r.n_words, r.similarity) for r in leaks(frame(spark, rows), bench).collect()}
-    assert got == {1: (0, 33_000, 1.0), 2: (40, 33_000, 32_991 / 33_001)}
+    got = sorted((r.doc_id or 0, r.start, r.n_words, r.similarity) for r in leaks(frame(spark, rows), bench).collect())
+    assert got == [(0, 0, 2500, 1.0), (1, 0, 2499, 2495 / 2496), (1, 0, 2500, 1.0), (2, 40, 2500, 2491 / 2501)]
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert leaks(frame(spark, rows), none).count() == leaks(frame(spark, []), bench).count() == 0
+
+
+def test_hamming_blocks_find_all_within_the_radius(spark):
+    draw = random.Random(4)
+    prints = [draw.getrandbits(128) for _ in range(30)]
+    near = [(k, sum(1 << b for b in draw.sample(range(128), draw.choice([0, 3, 46, 47, 48, 60]))) ^ p) for k, p in enumerate(prints)]
+    half = lambda x: [v - (1 << 64) if v >> 63 else v for v in (x & (1 << 64) - 1, x >> 64)]
+    items = spark.createDataFrame([(k, 9, *half(p)) for k, p in enumerate(prints)], "item long, n int, f0 long, f1 long")
+    windows = spark.createDataFrame([(k, 9, *half(p)) for k, p in near] + [(99, 8, *half(prints[0]))], "w long, n int, f0 long, f1 long")
+    got = {(r.w, r.item) for r in leak_module.within_radius(windows, items).collect()}
+    assert got == {(w, k) for w, x in near for k, p in enumerate(prints) if (x ^ p).bit_count() <= 47}
+
+
+def test_fingerprints_are_majorities(spark):
+    draw = random.Random(5)
+    sets = [[draw.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (1, 2, 7, 300)]
+    got = {r.k: (r.f0, r.f1) for r in leak_module.fingerprints(spark.createDataFrame(list(enumerate(sets)), "k long, s array<long>"), ["k"], "s").collect()}
+    for k, members in enumerate(sets):
+        bits = sum(1 << b for b in range(64) if 2 * sum(m >> b & 1 for m in members) > len(members))
+        assert got[k][0] % (1 << 64) == bits
 
 
 def test_shards(spark):
@@ -205,7 +278,9 @@ def test_shards(spark):
             j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
         return b
 
-    got = consistent_shards(frame(spark, [(i, "é" * (i % 3)) for i in range(-50, 300)] + [(None, None)]), 24, 2).collect()
+    far = [-(1 << 62) - 5, (1 << 62) + 5, (1 << 63) - 1, -(1 << 63)]  # blocks don't depend on the spread of ids
+    got = consistent_shards(frame(spark, [(i, "é" * (i % 3)) for i in [*range(-50, 300), *far]] + [(None, None)]), 24, 2).collect()
+    assert len(got) == 355
     for r in got:
         key = -1 if r.doc_id is None else r.doc_id
         text = "" if r.doc_id is None else "é" * (r.doc_id % 3)
@@ -217,7 +292,10 @@ def test_shards(spark):
 
 
 def test_quality(spark):
-    rows = corpus(4) + [(200, "spam spam spam spam " * 100)]
+    draw = random.Random(8)
+    noise = "".join(draw.choices("".join(map(chr, range(33, 127))) + "  ", k=6000))  # its chunks don't shrink
+    prose = [t for _, t in frame(spark, []).sparkSession.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()[:40]]
+    rows = corpus(4) + [(200, "spam spam spam spam " * 100), (201, noise)] + [(300 + k, t) for k, t in enumerate(prose)]
     got = {r.doc_id: r for r in quality_rules(frame(spark, rows)).collect()}
     for i, t in rows:
         w, windows = WORD.findall(t or ""), {}
@@ -228,7 +306,18 @@ def test_quality(spark):
         r = got[i]
         assert (r.n_words, r.word_chars, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), len(lines) - len(set(lines)), len(covered))
         assert r.base_failed == (len(w) < 20 or 100 * len(covered) > 30 * len(w))
-    assert not got[200].kept
+        b = (t or "").encode()
+        parts = [b] + ([x for k in range(0, len(b), 2048) if len(x := b[k : k + 2048]) >= 512] if len(b) > 2048 else [])
+        ratios = [len(x) / max(1, len(zstandard.compress(x, 3))) for x in parts]
+        limits = [max(x for x in BANDS if x[0] <= len(p))[1:] for p in parts]
+        fine = bool(b) and all(low <= ratio <= high for ratio, (low, high) in zip(ratios, limits, strict=True))
+        assert r.kept == (fine and not r.base_failed)
+        assert not b or np.isclose(r.ratio, ratios[0])
+    assert not got[200].kept and {True, False} == {r.kept for r in got.values() if not r.base_failed}
+    kept = quality_kept(frame(spark, rows + rows[:3]))
+    assert kept.columns == frame(spark, []).columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in rows + rows[:3] if got[i].kept)
+    assert quality_kept(frame(spark, [])).count() == 0
 
 
 def test_empty_tables(spark):
