@@ -9,56 +9,61 @@ from pyspark.sql import functions as F
 from gridwatch.llm.common import materialize
 from gridwatch.llm.encode import bpe_encode
 from gridwatch.llm.leaks import leaks
-from gridwatch.llm.lines import kept_text, line_dedup
+from gridwatch.llm.lines import NO_ID, kept_text, line_dedup
 from gridwatch.llm.neardup import near_duplicates
-from gridwatch.llm.quality import quality_rules
+from gridwatch.llm.quality import quality_kept
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def _keys(docs: DataFrame) -> DataFrame:
     """did and th beside the columns of documents, to join what an operator said on."""
-    return docs.select(*COLUMNS).withColumns({"did": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "th": F.xxhash64("text")})
+    return docs.select(*COLUMNS).withColumns({"did": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "th": F.xxhash64("text")})
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep. The verdict is on the text, so equal rows share it."""
-    said = quality_rules(docs).filter("kept").select(F.xxhash64("text").alias("th"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did")).distinct()
-    return _keys(docs).join(said, ["did", "th"], "left_semi").select(COLUMNS)
+    """Documents that the rules keep, row by row. Null and empty texts have too few words and go; repeated rows stay."""
+    return quality_kept(docs.select(*COLUMNS))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many share, but for the first document of each; n_chars is counted anew.
 
-    Documents that lost lines and have no word left go: others keep all that they said.
+    Documents that lost lines and have no word left go: others keep all that they said. A null text becomes
+    an empty one. Repeated rows (one id, one text) stay repeated; their first lines stay in each.
     """
-    found = kept_text(line_dedup(docs, keep_first=True)).filter((F.col("n_dropped") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
-    kept = found.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), "th", "kept").dropDuplicates(["did", "th"])
-    rest = _keys(docs).select("did", "th", "doc_id", "lang", "source")
-    return rest.join(kept, ["did", "th"]).select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
+    found = kept_text(line_dedup(docs, keep_first=True, carry=("lang", "source")))
+    left = found.filter((F.col("n_dropped") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
+    return left.select("doc_id", F.col("kept").alias("text"), "carried.lang", "carried.source", F.length("kept").cast("long").alias("n_chars"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; repeated rows of one id leave one."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    one = _keys(docs).join(kept, F.col("did") == F.coalesce(kept["doc_id"], F.lit(-(1 << 63))), "left_semi")
-    return one.dropDuplicates(["did"]).select(COLUMNS)
+    """One document of each group of near duplicates: the least id's, of its texts the one of least hash, of its rows the least.
+
+    Texts without words link with nothing and stay, one row for each id and text. A null id is the least.
+    """
+    said = near_duplicates(docs).filter("kept").select(F.coalesce("component_id", F.lit(NO_ID)).alias("did"), "n_shingles", "th")
+    with_words = said.filter("n_shingles > 0").groupBy("did").agg(F.min("th").alias("th"))
+    picked = with_words.unionByName(said.filter("n_shingles = 0").select("did", "th").distinct())
+    one = _keys(docs).join(picked, ["did", "th"], "left_semi").groupBy("did", "th")
+    least = one.agg(F.min("text").alias("text"), F.min(F.struct("lang", "source", "n_chars")).alias("rest"))
+    return least.select(F.nullif("did", F.lit(NO_ID)).alias("doc_id"), "text", "rest.lang", "rest.source", "rest.n_chars")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    held = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did")).distinct()
-    return _keys(docs).join(held, "did", "left_anti").select(COLUMNS)
+    """Documents that hold no benchmark item, row by row. Null and empty texts hold none; repeated rows stay or go together."""
+    held = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "th").distinct()
+    return _keys(docs).join(held, ["did", "th"], "left_anti").select(COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids (packed little-endian unsigned 32-bit), decoded."""
+    """doc_id, n_tokens, ids (packed little-endian unsigned 32-bit), decoded, row by row; a null text has no ids."""
     return bpe_encode(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [("quality_rules", quality), ("line_dedup", lines), ("near_duplicates", near), ("decontamination", decontaminate), ("bpe_encoding", encode)]
 
-#: SQL can't encode; the pipeline is tested against brute force.
+#: SQL can't compress or encode; each stage is tested against brute force.
 ORACLE_SQL = None
 
 
