@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridwatch.llm import attention, queries, scoring
@@ -322,45 +323,78 @@ def test_quality(spark):
 
 def test_empty_tables(spark):
     empty = frame(spark, [])
+    assert scoring.lm_scores(empty, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
     for f in (substring_dedup, near_duplicates, line_dedup, quality_rules, consistent_shards):
         assert f(empty).count() == 0
 
 
-def test_attention_is_causal_and_scores_each_token_once():
-    model = attention.Model(np.zeros(1, np.uint8), np.zeros(1), np.zeros((attention.CLASSES, attention.CLASSES), np.float32), attention.start_weights())
+def test_attention_is_causal_and_scores_each_goal_once():
+    model = attention.Model(None, None, np.zeros((attention.CLASSES, attention.CLASSES), np.float32), attention.start_weights())
     model.weights["U"] = np.random.default_rng(0).normal(size=model.weights["U"].shape).astype(np.float32)
     draw = np.random.default_rng(1)
-    a = np.concatenate([[attention.END], draw.integers(0, 60, 100), [attention.END]])
-    b = np.concatenate([a[:50], draw.integers(0, 60, 30), [attention.END]])
-    one, two = attention.class_scores(model, [a]), attention.class_scores(model, [a, b])
+    a = np.concatenate([[attention.END], draw.integers(0, 900, 100), [attention.END]])
+    b = np.concatenate([a[:50], draw.integers(0, 900, 30), [attention.END]])
+    goal = lambda s: attention.CLASS_OF[s[1:]]
+    one, two = attention.class_scores(model, [a], [goal(a)]), attention.class_scores(model, [a, b], [goal(a), goal(b)])
     assert len(one) == 101 and len(two) == 101 + 80
     assert np.allclose(one[:49], two[101:150], atol=1e-5)
-
-
-def test_class_counts_cover_rows_outside_the_sample(spark):
+    first = attention.forward(model.weights, model.bigram, attention.windows([a], [goal(a)])[0][:1], attention.CONTEXT)[-1][0, 0]
+    assert np.isclose(one[0], first[goal(a)[0]] - np.log(np.exp(first).sum()), atol=1e-4)
+    some = np.where(np.arange(101) % 3 == 0, goal(a), -1)
+    assert np.allclose(attention.class_scores(model, [a], [some]), one[::3], atol=1e-5)
+
+
+def test_training_lowers_the_loss_and_weights_pack():
+    draw = np.random.default_rng(2)
+    turns = [np.concatenate([[attention.END], np.tile(draw.permutation(5), 12), [attention.END]]) for _ in range(40)]
+    goals = [attention.CLASS_OF[s[1:]] for s in turns]
+    flat, start = np.full((attention.CLASSES, attention.CLASSES), -np.log(attention.CLASSES), np.float32), attention.start_weights()
+    after, n = attention.train(turns, goals, flat, start)
+    score = lambda p: attention.class_scores(attention.Model(None, None, flat, p), turns, goals).mean()
+    assert n == 120 and score(after) > score(start) + 2
+    back = attention.unpacked(attention.packed(after))
+    assert all((back[k] == x).all() for k, x in after.items())
+    assert attention.train([], [], flat, start) == (start, 0)
+
+
+def test_model_counts_cover_rows_outside_the_sample(spark):
     path, texts = public_tokenizers.path("byte_bpe_50k.json"), [t for _, t in corpus(4)] + ODD
     rows = scoring.keyed(frame(spark, list(enumerate(texts)))).repartition(3)
-    counted = scoring.map_arrow(rows.select("text"), lambda b: scoring.word_counts(b, path), "subword boolean, w long, c long")
-    model = scoring.fit(rows, path, counted.filter("subword").groupBy("w").agg({"c": "sum"}).toDF("w", "c"), len(texts), 2)
+    counted = scoring.map_arrow(rows.select("text"), lambda b: scoring.word_counts(b, path), "subword boolean, w long, c long, first int")
+    counted = counted.groupBy("subword", "w").agg(F.sum("c").alias("c"), F.min("first").alias("first"))
+    model, norms = scoring.fit(rows, path, counted, len(texts), 2)
     told = Tokenizer.from_file(path)
-    found = [np.array([i for w in re.findall(WORD, lower(t or "")) for i in told.encode(" " + w, add_special_tokens=False).ids], np.int64) for t in texts]
-    ids = np.bincount(np.concatenate(found), minlength=len(model.class_of))
-    assert (model.class_of == attention.classes_of(ids)).all()
+    found = [[told.encode(" " + w, add_special_tokens=False).ids for w in re.findall(WORD, lower(t or ""))] for t in texts]
+    ids = np.bincount([i for x in found for w in x for i in w], minlength=len(model.class_of))
+    assert (model.class_of == attention.classes_of(attention.ranks_of(ids))).all()
+    end = attention.CLASSES - 1
     pairs = np.full((attention.CLASSES, attention.CLASSES), 0.1)
     for x in found:
-        s = [attention.END, *model.class_of[x].tolist(), attention.END]
-        for a, b in zip(s, s[1:]):
-            pairs[a, b] += 1
+        before = end
+        for w in x:
+            pairs[before, model.class_of[w[0]]] += 1
+            before = model.class_of[w[-1]]
+        pairs[before, end] += 1
     assert np.allclose(model.bigram, np.log(pairs / pairs.sum(axis=1, keepdims=True)), atol=1e-5)
-    mass = np.bincount(model.class_of, ids + 0.02, attention.CLASSES)[model.class_of]
-    assert np.allclose(model.log_share, np.log((ids + 0.02) / mass))
+    words = [(w, model.class_of[i[0]]) for t, x in zip(texts, found) for w, i in zip(re.findall(WORD, lower(t or "")), x, strict=True)]
+    want = [sum(k == c for _, k in words) + len({w for w, k in words if k == c}) + 1 for c in range(attention.CLASSES)]
+    assert np.allclose(10**norms, want)
+
+
+def test_scores_beat_the_base_on_held_out_rows(spark):
+    docs = spark.read.parquet(DATA.replace("0.001", "0.01") + "/documents.parquet")
+    rows = scoring.lm_scores(docs, public_tokenizers.path("byte_bpe_50k.json")).filter("held_out").collect()
+    mean = lambda c: sum(r[c] for r in rows) / sum(r.n_tokens for r in rows)
+    print("held out, log10 a token: score", mean("score"), "base", mean("base_score"))
+    assert len(rows) > 80 and mean("score") > mean("base_score")
 
 
 def test_scores_are_those_of_all_words_whatever_the_head_holds(spark):
-    path, rows = public_tokenizers.path("byte_bpe_50k.json"), [(i or 7, t) for i, t in corpus(5)] + [(3, "bad abE")] * 2
+    path, rows = public_tokenizers.path("byte_bpe_50k.json"), [(i or 7, t) for i, t in corpus(5)] + [(3, "bad abE")] * 2 + [(9, "x" * 30_000 + " abE")]
     get = lambda head: sorted(map(tuple, scoring.lm_scores(frame(spark, rows), path, head_words=head).collect()))
     whole, some, none = get(1 << 20), get(20), get(0)
     assert len(whole) == len(some) == len(none) == len(rows)
+    assert np.isfinite([x[5:] for x in whole]).all()
     for a, b, c in zip(whole, some, none, strict=True):
         assert a[:5] == b[:5] == c[:5] and np.allclose(a[5:], b[5:]) and np.allclose(a[5:], c[5:])
     learned = [lower(t or "") for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
