@@ -381,6 +381,14 @@ def test_model_counts_cover_rows_outside_the_sample(spark):
     assert np.allclose(10**norms, want)
 
 
+def test_words_tokenize_alike_alone_and_together():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, words = Tokenizer.from_file(path), ["don't", "'s", "<|endoftext|>", "a<|endoftext|>b", "éß", "中文", "x\u00a0y", "\u2028", "\u00a0", "12ab", "!?", "plain", "𝒳"]
+    for part in (words, [w for w in words if w.split() == [w]]):
+        got = [np.frombuffer(x, np.uint16).tolist() for x in scoring.tokenized([w.encode() for w in part], path)]
+        assert got == [library.encode(" " + w, add_special_tokens=False).ids for w in part]
+
+
 def test_scores_beat_the_base_on_held_out_rows(spark):
     docs = spark.read.parquet(DATA.replace("0.001", "0.01") + "/documents.parquet")
     rows = scoring.lm_scores(docs, public_tokenizers.path("byte_bpe_50k.json")).filter("held_out").collect()
