@@ -54,9 +54,10 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 
 
 def time_features(date: str = "date") -> dict[str, Column]:
-    m, d = F.month(date), F.dayofyear(date)
+    """Month and day of the year as doubles, and both as turns of a circle; the names are fixed values."""
+    m, d = F.month(date).cast("double"), F.dayofyear(date).cast("double")
     turn = lambda x, n: 2 * F.pi() * x / n
-    return {"month": m, "day_of_year": d, "month_sin": F.sin(turn(m, 12)), "month_cos": F.cos(turn(m, 12)), "doy_sin": F.sin(turn(d, 366)), "doy_cos": F.cos(turn(d, 366))}
+    return {"month": m, "dayofyear": d, "month_sin": F.sin(turn(m, 12)), "month_cos": F.cos(turn(m, 12)), "dayofyear_sin": F.sin(turn(d, 366)), "dayofyear_cos": F.cos(turn(d, 366))}
 
 
 def acquired_at(date: str, hhmm: str) -> Column:

@@ -47,7 +47,7 @@ def hot_zones(events: DataFrame, threshold: int = 5, span: str = "1 hour", water
 
 
 def hot_zone_alerts(zones: DataFrame, threshold: int = 5) -> DataFrame:
-    text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")  # noqa: E731  as the delivery log names them
     return zones.select(
         F.concat_ws("|", "grid_id", text("window.start"), text("window.end")).alias("alert_id"), F.lit("HOT_ZONE").alias("alert_type"), F.lit("high").alias("severity"),
         "grid_id", "grid_lat_index", "grid_lon_index", "fire_count", F.lit(threshold).alias("threshold"), F.col("window.start").alias("window_start_utc"), F.col("window.end").alias("window_end_utc"),

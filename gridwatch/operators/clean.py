@@ -38,10 +38,10 @@ def in_box(lat: str, lon: str, box: tuple[float, float, float, float]) -> Column
     return F.col(lon).between(box[0], box[2]) & F.col(lat).between(box[1], box[3])
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of `new` replace those of `old` with the same key."""
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column | str] | None = None) -> DataFrame:
+    """Rows of `new` replace those of `old` with the same key; of equal keys the first in `order`, or by all columns."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    return both.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_new")))).filter("_n = 1").drop("_n", "_new")
+    return both.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_new"), *(order or [F.col(c) for c in sorted(both.columns) if c != "_new"])))).filter("_n = 1").drop("_n", "_new")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -53,3 +53,11 @@ def scored(model: PipelineModel, df: DataFrame, names: list[str], medium: float
 
 def importances(model: PipelineModel, names: list[str]) -> DataFrame:
     return SparkSession.active().createDataFrame(list(zip(names, map(float, model.stages[-1].featureImportances.toArray()), strict=True)), "feature string, importance double").orderBy(F.desc("importance"), "feature")
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -78,13 +76,39 @@ def best_threshold(curve: DataFrame) -> DataFrame:
     return curve.agg(F.max_by(F.struct("threshold", "f1", "recall", "fp"), F.struct("f1", "recall", -F.col("fp"))).alias("b")).select("b.*")
 
 
+def _above(values: DataFrame, columns: list[str], blocks: int = 1000) -> DataFrame:
+    """values (probability, columns) with, for each column, the sum over greater probabilities (`<column>_above`).
+
+    Sums run within blocks of the probability and are offset by those of the blocks above, so no task holds all
+    scores; there are `blocks` + 1 block sums at most.
+    """
+    blocked = values.withColumn("_block", F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), "probability")) * blocks))
+    higher = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = blocked.groupBy("_block").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
+    offsets = sums.select("_block", *[F.coalesce(F.sum(f"_{c}").over(higher), F.lit(0)).alias(f"_{c}_off") for c in columns])
+    within = Window.partitionBy("_block").orderBy(F.desc("probability")).rowsBetween(Window.unboundedPreceding, -1)
+    summed = blocked.join(F.broadcast(offsets), "_block")
+    return summed.withColumns({f"{c}_above": F.coalesce(F.sum(c).over(within), F.lit(0)) + F.col(f"_{c}_off") for c in columns}).drop("_block", *[f"_{c}_off" for c in columns])
+
+
+def _by_score(scores: DataFrame) -> DataFrame:
+    return scores.groupBy("probability").agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("q"), F.count(F.lit(1)).alias("n"))
+
+
 def at_top_fraction(scores: DataFrame, fraction: float = 0.1) -> DataFrame:
-    """Precision and recall among the best k = max(1, round-half-even(n * fraction)), ties by event_id. A top-k sort, no single-task ranking."""
-    n = scores.count()
-    k = max(1, round(n * fraction))
-    top = scores.orderBy(F.desc("probability"), "event_id").limit(k).agg(F.count_if(F.col("label") == 1).alias("hits"))
-    every = scores.agg(F.count_if(F.col("label") == 1).alias("positives"))
-    return top.crossJoin(every).select(F.lit(k).cast("long").alias("k"), "hits", (F.col("hits") / k).alias("precision"), F.coalesce(F.try_divide("hits", "positives"), F.lit(0.0)).alias("recall"))
+    """Precision and recall among the best k = max(1, round-half-even(n * fraction)), ties by event_id.
+
+    Scores are counted by value and summed from the top; only the score at which k is reached is ranked.
+    """
+    values = _by_score(scores)
+    size = values.agg(F.sum("n").alias("rows"), F.sum("p").alias("positives")).withColumn("k", F.greatest(F.lit(1), F.bround(F.col("rows") * fraction, 0).cast("long")))
+    ranked = _above(values, ["n"]).crossJoin(F.broadcast(size))
+    whole = ranked.filter(F.col("n_above") + F.col("n") <= F.col("k")).agg(F.coalesce(F.sum("p"), F.lit(0)).alias("sure"))
+    edge = ranked.filter((F.col("n_above") < F.col("k")) & (F.col("n_above") + F.col("n") > F.col("k"))).select("probability", (F.col("k") - F.col("n_above")).alias("left"))
+    tied = scores.join(F.broadcast(edge), "probability").withColumn("_n", F.row_number().over(Window.partitionBy("probability").orderBy("event_id")))
+    more = tied.filter("_n <= left").agg(F.count_if(F.col("label") == 1).alias("more"))
+    hits = F.col("sure") + F.col("more")
+    return size.crossJoin(whole).crossJoin(more).select("k", hits.alias("hits"), (hits / F.col("k")).alias("precision"), F.coalesce(F.try_divide(hits, F.col("positives")), F.lit(0.0)).alias("recall"))
 
 
 def calibration(scores: DataFrame, bins: int = 10) -> DataFrame:
@@ -93,12 +117,39 @@ def calibration(scores: DataFrame, bins: int = 10) -> DataFrame:
 
 
 def auc_roc(scores: DataFrame) -> DataFrame:
-    """The rank statistic with ties at one half, from counts by score."""
-    values = scores.groupBy("probability").agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("q"))
-    below = F.coalesce(F.sum("q").over(Window.orderBy("probability").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = values.withColumn("below", below)
-    return ranked.agg((F.sum(F.col("p") * (F.col("below") + F.col("q") / 2)) / (F.sum("p") * F.sum("q"))).alias("auc"))
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+    """The rank statistic with ties at one half, from counts by score; null without rows of both labels."""
+    ranked = _above(_by_score(scores), ["p"])
+    return ranked.agg(F.try_divide(F.sum(F.col("q") * (F.col("p_above") + F.col("p") / 2)), F.sum("p") * F.sum("q")).alias("auc"))
+
+
+def auc_pr(scores: DataFrame) -> DataFrame:
+    """The area under precision by recall, as trapezoids between scores, begun at the first one's precision; null without positives."""
+    ranked = _above(_by_score(scores), ["p", "q"])
+    after = (F.col("p_above") + F.col("p")) / (F.col("p_above") + F.col("p") + F.col("q_above") + F.col("q"))
+    before = F.coalesce(F.try_divide("p_above", F.col("p_above") + F.col("q_above")), after)
+    return ranked.agg(F.try_divide(F.sum(F.col("p") * (before + after) / 2), F.sum("p")).alias("auc_pr"))
+
+
+def evaluation(validation: DataFrame, test: DataFrame, model: str, thresholds: list[float], fraction: float = 0.1) -> DataFrame:
+    """One row of measures for a model's scored rows: the threshold is tuned on `validation`, the rest told of `test`."""
+    best = best_threshold(threshold_curve(validation, thresholds)).select(F.col("threshold").alias("optimal_threshold"))
+    at = threshold_curve(test, thresholds).join(F.broadcast(best), F.col("threshold") == F.col("optimal_threshold"))
+    top = at_top_fraction(test, fraction).select("k", F.col("precision").alias("precision_at_k"), F.col("recall").alias("recall_at_k"))
+    rank = auc_roc(test).select(F.col("auc").alias("auc_roc")).crossJoin(auc_pr(test))
+    own = auc_roc(validation).select(F.col("auc").alias("validation_auc_roc")).crossJoin(auc_pr(validation).select(F.col("auc_pr").alias("validation_auc_pr")))
+    row = at.crossJoin(rank).crossJoin(own).crossJoin(top).withColumn("model", F.lit(model))
+    return row.select(
+        "model", "validation_auc_roc", "validation_auc_pr", "auc_roc", "auc_pr", "precision", "recall", "f1", "accuracy", "specificity", "precision_at_k", "recall_at_k", "k", "optimal_threshold",
+        F.col("tp").alias("true_positive"), F.col("fp").alias("false_positive"), F.col("tn").alias("true_negative"), F.col("fn").alias("false_negative"),
+    )
+
+
+def compared(rows: DataFrame, base: str, least_uplift: float = 0.03) -> DataFrame:
+    """evaluation's rows with each one's uplift over the model `base`, whether that meets the target, and the best by validation.
+
+    The models are few: one row each.
+    """
+    known = rows.filter(F.col("model") == base).select(F.col("auc_roc").alias("_base"))
+    best = rows.agg(F.max_by("model", F.struct("validation_auc_roc", "model")).alias("_best"))
+    out = rows.crossJoin(F.broadcast(best)).join(F.broadcast(known), how="left")
+    return out.withColumns({"uplift": F.col("auc_roc") - F.col("_base"), "is_best": F.col("model") == F.col("_best")}).withColumn("target_met", F.col("uplift") >= least_uplift).drop("_base", "_best")

@@ -60,14 +60,14 @@ RULES = {
 W = "OVER (PARTITION BY grid_id ORDER BY date ROWS BETWEEN {} PRECEDING AND 1 PRECEDING)"
 LAG = "lag({}, {}) OVER (PARTITION BY grid_id ORDER BY date)"
 T, H, WIND, RAIN, NV = "temperature_2m_max", "relative_humidity_2m_min", "wind_speed_10m_max", "precipitation_sum", "mean_ndvi_30days"
-ADVANCED = {f"{n}_lag{k}": LAG.format(c, k) for n, c, ks in (("precip", RAIN, (1, 3, 7)), ("temp", T, (1, 3, 7)), ("humidity", H, (1,)), ("wind", WIND, (1,)), ("ndvi", NV, (1,))) for k in ks}
-ADVANCED |= {f"temp_avg{n}": f"avg({T}) {W.format(n)}" for n in (7, 30)} | {f"temp_std{n}": f"stddev_samp({T}) {W.format(n)}" for n in (7, 30)} | {f"humidity_avg{n}": f"avg({H}) {W.format(n)}" for n in (7, 30)}
-ADVANCED |= {"wind_avg7": f"avg({WIND}) {W.format(7)}", "ndvi_avg30": f"avg({NV}) {W.format(30)}", "ndvi_min30": f"min({NV}) {W.format(30)}"} | {f"precip_sum{n}": f"sum({RAIN}) {W.format(n)}" for n in (14, 30)}
-ADVANCED |= {"month_sin": "sin(2 * pi() * month(date) / 12)", "month_cos": "cos(2 * pi() * month(date) / 12)", "doy_sin": "sin(2 * pi() * dayofyear(date) / 366)", "doy_cos": "cos(2 * pi() * dayofyear(date) / 366)",
-             "heat_dryness": f"coalesce({T}, 0) * (100 - coalesce({H}, 0))", "wind_dryness": f"coalesce({WIND}, 0) * (100 - coalesce({H}, 0))"}
-DRY = {f"dry_days{n}": f"CAST(sum(CASE WHEN {RAIN} < 1.0 THEN 1 ELSE 0 END) {W.format(n)} AS BIGINT)" for n in (14, 30)}
+ADVANCED = {f"{n}_{k}": LAG.format(c, k) for n, c, ks in (("precip_lag", RAIN, (1, 3, 7)), ("temp_lag", T, (1, 3, 7)), ("humidity_lag", H, (1,)), ("wind_lag", WIND, (1,)), ("ndvi_lag", NV, (1,))) for k in ks}
+ADVANCED |= {f"temp_{n}d_avg": f"avg({T}) {W.format(n)}" for n in (7, 30)} | {f"temp_{n}d_std": f"stddev_samp({T}) {W.format(n)}" for n in (7, 30)} | {f"humidity_{n}d_avg": f"avg({H}) {W.format(n)}" for n in (7, 30)}
+ADVANCED |= {"wind_7d_avg": f"avg({WIND}) {W.format(7)}", "ndvi_30d_avg": f"avg({NV}) {W.format(30)}", "ndvi_30d_min": f"min({NV}) {W.format(30)}"} | {f"precip_{n}d_sum": f"sum({RAIN}) {W.format(n)}" for n in (14, 30)}
+ADVANCED |= {f"dry_days_{n}d": f"sum(CASE WHEN {RAIN} < 1.0 THEN 1.0::DOUBLE ELSE 0 END) {W.format(n)}" for n in (14, 30)}
+ADVANCED |= {"month": "month(date)::DOUBLE", "dayofyear": "dayofyear(date)::DOUBLE", "month_sin": "sin(2 * pi() * month(date) / 12)", "month_cos": "cos(2 * pi() * month(date) / 12)", "dayofyear_sin": "sin(2 * pi() * dayofyear(date) / 366)",
+             "dayofyear_cos": "cos(2 * pi() * dayofyear(date) / 366)", "heat_dryness_index": f"{T} * (100 - {H})", "wind_dryness_index": f"{WIND} * (100 - {H})", "lat_band": "floor(grid_lat / 5)::DOUBLE", "lon_band": "floor(grid_lon / 5)::DOUBLE"}
 SCORES = duck("scores")
-CURVE = f"""{SCORES}, t AS (SELECT CAST(unnest([0.1, 0.25, 0.5, 0.75, 0.9]) AS DOUBLE) AS threshold),
+CURVE = f"""{SCORES}, t AS (SELECT CAST(unnest([0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8]) AS DOUBLE) AS threshold),
 c AS (SELECT threshold, count(*) FILTER (label = 1 AND probability >= threshold) AS tp, count(*) FILTER (label = 0 AND probability >= threshold) AS fp, count(*) FILTER (label = 0 AND probability < threshold) AS tn, count(*) FILTER (label = 1 AND probability < threshold) AS fn FROM scores, t GROUP BY 1),
 m AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS "precision", coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(tn / nullif(tn + fp, 0), 0) AS specificity, (tp + tn) / (tp + tn + fp + fn) AS accuracy FROM c),
 curve AS (SELECT *, coalesce(2 * "precision" * recall / nullif("precision" + recall, 0), 0) AS f1 FROM m)"""
@@ -85,10 +85,10 @@ ORACLE_SQL = {
     "ndvi_grid": f"{ALL} SELECT {rep(['mean_ndvi'])} FROM ndvi",
     "ndvi_window": f"{ALL} SELECT {rep(['mean_ndvi_30days'])} FROM nd",
     "feature_table": f"{ALL} SELECT {rep(FEATURE_DOUBLES)} FROM features",
-    "advanced_features": f"{ALL}, a AS (SELECT grid_id, date, month(date) AS m, dayofyear(date) AS dd, grid_lat, grid_lon, {NV}, " + ", ".join(f"{e} AS {n}" for n, e in (ADVANCED | DRY).items()) + " FROM features) SELECT grid_id, date, CAST(m AS INT) AS month, CAST(dd AS INT) AS day_of_year, dry_days14, dry_days30, "
-    + ", ".join(f"round({n}, 4) + 0.0 AS {n}" for n in ADVANCED) + f", round(coalesce({NV}, 0) * coalesce(dry_days30, 0), 4) + 0.0 AS ndvi_dryness, CAST(floor(grid_lat / 5) AS BIGINT) AS lat_band, CAST(floor(grid_lon / 5) AS BIGINT) AS lon_band FROM a",
+    "advanced_features": f"{ALL}, a AS (SELECT grid_id, date, {NV}, " + ", ".join(f"{e} AS {n}" for n, e in ADVANCED.items()) + " FROM features) SELECT grid_id, date, "
+    + ", ".join(f"round({n}, 4) + 0.0 AS {n}" for n in ADVANCED) + f", round(coalesce({NV}, 0) * coalesce(dry_days_30d, 0), 4) + 0.0 AS vegetation_dryness_index FROM a",
     "unmatched_fires": f"{ALL} SELECT count(*) AS unmatched FROM fc WHERE NOT EXISTS (SELECT 1 FROM weather w WHERE w.grid_id = fc.grid_id AND w.date = fc.date)",
-    "coverage_bounds": f"{ALL}, u AS (SELECT acq_date AS date FROM fires UNION ALL SELECT date FROM daily UNION ALL SELECT composite_date FROM ndvi_pixels) SELECT min(date) AS first_date, max(date) AS last_date FROM u",
+    "coverage_bounds": f"{ALL}, u AS (SELECT CASE WHEN event_id % 2 = 0 THEN acq_date - 3 ELSE acq_date END AS a, acq_date + CAST(event_id % 3 AS INT) AS b FROM fires UNION ALL SELECT date, date FROM fire_days UNION ALL SELECT composite_date, composite_date + 15 FROM ndvi_pixels) SELECT min(a) AS first_date, max(b) AS last_date FROM u",
     "column_profile": ALL + " " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) FILTER ({c} IS NULL) AS nulls, round(CAST(min({c}) AS DOUBLE), 6) + 0.0 AS min, round(CAST(max({c}) AS DOUBLE), 6) + 0.0 AS max FROM features" for c in PROFILED),
     "risk_value_counts": f"{ALL} SELECT risk_level, count(*) AS n FROM features GROUP BY 1",
     "integrity_rules": ALL + " " + " UNION ALL ".join(f"SELECT '{k}' AS rule, {v} AS issues, CASE WHEN {v} = 0 THEN 'PASS' ELSE 'WARN' END AS status FROM features" for k, v in RULES.items()),
@@ -121,20 +121,20 @@ SELECT o_custkey, bytes, CASE WHEN bytes < 1024 THEN format('{:.1f} B', bytes /
     "nearest_station": f"""{ALL}, p AS (SELECT DISTINCT CAST(latitude * 64 AS INT) || '_' || CAST(longitude * 64 AS INT) AS point_id, latitude, longitude FROM fires_raw),
 km AS (SELECT point_id, s.id, round(2 * 6371.0088 * asin(sqrt(pow(sin(radians(s.latitude - p.latitude) / 2), 2) + cos(radians(p.latitude)) * cos(radians(s.latitude)) * pow(sin(radians(s.longitude - p.longitude) / 2), 2))), 3) AS d FROM p, stations s)
 SELECT point_id, arg_min(id, [d, id]) AS station_id, round(min(d), 2) AS distance_km FROM km GROUP BY 1""",
-    "dense_calendar": f"{duck('hourly_obs')} SELECT station_id, CAST(30 AS BIGINT) AS days, count(DISTINCT date) FILTER (prcp IS NOT NULL) AS known FROM hourly_obs WHERE prcp > 25 GROUP BY 1",
+    "dense_calendar": f"{duck('hourly_obs')} SELECT station_id, CAST(30 AS BIGINT) AS days, count(DISTINCT date) FILTER (prcp > 25) AS known FROM hourly_obs GROUP BY 1",
     "monthly_trend": f"{ALL} SELECT CAST(date_trunc('month', acq_date) AS DATE) AS month, count(*) AS points, round(sum(frp), 6) + 0.0 AS frp_total, round(sum(frp) / count(*), 6) + 0.0 AS frp_avg FROM fires GROUP BY 1",
     "annual_rollup": f"{ALL} SELECT CAST(year(acq_date) AS INT) AS year, CAST(month(acq_date) AS INT) AS month, count(*) AS points FROM fires GROUP BY ROLLUP (year(acq_date), month(acq_date))",
     "risk_by_day": f"{ALL} SELECT date, risk_level, count(*) AS n FROM features GROUP BY GROUPING SETS ((date, risk_level), (risk_level))",
     "zscore_anomalies": f"""{ALL}, h AS (SELECT grid_id, avg(fire_count) AS mean, coalesce(stddev_samp(fire_count), 0) AS std, count(*) AS days FROM features WHERE date < (SELECT max(date) FROM features) GROUP BY 1),
 z AS (SELECT f.grid_id, f.date, fire_count, coalesce(mean, 0) AS mean, coalesce(std, 0) AS std, coalesce(days, 0) AS days FROM features f LEFT JOIN h USING (grid_id) WHERE f.date = (SELECT max(date) FROM features))
 SELECT grid_id, date, fire_count, round(mean, 6) + 0.0 AS mean, round(std, 6) + 0.0 AS std, days, round(CASE WHEN std > 0 THEN (fire_count - mean) / std ELSE 0 END, 6) + 0.0 AS z_score, round(mean + std, 6) + 0.0 AS threshold, fire_count > 0 AND fire_count > mean + std AS is_anomaly FROM z""",
-    "latest_cells": f"{ALL} SELECT grid_id, round(arg_max(temperature_2m_max, date), 6) + 0.0 AS temperature, max(date) AS date FROM features GROUP BY 1",
+    "latest_cells": f"{ALL} SELECT grid_id, round(arg_max(precipitation_sum, date), 6) + 0.0 AS precipitation, max(date) AS date FROM features WHERE precipitation_sum IS NOT NULL GROUP BY 1",
     "top_predictions": f"{ALL}, {PRED} SELECT grid_id, date, latitude, longitude, round(risk_score, 6) + 0.0 AS risk_score, risk_level, CASE risk_level WHEN 2 THEN 'high' WHEN 1 THEN 'medium' END AS risk_label FROM pred p WHERE risk_level >= 1 ORDER BY p.risk_level DESC, p.risk_score DESC, grid_id, date LIMIT 20",
     "alert_matches": f"{ALL}, {PRED} SELECT * FROM matches",
     "undelivered_alerts": f"{ALL}, {PRED} SELECT subscriber_id, count(*) AS n FROM matches WHERE NOT (subscriber_id % 3 = 0 AND subscriber_id % 2 = 0) GROUP BY 1",
     "subscriber_top": f"{ALL}, {PRED} SELECT alert_id, subscriber_id, rank, CAST(row_number() OVER (PARTITION BY subscriber_id ORDER BY rank DESC, alert_id) AS INT) AS n FROM matches JOIN al USING (alert_id) QUALIFY n <= 3",
     "subscriber_upsert": f"{duck('subscribers')} SELECT CASE WHEN id % 7 = 0 THEN 'active' ELSE status END AS status, CASE WHEN id % 7 = 0 THEN 0 ELSE min_severity_rank END AS min_severity_rank, count(*) AS n FROM subscribers GROUP BY 1, 2",
-    "hot_zones": f"{ALL} SELECT grid_id, count(*) AS fire_count, CAST(acquired_at AS DATE) AS day, 'high' AS severity FROM fc GROUP BY grid_id, CAST(acquired_at AS DATE) HAVING count(*) > 1",
+    "hot_zones": f"{ALL} SELECT grid_id || '|' || strftime(CAST(acquired_at AS DATE), '%Y-%m-%dT%H:%M:%S') || '|' || strftime(CAST(acquired_at AS DATE) + 1, '%Y-%m-%dT%H:%M:%S') AS alert_id, grid_id, count(*) AS fire_count, CAST(acquired_at AS DATE) AS day, 'high' AS severity FROM fc GROUP BY grid_id, CAST(acquired_at AS DATE) HAVING count(*) > 1",
     "class_weights": f"{SCORES} SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1, round(count(*) / (2 * count(*) FILTER (label = 0)), 6) AS weight0, round(count(*) / (2 * count(*) FILTER (label = 1)), 6) AS weight1 FROM scores",
     "threshold_curve": f'{CURVE} SELECT threshold, tp, fp, tn, fn, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(specificity, 6) AS specificity, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1 FROM curve',
     "best_threshold": f"{CURVE} SELECT threshold, round(f1, 6) AS f1, round(recall, 6) AS recall, fp FROM curve c ORDER BY c.f1 DESC, c.recall DESC, fp LIMIT 1",
@@ -142,3 +142,49 @@ SELECT grid_id, date, fire_count, round(mean, 6) + 0.0 AS mean, round(std, 6) +
     "calibration_bins": f"{SCORES} SELECT CAST(least(9, floor(probability * 10)) AS INT) AS bin, count(*) AS n, round(avg(probability), 6) AS mean_predicted, round(avg(label), 6) AS actual_rate FROM scores GROUP BY 1",
     "auc_roc": f"{SCORES}, v AS (SELECT probability, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS q FROM scores GROUP BY 1), w AS (SELECT *, sum(q) OVER (ORDER BY probability) - q AS below FROM v) SELECT round(CAST(sum(p * (below + q / 2)) AS DOUBLE) / CAST(sum(p) * sum(q) AS DOUBLE), 6) AS auc FROM w",
 }
+
+DB = """pl AS (SELECT latitude, longitude, min(event_id) AS pid, count(*) AS n FROM fires GROUP BY ALL),
+pr AS (SELECT a.pid AS a, b.pid AS b, b.n FROM pl a JOIN pl b ON (a.latitude - b.latitude) ** 2 + (a.longitude - b.longitude) ** 2 <= 0.25 AND b.latitude BETWEEN a.latitude - 0.5 AND a.latitude + 0.5),
+co AS (SELECT a AS pid FROM pr GROUP BY a HAVING sum(n) >= 20),
+ed AS (SELECT a, b FROM pr WHERE a IN (SELECT pid FROM co) AND b IN (SELECT pid FROM co)),
+rc(a, b) AS (SELECT a, b FROM ed UNION SELECT rc.a, ed.b FROM rc JOIN ed ON rc.b = ed.a),
+cc AS (SELECT a AS pid, min(b) AS cluster_id FROM rc GROUP BY 1),
+cl AS (SELECT pl.pid, coalesce(own.cluster_id, min(cc.cluster_id)) AS cluster_id FROM pl LEFT JOIN cc own USING (pid) LEFT JOIN pr ON pr.a = pl.pid LEFT JOIN cc ON cc.pid = pr.b GROUP BY pl.pid, own.cluster_id),
+db AS (SELECT fires.*, coalesce(cluster_id, -1) AS cluster_id FROM fires JOIN pl USING (latitude, longitude) LEFT JOIN cl USING (pid))"""
+RALL = ALL.replace("WITH ", "WITH RECURSIVE ", 1)
+PR = f"""{SCORES}, v AS (SELECT probability, count(*) FILTER (label = 1) AS p, count(*) AS n FROM scores GROUP BY 1),
+w AS (SELECT p, sum(p) OVER o AS tp, sum(n) OVER o AS k, sum(p) OVER o - p AS tp0, sum(n) OVER o - n AS k0 FROM v WINDOW o AS (ORDER BY probability DESC))"""
+FORECAST_COLUMNS = ["precip_lag_1", "temp_7d_avg", "temp_30d_std", "dry_days_30d", "heat_dryness_index"]
+
+ORACLE_SQL |= {
+    "forecast_rows": f"{ALL}, a AS (SELECT grid_id, date, precipitation_sum_7days, dry_days_count, " + ", ".join(f"{ADVANCED[n]} AS {n}" for n in FORECAST_COLUMNS) + " FROM features) SELECT grid_id, date, dry_days_count, "
+    + ", ".join(f"round({n}, 4) + 0.0 AS {n}" for n in ["precipitation_sum_7days", *FORECAST_COLUMNS]) + " FROM a WHERE date BETWEEN DATE '2024-01-21' AND DATE '2024-01-25'",
+    "missing_days": f"{ALL} SELECT date FROM (SELECT CAST(DATE '2024-01-25' + CAST(unnest(range(12)) AS INT) AS DATE) AS date) WHERE date NOT IN (SELECT date FROM weather)",
+    "latest_ndvi": f"{ALL}, l AS (SELECT grid_id, arg_max(mean_ndvi, composite_date) AS v FROM ndvi WHERE mean_ndvi IS NOT NULL GROUP BY 1) SELECT grid_id, round(coalesce(v, 0), 6) + 0.0 AS mean_ndvi_30days FROM (SELECT DISTINCT grid_id FROM features) LEFT JOIN l USING (grid_id)",
+    "request_answers": f"{ALL}, {PRED}, q AS (SELECT id, CAST(8 + id % 15 AS DOUBLE) AS lat, CAST(102 + id % 8 AS DOUBLE) AS lon, DATE '2024-01-01' + CAST(id % 45 AS INT) AS d FROM subscribers), "
+    "t AS (SELECT q.*, CASE WHEN d IN (SELECT date FROM pred) THEN d ELSE (SELECT max(date) FROM pred) END AS day FROM q) SELECT id AS request_id, date, grid_id, latitude, longitude, round(risk_score, 6) + 0.0 AS risk_score, risk_level FROM t JOIN pred ON date = day "
+    "QUALIFY row_number() OVER (PARTITION BY id ORDER BY (latitude - lat) ** 2 + (longitude - lon) ** 2, grid_id) = 1",
+    "risk_kpis": f"{ALL}, {PRED} SELECT count(DISTINCT grid_id) AS cells, round(avg(risk_score), 6) + 0.0 AS mean_score, count(*) FILTER (risk_level = 2) AS high, max(date) AS latest FROM pred",
+    "day_risks": f"{ALL}, {PRED} SELECT grid_id, date, latitude, longitude, round(risk_score, 6) + 0.0 AS risk_score, risk_level FROM pred WHERE date = DATE '2024-01-15' AND longitude BETWEEN 102 AND 110 AND latitude BETWEEN 13 AND 19",
+    "newest_fires": f"{ALL} SELECT event_id, acq_date, acq_time FROM fires ORDER BY acq_date DESC, acq_time DESC, event_id DESC LIMIT 1500",
+    "peak_month": f"{ALL}, m AS (SELECT CAST(date_trunc('month', acq_date) AS DATE) AS month, count(*) AS points FROM fires GROUP BY 1) SELECT CAST(sum(points) AS BIGINT) AS total, (SELECT month FROM m ORDER BY points DESC, month LIMIT 1) AS peak_month, round(avg(points), 6) + 0.0 AS monthly_mean FROM m",
+    "cluster_facts": f"{RALL}, {DB} SELECT cluster_id, count(*) AS point_count, round(avg(confidence_score), 6) + 0.0 AS mean_confidence_score, round(max(frp), 6) + 0.0 AS max_frp, min(acquired_at) AS start_time, max(acquired_at) AS end_time FROM db WHERE cluster_id >= 0 GROUP BY 1",
+    "clustering_counts": f"{RALL}, {DB} SELECT count(*) AS points, count(*) FILTER (cluster_id >= 0) AS clustered, count(*) FILTER (cluster_id < 0) AS noise, count(DISTINCT cluster_id) FILTER (cluster_id >= 0) AS clusters FROM db",
+    "dbscan_points": f"{RALL}, {DB} SELECT cluster_id, count(*) AS points, min(event_id) AS first_id FROM db GROUP BY 1",
+    "cell_stations": f"{ALL} SELECT grid_id, round(avg(station_distance_km), 6) + 0.0 AS avg_station_distance_km, round(avg(weather_points_count), 6) + 0.0 AS avg_weather_points FROM features GROUP BY 1",
+    "delivery_counts": f"{ALL}, {PRED}, g AS (SELECT alert_id, channel, CASE WHEN subscriber_id % 5 = 0 THEN 'failed' WHEN subscriber_id % 7 = 0 THEN 'skipped' ELSE 'sent' END AS status FROM matches JOIN subscribers ON id = subscriber_id) "
+    "SELECT alert_id, count(*) FILTER (status = 'sent' AND channel = 'telegram') AS telegram, count(*) FILTER (status = 'sent' AND channel = 'email') AS email, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'failed') AS failed FROM g GROUP BY 1",
+    "subscriber_changes": f"{duck('subscribers')} SELECT id, CASE WHEN id % 10 = 0 THEN 2 ELSE min_severity_rank END AS min_severity_rank, CASE WHEN id % 15 = 0 THEN 'inactive' ELSE status END AS status, id % 5 = 0 AS changed FROM subscribers",
+    "boxes": f"{duck('subscribers')} SELECT id, CAST(CAST(bbox_min_lon AS INT) AS DOUBLE) AS min_lon, CAST(CAST(bbox_max_lat AS INT) AS DOUBLE) AS max_lat, bbox_min_lon IS NOT NULL AND id % 3 <> 0 AND bbox_min_lon < bbox_max_lon AND bbox_min_lat < bbox_max_lat AS valid FROM subscribers",
+    "normal_alerts": f"{ALL}, {PRED} SELECT 'FORECAST|' || grid_id || '|' || CAST(date AS STRING) AS alert_id, 'FORECAST_RISK' AS alert_type, CASE risk_level WHEN 2 THEN 'high' ELSE 'medium' END AS severity_label, risk_level AS severity_rank, grid_id, round(risk_score, 6) + 0.0 AS risk_score, latitude, longitude, "
+    "'https://www.openstreetmap.org/?mlat=' || latitude || '&mlon=' || longitude || '#map=10/' || latitude || '/' || longitude AS map_link FROM pred WHERE risk_level > 0",
+    "risk_cards": f"{ALL}, {PRED} SELECT grid_id AS \"Cell\", date AS \"Date\", CASE risk_level WHEN 2 THEN 'High' WHEN 1 THEN 'Medium' END AS \"Risk\", round(risk_score, 3) AS \"Score\" FROM pred WHERE risk_level >= 1 ORDER BY risk_level DESC, risk_score DESC, grid_id, date LIMIT 20",
+    "point_weather": f"{ALL} SELECT id AS point_id, station_id, count(*) AS days, round(max(temperature_2m_max), 6) + 0.0 AS hottest FROM subscribers JOIN daily ON station_id = 1 + id % 10 GROUP BY 1, 2",
+    "auc_pr": f"{PR} SELECT round(CAST(sum(p * (coalesce(tp0 / nullif(k0, 0), tp / k) + tp / k) / 2) / sum(p) AS DOUBLE), 6) AS auc_pr FROM w",
+    "csv_detections": f"{duck('fires_raw')} SELECT 'VIIRS_NOAA20_NRT' AS firms_source, confidence, min(min(acq_date)) OVER () AS query_start, max(max(acq_date)) OVER () AS query_end, count(*) AS n, CAST(sum(acq_time) AS BIGINT) AS times, max(latitude) AS north FROM fires_raw GROUP BY confidence",
+    "json_events": f"{duck('fires_raw')} SELECT least(DATE '2024-01-18', min(acq_date)) AS query_start, greatest(DATE '2024-01-20', max(acq_date)) AS query_end, count(*) AS event_count FROM fires_raw",
+    "resumed_parts": f"{duck('fires_raw')} SELECT firms_source, acq_date, count(*) AS n FROM fires_raw GROUP BY 1, 2",
+    "geojson_risks": f"{ALL}, {PRED} SELECT grid_id, date, round(risk_score, 6) + 0.0 AS risk_score, risk_level FROM pred",
+    "new_subscribers": f"{duck('subscribers')} SELECT 'email' AS channel, s_name AS address, (SELECT max(id) FROM subscribers) + row_number() OVER (ORDER BY s_name) AS id, 'active' AS status, TIMESTAMP '2024-02-01 00:00:00' AS created_at FROM supplier",
+    "order_days": 'SELECT count(*) AS "rows", min(o_orderdate) AS low, max(o_orderdate) AS high FROM orders',
+}

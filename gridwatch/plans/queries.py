@@ -12,17 +12,22 @@ from gridwatch.operators import alerts as AL
 from gridwatch.operators import clean as C
 from gridwatch.operators import cluster as CL
 from gridwatch.operators import features as FE
+from gridwatch.operators import forecast as FO
 from gridwatch.operators import geo
 from gridwatch.operators import learn as L
 from gridwatch.operators import measures as M
+from gridwatch.operators import serving as S
+from gridwatch.sources import files as FI
 from gridwatch.sources.fixtures import view
+from gridwatch.sources.shared import new_path
 
 GRID = G.Grid(0.5)
 BOX = (104.0, 10.0, 108.0, 18.0)
 BOUNDARY_BOX = (103.0, 9.0, 109.75, 22.5)
 #: Of equal fires the first event stays.
 ORDER = ["event_id"]
-THRESHOLDS = [0.1, 0.25, 0.5, 0.75, 0.9]
+#: The thresholds that are tried.
+THRESHOLDS = [round(0.2 + 0.05 * k, 2) for k in range(13)]
 #: The regions a dashboard offers, as boxes.
 REGIONS = {"north": (102.0, 19.0, 110.0, 24.0), "central": (102.0, 13.0, 110.0, 19.0), "south": (102.0, 8.0, 110.0, 13.0)}
 
@@ -99,10 +104,9 @@ def feature_table(spark, d):
 
 
 def advanced_features(spark, d):
-    keep = ["grid_id", "date", "precip_lag1", "precip_lag3", "precip_lag7", "temp_lag1", "temp_lag3", "temp_lag7", "humidity_lag1", "wind_lag1", "ndvi_lag1", "temp_avg7", "temp_avg30", "temp_std7", "temp_std30",
-            "humidity_avg7", "humidity_avg30", "wind_avg7", "ndvi_avg30", "ndvi_min30", "precip_sum14", "precip_sum30", "dry_days14", "dry_days30", "month", "day_of_year", "month_sin", "month_cos", "doy_sin", "doy_cos",
-            "heat_dryness", "wind_dryness", "ndvi_dryness", "lat_band", "lon_band"]
-    return rounded(FE.advanced(features(spark, d)).select(keep), 4)
+    made = FE.advanced(features(spark, d))
+    lags = [f"{name}_{k}" for name, (_, ks) in FE.LAGS.items() for k in ks]
+    return rounded(made.select("grid_id", "date", *lags, *FE.TRAILS, *G.time_features(), "heat_dryness_index", "wind_dryness_index", "vegetation_dryness_index", "lat_band", "lon_band"), 4)
 
 
 def unmatched_fires(spark, d):
@@ -112,9 +116,9 @@ def unmatched_fires(spark, d):
 
 
 def coverage_bounds(spark, d):
-    parts = [fires(spark, d).select(F.col("acq_date").alias("date")), weather(spark, d).select("date"), view(spark, d, "ndvi_pixels").select(F.col("composite_date").alias("date"), "raw")]
-    every = parts[0].unionByName(parts[1]).unionByName(parts[2], allowMissingColumns=True)
-    return every.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    asked = fires(spark, d).withColumns({"query_start": F.when(F.col("event_id") % 2 == 0, F.date_sub("acq_date", 3)), "query_end": F.date_add("acq_date", (F.col("event_id") % 3).cast("int"))})
+    empty = view(spark, d, "ndvi_pixels").select(F.col("composite_date").alias("query_start"), F.date_add("composite_date", 15).alias("query_end"))
+    return FO.observed_bounds(asked, FE.fire_cells(fires(spark, d), GRID), empty)
 
 
 def column_profile(spark, d):
@@ -187,9 +191,10 @@ def nearest_station(spark, d):
 
 
 def dense_calendar(spark, d):
-    days = FE.station_daily(view(spark, d, "hourly_obs").filter("prcp > 25"))
-    ids = days.select("station_id").distinct().withColumn("date", F.explode(F.expr("sequence(date'2024-01-01', date'2024-01-30', interval 1 day)")))
-    return ids.join(days.select("station_id", "date", "precipitation_sum"), ["station_id", "date"], "left").groupBy("station_id").agg(F.count(F.lit(1)).alias("days"), F.count("precipitation_sum").alias("known"))
+    every = view(spark, d, "hourly_obs")
+    wet = FE.station_daily(every.filter("prcp > 25"))
+    ids = every.select("station_id").distinct().withColumn("date", F.explode(F.expr("sequence(date'2024-01-01', date'2024-01-30', interval 1 day)")))
+    return ids.join(wet.select("station_id", "date", "precipitation_sum"), ["station_id", "date"], "left").groupBy("station_id").agg(F.count(F.lit(1)).alias("days"), F.count("precipitation_sum").alias("known"))
 
 
 def monthly_trend(spark, d):
@@ -210,7 +215,8 @@ def zscore_anomalies(spark, d):
 
 
 def latest_cells(spark, d):
-    return rounded(features(spark, d).groupBy("grid_id").agg(F.max_by("temperature_2m_max", "date").alias("temperature"), F.max("date").alias("date")))
+    known = features(spark, d).filter("precipitation_sum is not null")  # the newest known value, not the newest row's
+    return rounded(known.groupBy("grid_id").agg(F.max_by("precipitation_sum", "date").alias("precipitation"), F.max("date").alias("date")))
 
 
 def predictions(spark, d) -> DataFrame:
@@ -252,7 +258,7 @@ def subscriber_upsert(spark, d):
 def hot_zones(spark, d):
     f = GRID.with_cells(fires(spark, d).withColumn("event_time", F.col("acquired_at").cast("timestamp")))
     z = AL.hot_zone_alerts(AL.hot_zones(f, 1, "1 day"), 1)
-    return z.select("grid_id", "fire_count", F.col("window_start_utc").cast("date").alias("day"), "severity")
+    return z.select("alert_id", "grid_id", "fire_count", F.col("window_start_utc").cast("date").alias("day"), "severity")
 
 
 def class_weights(spark, d):
@@ -290,11 +296,164 @@ def cluster_hulls(spark, d):
 
 
 def forest_scores(spark, d):
-    """A small weighted forest trained up to 20 January, scored on later days."""
+    """A weighted forest trained up to 20 January, saved, loaded again and scored on later days."""
     table = FE.advanced(features(spark, d)).withColumn("label", F.col("fire_occurred"))
-    names = ["temperature_2m_max", "relative_humidity_2m_min", "wind_speed_10m_max", "precipitation_sum_7days", "dry_days_count", "mean_ndvi_30days", "lat_band", "lon_band", "doy_sin", "doy_cos"]
-    model = L.forest(L.weighted(table.filter("date <= date'2024-01-20'")), names, trees=10)
-    return L.scored(model, table.filter("date > date'2024-01-20'"), names).select("grid_id", "date", "label", "probability", "risk_level")
+    names = ["temperature_2m_max", "relative_humidity_2m_min", "wind_speed_10m_max", "precipitation_sum_7days", "dry_days_count", "mean_ndvi_30days", "lat_band", "lon_band", "dayofyear_sin", "dayofyear_cos"]
+    model = L.forest(L.weighted(table.filter("date <= date'2024-01-20'")), names)
+    L.save_model(model, path := new_path(spark, "forest"))
+    return L.scored(L.load_model(path), table.filter("date > date'2024-01-20'"), names).select("grid_id", "date", "label", "probability", "risk_level")
+
+
+def forecast_rows(spark, d):
+    every = features(spark, d)
+    made = FO.forecast_features(every, every.drop("precipitation_sum_7days", "dry_days_count"), "2024-01-21", "2024-01-25")
+    return rounded(made.select("grid_id", "date", "precipitation_sum_7days", "dry_days_count", "precip_lag_1", "temp_7d_avg", "temp_30d_std", "dry_days_30d", "heat_dryness_index"), 4)
+
+
+def missing_days(spark, d):
+    return FO.missing_targets(FO.target_dates(spark, "2024-01-25", 12), weather(spark, d))
+
+
+def latest_ndvi(spark, d):
+    return rounded(FO.with_latest_ndvi(features(spark, d).select("grid_id").distinct(), FE.ndvi_cells(view(spark, d, "ndvi_pixels"), GRID)))
+
+
+def request_answers(spark, d):
+    """A request of each subscriber; some ask for days without predictions."""
+    asked = view(spark, d, "subscribers").select(
+        F.col("id").alias("request_id"), (8 + F.col("id") % 15).cast("double").alias("latitude"), (102 + F.col("id") % 8).cast("double").alias("longitude"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 45).cast("int")).alias("date")
+    )
+    return rounded(S.nearest_predictions(asked, predictions(spark, d)))
+
+
+def risk_kpis(spark, d):
+    return rounded(S.risk_kpis(predictions(spark, d)))
+
+
+def day_risks(spark, d):
+    return rounded(S.day_filter(predictions(spark, d), "2024-01-15", REGIONS["central"]))
+
+
+def newest_fires(spark, d):
+    return S.newest(fires(spark, d).select("event_id", "acq_date", "acq_time"), ["acq_date", "acq_time", "event_id"])
+
+
+def peak_month(spark, d):
+    return rounded(S.peak_month(M.monthly_trend(fires(spark, d))))
+
+
+def clustered(spark, d) -> DataFrame:
+    points = fires(spark, d).select(F.col("event_id").alias("id"), "latitude", "longitude", "confidence_score", "frp", F.col("acquired_at").cast("timestamp_ntz").alias("acquired_at"))
+    return CL.dbscan(points, 0.5, 20)
+
+
+def cluster_facts(spark, d):
+    return rounded(S.cluster_summary(clustered(spark, d)))
+
+
+def clustering_counts(spark, d):
+    return S.clustering_summary(clustered(spark, d))
+
+
+def cell_stations(spark, d):
+    return rounded(S.cell_stations(features(spark, d)))
+
+
+def delivery_counts(spark, d):
+    pairs = alert_matches(spark, d).join(view(spark, d, "subscribers").select(F.col("id").alias("subscriber_id"), "channel"), "subscriber_id")
+    status = F.when(F.col("subscriber_id") % 5 == 0, "failed").when(F.col("subscriber_id") % 7 == 0, "skipped").otherwise("sent")
+    return S.delivery_counts(pairs.withColumn("status", status))
+
+
+def subscriber_changes(spark, d):
+    old = view(spark, d, "subscribers").select("id", "channel", "address", "min_severity_rank", "status")
+    changes = old.filter("id % 5 = 0").select("channel", "address", F.when(F.col("id") % 2 == 0, 2).alias("min_severity_rank"), F.when(F.col("id") % 3 == 0, "inactive").alias("status"))
+    rows, _ = S.partial_update(old, changes, ["channel", "address"], F.lit("2024-02-01").cast("timestamp_ntz"))
+    return rows.select("id", "min_severity_rank", "status", F.col("updated_at").isNotNull().alias("changed"))
+
+
+def boxes(spark, d):
+    text = F.concat_ws(",", *[F.coalesce(F.col(f"bbox_{k}").cast("int").cast("string"), F.lit("x")) for k in ("min_lon", "min_lat", "max_lon", "max_lat")])
+    asked = view(spark, d, "subscribers").select("id", F.when(F.col("id") % 3 == 0, F.concat(text, F.lit(",7"))).otherwise(text).alias("box"))
+    return asked.withColumn("b", S.parsed_box(F.col("box"))).select("id", "b.min_lon", "b.max_lat", "b.valid")
+
+
+def normal_alerts(spark, d):
+    raw = predictions(spark, d).filter("risk_level > 0").select(
+        F.concat_ws("|", F.lit("FORECAST"), "grid_id", F.col("date").cast("string")).alias("alert_id"), F.lit("FORECAST_RISK").alias("alert_type"), "grid_id", G.risk_label(F.col("risk_level")).alias("risk_label"), "risk_score", "latitude", "longitude"
+    )
+    return rounded(S.complete(S.normalized_alerts(raw), ["alert_id", "grid_id"]).drop("fire_count"))
+
+
+def risk_cards(spark, d):
+    shown = AL.top_alerts(predictions(spark, d)).withColumn("risk_label", G.risk_label(F.col("risk_level")))
+    return S.presented(shown, {"grid_id": "Cell", "date": "Date", "risk_label": "Risk", "risk_score": "Score"}, ["risk_label"], ["risk_score"])
+
+
+def point_weather(spark, d):
+    """Subscribers as points, dealt to stations; the days of each one's station."""
+    at = view(spark, d, "subscribers").select(F.col("id").alias("point_id"), F.lit(10.0).alias("latitude"), F.lit(105.0).alias("longitude"), (1 + F.col("id") % 10).cast("long").alias("station_id"), F.lit(1.0).alias("station_distance_km"))
+    daily = FE.station_daily(view(spark, d, "hourly_obs"))
+    return rounded(S.station_fan_out(at, daily).groupBy("point_id", "station_id").agg(F.count(F.lit(1)).alias("days"), F.max("temperature_2m_max").alias("hottest")))
+
+
+def auc_pr(spark, d):
+    return rounded(M.auc_pr(view(spark, d, "scores")))
+
+
+def model_comparison(spark, d):
+    """Two models' scores, tuned on even events and told of odd ones."""
+    one = view(spark, d, "scores")
+    two = one.withColumn("probability", F.pmod(F.col("event_id") * 104729, F.lit(1024)) / 1024)
+    half = lambda df, k: df.filter(F.col("event_id") % 2 == k)
+    rows = [M.evaluation(half(s, 0), half(s, 1), name, THRESHOLDS) for name, s in (("first", one), ("second", two))]
+    return rounded(M.compared(rows[0].unionByName(rows[1]), "first"))
+
+
+def csv_detections(spark, d):
+    """Detections written as CSV and read again, conformed and stamped with the batch's days."""
+    raw = view(spark, d, "fires_raw").drop("acquired_at")
+    FI.write_csv(raw, path := new_path(spark, "detections"), raw.columns)
+    back = FI.stamped(FI.read_detections(spark, path, raw.schema), "VIIRS_NOAA20_NRT")
+    return rounded(back.groupBy("firms_source", "confidence", "query_start", "query_end").agg(F.count(F.lit(1)).alias("n"), F.sum("acq_time").alias("times"), F.max("latitude").alias("north")))
+
+
+def json_events(spark, d):
+    """Detections written as JSON objects and read again, with the window that their fetch covers."""
+    raw = view(spark, d, "fires_raw").select("event_id", "acq_date", "frp", "confidence")
+    FI.write_json(raw, path := new_path(spark, "events"))
+    back = spark.read.schema(raw.schema).json(path)
+    return FI.coverage_marker(back, F.lit("2024-01-20 06:00:00").cast("timestamp"), 48)
+
+
+def resumed_parts(spark, d):
+    """Days written in two runs, the second of which writes only what the first has not."""
+    raw = view(spark, d, "fires_raw").select("event_id", "firms_source", "acq_date")
+    path = new_path(spark, "parts")
+    FI.write_missing_parts(raw.filter("acq_date < date'2024-01-15'"), path, ["firms_source", "acq_date"])
+    FI.write_missing_parts(raw, path, ["firms_source", "acq_date"])
+    return spark.read.parquet(path).groupBy("firms_source", "acq_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+def geojson_risks(spark, d):
+    """Predictions written as a GeoJSON collection for each day, and their properties read again."""
+    rows = predictions(spark, d).select("grid_id", "date", "risk_score", "risk_level", "latitude", "longitude")
+    one = FI.geojson_features(rows, FI.point_geometry("longitude", "latitude"), ["grid_id", "date", "risk_score", "risk_level"])
+    day = F.get_json_object("value", "$.properties.date")
+    whole = one.groupBy(day.alias("day")).agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value"))
+    whole.select("value").write.option("maxRecordsPerFile", 1).text(path := new_path(spark, "risks"))
+    return rounded(FI.feature_rows(spark, path, "grid_id string, date date, risk_score double, risk_level int"))
+
+
+def new_subscribers(spark, d):
+    old = view(spark, d, "subscribers")
+    asked = spark.read.parquet(f"{d}/supplier.parquet").select(F.lit("email").alias("channel"), F.col("s_name").alias("address"))
+    return S.subscribed(old, asked, F.lit("2024-02-01").cast("timestamp_ntz"))
+
+
+def order_days(spark, d):
+    """Rows and first and last day of orders, from the files' footers."""
+    return FI.footer_stats(spark, f"{d}/orders.parquet", "o_orderdate")
 
 
 QUERIES = {
@@ -303,6 +462,7 @@ QUERIES = {
         fire_cell_days, confidence_scores, fires_dedup, acquired, box_filter, region_counts, recent_fires, station_days, weather_cell_days, ndvi_grid, ndvi_window, feature_table, advanced_features,
         unmatched_fires, coverage_bounds, column_profile, risk_value_counts, integrity_rules, duplicate_audit, date_split, heatmap, points_in_boundary, point_cells, boundary_cells, clipped_boundary, composite_dates, safe_names, size_texts, nearest_station, dense_calendar,
         monthly_trend, annual_rollup, risk_by_day, zscore_anomalies, latest_cells, top_predictions, alert_matches, undelivered_alerts, subscriber_top, subscriber_upsert, hot_zones, class_weights,
-        threshold_curve, best_threshold, top_fraction, calibration_bins, auc_roc, dbscan_points, cluster_hulls, forest_scores,
+        threshold_curve, best_threshold, top_fraction, calibration_bins, auc_roc, dbscan_points, cluster_hulls, forest_scores, forecast_rows, missing_days, latest_ndvi, request_answers, risk_kpis, day_risks, newest_fires, peak_month, cluster_facts, clustering_counts, cell_stations, delivery_counts,
+        subscriber_changes, boxes, normal_alerts, risk_cards, point_weather, auc_pr, model_comparison, csv_detections, json_events, resumed_parts, geojson_risks, new_subscribers, order_days,
     )
 }

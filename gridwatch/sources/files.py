@@ -4,17 +4,84 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StringType, StructField, StructType
+
+from gridwatch.operators.clean import conform
 
 
 def read_optional(spark: SparkSession, path: str, required: bool = False) -> DataFrame | None:
-    """The Parquet table at the path, or None if there is none."""
+    """The Parquet table at the path, or None if the path is not there. A table that can't be read is an error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.parquet(path) if there or required else None
+
+
+def read_detections(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """CSV detections with a header, conformed: bad values and absent columns become null."""
+    return conform(spark.read.option("header", True).csv(path), schema)
+
+
+def read_events(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """JSON files that hold a list of events each, conformed."""
+    return conform(spark.read.option("multiLine", True).schema(StructType([StructField(f.name, StringType()) for f in schema])).json(path), schema)
+
+
+def stamped(df: DataFrame, source: str, start: str | None = None, end: str | None = None, date: str = "acq_date") -> DataFrame:
+    """Adds the source and the query window: as given, or the batch's first and last day."""
+    named = df.withColumn("firms_source", F.lit(source))
+    if start is not None and end is not None:
+        return named.withColumns({"query_start": F.lit(start).cast("date"), "query_end": F.lit(end).cast("date")})
+    days = df.agg(F.min(date).alias("query_start"), F.max(date).alias("query_end"))
+    return named.crossJoin(F.broadcast(days))
+
+
+def coverage_marker(events: DataFrame, fetched_at: Column, hours: int, date: str = "acq_date") -> DataFrame:
+    """One row: the window that a fetch covers, widened to the events' days, and how many events there are."""
+    known = events.agg(F.min(date).alias("low"), F.max(date).alias("high"), F.count(F.lit(1)).alias("event_count"))
+    since = F.to_date(fetched_at - F.make_dt_interval(hours=F.lit(hours)))
+    return known.select(F.least(since, "low").alias("query_start"), F.greatest(F.to_date(fetched_at), "high").alias("query_end"), "event_count")
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Parquet, with mode append, error, ignore or overwrite."""
+    df.write.mode(mode).parquet(path)
+
+
+def write_missing_parts(df: DataFrame, path: str, parts: list[str]) -> int:
+    """Write only the parts (values of `parts`) that the path doesn't have yet, each under its own folder; how many those are.
+
+    A run that was cut off goes on where it stopped: parts that are there are not read or written again.
+    """
+    spark = df.sparkSession
+    done = read_optional(spark, path)
+    wanted = df.select(*parts).distinct()
+    new = wanted if done is None else wanted.join(done.select(*[F.col(c).cast(df.schema[c].dataType) for c in parts]).distinct(), parts, "left_anti")
+    count = new.count()
+    if count:
+        df.join(F.broadcast(new), parts, "left_semi").write.mode("append").partitionBy(*parts).parquet(path)
+    return count
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """A JSON object a line, nulls included."""
+    df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+
+
+def feature_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The properties (a DDL schema) of the features of GeoJSON files, a row each; dates are read as dates."""
+    doc = spark.read.text(path, wholetext=True).select(F.from_json("value", f"features array<struct<properties:struct<{', '.join(f'{n}:{k}' for n, k in (x.strip().split(' ') for x in schema.split(',')))}>>>").alias("d"))
+    return doc.select(F.explode("d.features.properties").alias("p")).select("p.*")
+
+
+def footer_stats(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row (rows, low, high) from the Parquet footers alone: the aggregate is pushed to the scan."""
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.conf.set("spark.sql.sources.useV1SourceList", "")
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        if required:
-            raise
-        return None
+        return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.min(column).alias("low"), F.max(column).alias("high"))
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", before)
 
 
 def inventory(df: DataFrame) -> DataFrame:
@@ -63,7 +130,7 @@ def write_archive(df: DataFrame, path: str, date: str = "acq_date") -> None:
 
 
 def write_csv(df: DataFrame, path: str, fields: list[str]) -> None:
-    df.select(fields).write.mode("overwrite").option("header", True).csv(path)
+    df.select(fields).write.mode("overwrite").options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def keyed_records(df: DataFrame, key: list[str]) -> DataFrame:

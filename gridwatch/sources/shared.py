@@ -10,14 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; only where it is unset (as in tests) a folder of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not folder:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-gridwatch-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_folder(spark)}/gridwatch-{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    path = f"{shared_folder(df.sparkSession)}/gridwatch-{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

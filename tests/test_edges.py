@@ -156,3 +156,87 @@ def test_fan_out_sends_once(spark, tmp_path):
     rows = sorted((r.batch_id, r.subscriber_id, r.alert_id, r.status) for r in spark.read.parquet(log).collect())
     pairs = [(1, "a"), (1, "b"), (2, "a")]
     assert rows == [(0, *p, "failed") for p in pairs] + [(1, *p, "sent") for p in pairs]
+
+
+def test_null_weather_gives_null_dryness(spark):
+    from gridwatch.operators.features import advanced
+
+    rows = [("a", "2024-01-01", 10.0, 105.0, 30.0, None, 5.0, 0.0, None), ("a", "2024-01-02", 10.0, 105.0, 30.0, 40.0, None, None, 0.5)]
+    df = spark.createDataFrame(rows, "grid_id string, date string, grid_lat double, grid_lon double, temperature_2m_max double, relative_humidity_2m_min double, wind_speed_10m_max double, precipitation_sum double, mean_ndvi_30days double")
+    got = advanced(df.withColumn("date", df["date"].cast("date"))).orderBy("date").collect()
+    assert [(r.heat_dryness_index, r.wind_dryness_index, r.vegetation_dryness_index) for r in got] == [(None, None, 0.0), (1800.0, None, 0.5)]
+    assert (got[1].precip_lag_1, got[1].dry_days_14d, got[0].temp_lag_1, got[1].lat_band) == (0.0, 1.0, None, 2.0)
+
+
+def test_dry_runs_begin_after_the_last_wet_or_unknown_day(spark):
+    from gridwatch.operators.features import rolling
+
+    rain = [0.0, 0.0, 2.0, 0.0, None, 0.0, 0.0, 0.0]
+    df = spark.createDataFrame([("a", i, x) for i, x in enumerate(rain)], "grid_id string, date int, precipitation_sum double")
+    assert [r.dry_days_count for r in rolling(df).orderBy("date").collect()] == [1, 2, 0, 1, 0, 1, 2, 3]
+
+
+def test_partial_updates_tell_what_matched(spark):
+    from pyspark.sql import functions as F
+
+    from gridwatch.operators.serving import partial_update
+
+    old = spark.createDataFrame([(1, "a", 0, "active"), (2, "b", 1, "active"), (3, None, 1, "active")], "id int, address string, rank int, status string")
+    changes = spark.createDataFrame([("a", 2, None), ("z", 1, None), ("b", None, "inactive")], "address string, rank int, status string")
+    rows, said = partial_update(old, changes, ["address"], F.lit("2024-01-01").cast("timestamp_ntz"))
+    assert sorted((r.id, r.rank, r.status, r.updated_at is not None) for r in rows.collect()) == [(1, 2, "active", True), (2, 1, "inactive", True), (3, 1, "active", False)]
+    assert {r.address: r.matched for r in said.collect()} == {"a": True, "z": False, "b": True}
+
+
+def test_rings_and_boxes(spark):
+    from pyspark.sql import functions as F
+
+    from gridwatch.operators.serving import parsed_box, ring_centre
+
+    rings = spark.createDataFrame([(1, [[0.0, 0.0], [2.0, 4.0], [None, 1.0]]), (2, []), (3, None)], "k int, r array<array<double>>")
+    assert [None if r.c is None else tuple(r.c) for r in rings.select("k", ring_centre(F.col("r")).alias("c")).orderBy("k").collect()] == [(2.0, 1.0), None, None]
+    texts = ["1,2,3,4", " 1 , 2 , 3 , 4 ", "3,2,1,4", "1,2,3", "a,2,3,4", "1,2,300,4", None, ""]
+    boxes = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string")
+    assert [r.v for r in boxes.select("k", parsed_box(F.col("t"))["valid"].alias("v")).orderBy("k").collect()] == [True, True, False, False, False, False, False, False]
+
+
+def test_measures_against_plain_python(spark):
+    import random
+
+    from gridwatch.operators import measures as M
+
+    draw = random.Random(7)
+    rows = [(i, draw.choice([0, 0, 1]), round(draw.random(), 2)) for i in range(400)]
+    df = spark.createDataFrame(rows, "event_id int, label int, probability double")
+    pos, neg = [p for _, y, p in rows if y], [p for _, y, p in rows if not y]
+    want = sum((p > q) + (p == q) / 2 for p in pos for q in neg) / (len(pos) * len(neg))
+    assert abs(M.auc_roc(df).first()[0] - want) < 1e-12
+    area, tp, k, last = 0.0, 0, 0, None
+    for cut in sorted({p for *_, p in rows}, reverse=True):
+        new = [y for _, y, p in rows if p == cut]
+        tp, k = tp + sum(new), k + len(new)
+        area += sum(new) / len(pos) * ((tp / k if last is None else last) + tp / k) / 2
+        last = tp / k
+    assert abs(M.auc_pr(df).first()[0] - area) < 1e-12
+    for fraction in (0.001, 0.1, 0.37, 1.0):
+        n = max(1, round(400 * fraction))
+        hits = sum(y for _, y, _ in sorted(rows, key=lambda r: (-r[2], r[0]))[:n])
+        got = M.at_top_fraction(df, fraction).first()
+        assert (got.k, got.hits, got.recall) == (n, hits, hits / len(pos))
+    assert M.auc_roc(df.filter("label = 1")).first()[0] is None
+
+
+def test_files_are_found_or_absent(spark, tmp_path):
+    from gridwatch.sources import files as FI
+
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, t string")
+    assert FI.read_optional(spark, str(tmp_path / "none")) is None
+    FI.write_table(df, str(tmp_path / "t"))
+    FI.write_table(df, str(tmp_path / "t"), "append")
+    FI.write_table(df, str(tmp_path / "t"), "ignore")
+    assert FI.read_optional(spark, str(tmp_path / "t")).count() == 4
+    FI.write_json(df, str(tmp_path / "j"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "j")).collect()) == ['{"k":1,"t":"a"}', '{"k":2,"t":null}']
+    (tmp_path / "e.json").write_text('[{"k": "7", "t": "x", "more": 1}, {"k": "bad"}]')
+    assert sorted(map(str, map(tuple, FI.read_events(spark, str(tmp_path / "e.json"), df.schema).collect()))) == ["(7, 'x')", "(None, None)"]
+    assert FI.write_missing_parts(df, str(tmp_path / "p"), ["k"]) == 2 and FI.write_missing_parts(df, str(tmp_path / "p"), ["k"]) == 0
