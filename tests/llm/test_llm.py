@@ -360,8 +360,8 @@ def test_training_lowers_the_loss_and_weights_pack():
 def test_model_counts_cover_rows_outside_the_sample(spark):
     path, texts = public_tokenizers.path("byte_bpe_50k.json"), [t for _, t in corpus(4)] + ODD
     rows = scoring.keyed(frame(spark, list(enumerate(texts)))).repartition(3)
-    counted = scoring.map_arrow(rows.select("text"), lambda b: scoring.word_counts(b, path), "subword boolean, w long, c long, first int")
-    counted = counted.groupBy("subword", "w").agg(F.sum("c").alias("c"), F.min("first").alias("first"))
+    counted = scoring.map_arrow(rows.select("text"), lambda b: scoring.word_counts(b, path), scoring.COUNTED)
+    counted = counted.groupBy("kind", "w").agg(F.sum("c").alias("c"), F.min("first").alias("first"))
     model, norms = scoring.fit(rows, path, counted, len(texts), 2)
     told = Tokenizer.from_file(path)
     found = [[told.encode(" " + w, add_special_tokens=False).ids for w in re.findall(WORD, lower(t or ""))] for t in texts]
