@@ -128,13 +128,14 @@ def common_parts(chosen: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """A row for each document: doc_id, n_shingles, component_id, kept, th (hash of the text).
+    """A row for each document: doc_id, n_shingles, component_id, kept, th (hash of the text), component.
 
     Documents link when 100 * shared >= percent * united over their sets of lower-cased five-word
     shingles (fewer words: the whole sequence is the one shingle), with `percent` 75 or more;
     component_id is the least doc_id reachable and kept tells whether it is the document's own. A null or
     wordless text has an empty set and links with nothing. A null doc_id counts as the least id. Repeated
-    rows share a component, and all rows with its least id are kept. Other columns are not read; an empty table
+    rows share a component, and all rows with its least id are kept. `component` is one number for each component
+    (null without words): one id with different texts can be the least of several. Other columns are not read; an empty table
     gives an empty result.
     """
     rows = keyed(docs)
@@ -187,4 +188,4 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     held = members.join(comp.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "cid")))
     low = held.filter("n > 0").groupBy("comp").agg(F.min("did").alias("least"))
     out = held.join(low, "comp", "left").withColumn("least", F.coalesce("least", "did"))
-    return out.select(F.nullif("did", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif("least", F.lit(NO_ID)).alias("component_id"), (F.col("did") == F.col("least")).alias("kept"), "th")
+    return out.select(F.nullif("did", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif("least", F.lit(NO_ID)).alias("component_id"), (F.col("did") == F.col("least")).alias("kept"), "th", F.col("comp").alias("component"))

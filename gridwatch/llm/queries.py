@@ -45,7 +45,7 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir)).drop("th")
+    return near_duplicates(documents(spark, sf_dir)).drop("th", "component")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
