@@ -42,9 +42,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Texts without words link with nothing and stay, one row for each id and text. A null id is the least.
     """
-    said = near_duplicates(docs).filter("kept").select(F.coalesce("component_id", F.lit(NO_ID)).alias("did"), "n_shingles", "th")
-    with_words = said.filter("n_shingles > 0").groupBy("did").agg(F.min("th").alias("th"))
-    picked = with_words.unionByName(said.filter("n_shingles = 0").select("did", "th").distinct())
+    said = near_duplicates(docs).filter("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "component", "th")
+    with_words = said.filter("component is not null").groupBy("component", "did").agg(F.min("th").alias("th")).select("did", "th")
+    picked = with_words.unionByName(said.filter("component is null").select("did", "th").distinct())
     one = _keys(docs).join(picked, ["did", "th"], "left_semi").groupBy("did", "th")
     least = one.agg(F.min("text").alias("text"), F.min(F.struct("lang", "source", "n_chars")).alias("rest"))
     return least.select(F.nullif("did", F.lit(NO_ID)).alias("doc_id"), "text", "rest.lang", "rest.source", "rest.n_chars")
