@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def matching_subscribers(alerts: DataFrame, subscribers: DataFrame, cell: float = 1.0) -> DataFrame:
+def matching_subscribers(alerts: DataFrame, subscribers: DataFrame, cell: float = 1.0, salts: int = 32) -> DataFrame:
     """(alert_id, subscriber_id) for active subscribers whose least rank and box (none: everywhere) fit.
 
     Boxes are spread over cells, so boxes meet alerts by equality; subscribers without a box (and alerts
-    without a place, which ignore boxes) meet by rank.
+    without a place, which ignore boxes) meet by rank. There are three ranks, so alerts are dealt over `salts`
+    parts there, each of which meets all subscribers of the rank.
     """
     active = subscribers.filter("status = 'active'").withColumn("ranks", F.sequence("min_severity_rank", F.lit(2))).withColumn("rank", F.explode("ranks"))
     boxed, open_ = active.filter("bbox_min_lon is not null"), active.filter("bbox_min_lon is null")
@@ -20,8 +21,10 @@ def matching_subscribers(alerts: DataFrame, subscribers: DataFrame, cell: float
     placed = alerts.filter("latitude is not null and longitude is not null").withColumns({"i": F.floor(F.col("latitude") / cell), "j": F.floor(F.col("longitude") / cell)})
     inside = "latitude between bbox_min_lat and bbox_max_lat and longitude between bbox_min_lon and bbox_max_lon"
     by_box = placed.join(cells, ["rank", "i", "j"]).filter(inside).select("alert_id", F.col("id").alias("subscriber_id"))
-    anywhere = alerts.join(open_, "rank").select("alert_id", F.col("id").alias("subscriber_id"))
-    unplaced = alerts.filter("latitude is null or longitude is null").join(boxed, "rank").select("alert_id", F.col("id").alias("subscriber_id"))
+    dealt = alerts.withColumn("salt", F.pmod(F.xxhash64("alert_id"), F.lit(salts)))
+    salted = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    anywhere = dealt.join(salted(open_), ["rank", "salt"]).select("alert_id", F.col("id").alias("subscriber_id"))
+    unplaced = dealt.filter("latitude is null or longitude is null").join(salted(boxed), ["rank", "salt"]).select("alert_id", F.col("id").alias("subscriber_id"))
     return by_box.unionByName(anywhere).unionByName(unplaced)
 
 
