@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridwatch.functions.grid import severity_rank
+
 #: Fixed value: degrees that coordinates may have.
 WORLD = (-180.0, -90.0, 180.0, 90.0)
 
@@ -116,6 +121,57 @@ def complete(df: DataFrame, required: list[str]) -> DataFrame:
     return df
 
 
+def ranked(df: DataFrame, column: str) -> DataFrame:
+    """df with severity_rank of the column's words or numbers, and `rejected` where a value has none; null is not rejected."""
+    rank = severity_rank(F.col(column))
+    return df.withColumns({"severity_rank": rank, "rejected": F.col(column).isNotNull() & rank.isNull()})
+
+
+def parsed_alerts(messages: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """The JSON objects of `value`, and `rejected`: no JSON object, or one without alert_id. Null texts are rejected.
+
+    Rejects stay as rows, so that both kinds are counted in one pass; filter on `rejected` to send on the rest.
+    """
+    told = messages.select(F.from_json(value, schema).alias("m")).select("m.*")
+    return told.withColumn("rejected", F.coalesce(F.col("alert_id") == "", F.lit(True)))
+
+
+#: The words of a message, for a forecast and for a hot zone.
+HEADINGS = {"subject": "Wildfire alert (%s): grid %s", "forecast": "Wildfire forecast: %s risk on %s", "zone": "Wildfire alert: %s severity hot zone"}
+OPT_OUT = "You receive this because you subscribed to wildfire alerts. Reply STOP or use the unsubscribe command on the Telegram bot to opt out."
+CAPTION_LENGTH = 1024
+
+
+def rendered(alerts: DataFrame) -> DataFrame:
+    """alert_id with `subject` and `body` of a mail and `caption` of a picture, for forecasts and hot zones.
+
+    Needs the columns of normalized_alerts and forecast_date, threshold, window_start, window_end, map_url. Lines
+    of null values are left out; a caption has CAPTION_LENGTH characters at most.
+    """
+    forecast = F.col("alert_type") == "FORECAST_RISK"
+    word = F.upper("severity_label")
+    line = lambda form, *c: F.when(reduce(and_, [F.col(x).isNotNull() for x in c]), F.format_string(form, *c))
+    place = line("%.4f, %.4f", "latitude", "longitude")
+    score = F.when(forecast, line("%.2f", "risk_score"))
+    counts = F.when(~forecast, line("Fire count: %d (threshold %d)", "fire_count", "threshold"))
+    window = F.when(~forecast, line("Window: %s -> %s", "window_start", "window_end"))
+    head = F.when(forecast, F.format_string(HEADINGS["forecast"], word, "forecast_date")).otherwise(F.format_string(HEADINGS["zone"], word))
+    said = lambda name, c: F.concat(F.lit(name), c)  # noqa: E731  null where c is
+    lines = [
+        said("Grid: ", F.col("grid_id")), said("Location: ", place), F.when(forecast, said("Forecast date: ", F.col("forecast_date"))), said("Risk score: ", score), counts, window,
+        said("Alert ID: ", F.col("alert_id")), said("Map preview: ", F.col("map_url")),
+    ]
+    shown = [
+        F.when(forecast, said("🛰️ <b>Wildfire Forecast: ", F.concat(word, F.lit("</b>")))).otherwise(said("🔥 <b>Wildfire Alert: ", F.concat(word, F.lit("</b>")))), F.lit(""),
+        said("📍 Grid: <code>", F.concat("grid_id", F.lit("</code>"))), said("🧭 ", place), F.when(forecast, said("📅 Forecast date: ", F.col("forecast_date"))), said("📈 Risk score: ", score),
+        F.when(~forecast, line("🔥 Fires: %d (>%d / %s → %s)", "fire_count", "threshold", "window_start", "window_end")), said("🆔 <code>", F.concat("alert_id", F.lit("</code>"))),
+    ]
+    return alerts.select(
+        "alert_id", F.format_string(HEADINGS["subject"], word, "grid_id").alias("subject"), F.concat_ws("\n", head, F.lit(""), *lines, F.lit(""), F.lit(OPT_OUT)).alias("body"),
+        F.left(F.concat_ws("\n", *shown), F.lit(CAPTION_LENGTH)).alias("caption"),
+    )
+
+
 def ring_centre(ring: Column) -> Column:
     """The mean of a ring's vertices (lon, lat pairs; incomplete ones left out) as a struct (lat, lon); null without any."""
     whole = F.filter(ring, lambda p: F.get(p, F.lit(0)).isNotNull() & F.get(p, F.lit(1)).isNotNull())

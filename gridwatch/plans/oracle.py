@@ -178,6 +178,14 @@ ORACLE_SQL |= {
     "boxes": f"{duck('subscribers')} SELECT id, CAST(CAST(bbox_min_lon AS INT) AS DOUBLE) AS min_lon, CAST(CAST(bbox_max_lat AS INT) AS DOUBLE) AS max_lat, bbox_min_lon IS NOT NULL AND id % 3 <> 0 AND bbox_min_lon < bbox_max_lon AND bbox_min_lat < bbox_max_lat AS valid FROM subscribers",
     "normal_alerts": f"{ALL}, {PRED} SELECT 'FORECAST|' || grid_id || '|' || CAST(date AS STRING) AS alert_id, 'FORECAST_RISK' AS alert_type, CASE risk_level WHEN 2 THEN 'high' ELSE 'medium' END AS severity_label, risk_level AS severity_rank, grid_id, round(risk_score, 6) + 0.0 AS risk_score, latitude, longitude, "
     "'https://www.openstreetmap.org/?mlat=' || latitude || '&mlon=' || longitude || '#map=10/' || latitude || '/' || longitude AS map_link FROM pred WHERE risk_level > 0",
+    "top_scores": f"{ALL}, {PRED} SELECT grid_id, date, risk_level, round(risk_score, 6) + 0.0 AS risk_score FROM pred p ORDER BY p.risk_score DESC, p.risk_level DESC, grid_id, date LIMIT 10",
+    "severity_rejects": "WITH s AS (SELECT ['Low', ' 2 ', 'medium', 'severe', NULL][CAST(1 + o_orderkey % 5 AS INT)] AS severity FROM orders) SELECT severity, CASE severity WHEN 'Low' THEN 0 WHEN 'medium' THEN 1 WHEN ' 2 ' THEN 2 END AS severity_rank, coalesce(severity = 'severe', false) AS rejected, count(*) AS n FROM s GROUP BY 1, 2, 3",
+    "alert_messages": f"{ALL}, {PRED} SELECT day(date) % 5 = 0 OR day(date) % 7 = 0 AS rejected, count(*) AS n, CAST(sum(CASE WHEN day(date) % 5 <> 0 THEN risk_level END) AS BIGINT) AS levels FROM pred GROUP BY 1",
+    "alert_texts": f"{ALL}, {PRED}, m AS (SELECT *, day(date) % 3 = 0 AS zone, CAST(date AS STRING) AS d, CASE risk_level WHEN 2 THEN 'HIGH' ELSE 'MEDIUM' END AS w, CASE WHEN day(date) % 2 = 0 THEN printf('%.4f, %.4f', latitude, longitude) END AS place FROM pred WHERE risk_level > 0), n AS (SELECT *, CASE WHEN zone THEN 'ZONE|' ELSE 'FORECAST|' END || grid_id || '|' || d AS alert_id FROM m) "
+    "SELECT alert_id, 'Wildfire alert (' || w || '): grid ' || grid_id AS subject, concat_ws(chr(10), CASE WHEN zone THEN 'Wildfire alert: ' || w || ' severity hot zone' ELSE 'Wildfire forecast: ' || w || ' risk on ' || d END, '', 'Grid: ' || grid_id, 'Location: ' || place, CASE WHEN NOT zone THEN 'Forecast date: ' || d END, "
+    "CASE WHEN NOT zone THEN 'Risk score: ' || printf('%.2f', risk_score) END, CASE WHEN zone THEN 'Fire count: 6 (threshold 5)' END, CASE WHEN zone THEN 'Window: ' || d || ' -> ' || d END, 'Alert ID: ' || alert_id, '', 'You receive this because you subscribed to wildfire alerts. Reply STOP or use the unsubscribe command on the Telegram bot to opt out.') AS body, "
+    "concat_ws(chr(10), CASE WHEN zone THEN '🔥 <b>Wildfire Alert: ' ELSE '🛰️ <b>Wildfire Forecast: ' END || w || '</b>', '', '📍 Grid: <code>' || grid_id || '</code>', '🧭 ' || place, CASE WHEN NOT zone THEN '📅 Forecast date: ' || d END, CASE WHEN NOT zone THEN '📈 Risk score: ' || printf('%.2f', risk_score) END, "
+    "CASE WHEN zone THEN '🔥 Fires: 6 (>5 / ' || d || ' → ' || d || ')' END, '🆔 <code>' || alert_id || '</code>') AS caption FROM n",
     "risk_cards": f"{ALL}, {PRED} SELECT grid_id AS \"Cell\", date AS \"Date\", CASE risk_level WHEN 2 THEN 'High' WHEN 1 THEN 'Medium' END AS \"Risk\", round(risk_score, 3) AS \"Score\" FROM pred WHERE risk_level >= 1 ORDER BY risk_level DESC, risk_score DESC, grid_id, date LIMIT 20",
     "point_weather": f"{ALL} SELECT id AS point_id, station_id, count(*) AS days, round(max(temperature_2m_max), 6) + 0.0 AS hottest FROM subscribers JOIN daily ON station_id = 1 + id % 10 GROUP BY 1, 2",
     "auc_pr": f"{PR} SELECT round(CAST(sum(p * (coalesce(tp0 / nullif(k0, 0), tp / k) + tp / k) / 2) / sum(p) AS DOUBLE), 6) AS auc_pr FROM w",

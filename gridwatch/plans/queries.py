@@ -390,6 +390,37 @@ def risk_cards(spark, d):
     return S.presented(shown, {"grid_id": "Cell", "date": "Date", "risk_label": "Risk", "risk_score": "Score"}, ["risk_label"], ["risk_score"])
 
 
+def top_scores(spark, d):
+    """The dashboard's order: score before level."""
+    return rounded(AL.top_alerts(predictions(spark, d), 0, 10, ("risk_score", "risk_level")).select("grid_id", "date", "risk_level", "risk_score"))
+
+
+def severity_rejects(spark, d):
+    """Each order's key picks a word, a number, something else or nothing as its severity."""
+    said = spark.read.parquet(f"{d}/orders.parquet").select(F.element_at(F.array(F.lit("Low"), F.lit(" 2 "), F.lit("medium"), F.lit("severe"), F.lit(None)), (1 + F.col("o_orderkey") % 5).cast("int")).alias("severity"))
+    return S.ranked(said, "severity").groupBy("severity", "severity_rank", "rejected").agg(F.count(F.lit(1)).alias("n"))
+
+
+def alert_messages(spark, d):
+    """Alerts as JSON texts, some cut short and some without an id: how many are taken and how many not."""
+    k = F.dayofmonth("date")
+    whole = F.to_json(F.struct(F.when(k % 7 != 0, F.concat_ws("|", F.lit("FORECAST"), "grid_id", F.col("date").cast("string"))).alias("alert_id"), "grid_id", "risk_level"))
+    sent = predictions(spark, d).select(F.when(k % 5 == 0, F.left(whole, F.lit(9))).otherwise(whole).alias("value"))
+    return S.parsed_alerts(sent, "alert_id string, grid_id string, risk_level int").groupBy("rejected").agg(F.count(F.lit(1)).alias("n"), F.sum("risk_level").alias("levels"))
+
+
+def alert_texts(spark, d):
+    """Mails and captions of forecasts, and of hot zones on every third day."""
+    zone = F.dayofmonth("date") % 3 == 0
+    day = F.col("date").cast("string")
+    made = predictions(spark, d).filter("risk_level > 0").select(
+        F.concat_ws("|", F.when(zone, "ZONE").otherwise("FORECAST"), "grid_id", day).alias("alert_id"), F.when(zone, "HOT_ZONE").otherwise("FORECAST_RISK").alias("alert_type"), G.risk_label(F.col("risk_level")).alias("severity_label"),
+        "grid_id", "latitude", F.when(F.dayofmonth("date") % 2 == 0, F.col("longitude")).alias("longitude"), "risk_score", F.lit(6).alias("fire_count"), F.lit(5).alias("threshold"), day.alias("forecast_date"),
+        day.alias("window_start"), day.alias("window_end"), F.lit(None).cast("string").alias("map_url"),
+    )
+    return S.rendered(made)
+
+
 def point_weather(spark, d):
     """Subscribers as points, dealt to stations; the days of each one's station."""
     at = view(spark, d, "subscribers").select(F.col("id").alias("point_id"), F.lit(10.0).alias("latitude"), F.lit(105.0).alias("longitude"), (1 + F.col("id") % 10).cast("long").alias("station_id"), F.lit(1.0).alias("station_distance_km"))
@@ -463,6 +494,6 @@ QUERIES = {
         unmatched_fires, coverage_bounds, column_profile, risk_value_counts, integrity_rules, duplicate_audit, date_split, heatmap, points_in_boundary, point_cells, boundary_cells, clipped_boundary, composite_dates, safe_names, size_texts, nearest_station, dense_calendar,
         monthly_trend, annual_rollup, risk_by_day, zscore_anomalies, latest_cells, top_predictions, alert_matches, undelivered_alerts, subscriber_top, subscriber_upsert, hot_zones, class_weights,
         threshold_curve, best_threshold, top_fraction, calibration_bins, auc_roc, dbscan_points, cluster_hulls, forest_scores, forecast_rows, missing_days, latest_ndvi, request_answers, risk_kpis, day_risks, newest_fires, peak_month, cluster_facts, clustering_counts, cell_stations, delivery_counts,
-        subscriber_changes, boxes, normal_alerts, risk_cards, point_weather, auc_pr, model_comparison, csv_detections, json_events, resumed_parts, geojson_risks, new_subscribers, order_days,
+        subscriber_changes, boxes, normal_alerts, risk_cards, top_scores, severity_rejects, alert_messages, alert_texts, point_weather, auc_pr, model_comparison, csv_detections, json_events, resumed_parts, geojson_risks, new_subscribers, order_days,
     )
 }
