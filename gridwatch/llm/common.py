@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridwatch.sources.shared import materialize as materialize
+
 #: The white space that separates words, as bytes.
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 #: The same class for Spark's regular expressions.
@@ -44,24 +43,6 @@ def crc_mod(column: str, m: int):
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(m))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where it is unset (as in tests) a folder of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-gridwatch-"))
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write a table to the shared folder and read it again."""
-    path = f"{shared_folder(df.sparkSession)}/gridwatch-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Parts of the batches with about `most` bytes of text each (one row at least), with the texts as bytes or None."""
     for batch in batches:
@@ -148,7 +129,3 @@ def inside(w: Words, n: int) -> np.ndarray:
     if total < n:
         return np.zeros(0, np.int64)
     return np.flatnonzero(w.doc[: total - n + 1] == w.doc[n - 1 :])
-
-
-def repo_root() -> str:
-    return os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
