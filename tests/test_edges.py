@@ -8,6 +8,7 @@ import random
 from pyspark.sql import functions as F
 
 from gridwatch.functions.grid import Grid, byte_text, composite_date, confidence_score
+from gridwatch.operators import serving
 from gridwatch.operators.alerts import latest_delivery
 from gridwatch.operators.clean import conform, dedup
 from gridwatch.operators.cluster import dbscan, hull
@@ -240,3 +241,22 @@ def test_files_are_found_or_absent(spark, tmp_path):
     (tmp_path / "e.json").write_text('[{"k": "7", "t": "x", "more": 1}, {"k": "bad"}]')
     assert sorted(map(str, map(tuple, FI.read_events(spark, str(tmp_path / "e.json"), df.schema).collect()))) == ["(7, 'x')", "(None, None)"]
     assert FI.write_missing_parts(df, str(tmp_path / "p"), ["k"]) == 2 and FI.write_missing_parts(df, str(tmp_path / "p"), ["k"]) == 0
+
+
+def test_severities_and_messages_with_rejects(spark):
+    rows = spark.createDataFrame([("HIGH",), ("0",), ("odd",), ("",), (None,)], "severity string")
+    assert [(r.severity_rank, r.rejected) for r in serving.ranked(rows, "severity").collect()] == [(2, False), (0, False), (None, True), (None, True), (None, False)]
+    sent = spark.createDataFrame([('{"alert_id": "a"}',), ('{"alert_id": ""}',), ("{}",), ("no json",), ("[1]",), ("",), (None,)], "value string")
+    told = serving.parsed_alerts(sent, "alert_id string").collect()
+    assert [r.rejected for r in told] == [False] + [True] * 6 and told[0].alert_id == "a"
+    assert serving.parsed_alerts(sent.limit(0), "alert_id string").count() == 0
+
+
+def test_alert_texts_leave_out_nulls_and_cut_captions(spark):
+    kinds = "alert_id string, alert_type string, severity_label string, grid_id string, latitude double, longitude double, risk_score double, fire_count int, threshold int, forecast_date string, window_start string, window_end string, map_url string"
+    rows = [("f", "FORECAST_RISK", "high", "1_2", None, 3.0, None, 0, None, "2024-01-02", None, None, "u"), ("z" * 2000, "HOT_ZONE", "low", "1_2", 1.0, 2.0, 0.5, 7, 5, None, "s", "e", None)]
+    f, z = serving.rendered(spark.createDataFrame(rows, kinds)).collect()
+    assert f.subject == "Wildfire alert (HIGH): grid 1_2"
+    assert f.body.split("\n")[:6] == ["Wildfire forecast: HIGH risk on 2024-01-02", "", "Grid: 1_2", "Forecast date: 2024-01-02", "Alert ID: f", "Map preview: u"]
+    assert "Location" not in f.body and "Risk score" not in f.caption and "None" not in f.body
+    assert "Location: 1.0000, 2.0000\nFire count: 7 (threshold 5)\nWindow: s -> e" in z.body and len(z.caption) == 1024
