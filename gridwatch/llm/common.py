@@ -19,6 +19,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[list(SPACE_BYTES)] = True
+#: Bytes that separate terms: all ASCII but letters and digits.
+NOT_TERM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 TO_LOWER = np.arange(256, dtype=np.uint8)
 TO_LOWER[65:91] += 32
 
@@ -83,18 +85,18 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of some texts: spans, documents and 64-bit hashes, all in numpy.
+    """The words of some texts: spans, documents and 64-bit hashes, all in numpy. `space` tells the bytes between words (with \\n).
 
     buf: the texts' bytes, separated by \\n; start, end: each word's span in buf;
     doc: each word's text number; first: number of each text's first word, with the total at the end.
     """
 
-    def __init__(self, texts: list, lower: bool = False):
+    def __init__(self, texts: list, lower: bool = False, space: np.ndarray = IS_SPACE):
         texts = [t or b"" for t in texts]
         self.buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         if lower:
             self.buf = TO_LOWER[self.buf]
-        space = IS_SPACE[self.buf]
+        space = space[self.buf]
         edge = np.flatnonzero(np.diff(space.view(np.int8), prepend=np.int8(1)))
         self.start, self.end = edge[0::2], edge[1::2]
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
@@ -104,13 +106,15 @@ class Words:
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(texts)), self.count)
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, *heads: int) -> np.ndarray:
+        """Of the words, or with `heads` a row for each: of the words' first so many bytes."""
         if not len(self.start):
-            return np.zeros(0, np.uint64)
+            return np.zeros((len(heads), 0) if heads else 0, np.uint64)
         p, q = powers(len(self.buf) + 1)
         sums = np.zeros(len(self.buf) + 1, np.uint64)
         np.cumsum(_BYTE[self.buf] * p[:-1], out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * q[self.start])
+        of = lambda end: mix((sums[end] - sums[self.start]) * q[self.start])
+        return np.array([of(np.minimum(self.start + n, self.end)) for n in heads]) if heads else of(self.end)
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:

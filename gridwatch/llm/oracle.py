@@ -68,4 +68,31 @@ SELECT doc_id, item_id, CAST(arg_max(start, [similarity, -start]) AS INT) AS sta
 FROM r WHERE similarity >= 0.75 GROUP BY doc_id, item_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_leaks": LEAKS, "op6_near_duplicates": NEAR, "op9_line_dedup": LINES, "op5_shards": SHARDS}
+NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+a AS (SELECT vec_id AS anchor_id, label, q FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT anchor_id, v.vec_id, v.label = a.label AS same, CAST(list_dot_product(a.q, v.q) AS BIGINT) AS score FROM a JOIN v ON v.vec_id <> anchor_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+#: What a term is made of.
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKED = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}') AS ts FROM documents WHERE text IS NOT NULL),
+s AS (SELECT doc_id, ts, len(ts) AS n FROM d WHERE len(ts) > 0),
+z AS (SELECT count(*) AS nn, sum(n) AS ll FROM s),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM benchmark),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS term FROM s) SEMI JOIN i USING (term) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, z GROUP BY term, nn),
+e AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // ll))) AS share FROM p JOIN w USING (term), z),
+r AS (SELECT item_id, doc_id, CAST(sum(share) AS BIGINT) AS score FROM i JOIN e USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM r WHERE score > 0
+QUALIFY rank <= 50
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_leaks": LEAKS, "op6_near_duplicates": NEAR, "op9_line_dedup": LINES, "op5_shards": SHARDS, "op11_hard_negatives": NEGATIVES, "op12_ranked_search": RANKED}

@@ -13,10 +13,13 @@ from gridwatch.llm.language import language_id
 from gridwatch.llm.leaks import leaks
 from gridwatch.llm.lines import kept_text, line_dedup
 from gridwatch.llm.neardup import near_duplicates
+from gridwatch.llm.negatives import hard_negatives
 from gridwatch.llm.quality import quality_rules
+from gridwatch.llm.ranked import lexical_search
 from gridwatch.llm.scoring import lm_scores
 from gridwatch.llm.shards import consistent_shards
 from gridwatch.llm.substrings import substring_dedup
+from gridwatch.llm.toxicity import toxicity
 
 TOKEN_LIMIT = 1024
 
@@ -66,4 +69,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe_encode, op3_leaks, op4_lm_scores, op5_shards, op6_near_duplicates, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores, with the number of toxic passages."""
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).withColumn("n_passages", F.size("passages")).drop("passages")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_bpe_encode, op3_leaks, op4_lm_scores, op5_shards, op6_near_duplicates, op7_quality_rules, op8_token_counts, op9_line_dedup, op10_language_id,
+        op11_hard_negatives, op12_ranked_search, op13_toxicity,
+    )
+}

@@ -64,7 +64,7 @@ def corpus(seed=0):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, DATA).toArrow(), con.sql(ORACLE_SQL[name]).to_arrow_table()
     columns = sorted(want.column_names)
