@@ -3,21 +3,83 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridwatch.operators.components import components
 from gridwatch.sources.shared import materialize
 
 
-def radius_pairs(places: DataFrame, eps: float) -> DataFrame:
-    """(a, b) of places within eps, both ways, itself included: an equality join on cells of eps and their neighbours."""
-    here = places.withColumns({"i": F.floor(F.col("latitude") / eps), "j": F.floor(F.col("longitude") / eps)})
-    steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    around = here.select(F.col("place").alias("b"), F.col("latitude").alias("lat_b"), F.col("longitude").alias("lon_b"), F.explode(F.transform(steps, lambda s: F.col("i") + s)).alias("i"), "j")
-    around = around.select("b", "lat_b", "lon_b", "i", F.explode(F.transform(steps, lambda s: F.col("j") + s)).alias("j"))
-    dy, dx = F.col("latitude") - F.col("lat_b"), F.col("longitude") - F.col("lon_b")
-    return here.join(around, ["i", "j"]).filter(dy * dy + dx * dx <= eps * eps).select(F.col("place").alias("a"), "b")
+#: Pairs of places that two boxes may have to be compared place by place, and places of a cell that one task compares.
+PAIRS, CELL_PLACES = 4096, 10_000
+
+
+def latest_window(points: DataFrame, hours: int = 24, at: str = "acquired_at") -> DataFrame:
+    """The rows of the last `hours` before the newest row's time, both ends included."""
+    last = points.agg(F.max(at).alias("_last"))
+    return points.crossJoin(F.broadcast(last)).filter(F.col(at) >= F.col("_last") - F.make_interval(hours=F.lit(hours))).drop("_last")
+
+
+def _square(a: Column, b: Column) -> Column:
+    return (a - b) * (a - b)
+
+
+def _around(df: DataFrame, half: bool = False) -> DataFrame:
+    """A row for each of the 5 x 5 cells around (i, j); half: for one of each two that lie opposite, without the cell itself."""
+    steps = [(a, b) for a in range(-2, 3) for b in range(-2, 3) if not half or (a, b) > (0, 0)]
+    shift = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in steps])).alias("_s")
+    return df.select("*", shift).withColumns({"i": F.col("i") + F.col("_s.a"), "j": F.col("j") + F.col("_s.b")}).drop("_s")
+
+
+def _boxes(dense: DataFrame, side: float, level: int) -> DataFrame:
+    """The places of dense cells in boxes of side / 2^level: bounds, places, and one of them to try."""
+    small = side / 2**level
+    held = dense.groupBy("node", F.floor(F.col("latitude") / small).alias("u"), F.floor(F.col("longitude") / small).alias("v"))
+    return held.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("latitude", "longitude")).alias("one"),
+        *[f(c).alias(k) for c, k, f in (("latitude", "y0", F.min), ("latitude", "y1", F.max), ("longitude", "x0", F.min), ("longitude", "x1", F.max))],
+    )
+
+
+def touching(dense: DataFrame, side: float, eps: float) -> DataFrame:
+    """(a, b): neighbouring dense cells, by node, with places within eps of each other.
+
+    dense: node, i, j, latitude, longitude. Boxes of two cells are left once their bounds are too far apart, and settle it where
+    one place of each is near enough; the rest meet place by place if they are few, and else as boxes of half the side.
+    """
+    cells = materialize(_boxes(dense, side, 0).join(dense.select("node", "i", "j").distinct(), "node"), "cells")
+    held = ["u", "v", "n", "one", "y0", "y1", "x0", "x1"]
+    as_side = lambda df, k: df.select(F.col("node").alias(k), F.struct(*held).alias(f"_{k}"))
+    left, right = (df.select("i", "j", F.col("node").alias(k), F.struct(*held).alias(f"_{k}")) for df, k in ((_around(cells, half=True), "a"), (cells, "b")))
+    open_, found, level = left.join(right, ["i", "j"]).select("a", "b", "_a", "_b"), [], 0
+    a, b = F.col("_a"), F.col("_b")
+    gap = lambda p, q: F.greatest(F.lit(0.0), a[p] - b[q], b[p] - a[q])
+    apart = gap("y0", "y1") * gap("y0", "y1") + gap("x0", "x1") * gap("x0", "x1")
+    tried = _square(a["one"]["latitude"], b["one"]["latitude"]) + _square(a["one"]["longitude"], b["one"]["longitude"])
+    while True:
+        near = materialize(open_.filter(apart <= eps * eps), "near")
+        sure = materialize(near.filter(tried <= eps * eps).select("a", "b").distinct(), "sure")
+        left = near.join(sure, ["a", "b"], "left_anti")
+        few = left.filter(a["n"] * b["n"] <= PAIRS)
+        small = side / 2**level
+        spots = dense.select("node", F.floor(F.col("latitude") / small).alias("u"), F.floor(F.col("longitude") / small).alias("v"), "latitude", "longitude")
+        keyed = few.select("a", "b", a["u"].alias("ua"), a["v"].alias("va"), b["u"].alias("ub"), b["v"].alias("vb"))
+        mine, theirs = (spots.select(F.col("node").alias(k), F.col("u").alias(f"u{k}"), F.col("v").alias(f"v{k}"), F.col("latitude").alias(f"y{k}"), F.col("longitude").alias(f"x{k}")) for k in "ab")
+        both = keyed.join(mine, ["a", "ua", "va"]).join(theirs, ["b", "ub", "vb"])
+        met = materialize(both.filter(_square(F.col("ya"), F.col("yb")) + _square(F.col("xa"), F.col("xb")) <= eps * eps).select("a", "b").distinct(), "met")
+        found += [sure, met]
+        left = left.filter(a["n"] * b["n"] > PAIRS).join(met, ["a", "b"], "left_anti")
+        if not left.limit(1).count():
+            break
+        level += 1
+        half = _boxes(dense, side, level)
+        part = lambda k: as_side(half, k).withColumns({f"u{k}": F.shiftright(F.col(f"_{k}.u"), 1), f"v{k}": F.shiftright(F.col(f"_{k}.v"), 1)})  # noqa: B023, E731
+        keyed = left.select("a", "b", a["u"].alias("ua"), a["v"].alias("va"), b["u"].alias("ub"), b["v"].alias("vb"))
+        open_ = keyed.join(part("a"), ["a", "ua", "va"]).join(part("b"), ["b", "ub", "vb"]).select("a", "b", "_a", "_b")
+    whole = found[0]
+    for t in found[1:]:
+        whole = whole.unionByName(t)
+    return whole.distinct()
 
 
 def dbscan(points: DataFrame, eps: float, min_points: int) -> DataFrame:
@@ -27,19 +89,35 @@ def dbscan(points: DataFrame, eps: float, min_points: int) -> DataFrame:
     Clusters are components of core places; a border place goes to the least cluster among its core
     neighbours. cluster_id is the least point id of the component's core places. Points at one place are
     counted, not paired; null coordinates are noise.
+
+    Places stand in cells whose diagonal is eps. A cell with `min_points` points is core as a whole and one node, so its places are
+    never paired with each other; a cell with fewer has fewer places than `min_points`, and those meet the places of the
+    24 cells around. Neighbouring dense cells are tied by `touching`. So work grows with the places, however dense.
     """
+    side = eps / 2**0.5 * (1 - 1e-9)
     known = points.filter("latitude is not null and longitude is not null")
     places = known.groupBy("latitude", "longitude").agg(F.min("id").alias("place"), F.count(F.lit(1)).alias("n"))
-    places = materialize(places, "places")
-    pairs = materialize(radius_pairs(places, eps), "pairs")
-    core = pairs.join(places.select(F.col("place").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_points).select(F.col("a").alias("place"))
-    core = materialize(core, "core")
-    edges = pairs.join(core.select(F.col("place").alias("a")), "a").join(core.select(F.col("place").alias("b")), "b")
-    found = core.join(components(edges).select(F.col("node").alias("place"), "comp"), "place", "left").select("place", F.coalesce("comp", "place").alias("cluster_id"))
-    reach = pairs.join(found.withColumnRenamed("place", "b"), "b").groupBy(F.col("a").alias("place")).agg(F.min("cluster_id").alias("near"))
-    label = reach.join(found, "place", "left").select("place", F.coalesce("cluster_id", "near").alias("cluster_id"))
-    at = places.join(label, "place", "left").select("latitude", "longitude", F.coalesce("cluster_id", F.lit(-1)).alias("cluster_id"))
-    return points.join(at, ["latitude", "longitude"], "left").fillna(-1, ["cluster_id"])
+    places = materialize(places.withColumns({"i": F.floor(F.col("latitude") / side), "j": F.floor(F.col("longitude") / side)}), "places")
+    cells = places.groupBy("i", "j").agg(F.min("place").alias("node"), (F.sum("n") >= min_points).alias("dense"), F.ceil(F.count(F.lit(1)) / CELL_PLACES).cast("int").alias("parts"))
+    cells = materialize(cells, "cells")
+    celled = materialize(places.join(cells, ["i", "j"]), "celled")
+    part = F.pmod(F.xxhash64("place"), F.col("parts")).cast("int").alias("part")
+    sparse = celled.filter("not dense").select("i", "j", F.col("place").alias("a"), F.col("latitude").alias("_y"), F.col("longitude").alias("_x"))
+    asked = _around(sparse).join(cells.select("i", "j", "parts"), ["i", "j"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    met = asked.join(celled.select("i", "j", part, "latitude", "longitude", "n", F.when(F.col("dense"), F.col("node")).otherwise(F.col("place")).alias("to"), "dense"), ["i", "j", "part"])
+    near = met.filter(_square(F.col("latitude"), F.col("_y")) + _square(F.col("longitude"), F.col("_x")) <= eps * eps)
+    near = materialize(near.groupBy("a", "to", "dense").agg(F.sum("n").alias("n")), "near")
+    core = materialize(near.groupBy("a").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_points).select(F.col("a").alias("node")), "core")
+    ties = near.join(core.withColumnRenamed("node", "a"), "a", "left_semi")
+    edges = ties.filter("dense").select("a", F.col("to").alias("b")).unionByName(ties.filter("not dense").join(core.withColumnRenamed("node", "to"), "to", "left_semi").select("a", F.col("to").alias("b")))
+    edges = edges.unionByName(touching(celled.filter("dense").select("node", "i", "j", "latitude", "longitude"), side, eps))
+    nodes = core.unionByName(cells.filter("dense").select("node"))
+    label = materialize(nodes.join(components(edges), "node", "left").select("node", F.coalesce("comp", "node").alias("cluster_id")), "labels")
+    reach = near.join(label, near["to"] == label["node"]).groupBy(F.col("a").alias("place")).agg(F.min("cluster_id").alias("border"))
+    own = label.withColumnsRenamed({"node": "place", "cluster_id": "own"})
+    single = celled.filter("not dense").join(own, "place", "left").join(reach, "place", "left").select("latitude", "longitude", F.coalesce("own", "border", F.lit(-1)).alias("cluster_id"))
+    whole = celled.filter("dense").join(label, "node").select("latitude", "longitude", "cluster_id")
+    return points.join(whole.unionByName(single), ["latitude", "longitude"], "left").fillna(-1, ["cluster_id"])
 
 
 def hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:

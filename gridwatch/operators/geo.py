@@ -1,11 +1,11 @@
-"""Polygons, cells and nearest neighbours as joins and expressions."""
+"""Polygons and cells as joins and expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridwatch.functions.grid import Grid, haversine_km
+from gridwatch.functions.grid import Grid
 
 #: Edges that are sent along as one broadcast row; larger sets are joined by bands of latitude.
 MAX_EDGES = 20_000
@@ -114,26 +114,3 @@ def clipped_cells(edges: DataFrame, grid: Grid) -> DataFrame:
 def attach_cells(points: DataFrame, cells: DataFrame, grid: Grid) -> DataFrame:
     """Points with the cell that holds them, without those outside all cells: an equality join on the indexes."""
     return grid.with_cells(points).join(cells.select("grid_id"), "grid_id")
-
-
-def nearest(points: DataFrame, stations: DataFrame, key: str, cell: float = 1.0, rings: int = 3, max_km: float | None = None) -> DataFrame:
-    """key, station_id, distance_km: the closest station of each point, the least id of equals.
-
-    Candidates are the stations of the (2 * rings + 1)^2 cells around a point, found by an equality join;
-    points whose closest candidate may not be the closest of all are held against all stations.
-    """
-    spots = points.select(key, "latitude", "longitude").dropDuplicates([key])
-    at = lambda df: df.withColumns({"_i": F.floor(F.col("latitude") / cell), "_j": F.floor(F.col("longitude") / cell)})
-    ring = F.sequence(F.lit(-rings), F.lit(rings))
-    sites = at(stations.select(F.col("id").alias("station_id"), "latitude", "longitude")).withColumn("_i", F.explode(F.transform(ring, lambda d: F.col("_i") + d))).withColumn("_j", F.explode(F.transform(ring, lambda d: F.col("_j") + d)))
-    sites = sites.withColumnsRenamed({"latitude": "_lat", "longitude": "_lon"})
-    km = haversine_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))
-    best = lambda df: df.withColumn("_km", F.round(km, 3)).groupBy(key, "latitude", "longitude").agg(F.min(F.struct("_km", "station_id")).alias("b"))
-    found = at(spots).join(sites, ["_i", "_j"], "left").transform(best)
-    # A station outside the searched cells is at least this far away.
-    sure = F.least(F.lit(111.19 * cell * rings), F.lit(111.19 * cell * rings) * F.cos(F.radians(F.least(F.lit(89.0), F.abs("latitude") + cell * (rings + 1)))))
-    near, far = found.filter(F.col("b._km") <= sure), found.filter(F.col("b._km").isNull() | (F.col("b._km") > sure))
-    everywhere = stations.select(F.col("id").alias("station_id"), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
-    rest = far.select(key, "latitude", "longitude").join(everywhere).transform(best)
-    out = near.unionByName(rest).select(key, F.col("b.station_id").alias("station_id"), F.col("b._km").alias("distance_km"))
-    return out if max_km is None else out.filter(F.col("distance_km") <= max_km)

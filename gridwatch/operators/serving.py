@@ -37,22 +37,6 @@ def newest(df: DataFrame, order: list[str], limit: int = 1500) -> DataFrame:
     return df.orderBy(*map(F.desc, order)).limit(limit)
 
 
-def nearest_predictions(requests: DataFrame, predictions: DataFrame) -> DataFrame:
-    """requests (request_id, latitude, longitude, date) with the prediction that answers each.
-
-    Predictions of the asked date answer, or else those of the latest date; of these the one of least squared
-    distance, then of least grid_id. Dates meet by equality; the least is found before anything is sorted.
-    """
-    dates = predictions.agg(F.max("date").alias("_latest"))
-    known = predictions.select(F.col("date").alias("served")).distinct()
-    asked = requests.crossJoin(F.broadcast(dates)).join(known, F.col("date") == F.col("served"), "left")
-    asked = asked.select("request_id", F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), F.coalesce("served", "_latest").alias("date"))
-    both = asked.join(predictions, "date")
-    apart = F.pow(F.col("latitude") - F.col("_lat"), 2) + F.pow(F.col("longitude") - F.col("_lon"), 2)
-    kept = [c for c in predictions.columns if c != "date"]
-    return both.groupBy("request_id").agg(F.min_by(F.struct("date", *kept), F.struct(apart, "grid_id")).alias("b")).select("request_id", "b.*")
-
-
 def risk_kpis(predictions: DataFrame) -> DataFrame:
     """One row: cells, mean score, cells of high risk, latest day."""
     return predictions.agg(F.count_distinct("grid_id").alias("cells"), F.avg("risk_score").alias("mean_score"), F.count_if(F.col("risk_level") == 2).alias("high"), F.max("date").alias("latest"))

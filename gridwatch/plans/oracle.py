@@ -78,7 +78,8 @@ ORACLE_SQL = {
     "fires_dedup": f"{ALL} SELECT event_id, firms_source, latitude, longitude, acq_date, acq_time, confidence_score, round(frp, 6) + 0.0 AS frp FROM fires",
     "acquired": f"{duck('fires_raw')} SELECT DISTINCT event_id, acq_date, acq_time, acq_date + to_minutes(CAST(acq_time // 100 * 60 + acq_time % 100 AS INT)) AS acquired_at FROM fires_raw",
     "box_filter": f"{ALL} SELECT event_id, latitude, longitude, round(frp, 6) + 0.0 AS frp FROM fires WHERE longitude BETWEEN 104 AND 108 AND latitude BETWEEN 10 AND 18",
-    "region_counts": f"{ALL} SELECT CASE WHEN latitude < 13 THEN 'south' WHEN latitude < 19 THEN 'central' ELSE 'north' END AS region, count(*) AS n FROM fires GROUP BY 1",
+    "region_counts": f"{ALL} SELECT region, count(*) AS n FROM fires JOIN (VALUES ('Vietnam', 8.0, 24.5, 102.0, 110.8), ('SE Asia', -5.0, 28.0, 90.0, 125.0), ('All area', -15.0, 35.0, 85.0, 130.0)) r(region, lat_min, lat_max, lon_min, lon_max) "
+    "ON latitude BETWEEN lat_min AND lat_max AND longitude BETWEEN lon_min AND lon_max GROUP BY region",
     "recent_fires": f"{ALL} SELECT event_id, acquired_at FROM fires WHERE acquired_at >= (SELECT max(acquired_at) FROM fires) - INTERVAL 24 HOUR",
     "station_days": f"{ALL} SELECT {rep(['temperature_2m_max', 'relative_humidity_2m_min', 'wind_speed_10m_max', 'precipitation_sum'])} FROM daily",
     "weather_cell_days": f"{ALL} SELECT {rep(['temperature_2m_max', 'relative_humidity_2m_min', 'wind_speed_10m_max', 'precipitation_sum'])} FROM weather",
@@ -132,7 +133,8 @@ SELECT grid_id, date, fire_count, round(mean, 6) + 0.0 AS mean, round(std, 6) +
     "top_predictions": f"{ALL}, {PRED} SELECT grid_id, date, latitude, longitude, round(risk_score, 6) + 0.0 AS risk_score, risk_level, CASE risk_level WHEN 2 THEN 'high' WHEN 1 THEN 'medium' END AS risk_label FROM pred p WHERE risk_level >= 1 ORDER BY p.risk_level DESC, p.risk_score DESC, grid_id, date LIMIT 20",
     "alert_matches": f"{ALL}, {PRED} SELECT * FROM matches",
     "undelivered_alerts": f"{ALL}, {PRED} SELECT subscriber_id, count(*) AS n FROM matches WHERE NOT (subscriber_id % 3 = 0 AND subscriber_id % 2 = 0) GROUP BY 1",
-    "subscriber_top": f"{ALL}, {PRED} SELECT alert_id, subscriber_id, rank, CAST(row_number() OVER (PARTITION BY subscriber_id ORDER BY rank DESC, alert_id) AS INT) AS n FROM matches JOIN al USING (alert_id) QUALIFY n <= 3",
+    "subscriber_top": f"{ALL}, {PRED} SELECT s.id AS subscriber_id, CAST(row_number() OVER w AS INT) AS n, grid_id, date, risk_level, round(risk_score, 6) + 0.0 AS risk_score FROM subscribers s JOIN pred ON risk_level >= s.min_severity_rank "
+    "AND (s.bbox_min_lon IS NULL OR (latitude BETWEEN s.bbox_min_lat AND s.bbox_max_lat AND longitude BETWEEN s.bbox_min_lon AND s.bbox_max_lon)) WINDOW w AS (PARTITION BY s.id ORDER BY risk_level DESC, pred.risk_score DESC, date DESC, grid_id) QUALIFY n <= 5",
     "subscriber_upsert": f"{duck('subscribers')} SELECT CASE WHEN id % 7 = 0 THEN 'active' ELSE status END AS status, CASE WHEN id % 7 = 0 THEN 0 ELSE min_severity_rank END AS min_severity_rank, count(*) AS n FROM subscribers GROUP BY 1, 2",
     "hot_zones": f"{ALL} SELECT grid_id || '|' || strftime(CAST(acquired_at AS DATE), '%Y-%m-%dT%H:%M:%S') || '|' || strftime(CAST(acquired_at AS DATE) + 1, '%Y-%m-%dT%H:%M:%S') AS alert_id, grid_id, count(*) AS fire_count, CAST(acquired_at AS DATE) AS day, 'high' AS severity FROM fc GROUP BY grid_id, CAST(acquired_at AS DATE) HAVING count(*) > 1",
     "class_weights": f"{SCORES} SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1, round(count(*) / (2 * count(*) FILTER (label = 0)), 6) AS weight0, round(count(*) / (2 * count(*) FILTER (label = 1)), 6) AS weight1 FROM scores",
@@ -196,3 +198,10 @@ ORACLE_SQL |= {
     "new_subscribers": f"{duck('subscribers')} SELECT 'email' AS channel, s_name AS address, (SELECT max(id) FROM subscribers) + row_number() OVER (ORDER BY s_name) AS id, 'active' AS status, TIMESTAMP '2024-02-01 00:00:00' AS created_at FROM supplier",
     "order_days": 'SELECT count(*) AS "rows", min(o_orderdate) AS low, max(o_orderdate) AS high FROM orders',
 }
+
+#: Clusters of the last 24 hours, with three points to a core.
+RECENT = DB.replace("FROM fires GROUP BY ALL", "FROM late GROUP BY ALL").replace("sum(n) >= 20", "sum(n) >= 3").replace("SELECT fires.*", "SELECT late.*").replace("FROM fires JOIN pl", "FROM late JOIN pl")
+ORACLE_SQL |= {
+    "recent_clusters": f"{RALL}, late AS (SELECT * FROM fires WHERE acquired_at >= (SELECT max(acquired_at) FROM fires) - INTERVAL 24 HOUR), {RECENT} "
+    "SELECT cluster_id, count(*) AS point_count, round(avg(confidence_score), 6) + 0.0 AS mean_confidence_score, round(max(frp), 6) + 0.0 AS max_frp, min(acquired_at) AS start_time, max(acquired_at) AS end_time FROM db WHERE cluster_id >= 0 GROUP BY 1",
+}

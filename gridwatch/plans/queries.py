@@ -16,6 +16,7 @@ from gridwatch.operators import forecast as FO
 from gridwatch.operators import geo
 from gridwatch.operators import learn as L
 from gridwatch.operators import measures as M
+from gridwatch.operators import nearest as N
 from gridwatch.operators import serving as S
 from gridwatch.sources import files as FI
 from gridwatch.sources.fixtures import view
@@ -28,8 +29,10 @@ BOUNDARY_BOX = (103.0, 9.0, 109.75, 22.5)
 ORDER = ["event_id"]
 #: The thresholds that are tried.
 THRESHOLDS = [round(0.2 + 0.05 * k, 2) for k in range(13)]
-#: The regions a dashboard offers, as boxes.
-REGIONS = {"north": (102.0, 19.0, 110.0, 24.0), "central": (102.0, 13.0, 110.0, 19.0), "south": (102.0, 8.0, 110.0, 13.0)}
+#: The regions a dashboard offers (min_lat, max_lat, min_lon, max_lon).
+REGIONS = {"Vietnam": (8.0, 24.5, 102.0, 110.8), "SE Asia": (-5.0, 28.0, 90.0, 125.0), "All area": (-15.0, 35.0, 85.0, 130.0)}
+#: min_lon, min_lat, max_lon, max_lat.
+CENTRAL = (102.0, 13.0, 110.0, 19.0)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -72,14 +75,14 @@ def box_filter(spark, d):
 
 
 def region_counts(spark, d):
-    table = spark.createDataFrame([(k, *v) for k, v in REGIONS.items()], "region string, x0 double, y0 double, x1 double, y1 double")
-    hit = (F.col("longitude") >= F.col("x0")) & (F.col("longitude") < F.col("x1")) & (F.col("latitude") >= F.col("y0")) & (F.col("latitude") < F.col("y1"))
+    """Fires of each region, bounds included; regions overlap."""
+    table = spark.createDataFrame([(k, *v) for k, v in REGIONS.items()], "region string, y0 double, y1 double, x0 double, x1 double")
+    hit = F.col("latitude").between(F.col("y0"), F.col("y1")) & F.col("longitude").between(F.col("x0"), F.col("x1"))
     return fires(spark, d).join(F.broadcast(table), hit).groupBy("region").agg(F.count(F.lit(1)).alias("n"))
 
 
 def recent_fires(spark, d):
-    last = fires(spark, d).agg(F.max("acquired_at").alias("last"))
-    return fires(spark, d).crossJoin(F.broadcast(last)).filter("acquired_at >= last - interval 24 hours").select("event_id", "acquired_at")
+    return CL.latest_window(fires(spark, d)).select("event_id", "acquired_at")
 
 
 def station_days(spark, d):
@@ -187,7 +190,7 @@ def size_texts(spark, d):
 def nearest_station(spark, d):
     points = view(spark, d, "fires_raw").select((F.col("latitude") * 64).cast("int").alias("a"), (F.col("longitude") * 64).cast("int").alias("b"), "latitude", "longitude").distinct()
     keyed = points.select(F.concat_ws("_", "a", "b").alias("point_id"), "latitude", "longitude")
-    return geo.nearest(keyed, view(spark, d, "stations"), "point_id").withColumn("distance_km", F.round("distance_km", 2))
+    return N.nearest(keyed, view(spark, d, "stations"), "point_id").withColumn("distance_km", F.round("distance_km", 2))
 
 
 def dense_calendar(spark, d):
@@ -244,9 +247,8 @@ def undelivered_alerts(spark, d):
 
 
 def subscriber_top(spark, d):
-    w = Window.partitionBy("subscriber_id").orderBy(F.desc("rank"), "alert_id")
-    both = alert_matches(spark, d).join(alerts(spark, d).select("alert_id", "rank"), "alert_id")
-    return both.withColumn("n", F.row_number().over(w)).filter("n <= 3")
+    """The first five predictions of each subscriber's rank and box."""
+    return rounded(N.top_in_boxes(predictions(spark, d), view(spark, d, "subscribers")))
 
 
 def subscriber_upsert(spark, d):
@@ -290,6 +292,12 @@ def dbscan_points(spark, d):
     return CL.dbscan(points, 0.5, 20).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("points"), F.min("id").alias("first_id"))
 
 
+def recent_clusters(spark, d):
+    """Each cluster of the last 24 hours with its points, confidence, power and times."""
+    points = CL.latest_window(fires(spark, d)).select(F.col("event_id").alias("id"), "latitude", "longitude", "confidence_score", "frp", F.col("acquired_at").cast("timestamp_ntz").alias("acquired_at"))
+    return rounded(S.cluster_summary(CL.dbscan(points, 0.5, 3)))
+
+
 def cluster_hulls(spark, d):
     points = fires(spark, d).select(F.col("event_id").alias("id"), "latitude", "longitude")
     return CL.hulls(CL.dbscan(points, 0.5, 20).filter("cluster_id >= 0"), 0.5)
@@ -323,7 +331,7 @@ def request_answers(spark, d):
     asked = view(spark, d, "subscribers").select(
         F.col("id").alias("request_id"), (8 + F.col("id") % 15).cast("double").alias("latitude"), (102 + F.col("id") % 8).cast("double").alias("longitude"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 45).cast("int")).alias("date")
     )
-    return rounded(S.nearest_predictions(asked, predictions(spark, d)))
+    return rounded(N.nearest_predictions(asked, predictions(spark, d)))
 
 
 def risk_kpis(spark, d):
@@ -331,7 +339,7 @@ def risk_kpis(spark, d):
 
 
 def day_risks(spark, d):
-    return rounded(S.day_filter(predictions(spark, d), "2024-01-15", REGIONS["central"]))
+    return rounded(S.day_filter(predictions(spark, d), "2024-01-15", CENTRAL))
 
 
 def newest_fires(spark, d):
@@ -493,7 +501,7 @@ QUERIES = {
         fire_cell_days, confidence_scores, fires_dedup, acquired, box_filter, region_counts, recent_fires, station_days, weather_cell_days, ndvi_grid, ndvi_window, feature_table, advanced_features,
         unmatched_fires, coverage_bounds, column_profile, risk_value_counts, integrity_rules, duplicate_audit, date_split, heatmap, points_in_boundary, point_cells, boundary_cells, clipped_boundary, composite_dates, safe_names, size_texts, nearest_station, dense_calendar,
         monthly_trend, annual_rollup, risk_by_day, zscore_anomalies, latest_cells, top_predictions, alert_matches, undelivered_alerts, subscriber_top, subscriber_upsert, hot_zones, class_weights,
-        threshold_curve, best_threshold, top_fraction, calibration_bins, auc_roc, dbscan_points, cluster_hulls, forest_scores, forecast_rows, missing_days, latest_ndvi, request_answers, risk_kpis, day_risks, newest_fires, peak_month, cluster_facts, clustering_counts, cell_stations, delivery_counts,
+        threshold_curve, best_threshold, top_fraction, calibration_bins, auc_roc, dbscan_points, recent_clusters, cluster_hulls, forest_scores, forecast_rows, missing_days, latest_ndvi, request_answers, risk_kpis, day_risks, newest_fires, peak_month, cluster_facts, clustering_counts, cell_stations, delivery_counts,
         subscriber_changes, boxes, normal_alerts, risk_cards, top_scores, severity_rejects, alert_messages, alert_texts, point_weather, auc_pr, model_comparison, csv_detections, json_events, resumed_parts, geojson_risks, new_subscribers, order_days,
     )
 }
