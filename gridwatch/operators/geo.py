@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridwatch.functions.grid import Grid
 
-#: Edges that are sent along as one broadcast row; larger sets are joined by bands of latitude.
+#: Edges that are sent along as one broadcast row; larger sets are joined by cells of CELL degrees.
 MAX_EDGES = 20_000
-BAND = 0.25
+CELL = 0.25
 
 
 def crosses(lat: Column, lon: Column, e) -> Column:
@@ -19,9 +20,9 @@ def crosses(lat: Column, lon: Column, e) -> Column:
 
 
 def within_polygons(points: DataFrame, edges: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """Points inside the outer ring (0) and outside all holes of some polygon. Null coordinates are outside."""
+    """Points inside the outer ring (0) and outside all holes of some polygon. Null coordinates are outside. Edges are counted first."""
     if edges.limit(MAX_EDGES + 1).count() > MAX_EDGES:
-        return within_banded(points, edges, lat, lon)
+        return within_cells(points, edges, lat, lon)
     rings = edges.groupBy("poly", "ring").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
     polys = rings.groupBy("poly").agg(F.collect_list(F.struct("ring", "edges")).alias("rings"))
     box = edges.agg(*[f(F.least(a, b) if f is F.min else F.greatest(a, b)).alias(n) for f, a, b, n in ((F.min, "x1", "x2", "_x0"), (F.min, "y1", "y2", "_y0"), (F.max, "x1", "x2", "_x1"), (F.max, "y1", "y2", "_y1"))])
@@ -33,12 +34,50 @@ def within_polygons(points: DataFrame, edges: DataFrame, lat: str = "latitude",
     return near.filter(inside).drop("_polys", "_x0", "_y0", "_x1", "_y1")
 
 
-def within_banded(points: DataFrame, edges: DataFrame, lat: str, lon: str) -> DataFrame:
-    """The same for any number of edges: an equality join on bands of latitude, counts of crossings, a semi join."""
-    bands = edges.withColumn("band", F.explode(F.sequence(F.floor(F.least("y1", "y2") / BAND), F.floor(F.greatest("y1", "y2") / BAND))))
-    places = points.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct().withColumn("band", F.floor(F.col("_lat") / BAND))
-    met = places.join(bands, "band").filter(crosses(F.col("_lat"), F.col("_lon"), {k: F.col(k) for k in ("x1", "y1", "x2", "y2")}))
-    odd = met.groupBy("_lat", "_lon", "poly", "ring").agg((F.count(F.lit(1)) % 2 == 1).alias("odd"))
+def edge_cells(edges: DataFrame, cell: float) -> DataFrame:
+    """Each edge with the cells (i, j) that it passes through, or passes within a hair of."""
+    hair = cell * 1e-9
+    index = lambda v: F.floor(v / cell)
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    rows = edges.withColumn("i", F.explode(F.sequence(index(low - hair), index(high + hair))))
+    at = lambda y: F.coalesce(F.try_divide((F.col("x2") - F.col("x1")) * (y - F.col("y1")), F.col("y2") - F.col("y1")) + F.col("x1"), F.col("x1"))
+    within = lambda v: F.least(F.greatest(v, low), high)
+    ends = [at(within(F.col("i") * F.lit(cell) - hair)), at(within((F.col("i") + 1) * F.lit(cell) + hair))]
+    level = F.col("y1") == F.col("y2")
+    west = F.when(level, F.least("x1", "x2")).otherwise(F.least(*ends))
+    east = F.when(level, F.greatest("x1", "x2")).otherwise(F.greatest(*ends))
+    return rows.withColumn("j", F.explode(F.sequence(index(west - hair), index(east + hair))))
+
+
+def within_cells(points: DataFrame, edges: DataFrame, lat: str = "latitude", lon: str = "longitude", cell: float = CELL) -> DataFrame:
+    """As `within_polygons`, for any number of edges: a place meets only the edges of its own cell.
+
+    What lies further east is carried as the parity of the crossings beyond the cell's lower right corner. A row of
+    cells takes it from the edges that cross the row's lower side, counted by column and summed from the east, and
+    runs of columns between crossings are written out cell by cell. From the corner to the place it changes with the edges
+    between them; each edge tells its part as the place's crossing, the corner's, and its ends' side of the way. On closed rings
+    the sum is the same as over all edges, also where an edge goes through the place or the corner. Rings must be closed.
+    """
+    size = F.lit(cell)
+    index = lambda v: F.floor(v / cell)
+    places = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct().withColumns({"i": index(F.col("_lat")), "j": index(F.col("_lon"))})
+    e = {k: F.col(k) for k in ("x1", "y1", "x2", "y2")}
+    # Crossings of each row's lower side, by the last column whose right side lies west of them.
+    lines = edges.filter("y1 <> y2").withColumn("i", F.explode(F.sequence(index(F.least("y1", "y2")), index(F.greatest("y1", "y2")))))
+    y = F.col("i") * size
+    at = F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"]) + e["x1"]
+    crossed = lines.filter((e["y1"] > y) != (e["y2"] > y)).select("poly", "ring", "i", at.alias("at"))
+    k = index(F.col("at"))
+    fit = k + F.when((k + 1) * size < F.col("at"), 1).otherwise(0) - F.when(k * size < F.col("at"), 0).otherwise(1)
+    counted = crossed.groupBy("poly", "ring", "i", (fit - 1).alias("last")).agg((F.count(F.lit(1)) % 2).alias("odd")).filter("odd = 1")
+    row = Window.partitionBy("poly", "ring", "i").orderBy(F.desc("last"))
+    runs = counted.withColumns({"n": F.row_number().over(row), "next": F.lead("last").over(row)}).filter("n % 2 = 1")
+    corners = runs.withColumn("j", F.explode(F.sequence(F.col("next") + 1, F.col("last")))).select("poly", "ring", "i", "j")
+    east, below = (F.col("j") + 1) * size, F.col("i") * size
+    beyond = lambda x, y: (x > east) & (y > below) & (y <= F.col("_lat"))
+    turns = (crosses(F.col("_lat"), F.col("_lon"), e) != crosses(below, east, e)) != (beyond(e["x1"], e["y1"]) != beyond(e["x2"], e["y2"]))
+    own = places.join(edge_cells(edges, cell), ["i", "j"]).filter(turns).select("_lat", "_lon", "poly", "ring")
+    odd = own.unionByName(places.join(corners, ["i", "j"]).select("_lat", "_lon", "poly", "ring")).groupBy("_lat", "_lon", "poly", "ring").agg((F.count(F.lit(1)) % 2 == 1).alias("odd"))
     whole = odd.groupBy("_lat", "_lon", "poly").agg((F.max(F.col("odd") & (F.col("ring") == 0)) & ~F.max(F.col("odd") & (F.col("ring") > 0))).alias("inside"))
     inside = whole.filter("inside").select("_lat", "_lon").distinct()
     return points.join(inside, (points[lat] == inside["_lat"]) & (points[lon] == inside["_lon"]), "left_semi")

@@ -13,7 +13,7 @@ from gridwatch.operators.alerts import latest_delivery
 from gridwatch.operators.clean import conform, dedup
 from gridwatch.operators.cluster import dbscan, hull
 from gridwatch.operators.features import advanced, rolling
-from gridwatch.operators.geo import clipped_cells, within_banded, within_polygons
+from gridwatch.operators.geo import clipped_cells, within_cells, within_polygons
 from gridwatch.operators.measures import at_top_fraction
 from gridwatch.sources.files import date_windows, polygon_edges
 from gridwatch.streaming.hotzones import fan_out, stream_alerts
@@ -65,7 +65,7 @@ def test_polygon_paths_agree(spark):
     points = spark.createDataFrame(spots, "latitude double, longitude double")
     want = sorted((a, b) for a, b in spots if a is not None and 0 < a < 4 and 0 < b < 4 and not (1 < a < 2 and 1 < b < 2))
     assert sorted(map(tuple, within_polygons(points, edges).collect())) == want
-    assert sorted(map(tuple, within_banded(points, edges, "latitude", "longitude").collect())) == want
+    assert sorted(map(tuple, within_cells(points, edges, "latitude", "longitude").collect())) == want
 
 
 def test_dbscan_against_plain_loops(spark):

@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from gridwatch.operators.cluster import dbscan, latest_window
+from gridwatch.operators.geo import edge_cells, within_cells, within_polygons
 from gridwatch.operators.nearest import nearest, nearest_predictions, top_in_boxes
 
 
@@ -107,3 +108,38 @@ def test_best_rows_in_boxes(spark):
         want += [(i, n + 1, r[0]) for n, r in enumerate(fit[:5])]
     got = top_in_boxes(predictions, subscribers, levels=5)
     assert sorted((r.subscriber_id, r.n, r.grid_id) for r in got.collect()) == want
+
+
+def ring(poly, number, corners):
+    return [(poly, number, *a, *b) for a, b in zip(corners, corners[1:] + corners[:1], strict=True)]
+
+
+EDGES = "poly int, ring int, x1 double, y1 double, x2 double, y2 double"
+
+
+def test_boundary_cells_agree_with_all_edges(spark):
+    """Ragged rings with holes, touching corners and cell sides, and places on corners, sides and cell bounds."""
+    draw = random.Random(9)
+    star = lambda y, x, r, n, grain: [(round((x + r * draw.uniform(0.4, 1) * math.cos(2 * math.pi * k / n)) * grain) / grain, round((y + r * draw.uniform(0.4, 1) * math.sin(2 * math.pi * k / n)) * grain) / grain) for k in range(n)]
+    rows = ring(0, 0, star(0, 0, 3, 40, 4)) + ring(0, 1, star(0, 0, 1, 12, 8)) + ring(1, 0, star(2, 4, 2, 300, 1e6)) + ring(2, 0, [(-4.0, -4.0), (-3.0, -4.0), (-3.0, -3.0), (-4.0, -3.0)]) + ring(3, 0, star(-2, 2, 1.5, 9, 2))
+    spots = [(draw.randrange(-40, 41) / 8, draw.randrange(-40, 57) / 8) for _ in range(1500)] + [(draw.uniform(-5, 5), draw.uniform(-5, 7)) for _ in range(1500)] + [(y, x) for _, _, x, y, *_ in rows] + [(None, 1.0), (1.0, None)]
+    points, edges = spark.createDataFrame(spots, "latitude double, longitude double"), spark.createDataFrame(rows, EDGES)
+    want = sorted(map(tuple, within_polygons(points, edges).collect()))
+    for cell in (0.25, 0.4, 3.0):
+        assert sorted(map(tuple, within_cells(points, edges, cell=cell).collect())) == want
+    assert within_cells(points, edges.limit(0)).count() == within_cells(points.limit(0), edges).count() == 0
+
+
+def test_crowded_band_of_edges(spark):
+    """Two hundred thousand edges in one band of latitude: cells share them out, and a place meets its own cell's."""
+    n = 100_000
+    x = lambda k: -20 + 40 * k / n
+    top = spark.range(n).select(F.lit(0).alias("poly"), F.lit(0).alias("ring"), x(F.col("id")).alias("x1"), (0.10 + 0.02 * (F.col("id") % 2)).alias("y1"), x(F.col("id") + 1).alias("x2"), (0.10 + 0.02 * ((F.col("id") + 1) % 2)).alias("y2"))
+    low = spark.range(n).select(F.lit(0).alias("poly"), F.lit(0).alias("ring"), x(F.col("id") + 1).alias("x1"), F.lit(0.05).alias("y1"), x(F.col("id")).alias("x2"), F.lit(0.05).alias("y2"))
+    sides = spark.createDataFrame([(0, 0, 20.0, 0.10, 20.0, 0.05), (0, 0, -20.0, 0.05, -20.0, 0.10)], EDGES)
+    edges = top.unionByName(low).unionByName(sides)
+    points = spark.range(3000).select((F.rand(1) * 0.15).alias("latitude"), (F.rand(2) * 44 - 22).alias("longitude"))
+    assert edge_cells(edges, 0.25).groupBy("i", "j").count().agg(F.max("count")).first()[0] < 3000
+    rise = lambda p: 0.10 + 0.02 * (1 - abs((p.longitude + 20) * n / 40 % 2 - 1))
+    want = sum(-20 < p.longitude < 20 and 0.05 < p.latitude < rise(p) for p in points.collect())
+    assert abs(within_polygons(points, edges).count() - want) <= 2
