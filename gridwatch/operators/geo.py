@@ -49,8 +49,8 @@ def edge_cells(edges: DataFrame, cell: float) -> DataFrame:
     return rows.withColumn("j", F.explode(F.sequence(index(west - hair), index(east + hair))))
 
 
-def within_cells(points: DataFrame, edges: DataFrame, lat: str = "latitude", lon: str = "longitude", cell: float = CELL) -> DataFrame:
-    """As `within_polygons`, for any number of edges: a place meets only the edges of its own cell.
+def inside_polygons(places: DataFrame, edges: DataFrame, cell: float = CELL) -> DataFrame:
+    """(_lat, _lon, poly) of the distinct places (_lat, _lon) inside polygons, for any number of edges: a place meets only those of its own cell.
 
     What lies further east is carried as the parity of the crossings beyond the cell's lower right corner. A row of
     cells takes it from the edges that cross the row's lower side, counted by column and summed from the east, and
@@ -60,7 +60,7 @@ def within_cells(points: DataFrame, edges: DataFrame, lat: str = "latitude", lon
     """
     size = F.lit(cell)
     index = lambda v: F.floor(v / cell)
-    places = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct().withColumns({"i": index(F.col("_lat")), "j": index(F.col("_lon"))})
+    places = places.withColumns({"i": index(F.col("_lat")), "j": index(F.col("_lon"))})
     e = {k: F.col(k) for k in ("x1", "y1", "x2", "y2")}
     # Crossings of each row's lower side, by the last column whose right side lies west of them.
     lines = edges.filter("y1 <> y2").withColumn("i", F.explode(F.sequence(index(F.least("y1", "y2")), index(F.greatest("y1", "y2")))))
@@ -79,7 +79,13 @@ def within_cells(points: DataFrame, edges: DataFrame, lat: str = "latitude", lon
     own = places.join(edge_cells(edges, cell), ["i", "j"]).filter(turns).select("_lat", "_lon", "poly", "ring")
     odd = own.unionByName(places.join(corners, ["i", "j"]).select("_lat", "_lon", "poly", "ring")).groupBy("_lat", "_lon", "poly", "ring").agg((F.count(F.lit(1)) % 2 == 1).alias("odd"))
     whole = odd.groupBy("_lat", "_lon", "poly").agg((F.max(F.col("odd") & (F.col("ring") == 0)) & ~F.max(F.col("odd") & (F.col("ring") > 0))).alias("inside"))
-    inside = whole.filter("inside").select("_lat", "_lon").distinct()
+    return whole.filter("inside").select("_lat", "_lon", "poly")
+
+
+def within_cells(points: DataFrame, edges: DataFrame, lat: str = "latitude", lon: str = "longitude", cell: float = CELL) -> DataFrame:
+    """As `within_polygons`, for any number of edges, of closed rings."""
+    places = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()
+    inside = inside_polygons(places, edges, cell).select("_lat", "_lon").distinct()
     return points.join(inside, (points[lat] == inside["_lat"]) & (points[lon] == inside["_lon"]), "left_semi")
 
 
@@ -112,44 +118,6 @@ def touched_cells(cells: DataFrame, edges: DataFrame, grid: Grid) -> DataFrame:
     return cells.join(met, "grid_id", "left_semi").unionByName(rest)
 
 
-def half_plane(points: Column, axis: str, limit: Column, above: bool) -> Column:
-    """The ring's part on one side of a level or upright line: each corner inside, and each crossing after its corner."""
-    other = "y" if axis == "x" else "x"
-    inside = lambda p: p[axis] >= limit if above else p[axis] <= limit
-
-    def corner(p, i):
-        q = F.get(points, (i + 1) % F.size(points))
-        at = p[other] + (q[other] - p[other]) * F.try_divide(limit - p[axis], q[axis] - p[axis])
-        places = {axis: limit, other: at}
-        crossing = F.struct(places["x"].cast("double").alias("x"), places["y"].cast("double").alias("y"))
-        return F.filter(F.array(F.when(inside(p), p), F.when(inside(p) != inside(q), crossing)), lambda c: c.isNotNull())
-
-    return F.flatten(F.transform(points, corner))
-
-
-def ring_area(points: Column) -> Column:
-    """The area inside a ring of (x, y) corners."""
-    terms = F.transform(points, lambda p, i: p["x"] * F.get(points, (i + 1) % F.size(points))["y"] - F.get(points, (i + 1) % F.size(points))["x"] * p["y"])
-    return F.abs(F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)) / 2
-
-
-def clipped_cells(edges: DataFrame, grid: Grid) -> DataFrame:
-    """grid_id, poly, ring, points, area: each ring's part in each cell; cells without any area have no row.
-
-    Rings need their edges numbered by `seq`. A ring is cut into rows of the grid first and each row into cells,
-    so a cell sees only its row's corners. Parts of a bent ring may be tied by edges of no area along a cell's side.
-    """
-    corner = F.struct("seq", F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")).alias("p"))
-    parts = edges.groupBy("poly", "ring").agg(F.transform(F.sort_array(F.collect_set(corner)), lambda c: c["p"]).alias("points"))
-    for axis, index in (("y", "grid_lat_index"), ("x", "grid_lon_index")):
-        ends = [f(F.transform("points", lambda p: p[axis])) for f in (F.array_min, F.array_max)]  # noqa: B023
-        parts = parts.filter(F.size("points") > 2).withColumn(index, F.explode(F.sequence(*[F.floor(e / grid.size).cast("int") for e in ends])))
-        for k, above in ((0, True), (1, False)):
-            parts = parts.withColumn("points", half_plane(F.col("points"), axis, (F.col(index) + k) * F.lit(grid.size), above))
-    told = parts.filter(F.size("points") > 2).withColumn("area", ring_area(F.col("points"))).filter("area > 0")
-    return told.select(F.concat_ws("_", "grid_lat_index", "grid_lon_index").alias("grid_id"), "poly", "ring", "points", "area")
-
-
 def attach_cells(points: DataFrame, cells: DataFrame, grid: Grid) -> DataFrame:
     """Points with the cell that holds them, without those outside all cells: an equality join on the indexes."""
     return grid.with_cells(points).join(cells.select("grid_id"), "grid_id")

@@ -112,8 +112,9 @@ cut AS (SELECT *, greatest(least(x1, x2), x0) AS a, least(greatest(x1, x2), x0 +
 ends AS (SELECT *, y1 + m * (a - x1) - y0 AS ya, y1 + m * (b - x1) - y0 AS yb FROM cut WHERE a < b),
 area AS (SELECT *, sign(x2 - x1) * CASE WHEN m = 0 THEN (b - a) * least(greatest(ya, 0), 0.5)
   ELSE ((CASE WHEN yb < 0 THEN 0 WHEN yb < 0.5 THEN yb * yb / 2 ELSE 0.125 + (yb - 0.5) / 2 END) - (CASE WHEN ya < 0 THEN 0 WHEN ya < 0.5 THEN ya * ya / 2 ELSE 0.125 + (ya - 0.5) / 2 END)) / m END AS part FROM ends),
-fired AS (SELECT grid_id, count(*) AS n FROM fc GROUP BY 1)
-SELECT grid_id, poly, ring, round(abs(sum(part)), 6) AS area, coalesce(any_value(n), 0) AS fires FROM area LEFT JOIN fired USING (grid_id) GROUP BY 1, 2, 3 HAVING abs(sum(part)) > 1e-9""",
+fired AS (SELECT grid_id, count(*) AS n FROM fc GROUP BY 1),
+rings AS (SELECT grid_id, poly, ring, abs(sum(part)) * CASE WHEN ring = 0 THEN 1 ELSE -1 END AS area FROM area GROUP BY 1, 2, 3)
+SELECT grid_id, round(sum(area), 6) AS area, coalesce(any_value(n), 0) AS fires FROM rings LEFT JOIN fired USING (grid_id) GROUP BY 1 HAVING sum(area) > 1e-9""",
     "composite_dates": f"""{duck('raster_names')} SELECT CASE WHEN o.file_name LIKE '%doy%' THEN CAST(make_date(CAST(substr(file_name, 9, 4) AS INT), 1, 1) + CAST(substr(file_name, 13, 3) AS INT) - 1 AS DATE)
   WHEN o.file_name LIKE '%_20%' THEN CAST(try_strptime(substr(file_name, 6, 8), '%Y%m%d') AS DATE) END AS composite_date, count(*) AS n FROM raster_names o GROUP BY 1""",
     "safe_names": "SELECT page_id, regexp_replace(url, '[^A-Za-z0-9_.-]+', '_', 'g') AS file_name FROM pages",

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from gridwatch.functions import grid as G
 from gridwatch.operators import alerts as AL
 from gridwatch.operators import clean as C
+from gridwatch.operators import clipping as CP
 from gridwatch.operators import cluster as CL
 from gridwatch.operators import features as FE
 from gridwatch.operators import forecast as FO
@@ -169,9 +170,9 @@ def boundary_cells(spark, d):
 
 
 def clipped_boundary(spark, d):
+    """The area of each cell's part of the boundary, holes left out, and its fires."""
     counts = GRID.with_cells(fires(spark, d)).groupBy("grid_id").agg(F.count(F.lit(1)).alias("fires"))
-    parts = geo.clipped_cells(view(spark, d, "edges"), GRID).join(counts, "grid_id", "left")
-    return rounded(parts.select("grid_id", "poly", "ring", "area", F.coalesce("fires", F.lit(0)).alias("fires")))
+    return rounded(CP.clipped_geometries(view(spark, d, "edges"), GRID).join(counts, "grid_id", "left").select("grid_id", "area", F.coalesce("fires", F.lit(0)).alias("fires")))
 
 
 def composite_dates(spark, d):

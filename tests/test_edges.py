@@ -13,7 +13,7 @@ from gridwatch.operators.alerts import latest_delivery
 from gridwatch.operators.clean import conform, dedup
 from gridwatch.operators.cluster import dbscan, hull
 from gridwatch.operators.features import advanced, rolling
-from gridwatch.operators.geo import clipped_cells, within_cells, within_polygons
+from gridwatch.operators.geo import within_cells, within_polygons
 from gridwatch.operators.measures import at_top_fraction
 from gridwatch.sources.files import date_windows, polygon_edges
 from gridwatch.streaming.hotzones import fan_out, stream_alerts
@@ -122,21 +122,6 @@ def test_stream_counts_windows_and_drops_late_rows(spark, tmp_path):
     assert [(r.grid_id, r.fire_count) for r in out] == [("20_210", 7)]
 
 
-def test_bent_ring_cut_into_cells(spark):
-    """A bent ring with negative degrees: parts lie in their cells, and their areas make up the whole."""
-    corners = [(-1.2, -0.7), (0.9, -0.7), (0.9, 0.9), (0.3, -0.1), (-1.2, 0.9)]
-    rows = [(7, 0, i, *a, *b) for i, (a, b) in enumerate(zip(corners, corners[1:] + corners[:1], strict=True))]
-    schema = "poly long, ring int, seq int, x1 double, y1 double, x2 double, y2 double"
-    edges = spark.createDataFrame(rows + rows[:1], schema)
-    parts = clipped_cells(edges, Grid(0.5)).collect()
-    whole = abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(corners, corners[1:] + corners[:1], strict=True))) / 2
-    assert abs(sum(r.area for r in parts) - whole) < 1e-9
-    for r in parts:
-        i, j = map(int, r.grid_id.split("_"))
-        assert all(i * 0.5 <= p.y <= i * 0.5 + 0.5 and j * 0.5 <= p.x <= j * 0.5 + 0.5 for p in r.points)
-    assert clipped_cells(edges.limit(0), Grid(0.5)).count() == 0
-
-
 def test_size_and_date_texts(spark):
     sizes = spark.createDataFrame([(0, None), (1, 5), (2, 1024 * 1012), (3, 1280), (4, 5 << 40)], "k int, n long")
     assert [r.t for r in sizes.select("k", byte_text(F.col("n")).alias("t")).orderBy("k").collect()] == [None, "5.0 B", "1012.0 KB", "1.2 KB", "5120.0 GB"]

@@ -1,11 +1,14 @@
 """Clusters, nearest rows, best rows in boxes and boundaries on skewed frames, against plain loops."""
 
 import datetime as dt
+import json
 import math
 import random
 
 from pyspark.sql import functions as F
 
+from gridwatch.functions.grid import Grid
+from gridwatch.operators.clipping import clipped_geometries, polygon_geometry, signed_area
 from gridwatch.operators.cluster import dbscan, latest_window
 from gridwatch.operators.geo import edge_cells, within_cells, within_polygons
 from gridwatch.operators.nearest import nearest, nearest_predictions, top_in_boxes
@@ -143,3 +146,57 @@ def test_crowded_band_of_edges(spark):
     rise = lambda p: 0.10 + 0.02 * (1 - abs((p.longitude + 20) * n / 40 % 2 - 1))
     want = sum(-20 < p.longitude < 20 and 0.05 < p.latitude < rise(p) for p in points.collect())
     assert abs(within_polygons(points, edges).count() - want) <= 2
+
+
+def area_in_box(corners, x0, y0, x1, y1):
+    """Of a ring's part in a box, cut side by side."""
+    for axis, limit, sign in ((0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)):
+        out = []
+        for a, b in zip(corners, corners[1:] + corners[:1], strict=True):
+            ia, ib = sign * (a[axis] - limit) >= 0, sign * (b[axis] - limit) >= 0
+            if ia:
+                out.append(a)
+            if ia != ib:
+                t = (limit - a[axis]) / (b[axis] - a[axis])
+                out.append(tuple(limit if k == axis else a[k] + t * (b[k] - a[k]) for k in (0, 1)))
+        corners = out
+        if not corners:
+            return 0.0
+    return abs(signed_area(corners))
+
+
+def test_cells_cut_out_of_polygons_with_holes(spark):
+    """Bent and star-like rings, either way round, with holes within and across cells, some along cell sides; several polygons in a cell."""
+    draw = random.Random(11)
+    star = lambda y, x, low, high, n: [(x + r * math.cos(2 * math.pi * k / n), y + r * math.sin(2 * math.pi * k / n)) for k in range(n) for r in [draw.uniform(low, high)]]
+    shapes = [
+        [[(-1.2, -0.7), (0.9, -0.7), (0.9, 0.9), (0.3, -0.1), (-1.2, 0.9)]],
+        [star(4, 4, 1.0, 1.6, 25), star(4, 4, 0.2, 0.8, 11)[::-1]],
+        [[(8.0, 0.0), (10.0, 0.0), (10.0, 2.0), (8.0, 2.0)], [(8.5, 0.5), (9.5, 0.5), (9.5, 1.5), (8.5, 1.5)]],  # along cell sides
+        [star(-4, -4, 1.2, 1.5, 9)[::-1], star(-4.2, -4.2, 0.02, 0.04, 5), star(-3.8, -3.8, 0.1, 0.2, 6)],
+        [[(6.1, 6.1), (6.2, 6.1), (6.15, 6.2)]],
+        [[(6.3, 6.3), (6.4, 6.3), (6.35, 6.4)]],
+        [[(12.0, 0.25), (14.0, 0.25), (14.0, 0.3), (12.25, 0.3), (12.25, 0.4), (14.0, 0.4), (14.0, 0.45), (12.0, 0.45)]],  # two parts in a cell
+    ]
+    rows = [(p, r, k, *a, *b) for p, rings in enumerate(shapes) for r, c in enumerate(rings) for k, (a, b) in enumerate(zip(c, c[1:] + c[:1], strict=True))]
+    edges = spark.createDataFrame(rows + rows[:2], "poly long, ring int, seq int, x1 double, y1 double, x2 double, y2 double")
+    got = {r.grid_id: r for r in clipped_geometries(edges, Grid(0.5)).withColumn("text", polygon_geometry()).collect()}
+    want = {}
+    for i in range(-14, 20):
+        for j in range(-14, 30):
+            box = (j / 2, i / 2, j / 2 + 0.5, i / 2 + 0.5)
+            area = sum(area_in_box(rings[0], *box) - sum(area_in_box(h, *box) for h in rings[1:]) for rings in shapes)
+            if area > 1e-12:
+                want[f"{i}_{j}"] = area
+    assert got.keys() == want.keys()
+    for key, row in got.items():
+        i, j = map(int, key.split("_"))
+        assert abs(row.area - want[key]) < 1e-9
+        told = json.loads(row.text)
+        parts = told["coordinates"] if told["type"] == "MultiPolygon" else [told["coordinates"]]
+        assert told["type"] == row.type and (len(parts) > 1) == (row.type == "MultiPolygon")
+        assert abs(sum(signed_area([tuple(p) for p in ring[:-1]]) for part in parts for ring in part) - want[key]) < 1e-9
+        assert all(ring[0] == ring[-1] and (signed_area([tuple(p) for p in ring[:-1]]) > 0) == (k == 0) for part in parts for k, ring in enumerate(part))
+        assert all(j / 2 <= x <= j / 2 + 0.5 and i / 2 <= y <= i / 2 + 0.5 for part in parts for ring in part for x, y in ring)
+    assert len(json.loads(got["12_12"].text)["coordinates"]) == 2 and len(json.loads(got["0_27"].text)["coordinates"]) == 2 and len(json.loads(got["-9_-9"].text)["coordinates"]) == 2
+    assert clipped_geometries(edges.limit(0), Grid(0.5)).count() == 0
