@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridwatch.sources.shared import materialize
+
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """A row for each column: rows, nulls, min and max as text; one pass."""
@@ -76,19 +78,29 @@ def best_threshold(curve: DataFrame) -> DataFrame:
     return curve.agg(F.max_by(F.struct("threshold", "f1", "recall", "fp"), F.struct("f1", "recall", -F.col("fp"))).alias("b")).select("b.*")
 
 
-def _above(values: DataFrame, columns: list[str], blocks: int = 1000) -> DataFrame:
+def _ranges(df: DataFrame, *order) -> DataFrame:
+    """The rows with `_part`: ranges of about as many rows each, in order. Written, so that they stay as they were cut."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+
+
+def _before(ranged: DataFrame, columns: list[str]) -> DataFrame:
+    """For each range of `_ranges`: the columns' sums (`_<column>`), and those of the ranges before it (`_<column>_off`). One row a range."""
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_part").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
+    return sums.select("*", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}_off") for c in columns])
+
+
+def _above(values: DataFrame, columns: list[str]) -> DataFrame:
     """values (probability, columns) with, for each column, the sum over greater probabilities (`<column>_above`).
 
-    Sums run within blocks of the probability and are offset by those of the blocks above, so no task holds all
-    scores; there are `blocks` + 1 block sums at most.
+    Sums run within ranges of equally many values and are offset by those of the ranges above, so no task holds all
+    scores, however close they are.
     """
-    blocked = values.withColumn("_block", F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), "probability")) * blocks))
-    higher = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
-    sums = blocked.groupBy("_block").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
-    offsets = sums.select("_block", *[F.coalesce(F.sum(f"_{c}").over(higher), F.lit(0)).alias(f"_{c}_off") for c in columns])
-    within = Window.partitionBy("_block").orderBy(F.desc("probability")).rowsBetween(Window.unboundedPreceding, -1)
-    summed = blocked.join(F.broadcast(offsets), "_block")
-    return summed.withColumns({f"{c}_above": F.coalesce(F.sum(c).over(within), F.lit(0)) + F.col(f"_{c}_off") for c in columns}).drop("_block", *[f"_{c}_off" for c in columns])
+    ranged = _ranges(values, F.desc("probability"))
+    within = Window.partitionBy("_part").orderBy(F.desc("probability")).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.join(F.broadcast(_before(ranged, columns).select("_part", *[f"_{c}_off" for c in columns])), "_part")
+    return summed.withColumns({f"{c}_above": F.coalesce(F.sum(c).over(within), F.lit(0)) + F.col(f"_{c}_off") for c in columns}).drop("_part", *[f"_{c}_off" for c in columns])
 
 
 def _by_score(scores: DataFrame) -> DataFrame:
@@ -98,15 +110,20 @@ def _by_score(scores: DataFrame) -> DataFrame:
 def at_top_fraction(scores: DataFrame, fraction: float = 0.1) -> DataFrame:
     """Precision and recall among the best k = max(1, round-half-even(n * fraction)), ties by event_id.
 
-    Scores are counted by value and summed from the top; only the score at which k is reached is ranked.
+    Scores are counted by value and summed from the top; the rows of the score at which k is reached are counted by ranges of
+    ids, and only the range in which it is reached is ranked.
     """
     values = _by_score(scores)
     size = values.agg(F.sum("n").alias("rows"), F.sum("p").alias("positives")).withColumn("k", F.greatest(F.lit(1), F.bround(F.col("rows") * fraction, 0).cast("long")))
     ranked = _above(values, ["n"]).crossJoin(F.broadcast(size))
     whole = ranked.filter(F.col("n_above") + F.col("n") <= F.col("k")).agg(F.coalesce(F.sum("p"), F.lit(0)).alias("sure"))
     edge = ranked.filter((F.col("n_above") < F.col("k")) & (F.col("n_above") + F.col("n") > F.col("k"))).select("probability", (F.col("k") - F.col("n_above")).alias("left"))
-    tied = scores.join(F.broadcast(edge), "probability").withColumn("_n", F.row_number().over(Window.partitionBy("probability").orderBy("event_id")))
-    more = tied.filter("_n <= left").agg(F.count_if(F.col("label") == 1).alias("more"))
+    # Ranges of ids before the one in which the rest is reached count whole; only that one is ranked.
+    tied = _ranges(scores.join(F.broadcast(edge), "probability").select("event_id", "left", F.lit(1).alias("n"), (F.col("label") == 1).cast("int").alias("p")), "event_id")
+    ends = tied.select("left").distinct().crossJoin(_before(tied, ["n", "p"]))
+    early = ends.filter("_n_off + _n <= left").agg(F.coalesce(F.sum("_p"), F.lit(0)).alias("early"))
+    last = tied.join(F.broadcast(ends.filter("_n_off < left and _n_off + _n > left").select("_part", "_n_off")), "_part").withColumn("_r", F.row_number().over(Window.partitionBy("_part").orderBy("event_id")))
+    more = last.filter("_r + _n_off <= left").agg(F.coalesce(F.sum("p"), F.lit(0)).alias("late")).crossJoin(early).select((F.col("early") + F.col("late")).alias("more"))
     hits = F.col("sure") + F.col("more")
     return size.crossJoin(whole).crossJoin(more).select("k", hits.alias("hits"), (hits / F.col("k")).alias("precision"), F.coalesce(F.try_divide(hits, F.col("positives")), F.lit(0.0)).alias("recall"))
 

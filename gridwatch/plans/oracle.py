@@ -197,7 +197,7 @@ ORACLE_SQL |= {
     "resumed_parts": f"{duck('fires_raw')} SELECT firms_source, acq_date, count(*) AS n FROM fires_raw GROUP BY 1, 2",
     "geojson_risks": f"{ALL}, {PRED} SELECT grid_id, date, round(risk_score, 6) + 0.0 AS risk_score, risk_level FROM pred",
     "new_subscribers": f"{duck('subscribers')} SELECT 'email' AS channel, s_name AS address, (SELECT max(id) FROM subscribers) + row_number() OVER (ORDER BY s_name) AS id, 'active' AS status, TIMESTAMP '2024-02-01 00:00:00' AS created_at FROM supplier",
-    "order_days": 'SELECT count(*) AS "rows", min(o_orderdate) AS low, max(o_orderdate) AS high FROM orders',
+    "order_days": "SELECT count(*) AS rows, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders",
 }
 
 #: Clusters of the last 24 hours, with three points to a core.
@@ -206,3 +206,4 @@ ORACLE_SQL |= {
     "recent_clusters": f"{RALL}, late AS (SELECT * FROM fires WHERE acquired_at >= (SELECT max(acquired_at) FROM fires) - INTERVAL 24 HOUR), {RECENT} "
     "SELECT cluster_id, count(*) AS point_count, round(avg(confidence_score), 6) + 0.0 AS mean_confidence_score, round(max(frp), 6) + 0.0 AS max_frp, min(acquired_at) AS start_time, max(acquired_at) AS end_time FROM db WHERE cluster_id >= 0 GROUP BY 1",
 }
+ORACLE_SQL["stored_day_risks"] = ORACLE_SQL["day_risks"]

@@ -492,8 +492,14 @@ def new_subscribers(spark, d):
 
 
 def order_days(spark, d):
-    """Rows and first and last day of orders, from the files' footers."""
-    return FI.footer_stats(spark, f"{d}/orders.parquet", "o_orderdate")
+    """Rows and least and greatest key of orders, from the files' footers."""
+    return FI.footer_stats(spark, f"{d}/orders.parquet", "o_orderkey")
+
+
+def stored_day_risks(spark, d):
+    """A day's predictions in a box, from a table laid out by day and place."""
+    FI.write_by_day_and_place(predictions(spark, d), path := new_path(spark, "risks"))
+    return rounded(S.day_filter(spark.read.parquet(path), "2024-01-15", CENTRAL))
 
 
 QUERIES = {
@@ -503,6 +509,6 @@ QUERIES = {
         unmatched_fires, coverage_bounds, column_profile, risk_value_counts, integrity_rules, duplicate_audit, date_split, heatmap, points_in_boundary, point_cells, boundary_cells, clipped_boundary, composite_dates, safe_names, size_texts, nearest_station, dense_calendar,
         monthly_trend, annual_rollup, risk_by_day, zscore_anomalies, latest_cells, top_predictions, alert_matches, undelivered_alerts, subscriber_top, subscriber_upsert, hot_zones, class_weights,
         threshold_curve, best_threshold, top_fraction, calibration_bins, auc_roc, dbscan_points, recent_clusters, cluster_hulls, forest_scores, forecast_rows, missing_days, latest_ndvi, request_answers, risk_kpis, day_risks, newest_fires, peak_month, cluster_facts, clustering_counts, cell_stations, delivery_counts,
-        subscriber_changes, boxes, normal_alerts, risk_cards, top_scores, severity_rejects, alert_messages, alert_texts, point_weather, auc_pr, model_comparison, csv_detections, json_events, resumed_parts, geojson_risks, new_subscribers, order_days,
+        subscriber_changes, boxes, normal_alerts, risk_cards, top_scores, severity_rejects, alert_messages, alert_texts, point_weather, auc_pr, model_comparison, csv_detections, json_events, resumed_parts, geojson_risks, new_subscribers, order_days, stored_day_risks,
     )
 }

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gridwatch.operators.clean import conform
+from gridwatch.sources.shared import materialize
 
 
 def read_optional(spark: SparkSession, path: str, required: bool = False) -> DataFrame | None:
@@ -48,17 +51,20 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_missing_parts(df: DataFrame, path: str, parts: list[str]) -> int:
-    """Write only the parts (values of `parts`) that the path doesn't have yet, each under its own folder; how many those are.
+    """Write only the parts (values of `parts`) that have no done mark yet, each under its own folder; how many those are.
 
-    A run that was cut off goes on where it stopped: parts that are there are not read or written again.
+    Marks are a table beside the path (`<path>.done`), appended once the parts are written. A run that was cut off leaves parts
+    without a mark: the next run writes them anew in place of what is there, and leaves marked parts unread. Two jobs run:
+    one finds the missing parts, one writes them.
     """
     spark = df.sparkSession
-    done = read_optional(spark, path)
+    done = read_optional(spark, marks := f"{path.rstrip('/')}.done")
     wanted = df.select(*parts).distinct()
-    new = wanted if done is None else wanted.join(done.select(*[F.col(c).cast(df.schema[c].dataType) for c in parts]).distinct(), parts, "left_anti")
+    new = materialize(wanted if done is None else wanted.join(done.distinct(), parts, "left_anti"), "parts")
     count = new.count()
     if count:
-        df.join(F.broadcast(new), parts, "left_semi").write.mode("append").partitionBy(*parts).parquet(path)
+        df.join(new, parts, "left_semi").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+        new.write.mode("append").parquet(marks)
     return count
 
 
@@ -73,15 +79,49 @@ def feature_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return doc.select(F.explode("d.features.properties").alias("p")).select("p.*")
 
 
-def footer_stats(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """One row (rows, low, high) from the Parquet footers alone: the aggregate is pushed to the scan."""
-    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    before = spark.conf.get("spark.sql.sources.useV1SourceList")
-    spark.conf.set("spark.sql.sources.useV1SourceList", "")
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]):
+    """Session settings for a while; afterwards they are as before."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
     try:
-        return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.min(column).alias("low"), F.max(column).alias("high"))
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
     finally:
-        spark.conf.set("spark.sql.sources.useV1SourceList", before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: With these an aggregate of counts, least and greatest values is answered from Parquet footers, for columns whose statistics tell (not times).
+FOOTERS = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": ""}
+
+
+def footer_aggregate(spark: SparkSession, path: str, column: str) -> DataFrame:
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.min(column).alias("low"), F.max(column).alias("high"))
+
+
+def footer_stats(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row (rows, low, high), read at once from the Parquet footers alone where their statistics tell, else by a scan of the column."""
+    with settings(spark, FOOTERS):
+        found = footer_aggregate(spark, path, column)
+        return spark.createDataFrame([found.first()], found.schema)
+
+
+def z_number(i: Column, j: Column, bits: int = 20) -> Column:
+    """The bits of two indexes in turn: cells that are near each other mostly have numbers near each other."""
+    low = lambda c: c.cast("long") + F.lit(1 << (bits - 1))
+    bit = lambda c, k, to: F.shiftleft(F.shiftright(low(c), k).bitwiseAND(F.lit(1).cast("long")), to)
+    return sum((bit(i, k, 2 * k + 1) + bit(j, k, 2 * k) for k in range(bits)), F.lit(0).cast("long"))
+
+
+def write_by_day_and_place(df: DataFrame, path: str, cell: float = 0.5, date: str = "date", lat: str = "latitude", lon: str = "longitude", rows_per_file: int = 1_000_000) -> None:
+    """A folder for each day, and in it files of near places: sorted by the number of the cell, so that bounds in footers are tight.
+
+    `day_filter` on such a table reads the day's folder only, and of its row groups those that the box meets.
+    """
+    placed = df.withColumn("_z", z_number(F.floor(F.col(lat) / cell), F.floor(F.col(lon) / cell)))
+    dealt = placed.repartitionByRange(date, "_z").sortWithinPartitions(date, "_z").drop("_z")
+    dealt.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(date).parquet(path)
 
 
 def inventory(df: DataFrame) -> DataFrame:
