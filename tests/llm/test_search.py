@@ -178,3 +178,18 @@ def test_toxicity_of_tables(spark):
     rows = toxicity(docs, labels).filter("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
     assert sum(r.predicted == r.toxic for r in rows) >= 0.975 * len(rows)
     assert sum(r.predicted for r in rows if r.toxic) >= 0.9 * sum(r.toxic for r in rows)
+
+
+def test_trained_attention_beats_the_class_table(spark, monkeypatch):
+    """Held-out log probability with trained weights against that of the corpus's class pairs alone."""
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from gridwatch.llm import scoring
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    held = lambda: scoring.lm_scores(docs, public_tokenizers.path("byte_bpe_50k.json")).filter("held_out").agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
+    trained, base = held()
+    monkeypatch.setattr(scoring, "ROUNDS", 0)
+    table, _ = held()
+    assert trained > table + 0.05 > base + 0.05
