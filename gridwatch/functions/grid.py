@@ -67,6 +67,12 @@ def acquired_at(date: str, hhmm: str) -> Column:
     return F.coalesce(F.try_to_timestamp(F.concat_ws(" ", day, t), F.lit("yyyy-MM-dd HHmm")), F.col(date).cast("timestamp"))
 
 
+def acquired_or_null(date: str, hhmm: str) -> Column:
+    """As `acquired_at`, but null where the date or the time can't be read; a missing time is midnight."""
+    t = F.lpad(F.trim(F.coalesce(F.col(hhmm).cast("string"), F.lit("0000"))), 4, "0")
+    return F.try_to_timestamp(F.concat_ws(" ", F.date_format(F.col(date).try_cast("date"), "yyyy-MM-dd"), t), F.lit("yyyy-MM-dd HHmm"))
+
+
 def risk_level(score: Column, medium: float = 0.33, high: float = 0.75) -> Column:
     return F.when(score >= high, 2).when(score >= medium, 1).otherwise(0)
 

@@ -39,9 +39,10 @@ def latest_delivery(log: DataFrame) -> DataFrame:
     return log.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def top_alerts(predictions: DataFrame, least: int = 1, limit: int = 20, by: tuple[str, ...] = ("risk_level", "risk_score")) -> DataFrame:
-    """The first `limit` rows of risk `least` or more by the columns of `by`, each descending, then by cell and date."""
-    return predictions.filter(F.col("risk_level") >= least).orderBy(*map(F.desc, by), "grid_id", "date").limit(limit)
+def top_alerts(predictions: DataFrame, least: int = 1, limit: int = 20, by: tuple[str, ...] = ("risk_level", "risk_score"), dates: list[str] | None = None) -> DataFrame:
+    """The first `limit` rows of risk `least` or more, of `dates` if there are any given, by the columns of `by`, each descending, then by cell and date."""
+    rows = predictions if dates is None else predictions.filter(F.col("date").isin([F.lit(d).cast("date") for d in dates]) if dates else F.lit(False))
+    return rows.filter(F.col("risk_level") >= least).orderBy(*map(F.desc, by), "grid_id", "date").limit(limit)
 
 
 def hot_zones(events: DataFrame, threshold: int = 5, span: str = "1 hour", watermark: str | None = None, at: str = "event_time") -> DataFrame:

@@ -33,6 +33,22 @@ def clean_fires(fires: DataFrame, threshold: float = 30.0, order: list[Column |
     return dedup(fires.withColumn("confidence_score", confidence_score("confidence")).filter(F.col("confidence_score") >= threshold), FIRE_KEY, order)
 
 
+def days_to_ask(hours: int, most: int = 5) -> int:
+    """Whole days that cover so many hours, 1 to `most`."""
+    return max(1, min(most, -(-hours // 24)))
+
+
+def recent(df: DataFrame, hours: int, now: Column | None = None, at: str = "acquired_at") -> DataFrame:
+    """Rows of the last `hours` before `now` (a timestamp; else the moment), that time included. Rows without a time go."""
+    return df.filter(F.col(at) >= (F.current_timestamp() if now is None else now) - F.make_dt_interval(hours=F.lit(hours)))
+
+
+def conform_detections(df: DataFrame, schema: StructType) -> DataFrame:
+    """As `conform`; a detection without brightness takes that of its other channel, bright_ti4, if the schema has both."""
+    out = conform(df, schema)
+    return out.withColumn("brightness", F.coalesce("brightness", "bright_ti4")) if {"brightness", "bright_ti4"} <= set(out.columns) else out
+
+
 def in_box(lat: str, lon: str, box: tuple[float, float, float, float]) -> Column:
     """Inclusive; box: min_lon, min_lat, max_lon, max_lat."""
     return F.col(lon).between(box[0], box[2]) & F.col(lat).between(box[1], box[3])

@@ -19,6 +19,12 @@ def target_dates(spark: SparkSession, start: str, days: int) -> DataFrame:
     return spark.range(1).select(F.explode(F.sequence(first, F.date_add(first, days - 1))).alias("date"))
 
 
+def dense_calendar(daily: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Every key with every day from start to end, and what `daily` (key, date, values) has of it; other days are null, days outside are left out."""
+    days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    return daily.select(key).distinct().withColumn("date", days).join(daily, [key, "date"], "left")
+
+
 def missing_targets(targets: DataFrame, forecast: DataFrame) -> DataFrame:
     """Dates that the forecast should have and has not."""
     return targets.select("date").distinct().join(forecast.select("date").distinct(), "date", "left_anti")

@@ -118,6 +118,16 @@ def touched_cells(cells: DataFrame, edges: DataFrame, grid: Grid) -> DataFrame:
     return cells.join(met, "grid_id", "left_semi").unionByName(rest)
 
 
+#: What a cell without observations has.
+DEFAULTS = {"station_distance_km": 0.0, "weather_points_count": 1.0, "mean_ndvi_30days": 0.0}
+
+
+def full_grid(edges: DataFrame, grid: Grid, box: tuple[float, float, float, float]) -> DataFrame:
+    """The cells of `box` that touch the polygons, with DEFAULTS, sorted by their indexes."""
+    touched = touched_cells(grid_product(edges.sparkSession, grid, box), edges, grid)
+    return touched.withColumns({k: F.lit(v) for k, v in DEFAULTS.items()}).orderBy("grid_lat_index", "grid_lon_index")
+
+
 def attach_cells(points: DataFrame, cells: DataFrame, grid: Grid) -> DataFrame:
     """Points with the cell that holds them, without those outside all cells: an equality join on the indexes."""
     return grid.with_cells(points).join(cells.select("grid_id"), "grid_id")

@@ -35,7 +35,7 @@ def forest(train: DataFrame, names: list[str], trees: int = 50, depth: int = 5,
     return _stages(names, RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=seed)).fit(filled(train, names))
 
 
-def tuned(train: DataFrame, names: list[str], kind: str = "forest", folds: int = 3, parallelism: int = 2, seed: int = 42, grid: dict | None = None):
+def tuned(train: DataFrame, names: list[str], kind: str = "forest", folds: int = 2, parallelism: int = 2, seed: int = 42, grid: dict | None = None):
     """A cross-validated forest (trees by depth) or boosted trees (depth), by area under the ROC curve."""
     c = RandomForestClassifier(labelCol="label", weightCol="weight", seed=seed) if kind == "forest" else GBTClassifier(labelCol="label", weightCol="weight", maxIter=80, stepSize=0.1, seed=seed)
     grid = grid or ({"numTrees": [80, 100], "maxDepth": [8, 10]} if kind == "forest" else {"maxDepth": [3, 5]})
@@ -46,6 +46,14 @@ def tuned(train: DataFrame, names: list[str], kind: str = "forest", folds: int =
     return CrossValidator(estimator=_stages(names, c), estimatorParamMaps=space.build(), evaluator=score, numFolds=folds, parallelism=parallelism, seed=seed).fit(filled(train, names))
 
 
+def candidates(fitted, names: list[str], model: str, folds: int) -> DataFrame:
+    """A row for each combination that `tuned` tried: model, candidate, params (name to value), avg_metric over the folds, n_folds, n_features, is_best."""
+    rows = [{p.name: float(v) for p, v in space.items()} for space in fitted.getEstimatorParamMaps()]
+    best = max(range(len(rows)), key=lambda k: (fitted.avgMetrics[k], -k))
+    told = [(model, k, params, float(fitted.avgMetrics[k]), folds, len(names), k == best) for k, params in enumerate(rows)]
+    return SparkSession.active().createDataFrame(told, "model string, candidate int, params map<string,double>, avg_metric double, n_folds int, n_features int, is_best boolean")
+
+
 def scored(model: PipelineModel, df: DataFrame, names: list[str], medium: float = 0.33, high: float = 0.75) -> DataFrame:
     out = model.transform(filled(df, names)).withColumn("p", vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction", "features")
     return out.withColumnRenamed("p", "probability").withColumn("risk_level", risk_level(F.col("probability"), medium, high))

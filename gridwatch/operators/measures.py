@@ -78,14 +78,14 @@ def best_threshold(curve: DataFrame) -> DataFrame:
     return curve.agg(F.max_by(F.struct("threshold", "f1", "recall", "fp"), F.struct("f1", "recall", -F.col("fp"))).alias("b")).select("b.*")
 
 
-def _ranges(df: DataFrame, *order) -> DataFrame:
+def ranges(df: DataFrame, *order) -> DataFrame:
     """The rows with `_part`: ranges of about as many rows each, in order. Written, so that they stay as they were cut."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return materialize(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranges")
 
 
-def _before(ranged: DataFrame, columns: list[str]) -> DataFrame:
-    """For each range of `_ranges`: the columns' sums (`_<column>`), and those of the ranges before it (`_<column>_off`). One row a range."""
+def sums_before(ranged: DataFrame, columns: list[str]) -> DataFrame:
+    """For each range of `ranges`: the columns' sums (`_<column>`), and those of the ranges before it (`_<column>_off`). One row a range."""
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = ranged.groupBy("_part").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
     return sums.select("*", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}_off") for c in columns])
@@ -97,9 +97,9 @@ def _above(values: DataFrame, columns: list[str]) -> DataFrame:
     Sums run within ranges of equally many values and are offset by those of the ranges above, so no task holds all
     scores, however close they are.
     """
-    ranged = _ranges(values, F.desc("probability"))
+    ranged = ranges(values, F.desc("probability"))
     within = Window.partitionBy("_part").orderBy(F.desc("probability")).rowsBetween(Window.unboundedPreceding, -1)
-    summed = ranged.join(F.broadcast(_before(ranged, columns).select("_part", *[f"_{c}_off" for c in columns])), "_part")
+    summed = ranged.join(F.broadcast(sums_before(ranged, columns).select("_part", *[f"_{c}_off" for c in columns])), "_part")
     return summed.withColumns({f"{c}_above": F.coalesce(F.sum(c).over(within), F.lit(0)) + F.col(f"_{c}_off") for c in columns}).drop("_part", *[f"_{c}_off" for c in columns])
 
 
@@ -119,8 +119,8 @@ def at_top_fraction(scores: DataFrame, fraction: float = 0.1) -> DataFrame:
     whole = ranked.filter(F.col("n_above") + F.col("n") <= F.col("k")).agg(F.coalesce(F.sum("p"), F.lit(0)).alias("sure"))
     edge = ranked.filter((F.col("n_above") < F.col("k")) & (F.col("n_above") + F.col("n") > F.col("k"))).select("probability", (F.col("k") - F.col("n_above")).alias("left"))
     # Ranges of ids before the one in which the rest is reached count whole; only that one is ranked.
-    tied = _ranges(scores.join(F.broadcast(edge), "probability").select("event_id", "left", F.lit(1).alias("n"), (F.col("label") == 1).cast("int").alias("p")), "event_id")
-    ends = tied.select("left").distinct().crossJoin(_before(tied, ["n", "p"]))
+    tied = ranges(scores.join(F.broadcast(edge), "probability").select("event_id", "left", F.lit(1).alias("n"), (F.col("label") == 1).cast("int").alias("p")), "event_id")
+    ends = tied.select("left").distinct().crossJoin(sums_before(tied, ["n", "p"]))
     early = ends.filter("_n_off + _n <= left").agg(F.coalesce(F.sum("_p"), F.lit(0)).alias("early"))
     last = tied.join(F.broadcast(ends.filter("_n_off < left and _n_off + _n > left").select("_part", "_n_off")), "_part").withColumn("_r", F.row_number().over(Window.partitionBy("_part").orderBy("event_id")))
     more = last.filter("_r + _n_off <= left").agg(F.coalesce(F.sum("p"), F.lit(0)).alias("late")).crossJoin(early).select((F.col("early") + F.col("late")).alias("more"))
@@ -161,12 +161,14 @@ def evaluation(validation: DataFrame, test: DataFrame, model: str, thresholds: l
     )
 
 
-def compared(rows: DataFrame, base: str, least_uplift: float = 0.03) -> DataFrame:
-    """evaluation's rows with each one's uplift over the model `base`, whether that meets the target, and the best by validation.
+def compared(rows: DataFrame, targets: dict[str, tuple[str, float]]) -> DataFrame:
+    """evaluation's rows with each one's uplift in auc_roc over its own base, whether that meets its own target, and the best by validation.
 
-    The models are few: one row each.
+    targets: model -> (base, least uplift). A model without a target, or whose base is not there, has null for both. The models are few: one row each.
     """
-    known = rows.filter(F.col("model") == base).select(F.col("auc_roc").alias("_base"))
+    table = rows.sparkSession.createDataFrame([(m, b, float(x)) for m, (b, x) in targets.items()], "model string, _against string, _least double")
+    known = rows.select(F.col("model").alias("_against"), F.col("auc_roc").alias("_base"))
     best = rows.agg(F.max_by("model", F.struct("validation_auc_roc", "model")).alias("_best"))
-    out = rows.crossJoin(F.broadcast(best)).join(F.broadcast(known), how="left")
-    return out.withColumns({"uplift": F.col("auc_roc") - F.col("_base"), "is_best": F.col("model") == F.col("_best")}).withColumn("target_met", F.col("uplift") >= least_uplift).drop("_base", "_best")
+    out = rows.join(F.broadcast(table), "model", "left").join(F.broadcast(known), "_against", "left").crossJoin(F.broadcast(best))
+    out = out.withColumns({"uplift": F.col("auc_roc") - F.col("_base"), "is_best": F.col("model") == F.col("_best")})
+    return out.withColumn("target_met", F.col("uplift") >= F.col("_least")).drop("_base", "_best", "_against", "_least")

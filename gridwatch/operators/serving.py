@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridwatch.functions.grid import severity_rank
+from gridwatch.operators.measures import ranges, sums_before
 
 #: Fixed value: degrees that coordinates may have.
 WORLD = (-180.0, -90.0, 180.0, 90.0)
@@ -91,11 +92,61 @@ def partial_update(old: DataFrame, changes: DataFrame, keys: list[str], at: Colu
 def subscribed(table: DataFrame, requests: DataFrame, at: Column) -> DataFrame:
     """Rows to append for subscription requests: ids after the table's greatest in order of channel and address, active from `at`.
 
-    Requests are few beside the table: they are numbered in one task.
+    Numbers run within ranges of the order and are offset by the ranges before.
     """
     last = table.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_last"))
-    number = F.row_number().over(Window.orderBy("channel", "address"))
-    return requests.withColumn("_n", number).crossJoin(F.broadcast(last)).withColumns({"id": F.col("_last") + F.col("_n"), "status": F.lit("active"), "created_at": at}).drop("_n", "_last")
+    cut = ranges(requests.withColumn("_one", F.lit(1)), "channel", "address")
+    number = F.row_number().over(Window.partitionBy("_part").orderBy("channel", "address")) + F.col("_one_off")
+    numbered = cut.join(F.broadcast(sums_before(cut, ["_one"]).select("_part", F.col("__one_off").alias("_one_off"))), "_part").withColumn("_n", number)
+    return numbered.crossJoin(F.broadcast(last)).withColumns({"id": F.col("_last") + F.col("_n"), "status": F.lit("active"), "created_at": at}).drop("_n", "_last", "_one", "_one_off", "_part")
+
+
+def subscribe(table: DataFrame, requests: DataFrame, at: Column) -> DataFrame:
+    """The table after subscription requests (channel, address, min_severity_rank and, if they have them, the box; one for a channel and address).
+
+    A known subscriber takes the request's rank and box, null ones too, is active again and updated at `at`; others are added.
+    """
+    keys, taken = ["channel", "address"], [c for c in requests.columns if c not in ("channel", "address")]
+    both = table.join(requests.select(*keys, F.struct(*taken).alias("_new")), keys, "left")
+    hit = F.col("_new").isNotNull()
+    now = lambda c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in taken else F.col(c)
+    before = F.col("updated_at") if "updated_at" in table.columns else F.lit(None).cast("timestamp_ntz")
+    kept = both.select(*[now(c) for c in table.columns if c not in ("status", "updated_at")], F.when(hit, "active").otherwise(F.col("status")).alias("status"), F.when(hit, at).otherwise(before).alias("updated_at"))
+    new = subscribed(table, requests.join(table.select(keys), keys, "left_anti"), at).drop("created_at")
+    return kept.unionByName(new, allowMissingColumns=True)
+
+
+def with_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Each row with itself as JSON text, nulls included: what a serving table keeps beside its columns."""
+    return df.withColumn(payload, F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+
+
+def weather_means(predictions: DataFrame, columns: tuple[str, ...] = ("temperature_2m_max", "relative_humidity_2m_min", "wind_speed_10m_max", "precipitation_sum")) -> DataFrame:
+    """A row for each column: its mean over rows that have a value."""
+    one = predictions.agg(*[F.avg(c).alias(c) for c in columns])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("mean")) for c in columns])))
+
+
+def active_fires(fires: DataFrame, day: str, box: tuple[float, float, float, float], least_confidence: float) -> DataFrame:
+    """One row: a day's fires in a box of a confidence or more, and their mean radiative power."""
+    of_day = day_filter(fires, day, box, date="acq_date").filter(F.col("confidence_score") >= least_confidence)
+    return of_day.agg(F.count(F.lit(1)).alias("active_fires"), F.avg("frp").alias("mean_frp"))
+
+
+def anomaly_counts(found: DataFrame) -> DataFrame:
+    """Cell days by whether they are anomalies."""
+    return found.groupBy("is_anomaly").agg(F.count(F.lit(1)).alias("grid_days"))
+
+
+def served_rows(predictions: DataFrame) -> DataFrame:
+    """One row: how many predictions are served."""
+    return predictions.agg(F.count(F.lit(1)).alias("cached_predictions"))
+
+
+def known_dates(*tables: tuple[DataFrame, str]) -> DataFrame:
+    """The distinct dates of several tables' columns, each table's own first."""
+    dates = [df.select(F.col(c).cast("date").alias("date")).filter("date is not null").distinct() for df, c in tables]
+    return reduce(DataFrame.unionByName, dates).distinct()
 
 
 def complete(df: DataFrame, required: list[str]) -> DataFrame:

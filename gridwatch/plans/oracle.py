@@ -105,7 +105,7 @@ turn AS (SELECT grid_id, x0, y0, poly, ring, least(x1, x2) <= x0 + 0.5 AND great
 ring AS (SELECT grid_id, x0, y0, poly, ring, bool_or(near AND least(c, c + up, c + rt, c + up + rt) <= 0 AND greatest(c, c + up, c + rt, c + up + rt) >= 0) AS met, count(*) FILTER (crossed) % 2 = 1 AS odd FROM turn GROUP BY ALL),
 poly AS (SELECT grid_id, x0, y0, poly, bool_or(met) OR (bool_or(odd AND ring = 0) AND NOT bool_or(odd AND ring > 0)) AS ok FROM ring GROUP BY ALL),
 fired AS (SELECT grid_id, count(*) AS n FROM fc GROUP BY 1)
-SELECT grid_id, y0 AS grid_lat, x0 AS grid_lon, coalesce(any_value(n), 0) AS fires FROM poly LEFT JOIN fired USING (grid_id) WHERE ok GROUP BY 1, 2, 3""",
+SELECT grid_id, y0 AS grid_lat, x0 AS grid_lon, 0.0::DOUBLE AS station_distance_km, 1.0::DOUBLE AS weather_points_count, 0.0::DOUBLE AS mean_ndvi_30days, coalesce(any_value(n), 0) AS fires FROM poly LEFT JOIN fired USING (grid_id) WHERE ok GROUP BY 1, 2, 3""",
     # The area under each edge, cut off at the cell's sides, summed around the ring.
     "clipped_boundary": f"""{ALL}, box AS (SELECT i || '_' || j AS grid_id, CAST(i AS DOUBLE) / 2 AS y0, CAST(j AS DOUBLE) / 2 AS x0 FROM range(17, 47) a(i), range(205, 221) b(j)),
 cut AS (SELECT *, greatest(least(x1, x2), x0) AS a, least(greatest(x1, x2), x0 + 0.5) AS b, (y2 - y1) / (x2 - x1) AS m FROM box, edges WHERE x1 <> x2),
@@ -123,7 +123,8 @@ SELECT o_custkey, bytes, CASE WHEN bytes < 1024 THEN format('{:.1f} B', bytes /
     "nearest_station": f"""{ALL}, p AS (SELECT DISTINCT CAST(latitude * 64 AS INT) || '_' || CAST(longitude * 64 AS INT) AS point_id, latitude, longitude FROM fires_raw),
 km AS (SELECT point_id, s.id, round(2 * 6371.0088 * asin(sqrt(pow(sin(radians(s.latitude - p.latitude) / 2), 2) + cos(radians(p.latitude)) * cos(radians(s.latitude)) * pow(sin(radians(s.longitude - p.longitude) / 2), 2))), 3) AS d FROM p, stations s)
 SELECT point_id, arg_min(id, [d, id]) AS station_id, round(min(d), 2) AS distance_km FROM km GROUP BY 1""",
-    "dense_calendar": f"{duck('hourly_obs')} SELECT station_id, CAST(30 AS BIGINT) AS days, count(DISTINCT date) FILTER (prcp > 25) AS known FROM hourly_obs GROUP BY 1",
+    "dense_calendar": f"{duck('hourly_obs')}, t AS (SELECT station_id, date, sum(prcp) AS rain FROM hourly_obs WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY 1, 2) "
+    "SELECT s.station_id, CAST(30 AS BIGINT) AS days, count(rain) AS known, round(sum(rain), 6) + 0.0 AS rain FROM (SELECT DISTINCT station_id FROM hourly_obs) s LEFT JOIN t USING (station_id) GROUP BY 1",
     "monthly_trend": f"{ALL} SELECT CAST(date_trunc('month', acq_date) AS DATE) AS month, count(*) AS points, round(sum(frp), 6) + 0.0 AS frp_total, round(sum(frp) / count(*), 6) + 0.0 AS frp_avg FROM fires GROUP BY 1",
     "annual_rollup": f"{ALL} SELECT CAST(year(acq_date) AS INT) AS year, CAST(month(acq_date) AS INT) AS month, count(*) AS points FROM fires GROUP BY ROLLUP (year(acq_date), month(acq_date))",
     "risk_by_day": f"{ALL} SELECT date, risk_level, count(*) AS n FROM features GROUP BY GROUPING SETS ((date, risk_level), (risk_level))",
@@ -136,7 +137,9 @@ SELECT grid_id, date, fire_count, round(mean, 6) + 0.0 AS mean, round(std, 6) +
     "undelivered_alerts": f"{ALL}, {PRED} SELECT subscriber_id, count(*) AS n FROM matches WHERE NOT (subscriber_id % 3 = 0 AND subscriber_id % 2 = 0) GROUP BY 1",
     "subscriber_top": f"{ALL}, {PRED} SELECT s.id AS subscriber_id, CAST(row_number() OVER w AS INT) AS n, grid_id, date, risk_level, round(risk_score, 6) + 0.0 AS risk_score FROM subscribers s JOIN pred ON risk_level >= s.min_severity_rank "
     "AND (s.bbox_min_lon IS NULL OR (latitude BETWEEN s.bbox_min_lat AND s.bbox_max_lat AND longitude BETWEEN s.bbox_min_lon AND s.bbox_max_lon)) WINDOW w AS (PARTITION BY s.id ORDER BY risk_level DESC, pred.risk_score DESC, date DESC, grid_id) QUALIFY n <= 5",
-    "subscriber_upsert": f"{duck('subscribers')} SELECT CASE WHEN id % 7 = 0 THEN 'active' ELSE status END AS status, CASE WHEN id % 7 = 0 THEN 0 ELSE min_severity_rank END AS min_severity_rank, count(*) AS n FROM subscribers GROUP BY 1, 2",
+    "subscriber_upsert": f"{duck('subscribers')} SELECT id, channel, address, CASE WHEN id % 7 = 0 THEN 0 ELSE min_severity_rank END AS min_severity_rank, CASE WHEN id % 7 = 0 THEN NULL ELSE bbox_min_lon END AS bbox_min_lon, "
+    "CASE WHEN id % 7 = 0 THEN 'active' ELSE status END AS status, CASE WHEN id % 7 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' END AS updated_at FROM subscribers "
+    "UNION ALL SELECT (SELECT max(id) FROM subscribers) + row_number() OVER (ORDER BY s_name), 'email', s_name, 1, 100.0, 'active', NULL FROM supplier",
     "hot_zones": f"{ALL} SELECT grid_id || '|' || strftime(CAST(acquired_at AS DATE), '%Y-%m-%dT%H:%M:%S') || '|' || strftime(CAST(acquired_at AS DATE) + 1, '%Y-%m-%dT%H:%M:%S') AS alert_id, grid_id, count(*) AS fire_count, CAST(acquired_at AS DATE) AS day, 'high' AS severity FROM fc GROUP BY grid_id, CAST(acquired_at AS DATE) HAVING count(*) > 1",
     "class_weights": f"{SCORES} SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1, round(count(*) / (2 * count(*) FILTER (label = 0)), 6) AS weight0, round(count(*) / (2 * count(*) FILTER (label = 1)), 6) AS weight1 FROM scores",
     "threshold_curve": f'{CURVE} SELECT threshold, tp, fp, tn, fn, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(specificity, 6) AS specificity, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1 FROM curve',
@@ -193,7 +196,8 @@ ORACLE_SQL |= {
     "point_weather": f"{ALL} SELECT id AS point_id, station_id, count(*) AS days, round(max(temperature_2m_max), 6) + 0.0 AS hottest FROM subscribers JOIN daily ON station_id = 1 + id % 10 GROUP BY 1, 2",
     "auc_pr": f"{PR} SELECT round(CAST(sum(p * (coalesce(tp0 / nullif(k0, 0), tp / k) + tp / k) / 2) / sum(p) AS DOUBLE), 6) AS auc_pr FROM w",
     "csv_detections": f"{duck('fires_raw')} SELECT 'VIIRS_NOAA20_NRT' AS firms_source, confidence, min(min(acq_date)) OVER () AS query_start, max(max(acq_date)) OVER () AS query_end, count(*) AS n, CAST(sum(acq_time) AS BIGINT) AS times, max(latitude) AS north FROM fires_raw GROUP BY confidence",
-    "json_events": f"{duck('fires_raw')} SELECT least(DATE '2024-01-18', min(acq_date)) AS query_start, greatest(DATE '2024-01-20', max(acq_date)) AS query_end, count(*) AS event_count FROM fires_raw",
+    "json_events": f"{duck('fires_raw')} SELECT 'VIIRS_NOAA20_NRT' AS firms_source, least(DATE '2024-01-18', min(acq_date)) AS query_start, greatest(DATE '2024-01-20', max(acq_date)) AS query_end, count(*) AS event_count, "
+    "TIMESTAMP '2024-01-20 06:00:00' AS fetched_at_utc, 'scheduled_2024-01-20T06_00' AS run_id FROM fires_raw",
     "resumed_parts": f"{duck('fires_raw')} SELECT firms_source, acq_date, count(*) AS n FROM fires_raw GROUP BY 1, 2",
     "geojson_risks": f"{ALL}, {PRED} SELECT grid_id, date, round(risk_score, 6) + 0.0 AS risk_score, risk_level FROM pred",
     "new_subscribers": f"{duck('subscribers')} SELECT 'email' AS channel, s_name AS address, (SELECT max(id) FROM subscribers) + row_number() OVER (ORDER BY s_name) AS id, 'active' AS status, TIMESTAMP '2024-02-01 00:00:00' AS created_at FROM supplier",
@@ -207,3 +211,64 @@ ORACLE_SQL |= {
     "SELECT cluster_id, count(*) AS point_count, round(avg(confidence_score), 6) + 0.0 AS mean_confidence_score, round(max(frp), 6) + 0.0 AS max_frp, min(acquired_at) AS start_time, max(acquired_at) AS end_time FROM db WHERE cluster_id >= 0 GROUP BY 1",
 }
 ORACLE_SQL["stored_day_risks"] = ORACLE_SQL["day_risks"]
+
+#: A hull's edges have all other places on their left; its ring is walked from the least place on.
+HULLS = f"""{RALL}, {DB}, s AS (SELECT DISTINCT cluster_id, longitude AS x, latitude AS y FROM db WHERE cluster_id >= 0),
+g AS (SELECT cluster_id, x, y, dense_rank() OVER (PARTITION BY cluster_id ORDER BY x, y) AS n FROM s),
+t AS (SELECT a.cluster_id, a.n AS a, b.n AS b, (b.x - a.x) * (p.y - a.y) - (b.y - a.y) * (p.x - a.x) AS side, p.x BETWEEN least(a.x, b.x) AND greatest(a.x, b.x) AND p.y BETWEEN least(a.y, b.y) AND greatest(a.y, b.y) AS between_
+      FROM g a JOIN g b ON a.cluster_id = b.cluster_id AND a.n <> b.n JOIN g p ON p.cluster_id = a.cluster_id),
+e AS (SELECT cluster_id, a, b FROM t GROUP BY ALL HAVING bool_and(side > 0 OR (side = 0 AND between_))),
+walk(cluster_id, pos, step) AS (SELECT DISTINCT cluster_id, CAST(1 AS BIGINT), 1 FROM e UNION ALL SELECT e.cluster_id, e.b, step + 1 FROM walk JOIN e ON e.cluster_id = walk.cluster_id AND e.a = walk.pos WHERE e.b <> 1),
+r AS (SELECT walk.cluster_id, CAST(count(*) AS INT) AS ring_size, min(x) AS min_lon, min(y) AS min_lat, max(x) AS max_lon, max(y) AS max_lat, list_concat(flatten(list([x, y] ORDER BY step)), first([x, y] ORDER BY step)) AS ring
+      FROM walk JOIN g ON g.cluster_id = walk.cluster_id AND g.n = walk.pos GROUP BY walk.cluster_id HAVING count(*) > 2)
+SELECT * FROM r UNION ALL SELECT cluster_id, 4, x0, y0, x1, y1, [x0, y0, x1, y0, x1, y1, x0, y1, x0, y0]
+FROM (SELECT cluster_id, min(x) - 0.25 AS x0, min(y) - 0.25 AS y0, max(x) + 0.25 AS x1, max(y) + 0.25 AS y1 FROM g WHERE cluster_id NOT IN (SELECT cluster_id FROM r) GROUP BY 1)"""
+
+
+def _model(name: str, k: int | None) -> str:
+    """A model's row: its threshold from even events, its measures on odd ones."""
+    p = "probability" if k is None else f"CAST((event_id * {k}) % 1024 AS DOUBLE) / 1024"
+    area = lambda part: f"""(SELECT CAST(sum(p * (below + q / 2)) AS DOUBLE) / CAST(sum(p) * sum(q) AS DOUBLE) FROM (SELECT p, q, sum(q) OVER (ORDER BY probability) - q AS below FROM {name}_v WHERE part = {part}))"""
+    precise = lambda part: f"""(SELECT CAST(sum(p * (coalesce(tp0 / nullif(k0, 0), tp / k) + tp / k) / 2) / sum(p) AS DOUBLE) FROM (SELECT p, sum(p) OVER o AS tp, sum(p + q) OVER o AS k, sum(p) OVER o - p AS tp0, sum(p + q) OVER o - p - q AS k0 FROM {name}_v WHERE part = {part} WINDOW o AS (ORDER BY probability DESC)))"""
+    return f"""{name}_s AS (SELECT event_id, event_id % 2 AS part, label, {p} AS probability FROM scores),
+{name}_v AS (SELECT part, probability, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS q FROM {name}_s GROUP BY 1, 2),
+{name}_c AS (SELECT part, threshold, count(*) FILTER (label = 1 AND probability >= threshold) AS tp, count(*) FILTER (label = 0 AND probability >= threshold) AS fp, count(*) FILTER (label = 0 AND probability < threshold) AS tn, count(*) FILTER (label = 1 AND probability < threshold) AS fn FROM {name}_s, t GROUP BY 1, 2),
+{name}_m AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS pr, coalesce(tp / nullif(tp + fn, 0), 0) AS rc FROM {name}_c),
+{name}_f AS (SELECT *, coalesce(2 * pr * rc / nullif(pr + rc, 0), 0) AS f FROM {name}_m),
+{name}_k AS (SELECT greatest(1, CAST(round_even(count(*) * 0.1, 0) AS BIGINT)) AS k, count(*) FILTER (label = 1) AS all_p FROM {name}_s WHERE part = 1),
+{name}_t AS (SELECT k, all_p, count(*) FILTER (label = 1 AND n <= k) AS hits FROM (SELECT label, row_number() OVER (ORDER BY probability DESC, event_id) AS n FROM {name}_s WHERE part = 1), {name}_k GROUP BY 1, 2),
+{name}_r AS (SELECT '{name}' AS model, {area(0)} AS validation_auc_roc, {precise(0)} AS validation_auc_pr, {area(1)} AS auc_roc, {precise(1)} AS auc_pr, pr AS "precision", rc AS recall, f AS f1, (tp + tn) / (tp + tn + fp + fn) AS accuracy,
+  coalesce(tn / nullif(tn + fp, 0), 0) AS specificity, hits / k AS precision_at_k, coalesce(hits / nullif(all_p, 0), 0) AS recall_at_k, k, threshold AS optimal_threshold, tp AS true_positive, fp AS false_positive, tn AS true_negative, fn AS false_negative
+  FROM {name}_f, {name}_t WHERE part = 1 AND threshold = (SELECT threshold FROM {name}_f WHERE part = 0 ORDER BY f DESC, rc DESC, fp LIMIT 1))"""
+
+
+ROUNDED = ["validation_auc_roc", "validation_auc_pr", "auc_roc", "auc_pr", "precision", "recall", "f1", "accuracy", "specificity", "precision_at_k", "recall_at_k", "optimal_threshold"]
+PAYLOAD = """'{"grid_id":"' || grid_id || '","date":"' || CAST(date AS STRING) || '","risk_level":' || risk_level || ',"shown":' || CASE WHEN risk_level > 0 THEN CAST(risk_level AS STRING) ELSE 'null' END || '}'"""
+ORACLE_SQL |= {
+    "cluster_hulls": HULLS,
+    "model_comparison": f"""{SCORES}, t AS (SELECT CAST(unnest([0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8]) AS DOUBLE) AS threshold),
+{_model('baseline', None)}, {_model('forest', 104729)}, {_model('boosted', 1299709)},
+a AS (SELECT * FROM baseline_r UNION ALL SELECT * FROM forest_r UNION ALL SELECT * FROM boosted_r),
+u AS (SELECT a.*, CASE model WHEN 'forest' THEN auc_roc - (SELECT auc_roc FROM baseline_r) WHEN 'boosted' THEN auc_roc - (SELECT auc_roc FROM forest_r) END AS up FROM a)
+SELECT model, """ + ", ".join(f'round("{c}", 6) + 0.0 AS "{c}"' for c in ROUNDED) + """, k, true_positive, false_positive, true_negative, false_negative,
+  round(up, 6) + 0.0 AS uplift, up >= CASE model WHEN 'forest' THEN 0.03 ELSE 0 END AS target_met, model = (SELECT model FROM a ORDER BY validation_auc_roc DESC, model DESC LIMIT 1) AS is_best FROM u""",
+    "recent_detections": f"{duck('fires_raw')} SELECT DISTINCT event_id, acquired_at FROM fires_raw WHERE acquired_at >= TIMESTAMP '2024-01-19 06:00:00'",
+    "sniffed_texts": """WITH s AS (SELECT CASE CAST(o_orderkey % 7 AS INT) WHEN 0 THEN '' WHEN 1 THEN ' 12 ' WHEN 2 THEN '-3.5' WHEN 3 THEN 'n/a' WHEN 4 THEN CAST(o_totalprice AS STRING) WHEN 5 THEN '007' ELSE '1e3' END AS v FROM orders),
+k AS (SELECT v, CASE WHEN v = '' THEN NULL WHEN regexp_full_match(trim(v), '[+-]?[0-9]+') THEN 'int' WHEN try_cast(v AS DOUBLE) IS NOT NULL THEN 'float' ELSE 'string' END AS kind FROM s)
+SELECT kind, count(*) AS n, CAST(sum(CASE WHEN kind = 'int' THEN try_cast(v AS BIGINT) END) AS BIGINT) AS ints, max(CASE WHEN kind = 'float' THEN try_cast(v AS DOUBLE) END) AS most, min(CASE WHEN kind = 'string' THEN v END) AS least FROM k GROUP BY kind""",
+    "strict_times": """SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN CASE CAST(o_orderkey % 5 AS INT) WHEN 0 THEN TIMESTAMP '2024-03-01 09:30:00' WHEN 1 THEN TIMESTAMP '2024-03-01 00:07:00' WHEN 4 THEN TIMESTAMP '2024-03-01 00:00:00' END END AS at FROM orders""",
+    "active_fire_kpis": f"{ALL} SELECT count(*) AS active_fires, round(avg(frp), 6) + 0.0 AS mean_frp FROM fires WHERE acq_date = DATE '2024-01-15' AND longitude BETWEEN 102 AND 110 AND latitude BETWEEN 13 AND 19 AND confidence_score >= 50",
+    "anomaly_flags": f"{ALL}, h AS (SELECT grid_id, avg(fire_count) AS mean, coalesce(stddev_samp(fire_count), 0) AS std FROM features WHERE date < (SELECT max(date) FROM features) GROUP BY 1) "
+    "SELECT fire_count > 0 AND fire_count > coalesce(mean, 0) + coalesce(std, 0) AS is_anomaly, count(*) AS grid_days FROM features LEFT JOIN h USING (grid_id) WHERE date = (SELECT max(date) FROM features) GROUP BY 1",
+    "weather_summary": f"{ALL}, d AS (SELECT * FROM features WHERE date = DATE '2024-01-15') " + " UNION ALL ".join(f"SELECT '{c}' AS measure, round(avg({c}), 6) + 0.0 AS mean FROM d" for c in ("temperature_2m_max", "relative_humidity_2m_min", "wind_speed_10m_max", "precipitation_sum")),
+    "served_count": f"{ALL}, {PRED} SELECT count(*) AS cached_predictions FROM pred",
+    "dates_known": f"{ALL}, {PRED} SELECT date FROM pred UNION SELECT acq_date FROM fires",
+    "listed_alerts": f"{ALL}, {PRED} SELECT grid_id, date, latitude, longitude, round(risk_score, 6) + 0.0 AS risk_score, risk_level FROM pred p WHERE risk_level >= 1 AND date IN (DATE '2024-01-03', DATE '2024-01-15') ORDER BY p.risk_level DESC, p.risk_score DESC, grid_id, date LIMIT 20",
+    "prediction_payloads": f"{ALL}, {PRED} SELECT grid_id, date, CAST(length({PAYLOAD}) AS INT) AS size, risk_level, CASE WHEN risk_level > 0 THEN CAST(risk_level AS STRING) END AS shown FROM pred",
+    "stored_profile": f"{ALL} " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS \"rows\", count(*) FILTER ({c} IS NULL) AS nulls, round(min({c}), 6) + 0.0 AS low, round(max({c}), 6) + 0.0 AS high, round(avg({c}), 6) + 0.0 AS mean FROM fires" for c in ("latitude", "frp", "confidence_score")),
+    "stored_trend": ORACLE_SQL["monthly_trend"],
+    "topic_sample": f"""{ALL}, {PRED}, m AS (SELECT 'alerts' AS topic, CAST(day(date) % 3 AS INT) AS "partition", row_number() OVER (PARTITION BY day(date) % 3 ORDER BY date, grid_id) AS "offset", grid_id AS key, day(date) % 2 = 0 AS alert, * FROM pred WHERE risk_level > 0)
+SELECT topic, "partition", "offset", key, CASE WHEN alert THEN grid_id || '|' || CAST(date AS STRING) END AS alert_id, CASE WHEN alert THEN grid_id END AS grid_id, CAST(NULL AS BIGINT) AS fire_count, CASE WHEN alert THEN 'high' END AS severity,
+  CASE WHEN NOT alert THEN CAST(date AS STRING) END AS acq_date, CAST(NULL AS STRING) AS acq_time, CASE WHEN NOT alert THEN round(latitude, 6) + 0.0 END AS latitude, CASE WHEN NOT alert THEN round(longitude, 6) + 0.0 END AS longitude, CAST(NULL AS STRING) AS confidence
+FROM m ORDER BY topic, m."partition", m."offset" LIMIT 25""",
+}

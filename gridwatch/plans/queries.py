@@ -18,8 +18,10 @@ from gridwatch.operators import geo
 from gridwatch.operators import learn as L
 from gridwatch.operators import measures as M
 from gridwatch.operators import nearest as N
+from gridwatch.operators import partials as PA
 from gridwatch.operators import serving as S
 from gridwatch.sources import files as FI
+from gridwatch.sources import topics as TO
 from gridwatch.sources.fixtures import view
 from gridwatch.sources.shared import new_path
 
@@ -163,10 +165,10 @@ def point_cells(spark, d):
 
 
 def boundary_cells(spark, d):
-    cells = geo.grid_product(spark, GRID, BOUNDARY_BOX)
+    """The grid of the boundary with its defaults, and each cell's fires."""
     counts = GRID.with_cells(fires(spark, d)).groupBy("grid_id").agg(F.count(F.lit(1)).alias("n"))
-    touched = geo.touched_cells(cells, view(spark, d, "edges"), GRID)
-    return touched.join(counts, "grid_id", "left").select("grid_id", "grid_lat", "grid_lon", F.coalesce("n", F.lit(0)).alias("fires"))
+    cells = geo.full_grid(view(spark, d, "edges"), GRID, BOUNDARY_BOX)
+    return cells.join(counts, "grid_id", "left").select("grid_id", "grid_lat", "grid_lon", *geo.DEFAULTS, F.coalesce("n", F.lit(0)).alias("fires")).orderBy("grid_lat", "grid_lon")
 
 
 def clipped_boundary(spark, d):
@@ -195,10 +197,10 @@ def nearest_station(spark, d):
 
 
 def dense_calendar(spark, d):
-    every = view(spark, d, "hourly_obs")
-    wet = FE.station_daily(every.filter("prcp > 25"))
-    ids = every.select("station_id").distinct().withColumn("date", F.explode(F.expr("sequence(date'2024-01-01', date'2024-01-30', interval 1 day)")))
-    return ids.join(wet.select("station_id", "date", "precipitation_sum"), ["station_id", "date"], "left").groupBy("station_id").agg(F.count(F.lit(1)).alias("days"), F.count("precipitation_sum").alias("known"))
+    """Each station's January: its days, those with a known amount of rain and that amount."""
+    daily = FE.station_daily(view(spark, d, "hourly_obs")).select("station_id", "date", "precipitation_sum")
+    whole = FO.dense_calendar(daily, "station_id", "2024-01-01", "2024-01-30")
+    return rounded(whole.groupBy("station_id").agg(F.count(F.lit(1)).alias("days"), F.count("precipitation_sum").alias("known"), F.sum("precipitation_sum").alias("rain")))
 
 
 def monthly_trend(spark, d):
@@ -253,9 +255,11 @@ def subscriber_top(spark, d):
 
 
 def subscriber_upsert(spark, d):
-    old = view(spark, d, "subscribers").select("id", "channel", "address", "min_severity_rank", "status")
-    new = old.filter("id % 7 = 0").withColumns({"min_severity_rank": F.lit(0), "status": F.lit("active")})
-    return C.upsert(old, new, ["channel", "address"]).groupBy("status", "min_severity_rank").agg(F.count(F.lit(1)).alias("n"))
+    """The subscribers after requests of every seventh one and of suppliers, who are new."""
+    old = view(spark, d, "subscribers").select("id", "channel", "address", "min_severity_rank", "bbox_min_lon", "status")
+    again = old.filter("id % 7 = 0").select("channel", "address", F.lit(0).alias("min_severity_rank"), F.lit(None).cast("double").alias("bbox_min_lon"))
+    new = spark.read.parquet(f"{d}/supplier.parquet").select(F.lit("email").alias("channel"), F.col("s_name").alias("address"), F.lit(1).alias("min_severity_rank"), F.lit(100.0).alias("bbox_min_lon"))
+    return S.subscribe(old, again.unionByName(new), F.lit("2024-02-01").cast("timestamp_ntz"))
 
 
 def hot_zones(spark, d):
@@ -442,12 +446,13 @@ def auc_pr(spark, d):
 
 
 def model_comparison(spark, d):
-    """Two models' scores, tuned on even events and told of odd ones."""
+    """Three models' scores, tuned on even events and told of odd ones, each against its own base."""
     one = view(spark, d, "scores")
-    two = one.withColumn("probability", F.pmod(F.col("event_id") * 104729, F.lit(1024)) / 1024)
+    other = lambda k: one.withColumn("probability", F.pmod(F.col("event_id") * k, F.lit(1024)) / 1024)
     half = lambda df, k: df.filter(F.col("event_id") % 2 == k)
-    rows = [M.evaluation(half(s, 0), half(s, 1), name, THRESHOLDS) for name, s in (("first", one), ("second", two))]
-    return rounded(M.compared(rows[0].unionByName(rows[1]), "first"))
+    rows = [M.evaluation(half(s, 0), half(s, 1), name, THRESHOLDS) for name, s in (("baseline", one), ("forest", other(104729)), ("boosted", other(1299709)))]
+    whole = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return rounded(M.compared(whole, {"forest": ("baseline", 0.03), "boosted": ("forest", 0.0)}))
 
 
 def csv_detections(spark, d):
@@ -459,11 +464,12 @@ def csv_detections(spark, d):
 
 
 def json_events(spark, d):
-    """Detections written as JSON objects and read again, with the window that their fetch covers."""
-    raw = view(spark, d, "fires_raw").select("event_id", "acq_date", "frp", "confidence")
+    """Detections written as JSON objects and read again, with the marker of the window that their fetch covers."""
+    raw = view(spark, d, "fires_raw").select("event_id", "acq_date", "frp", "confidence", F.lit("2024-01-20 06:00:00").alias("fetched_at_utc"))
     FI.write_json(raw, path := new_path(spark, "events"))
     back = spark.read.schema(raw.schema).json(path)
-    return FI.coverage_marker(back, F.lit("2024-01-20 06:00:00").cast("timestamp"), 48)
+    made = FI.coverage_marker(back, "VIIRS_NOAA20_NRT", "scheduled 2024-01-20T06:00", 48)
+    return made.withColumn("fetched_at_utc", F.col("fetched_at_utc").cast("timestamp_ntz"))
 
 
 def resumed_parts(spark, d):
@@ -476,11 +482,10 @@ def resumed_parts(spark, d):
 
 
 def geojson_risks(spark, d):
-    """Predictions written as a GeoJSON collection for each day, and their properties read again."""
+    """Predictions written as GeoJSON collections of each day, and their properties read again."""
     rows = predictions(spark, d).select("grid_id", "date", "risk_score", "risk_level", "latitude", "longitude")
     one = FI.geojson_features(rows, FI.point_geometry("longitude", "latitude"), ["grid_id", "date", "risk_score", "risk_level"])
-    day = F.get_json_object("value", "$.properties.date")
-    whole = one.groupBy(day.alias("day")).agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value"))
+    whole = FI.feature_collections(one, F.get_json_object("value", "$.properties.date"), 50, "day")
     whole.select("value").write.option("maxRecordsPerFile", 1).text(path := new_path(spark, "risks"))
     return rounded(FI.feature_rows(spark, path, "grid_id string, date date, risk_score double, risk_level int"))
 
@@ -502,6 +507,93 @@ def stored_day_risks(spark, d):
     return rounded(S.day_filter(spark.read.parquet(path), "2024-01-15", CENTRAL))
 
 
+def recent_detections(spark, d):
+    """Detections of the 30 hours before noon of 20 January."""
+    raw = view(spark, d, "fires_raw").withColumn("acquired_at", F.col("acquired_at").cast("timestamp_ntz"))
+    return C.recent(raw, 30, F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")).select("event_id", "acquired_at").distinct()
+
+
+def sniffed_texts(spark, d):
+    """Texts of orders as numbers, whole or not, or as texts."""
+    text = F.element_at(F.array(F.lit(""), F.lit(" 12 "), F.lit("-3.5"), F.lit("n/a"), F.col("o_totalprice").cast("string"), F.lit("007"), F.lit("1e3")), (1 + F.col("o_orderkey") % 7).cast("int"))
+    said = spark.read.parquet(f"{d}/orders.parquet").select(text.alias("text")).withColumn("v", FI.sniff("text"))
+    return said.groupBy(F.when(F.col("v.int").isNotNull(), "int").when(F.col("v.float").isNotNull(), "float").when(F.col("v.string").isNotNull(), "string").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum("v.int").alias("ints"), F.max("v.float").alias("most"), F.min("v.string").alias("least"))
+
+
+def strict_times(spark, d):
+    """Times that can't be read are null here, not midnight."""
+    keys = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.element_at(F.array(F.lit("0930"), F.lit("7"), F.lit("2460"), F.lit("ab"), F.lit(None)), (1 + F.col("o_orderkey") % 5).cast("int")).alias("hhmm"), F.when(F.col("o_orderkey") % 3 == 0, "2024-13-01").otherwise("2024-03-01").alias("day"))
+    return keys.select("o_orderkey", G.acquired_or_null("day", "hhmm").cast("timestamp_ntz").alias("at"))
+
+
+def active_fire_kpis(spark, d):
+    return rounded(S.active_fires(fires(spark, d), "2024-01-15", CENTRAL, 50.0))
+
+
+def anomaly_flags(spark, d):
+    return S.anomaly_counts(M.anomalies(features(spark, d), 1.0))
+
+
+def weather_summary(spark, d):
+    return rounded(S.weather_means(features(spark, d).filter("date = date'2024-01-15'")))
+
+
+def served_count(spark, d):
+    return S.served_rows(predictions(spark, d))
+
+
+def dates_known(spark, d):
+    """Days with predictions or fires."""
+    return S.known_dates((predictions(spark, d), "date"), (fires(spark, d), "acq_date"))
+
+
+def listed_alerts(spark, d):
+    """Alerts of two listed days."""
+    return rounded(AL.top_alerts(predictions(spark, d), 1, 20, dates=["2024-01-03", "2024-01-15"]))
+
+
+def prediction_payloads(spark, d):
+    """What the serving table keeps of each prediction as JSON, by its length and two of its fields."""
+    rows = S.with_payload(predictions(spark, d).select("grid_id", "date", "risk_level", F.when(F.col("risk_level") > 0, F.col("risk_level")).alias("shown")))
+    return rows.select("grid_id", "date", F.length("payload").alias("size"), F.get_json_object("payload", "$.risk_level").cast("int").alias("risk_level"), F.get_json_object("payload", "$.shown").alias("shown"))
+
+
+def _stored_parts(spark, d) -> DataFrame:
+    """Aggregates of fires by day, the first half of the month before the other."""
+    every = fires(spark, d).select("acq_date", "latitude", "frp", "confidence_score", "event_id")
+    source, path = new_path(spark, "days"), new_path(spark, "aggregates")
+    for days in ("acq_date < date'2024-01-15'", "acq_date >= date'2024-01-15'"):
+        every.filter(days).write.mode("append").partitionBy("acq_date").parquet(source)
+        PA.add_parts(spark, source, path, "acq_date", ["latitude", "frp", "confidence_score"], ["event_id"])
+    return spark.read.parquet(path)
+
+
+def stored_profile(spark, d):
+    """The profile of fires from their days' stored aggregates."""
+    return rounded(PA.merged_profile(_stored_parts(spark, d), ["latitude", "frp", "confidence_score"]).drop("median", "distinct_keys"))
+
+
+def stored_trend(spark, d):
+    return rounded(PA.merged_trend(_stored_parts(spark, d), "acq_date", "frp"))
+
+
+def topic_sample(spark, d):
+    """The first records of a topic of alerts and detections."""
+    made = predictions(spark, d).filter("risk_level > 0").select(
+        F.lit("alerts").alias("topic"), (F.dayofmonth("date") % 3).alias("partition"), F.row_number().over(Window.partitionBy(F.dayofmonth("date") % 3).orderBy("date", "grid_id")).cast("long").alias("offset"), F.col("grid_id").alias("key"),
+        F.when(F.dayofmonth("date") % 2 == 0, F.to_json(F.struct(F.concat_ws("|", "grid_id", F.col("date").cast("string")).alias("alert_id"), "grid_id", F.lit("high").alias("severity")))).otherwise(F.to_json(F.struct(F.col("date").cast("string").alias("acq_date"), "latitude", "longitude"))).alias("value"),
+    )
+    return rounded(TO.sampled(made, 25))
+
+
+def model_candidates(spark, d):
+    """Forests of two depths, tried by cross-validation on the days up to 20 January."""
+    table = FE.advanced(features(spark, d)).withColumn("label", F.col("fire_occurred")).filter("date <= date'2024-01-20'")
+    names = ["temperature_2m_max", "precipitation_sum_7days", "lat_band", "lon_band", "dayofyear_sin"]
+    fitted = L.tuned(L.weighted(table), names, "forest", 2, grid={"numTrees": [10], "maxDepth": [2, 4]})
+    return L.candidates(fitted, names, "forest", 2)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -510,5 +602,6 @@ QUERIES = {
         monthly_trend, annual_rollup, risk_by_day, zscore_anomalies, latest_cells, top_predictions, alert_matches, undelivered_alerts, subscriber_top, subscriber_upsert, hot_zones, class_weights,
         threshold_curve, best_threshold, top_fraction, calibration_bins, auc_roc, dbscan_points, recent_clusters, cluster_hulls, forest_scores, forecast_rows, missing_days, latest_ndvi, request_answers, risk_kpis, day_risks, newest_fires, peak_month, cluster_facts, clustering_counts, cell_stations, delivery_counts,
         subscriber_changes, boxes, normal_alerts, risk_cards, top_scores, severity_rejects, alert_messages, alert_texts, point_weather, auc_pr, model_comparison, csv_detections, json_events, resumed_parts, geojson_risks, new_subscribers, order_days, stored_day_risks,
+        recent_detections, sniffed_texts, strict_times, active_fire_kpis, anomaly_flags, weather_summary, served_count, dates_known, listed_alerts, prediction_payloads, stored_profile, stored_trend, topic_sample, model_candidates,
     )
 }

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from gridwatch.operators.clean import conform
+from gridwatch.operators.clean import conform, conform_detections
+from gridwatch.functions.grid import safe_name
 from gridwatch.sources.shared import materialize
 
 
@@ -21,7 +22,7 @@ def read_optional(spark: SparkSession, path: str, required: bool = False) -> Dat
 
 def read_detections(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV detections with a header, conformed: bad values and absent columns become null."""
-    return conform(spark.read.option("header", True).csv(path), schema)
+    return conform_detections(spark.read.option("header", True).csv(path), schema)
 
 
 def read_events(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -38,11 +39,16 @@ def stamped(df: DataFrame, source: str, start: str | None = None, end: str | Non
     return named.crossJoin(F.broadcast(days))
 
 
-def coverage_marker(events: DataFrame, fetched_at: Column, hours: int, date: str = "acq_date") -> DataFrame:
-    """One row: the window that a fetch covers, widened to the events' days, and how many events there are."""
-    known = events.agg(F.min(date).alias("low"), F.max(date).alias("high"), F.count(F.lit(1)).alias("event_count"))
-    since = F.to_date(fetched_at - F.make_dt_interval(hours=F.lit(hours)))
-    return known.select(F.least(since, "low").alias("query_start"), F.greatest(F.to_date(fetched_at), "high").alias("query_end"), "event_count")
+def coverage_marker(events: DataFrame, source: str, run_id: str, hours: int, now: Column | None = None, date: str = "acq_date", fetched: str = "fetched_at_utc") -> DataFrame:
+    """One row: firms_source, the window that a fetch covers, widened to the events' days, event_count, fetched_at_utc and run_id.
+
+    A fetch was at its events' newest `fetched` time, or without any at `now` (else the moment). The run's id becomes a safe name.
+    """
+    newest = F.max(F.col(fetched).try_cast("timestamp")) if fetched in events.columns else F.lit(None).cast("timestamp")
+    known = events.agg(F.min(date).alias("low"), F.max(date).alias("high"), F.count(F.lit(1)).alias("event_count"), newest.alias("_newest"))
+    at = F.coalesce("_newest", F.current_timestamp() if now is None else now)
+    since = F.to_date(at - F.make_dt_interval(hours=F.lit(hours)))
+    return known.select(F.lit(source).alias("firms_source"), F.least(since, "low").alias("query_start"), F.greatest(F.to_date(at), "high").alias("query_end"), "event_count", at.alias("fetched_at_utc"), safe_name(F.lit(run_id)).alias("run_id"))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -137,9 +143,12 @@ def date_windows(spark: SparkSession, start: str, end: str, days: int) -> DataFr
 
 
 def sniff(column: str) -> Column:
-    """The kind of a text value: null, int, float or string."""
+    """A text value as what it holds: a struct of which one field at most is set: `int`, `float` or `string`; none for an empty text."""
     c = F.col(column)
-    return F.when((c == "") | c.isNull(), None).when(c.try_cast("long").isNotNull(), "int").when(c.try_cast("double").isNotNull(), "float").otherwise("string")
+    whole, number = c.try_cast("long"), c.try_cast("double")
+    whole = F.when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), whole)
+    text = F.when((c != "") & whole.isNull() & number.isNull(), c)
+    return F.struct(whole.alias("int"), F.when(whole.isNull(), number).alias("float"), text.alias("string"))
 
 
 def polygon_edges(spark: SparkSession, path: str) -> DataFrame:
@@ -159,6 +168,18 @@ def geojson_features(df: DataFrame, geometry: Column, properties: list[str]) ->
     return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), geometry.alias("geometry"))).alias("value"))
 
 
+def feature_collections(features: DataFrame, by: Column, most: int = 5000, name: str = "part") -> DataFrame:
+    """GeoJSON collections of `features` (value) by `by`, each of about `most` features at most: (name, value).
+
+    A group's features are dealt to as many collections as it needs, by hash, so no row holds a large group.
+    """
+    named = features.select(by.alias(name), "value")
+    sizes = named.groupBy(name).agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("_of"))
+    dealt = named.join(sizes, name).withColumn("_k", F.pmod(F.xxhash64("value"), F.col("_of")))
+    whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}"))
+    return dealt.groupBy(name, "_k").agg(whole.alias("value")).select(name, "value")
+
+
 def point_geometry(lon: str = "lon", lat: str = "lat") -> Column:
     return F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
 
@@ -171,8 +192,3 @@ def write_archive(df: DataFrame, path: str, date: str = "acq_date") -> None:
 
 def write_csv(df: DataFrame, path: str, fields: list[str]) -> None:
     df.select(fields).write.mode("overwrite").options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
-
-
-def keyed_records(df: DataFrame, key: list[str]) -> DataFrame:
-    """key and JSON value of each row, as a batch Kafka write takes them."""
-    return df.select(F.concat_ws("|", *[F.col(k).cast("string") for k in key]).alias("key"), F.to_json(F.struct("*")).alias("value"))

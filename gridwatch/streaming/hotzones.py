@@ -41,8 +41,3 @@ def write_alerts(alerts: DataFrame, sink: Callable[[DataFrame, int], None], chec
             sink(batch.withColumns({"created_at_utc": F.current_timestamp(), "spark_batch_id": F.lit(batch_id)}), batch_id)
 
     return alerts.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
-
-
-def kafka_rows(alerts: DataFrame) -> DataFrame:
-    """key and JSON value for a Kafka sink."""
-    return alerts.select(F.col("alert_id").alias("key"), F.to_json(F.struct("*")).alias("value"))

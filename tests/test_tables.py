@@ -54,7 +54,7 @@ def test_running_sums_over_crowded_scores(spark):
     rows = spark.range(n).select(F.col("id").alias("event_id"), F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("label"), (F.col("id") / n / 1000).alias("probability"))
     values = measures._above(measures._by_score(rows), ["n"])
     assert values.filter(F.col("n_above") != n - 1 - F.round(F.col("probability") * n * 1000)).count() == 0
-    ranged = measures._ranges(measures._by_score(rows), F.desc("probability")).groupBy("_part").count().collect()
+    ranged = measures.ranges(measures._by_score(rows), F.desc("probability")).groupBy("_part").count().collect()
     assert len(ranged) == 4 and max(r["count"] for r in ranged) < n / 2
     tied = rows.withColumn("probability", F.when(F.col("event_id") % 2 == 0, 0.5).otherwise(F.col("probability")))
     for fraction in (0.1, 0.49999, 0.5, 0.9):
