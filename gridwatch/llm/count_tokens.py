@@ -131,7 +131,7 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """A row for each document: doc_id, n_bytes (UTF-8) and n_tokens under the vocabulary file at `path`.
 
     Equal to the length of what the file's library encodes. One pass without a shuffle; each worker
-    keeps a bounded cache of counts. A null text counts as empty and has no tokens; repeated rows each
-    get a row; other columns are not read.
+    keeps a bounded cache of counts. A null text counts as empty and has no tokens; a null id stays null; repeated rows each
+    get a row; other columns are not read. Very long words merge in time n log n. An empty table gives an empty result.
     """
     return map_arrow(id_and_text(docs), lambda batches: counted(batches, path), "doc_id long, n_bytes long, n_tokens long")

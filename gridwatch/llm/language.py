@@ -11,10 +11,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwatch.llm.common import batch_of, crc_mod, map_arrow, slices
+from gridwatch.llm.common import batch_of, crc_mod, map_arrow, materialize, slices
 
 BUCKETS, ORDERS, PRIOR_COUNT = 1 << 15, (2, 3), 0.5
-#: A language is a row of the broadcast matrix (256 KB); more distinct values than this are refused with an error.
+#: A language is a row of the broadcast matrix (256 KB). More languages than this are scored in blocks of about half as many.
 MAX_LANGUAGES = 256
 #: Languages whose counts a task holds; beyond them they go out and start anew.
 HELD_LANGUAGES = 64
@@ -75,21 +75,22 @@ class LanguageModel:
     prior: np.ndarray
     weights: np.ndarray
 
-    def predict(self, texts: list[bytes]) -> list[tuple[str, float]]:
+    def logs(self, texts: list[bytes]) -> np.ndarray:
         bucket, doc = grams(texts)
         logs = np.empty((len(texts), len(self.languages)))
         for k in range(len(self.languages)):
             logs[:, k] = np.bincount(doc, self.weights[k][bucket], len(texts)) + self.prior[k]
+        return logs
+
+    def predict(self, texts: list[bytes]) -> list[tuple[str, float]]:
+        logs = self.logs(texts)
         best = logs.argmax(axis=1)
         score = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
         return [(self.languages[b], float(s)) for b, s in zip(best, score, strict=True)]
 
 
-def fit(train: DataFrame) -> LanguageModel:
-    """Counts over all training rows (text, lang); the matrix has MAX_LANGUAGES rows at most."""
-    found = train.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if found > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages; the matrix takes no more")
+def fit(train: DataFrame, rows: int | None = None) -> LanguageModel:
+    """Counts over all training rows (text, lang) of MAX_LANGUAGES languages or so; the matrix has a row for each. Priors are shares of `rows`, else of these rows."""
     table = map_arrow(train.select("text", "lang"), gram_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names, at = np.unique(np.array(table["lang"].to_pylist(), object).astype(str), return_inverse=True) if table.num_rows else ([], None)
     if not len(names):
@@ -97,7 +98,40 @@ def fit(train: DataFrame) -> LanguageModel:
     counts = np.zeros((len(names), BUCKETS + 1))
     counts[at, table["bucket"].to_numpy()] = table["n"].to_numpy()
     seen, docs = counts[:, :BUCKETS] + PRIOR_COUNT, counts[:, -1]
-    return LanguageModel([str(x) for x in names], np.log(docs / docs.sum()), np.log(seen / seen.sum(axis=1, keepdims=True)))
+    return LanguageModel([str(x) for x in names], np.log(docs / (docs.sum() if rows is None else rows)), np.log(seen / seen.sum(axis=1, keepdims=True)))
+
+
+#: What is known of a document after some blocks: the best log-probability, its language, and the log of all probabilities' sum.
+CARRIED = "doc_id long, text string, held_out boolean, best double, lang_pred string, whole double"
+
+
+def by_blocks(base: DataFrame, train: DataFrame, blocks: int) -> DataFrame:
+    """`language_id` for any number of languages: dealt to `blocks` by hash, and each block's matrix is broadcast to a pass of its own.
+
+    A pass carries a document's best language and sum of probabilities on, and is written before the next one.
+    """
+    spark, rows = base.sparkSession, train.count()
+    now = base.select("doc_id", "text", "held_out", F.lit(float("-inf")).alias("best"), F.lit("und").alias("lang_pred"), F.lit(float("-inf")).alias("whole"))
+    for k in range(blocks):
+        told = spark.sparkContext.broadcast(fit(train.filter(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == k), rows))
+
+        def add(batches: Iterator[pa.RecordBatch], told=told) -> Iterator[pa.RecordBatch]:
+            model = told.value
+            for batch, texts in slices(batches, most=1 << 17):
+                best, names, whole = (list(batch.column(batch.schema.get_field_index(c)).to_pylist()) for c in ("best", "lang_pred", "whole"))
+                can = [i for i, t in enumerate(texts) if t and model.languages and LETTER.search(t.decode())]
+                if can:
+                    logs = model.logs([texts[i] for i in can])
+                    top, sums = logs.argmax(axis=1), np.logaddexp.reduce(logs, axis=1)
+                    for i, j, total, row in zip(can, top, sums, logs, strict=True):
+                        whole[i] = float(np.logaddexp(whole[i], total))
+                        if (-row[j], model.languages[j]) < (-best[i], names[i]):
+                            best[i], names[i] = float(row[j]), model.languages[j]
+                columns = {"best": best, "lang_pred": names, "whole": whole}
+                yield pa.RecordBatch.from_arrays([pa.array(columns[c], batch.schema.field(c).type) if c in columns else batch.column(i) for i, c in enumerate(batch.schema.names)], schema=batch.schema)
+
+        now = materialize(map_arrow(now, add, CARRIED), "languages")
+    return now.select("doc_id", "held_out", "lang_pred", F.when(F.col("best") == float("-inf"), 0.0).otherwise(F.exp(F.col("best") - F.col("whole"))).alias("score"))
 
 
 def language_id(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
@@ -106,12 +140,16 @@ def language_id(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -
     Learns from every row whose crc32(doc_id) mod `folds` is not `held_out` and whose lang is not null
     (a null text counts as an empty one). Predictions use the text only. Without text or a letter, or
     with nothing to learn from: `und` with score 0. Repeated rows each get a row. Ties go to the
-    language first in order. More than MAX_LANGUAGES distinct languages raise a ValueError before anything is
-    counted. Other columns are not read; an empty table gives an empty result.
+    language first in order. More than MAX_LANGUAGES distinct languages are scored in blocks, with the same result. Very long texts
+    only take time. Other columns are not read; an empty table gives an empty result.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     base = base.withColumn("held_out", crc_mod("doc_id", folds) == held_out)
-    model = fit(base.filter(~F.col("held_out") & F.col("lang").isNotNull()))
+    train = base.filter(~F.col("held_out") & F.col("lang").isNotNull())
+    found = train.select("lang").distinct().count()
+    if found > MAX_LANGUAGES:
+        return by_blocks(base, train, -(-found // (MAX_LANGUAGES // 2)))
+    model = fit(train)
     told = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

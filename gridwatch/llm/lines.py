@@ -179,7 +179,8 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, keep_first: bool = False, ca
     `min_docs` documents (by doc_id; null ids count as one document) lose their lines everywhere, or
     with `keep_first` all but the first one by doc_id and position. Blank lines stay. A null text is one
     empty line. Repeated rows get equal results. `carried` is a struct of the columns named by `carry`; other
-    columns are not read. An empty table gives an empty result. `kept_text` applies the bitmaps.
+    columns are not read. An empty table gives an empty result. Texts of any length are cut in lines row by row, and their lines
+    leave as hashes; a bitmap has a bit a line. Several texts of one id are told apart by th. `kept_text` applies the bitmaps.
     """
     ids = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text").cast("string").alias("text")]
     rows = docs.select(*ids, F.struct(*[F.col(c) for c in carry] or [F.lit(None).cast("string").alias("none")]).alias("carried"))

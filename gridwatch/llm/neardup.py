@@ -136,7 +136,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     wordless text has an empty set and links with nothing. A null doc_id counts as the least id. Repeated
     rows share a component, and all rows with its least id are kept. `component` is one number for each component
     (null without words): one id with different texts can be the least of several. Other columns are not read; an empty table
-    gives an empty result.
+    gives an empty result. Very long texts take time in proportion, and their set of shingle hashes is one row.
     """
     rows = keyed(docs)
     table = materialize(map_arrow(rows, signed, SIGNED_DDL), "signatures")

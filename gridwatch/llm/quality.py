@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -52,12 +53,11 @@ def compression(text: bytes, press: zstandard.ZstdCompressor, bands: tuple) -> t
     low, high = band(len(text), bands)
     fine, seen = low <= whole <= high, []
     if len(text) > CHUNK:
-        for at in range(0, len(text), CHUNK):
-            chunk = text[at : at + CHUNK]
-            if len(chunk) >= LEAST_CHUNK:
-                seen.append(len(chunk) / len(press.compress(chunk)))
-                low, high = band(len(chunk), bands)
-                fine = fine and low <= seen[-1] <= high
+        ends = [*range(CHUNK, len(text) - LEAST_CHUNK + 1, CHUNK), len(text)]  # a short last chunk belongs to the one before
+        for chunk in (text[i:j] for i, j in pairwise([0, *ends])):
+            seen.append(len(chunk) / len(press.compress(chunk)))
+            low, high = band(len(chunk), bands)
+            fine = fine and low <= seen[-1] <= high
     return whole, min(seen, default=whole), max(seen, default=whole), fine
 
 
@@ -115,7 +115,7 @@ def quality_rules(docs: DataFrame, bands: tuple = BANDS) -> DataFrame:
     """A row for each document: its text, counts, ratios, `base_failed` and the verdict `kept`.
 
     One pass without a shuffle; the work for a document needs its text only. A text over 2,048 bytes is also
-    judged by its chunks of 2,048 bytes; a last chunk under 512 bytes is not, as bands say little of it. A null
+    judged by its chunks of 2,048 bytes; a last chunk under 512 bytes is joined to the one before. A null
     text counts as empty, and an empty one has no words and fails. Repeated rows each get their own row;
     other columns of `docs` are not read. An empty table gives an empty result.
     """

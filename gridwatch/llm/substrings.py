@@ -198,7 +198,10 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
     A word goes if a window of 50 consecutive words around it also starts in a document of lesser doc_id,
     as the documents came in. A null text has no words. A null doc_id counts as the least one. Rows of the
-    same doc_id never remove each other's words. Texts with fewer than 50 words stay whole.
+    same doc_id never remove each other's words. Texts with fewer than 50 words stay whole. Only documents with a window that recurs
+    by hash are streamed against passages, which loses none. A whole copy of an earlier document's text is known by the text's
+    64-bit hash and goes as a whole if it has 50 words. Repeated rows get equal results. Very long texts take time and memory in proportion to their length, a text at a time.
+    Other columns are not read; an empty table gives an empty result.
     """
     rows = keyed(docs)
     n_docs = docs.count()
