@@ -88,14 +88,14 @@ def dbscan(points: DataFrame, eps: float, min_points: int) -> DataFrame:
     A place (distinct coordinates) is core if at least `min_points` points lie within eps, its own included.
     Clusters are components of core places; a border place goes to the least cluster among its core
     neighbours. cluster_id is the least point id of the component's core places. Points at one place are
-    counted, not paired; null coordinates are noise.
+    counted, not paired; coordinates that are null or not finite are noise.
 
     Places stand in cells whose diagonal is eps. A cell with `min_points` points is core as a whole and one node, so its places are
     never paired with each other; a cell with fewer has fewer places than `min_points`, and those meet the places of the
     24 cells around. Neighbouring dense cells are tied by `touching`. So work grows with the places, however dense.
     """
     side = eps / 2**0.5 * (1 - 1e-9)
-    known = points.filter("latitude is not null and longitude is not null")
+    known = points.filter((F.abs("latitude") < float("inf")) & (F.abs("longitude") < float("inf")))  # a NaN is greater
     places = known.groupBy("latitude", "longitude").agg(F.min("id").alias("place"), F.count(F.lit(1)).alias("n"))
     places = materialize(places.withColumns({"i": F.floor(F.col("latitude") / side), "j": F.floor(F.col("longitude") / side)}), "places")
     cells = places.groupBy("i", "j").agg(F.min("place").alias("node"), (F.sum("n") >= min_points).alias("dense"), F.ceil(F.count(F.lit(1)) / CELL_PLACES).cast("int").alias("parts"))

@@ -30,7 +30,7 @@ def add_parts(spark: SparkSession, source: str, path: str, part: str, columns: l
     """
     whole, done = spark.read.parquet(source), read_optional(spark, path)
     there = whole.select(part).distinct()
-    new = there if done is None else there.join(done.select(part), part, "left_anti")
+    new = there if done is None else there.join(known := done.select(part), there[part].eqNullSafe(known[part]), "left_anti")
     values = [r[0] for r in new.orderBy(part).collect()]
     if values:
         part_aggregates(new_rows(whole, part, values), part, columns, key).write.mode("append").parquet(path)
@@ -38,7 +38,9 @@ def add_parts(spark: SparkSession, source: str, path: str, part: str, columns: l
 
 
 def new_rows(whole: DataFrame, part: str, values: list) -> DataFrame:
-    return whole.filter(F.col(part).isin(values))
+    """The rows of these parts, null among them or not."""
+    named = F.col(part).isin([v for v in values if v is not None])
+    return whole.filter(named | F.col(part).isNull() if None in values else named)
 
 
 def merged_profile(parts: DataFrame, columns: list[str]) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,10 +68,11 @@ def write_missing_parts(df: DataFrame, path: str, parts: list[str]) -> int:
     spark = df.sparkSession
     done = read_optional(spark, marks := f"{path.rstrip('/')}.done")
     wanted = df.select(*parts).distinct()
-    new = materialize(wanted if done is None else wanted.join(done.distinct(), parts, "left_anti"), "parts")
+    same = lambda a, b: reduce(and_, [a[c].eqNullSafe(b[c]) for c in parts])
+    new = materialize(wanted if done is None else wanted.join(marked := done.distinct(), same(wanted, marked), "left_anti"), "parts")
     count = new.count()
     if count:
-        df.join(new, parts, "left_semi").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+        df.join(new, same(df, new), "left_semi").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
         new.write.mode("append").parquet(marks)
     return count
 

@@ -29,8 +29,9 @@ def test_clusters_of_dense_and_sparse_cells(spark):
     draw = random.Random(2)
     for n, eps, least in ((500, 0.25, 10), (700, 0.5, 30)):
         spots = [(i, round(draw.gauss(3 * (i % 3 > 0), 1), 2), round(draw.gauss(0, 1), 2)) for i in range(n)]
-        got = dbscan(spark.createDataFrame([*spots, (n, None, 1.0)], "id long, latitude double, longitude double"), eps, least).collect()
-        assert {r.id: r.cluster_id for r in got} == {**clusters_by_loops(spots, eps, least), n: -1}
+        odd = [(n, None, 1.0), *((n + 1 + k, float("nan"), 1.0) for k in range(40)), *((n + 50 + k, 1.0, float("inf")) for k in range(40))]
+        got = dbscan(spark.createDataFrame([*spots, *odd], "id long, latitude double, longitude double"), eps, least).collect()
+        assert {r.id: r.cluster_id for r in got} == {**clusters_by_loops(spots, eps, least), **{i: -1 for i, *_ in odd}}
 
 
 def test_clusters_of_one_crowded_cell(spark):
