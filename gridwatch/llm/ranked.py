@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ from pyspark.sql.window import Window
 from gridwatch.llm.common import NOT_TERM, Words, id_and_text, map_arrow, materialize, slices
 
 LIMIT = 50
-#: Items that are sought at once: their terms are sent to every task. More items are sought in more rounds.
-ITEMS = 2048
+#: Items, and bytes of their texts, that are sought at once: their terms are sent to every task. More are sought in more rounds.
+ITEMS, ITEM_BYTES = 2048, 1 << 25
 #: Documents of a block, and the postings after which one ends sooner.
 BLOCK, BLOCK_POSTINGS = 4096, 1 << 20
 #: Intervals that a step splits.
@@ -210,18 +211,20 @@ def lexical_search(docs: DataFrame, items: DataFrame, limit: int = LIMIT) -> Dat
     hashes. Equal scores go by ascending doc_id, a null one last. Null and empty texts have no terms and are never
     found; items without terms have no rows. Repeated documents are each ranked; equal rows of `items` count once, and
     an id with several texts has a list for each. Very long texts take time in proportion. Other columns of both tables are
-    not read; empty tables give an empty result. ITEMS items at a time come to the driver and go to the tasks;
-    each such round reads the texts again.
+    not read; empty tables give an empty result. About ITEMS items of ITEM_BYTES in all at a time come to the driver and go to the
+    tasks; each such round reads the texts again.
     """
     texts = id_and_text(docs).filter("text is not null")
     asked = id_and_text(items, "item_id").filter("text is not null").distinct()
-    rounds = -(-asked.count() // ITEMS)
+    count, size = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    rounds = max(-(-count // ITEMS), -(-size // ITEM_BYTES))
     if not rounds:
         return docs.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    # A bucket has ITEMS rows on average.
+    # A bucket has ITEMS rows and ITEM_BYTES at most on average.
     dealt = asked.withColumn("round", F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)))
-    told = [_round(texts, [(r.doc_id, r.text.encode()) for r in dealt.filter(F.col("round") == k).orderBy("doc_id", "text").toLocalIterator()], limit) for k in range(rounds)]
-    whole = told[0]
-    for t in told[1:]:
-        whole = whole.unionByName(t)
-    return whole
+    told = []
+    for k in range(rounds):
+        rows = [(r.doc_id, r.text.encode()) for r in dealt.filter(F.col("round") == k).orderBy("doc_id", "text").toLocalIterator()]
+        if rows:
+            told.append(_round(texts, rows, limit))
+    return reduce(DataFrame.unionByName, told)

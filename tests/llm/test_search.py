@@ -95,12 +95,15 @@ def sample(seed=5):
     return docs, [(1, "a rare B"), (1, "h x1"), (1, "h x1"), (2, "don't 中文 ünï"), (3, None), (4, ""), (5, "zzz"), (None, "a b c d e f g"), (6, text(30))]
 
 
-def test_ranked_against_loops(spark):
+def test_ranked_against_loops(spark, monkeypatch):
     docs, items = sample()
     frame = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, n long, term string")
     asked = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id long")
     for limit in (7, 50):
         assert sorted(map(tuple, lexical_search(frame, asked, limit).collect()), key=str) == ranked_by_loops(docs, items, limit)
+    whole = sorted(map(tuple, lexical_search(frame, asked, 7).collect()), key=str)
+    monkeypatch.setattr(ranked, "ITEM_BYTES", 40)  # several rounds
+    assert sorted(map(tuple, lexical_search(frame, asked, 7).collect()), key=str) == whole
     assert lexical_search(frame.limit(0), asked).count() == lexical_search(frame, asked.limit(0)).count() == 0
 
 
