@@ -174,11 +174,12 @@ def parsed_alerts(messages: DataFrame, schema: str, value: str = "value") -> Dat
 #: The words of a message, for a forecast and for a hot zone.
 HEADINGS = {"subject": "Wildfire alert (%s): grid %s", "forecast": "Wildfire forecast: %s risk on %s", "zone": "Wildfire alert: %s severity hot zone"}
 OPT_OUT = "You receive this because you subscribed to wildfire alerts. Reply STOP or use the unsubscribe command on the Telegram bot to opt out."
+CHAT_END = "Reply /status for the latest 5 alerts in your region, /unsubscribe to stop."
 CAPTION_LENGTH = 1024
 
 
 def rendered(alerts: DataFrame) -> DataFrame:
-    """alert_id with `subject` and `body` of a mail and `caption` of a picture, for forecasts and hot zones.
+    """alert_id with `subject` and `body` of a mail, `caption` of a picture and the longer `chat` text, for forecasts and hot zones.
 
     Needs the columns of normalized_alerts and forecast_date, threshold, window_start, window_end, map_url. Lines
     of null values are left out; a caption has CAPTION_LENGTH characters at most.
@@ -201,9 +202,13 @@ def rendered(alerts: DataFrame) -> DataFrame:
         said("📍 Grid: <code>", F.concat("grid_id", F.lit("</code>"))), said("🧭 ", place), F.when(forecast, said("📅 Forecast date: ", F.col("forecast_date"))), said("📈 Risk score: ", score),
         F.when(~forecast, line("🔥 Fires: %d (>%d / %s → %s)", "fire_count", "threshold", "window_start", "window_end")), said("🆔 <code>", F.concat("alert_id", F.lit("</code>"))),
     ]
+    chat = [
+        *shown[:3], said("🧭 Location: ", place), *shown[4:6], F.when(~forecast, line("🔥 Fire count: %d (threshold: %d)", "fire_count", "threshold")), F.when(~forecast, line("🕐 Window: %s → %s", "window_start", "window_end")),
+        said("🆔 Alert ID: <code>", F.concat("alert_id", F.lit("</code>"))), F.coalesce(said("🗺️ Map: ", F.col("map_url")), F.lit("")), F.lit(""), F.lit(CHAT_END), F.lit(""),
+    ]
     return alerts.select(
         "alert_id", F.format_string(HEADINGS["subject"], word, "grid_id").alias("subject"), F.concat_ws("\n", head, F.lit(""), *lines, F.lit(""), F.lit(OPT_OUT)).alias("body"),
-        F.left(F.concat_ws("\n", *shown), F.lit(CAPTION_LENGTH)).alias("caption"),
+        F.left(F.concat_ws("\n", *shown), F.lit(CAPTION_LENGTH)).alias("caption"), F.concat_ws("\n", *chat).alias("chat"),
     )
 
 

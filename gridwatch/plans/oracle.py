@@ -191,7 +191,9 @@ ORACLE_SQL |= {
     "SELECT alert_id, 'Wildfire alert (' || w || '): grid ' || grid_id AS subject, concat_ws(chr(10), CASE WHEN zone THEN 'Wildfire alert: ' || w || ' severity hot zone' ELSE 'Wildfire forecast: ' || w || ' risk on ' || d END, '', 'Grid: ' || grid_id, 'Location: ' || place, CASE WHEN NOT zone THEN 'Forecast date: ' || d END, "
     "CASE WHEN NOT zone THEN 'Risk score: ' || printf('%.2f', risk_score) END, CASE WHEN zone THEN 'Fire count: 6 (threshold 5)' END, CASE WHEN zone THEN 'Window: ' || d || ' -> ' || d END, 'Alert ID: ' || alert_id, '', 'You receive this because you subscribed to wildfire alerts. Reply STOP or use the unsubscribe command on the Telegram bot to opt out.') AS body, "
     "concat_ws(chr(10), CASE WHEN zone THEN '🔥 <b>Wildfire Alert: ' ELSE '🛰️ <b>Wildfire Forecast: ' END || w || '</b>', '', '📍 Grid: <code>' || grid_id || '</code>', '🧭 ' || place, CASE WHEN NOT zone THEN '📅 Forecast date: ' || d END, CASE WHEN NOT zone THEN '📈 Risk score: ' || printf('%.2f', risk_score) END, "
-    "CASE WHEN zone THEN '🔥 Fires: 6 (>5 / ' || d || ' → ' || d || ')' END, '🆔 <code>' || alert_id || '</code>') AS caption FROM n",
+    "CASE WHEN zone THEN '🔥 Fires: 6 (>5 / ' || d || ' → ' || d || ')' END, '🆔 <code>' || alert_id || '</code>') AS caption, "
+    "concat_ws(chr(10), CASE WHEN zone THEN '🔥 <b>Wildfire Alert: ' ELSE '🛰️ <b>Wildfire Forecast: ' END || w || '</b>', '', '📍 Grid: <code>' || grid_id || '</code>', '🧭 Location: ' || place, CASE WHEN NOT zone THEN '📅 Forecast date: ' || d END, CASE WHEN NOT zone THEN '📈 Risk score: ' || printf('%.2f', risk_score) END, "
+    "CASE WHEN zone THEN '🔥 Fire count: 6 (threshold: 5)' END, CASE WHEN zone THEN '🕐 Window: ' || d || ' → ' || d END, '🆔 Alert ID: <code>' || alert_id || '</code>', '', '', 'Reply /status for the latest 5 alerts in your region, /unsubscribe to stop.', '') AS chat FROM n",
     "risk_cards": f"{ALL}, {PRED} SELECT grid_id AS \"Cell\", date AS \"Date\", CASE risk_level WHEN 2 THEN 'High' WHEN 1 THEN 'Medium' END AS \"Risk\", round(risk_score, 3) AS \"Score\" FROM pred WHERE risk_level >= 1 ORDER BY risk_level DESC, risk_score DESC, grid_id, date LIMIT 20",
     "point_weather": f"{ALL} SELECT id AS point_id, station_id, count(*) AS days, round(max(temperature_2m_max), 6) + 0.0 AS hottest FROM subscribers JOIN daily ON station_id = 1 + id % 10 GROUP BY 1, 2",
     "auc_pr": f"{PR} SELECT round(CAST(sum(p * (coalesce(tp0 / nullif(k0, 0), tp / k) + tp / k) / 2) / sum(p) AS DOUBLE), 6) AS auc_pr FROM w",
