@@ -133,18 +133,23 @@ def calibration(scores: DataFrame, bins: int = 10) -> DataFrame:
     return scores.groupBy(b).agg(F.count(F.lit(1)).alias("n"), F.avg("probability").alias("mean_predicted"), F.avg("label").alias("actual_rate"))
 
 
+def areas(scores: DataFrame) -> DataFrame:
+    """One row (auc, auc_pr), from counts by score that are summed from the top once."""
+    ranked = _above(_by_score(scores), ["p", "q"])
+    roc = F.try_divide(F.sum(F.col("q") * (F.col("p_above") + F.col("p") / 2)), F.sum("p") * F.sum("q"))
+    after = (F.col("p_above") + F.col("p")) / (F.col("p_above") + F.col("p") + F.col("q_above") + F.col("q"))
+    before = F.coalesce(F.try_divide("p_above", F.col("p_above") + F.col("q_above")), after)
+    return ranked.agg(roc.alias("auc"), F.try_divide(F.sum(F.col("p") * (before + after) / 2), F.sum("p")).alias("auc_pr"))
+
+
 def auc_roc(scores: DataFrame) -> DataFrame:
-    """The rank statistic with ties at one half, from counts by score; null without rows of both labels."""
-    ranked = _above(_by_score(scores), ["p"])
-    return ranked.agg(F.try_divide(F.sum(F.col("q") * (F.col("p_above") + F.col("p") / 2)), F.sum("p") * F.sum("q")).alias("auc"))
+    """The rank statistic with ties at one half; null without rows of both labels."""
+    return areas(scores).select("auc")
 
 
 def auc_pr(scores: DataFrame) -> DataFrame:
     """The area under precision by recall, as trapezoids between scores, begun at the first one's precision; null without positives."""
-    ranked = _above(_by_score(scores), ["p", "q"])
-    after = (F.col("p_above") + F.col("p")) / (F.col("p_above") + F.col("p") + F.col("q_above") + F.col("q"))
-    before = F.coalesce(F.try_divide("p_above", F.col("p_above") + F.col("q_above")), after)
-    return ranked.agg(F.try_divide(F.sum(F.col("p") * (before + after) / 2), F.sum("p")).alias("auc_pr"))
+    return areas(scores).select("auc_pr")
 
 
 def evaluation(validation: DataFrame, test: DataFrame, model: str, thresholds: list[float], fraction: float = 0.1) -> DataFrame:
@@ -152,8 +157,8 @@ def evaluation(validation: DataFrame, test: DataFrame, model: str, thresholds: l
     best = best_threshold(threshold_curve(validation, thresholds)).select(F.col("threshold").alias("optimal_threshold"))
     at = threshold_curve(test, thresholds).join(F.broadcast(best), F.col("threshold") == F.col("optimal_threshold"))
     top = at_top_fraction(test, fraction).select("k", F.col("precision").alias("precision_at_k"), F.col("recall").alias("recall_at_k"))
-    rank = auc_roc(test).select(F.col("auc").alias("auc_roc")).crossJoin(auc_pr(test))
-    own = auc_roc(validation).select(F.col("auc").alias("validation_auc_roc")).crossJoin(auc_pr(validation).select(F.col("auc_pr").alias("validation_auc_pr")))
+    rank = areas(test).withColumnRenamed("auc", "auc_roc")
+    own = areas(validation).select(F.col("auc").alias("validation_auc_roc"), F.col("auc_pr").alias("validation_auc_pr"))
     row = at.crossJoin(rank).crossJoin(own).crossJoin(top).withColumn("model", F.lit(model))
     return row.select(
         "model", "validation_auc_roc", "validation_auc_pr", "auc_roc", "auc_pr", "precision", "recall", "f1", "accuracy", "specificity", "precision_at_k", "recall_at_k", "k", "optimal_threshold",
