@@ -267,6 +267,7 @@ SELECT kind, count(*) AS n, CAST(sum(CASE WHEN kind = 'int' THEN try_cast(v AS B
     "dates_known": f"{ALL}, {PRED} SELECT date FROM pred UNION SELECT acq_date FROM fires",
     "listed_alerts": f"{ALL}, {PRED} SELECT grid_id, date, latitude, longitude, round(risk_score, 6) + 0.0 AS risk_score, risk_level FROM pred p WHERE risk_level >= 1 AND date IN (DATE '2024-01-03', DATE '2024-01-15') ORDER BY p.risk_level DESC, p.risk_score DESC, grid_id, date LIMIT 20",
     "prediction_payloads": f"{ALL}, {PRED} SELECT grid_id, date, CAST(length({PAYLOAD}) AS INT) AS size, risk_level, CASE WHEN risk_level > 0 THEN CAST(risk_level AS STRING) END AS shown FROM pred",
+    "prediction_upsert": f"{ALL}, {PRED} SELECT grid_id, date, round(CASE WHEN date >= DATE '2024-01-15' THEN risk_score / 2 ELSE risk_score END, 6) + 0.0 AS risk_score, CASE WHEN date >= DATE '2024-01-15' THEN 0 ELSE risk_level END AS risk_level FROM pred",
     "stored_profile": f"{ALL} " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS \"rows\", count(*) FILTER ({c} IS NULL) AS nulls, round(min({c}), 6) + 0.0 AS low, round(max({c}), 6) + 0.0 AS high, round(avg({c}), 6) + 0.0 AS mean FROM fires" for c in ("latitude", "frp", "confidence_score")),
     "stored_trend": ORACLE_SQL["monthly_trend"],
     "topic_sample": f"""{ALL}, {PRED}, m AS (SELECT 'alerts' AS topic, CAST(day(date) % 3 AS INT) AS "partition", row_number() OVER (PARTITION BY day(date) % 3 ORDER BY date, grid_id) AS "offset", grid_id AS key, day(date) % 2 = 0 AS alert, * FROM pred WHERE risk_level > 0)

@@ -558,6 +558,14 @@ def prediction_payloads(spark, d):
     return rows.select("grid_id", "date", F.length("payload").alias("size"), F.get_json_object("payload", "$.risk_level").cast("int").alias("risk_level"), F.get_json_object("payload", "$.shown").alias("shown"))
 
 
+def prediction_upsert(spark, d):
+    """The served table after new predictions of the days from 15 January on, twice for some cells: the lower score is kept."""
+    old = predictions(spark, d).select("grid_id", "date", "risk_score", "risk_level").filter("date <= date'2024-01-20'")
+    new = predictions(spark, d).filter("date >= date'2024-01-15'").select("grid_id", "date", (F.col("risk_score") / 2).alias("risk_score"), F.lit(0).alias("risk_level"))
+    again = new.filter(F.dayofmonth("date") % 2 == 0).withColumn("risk_score", F.col("risk_score") + 1)
+    return rounded(C.upsert(old, new.unionByName(again), ["grid_id", "date"], ["risk_score"]))
+
+
 def _stored_parts(spark, d) -> DataFrame:
     """Aggregates of fires by day, the first half of the month before the other."""
     every = fires(spark, d).select("acq_date", "latitude", "frp", "confidence_score", "event_id")
@@ -602,6 +610,6 @@ QUERIES = {
         monthly_trend, annual_rollup, risk_by_day, zscore_anomalies, latest_cells, top_predictions, alert_matches, undelivered_alerts, subscriber_top, subscriber_upsert, hot_zones, class_weights,
         threshold_curve, best_threshold, top_fraction, calibration_bins, auc_roc, dbscan_points, recent_clusters, cluster_hulls, forest_scores, forecast_rows, missing_days, latest_ndvi, request_answers, risk_kpis, day_risks, newest_fires, peak_month, cluster_facts, clustering_counts, cell_stations, delivery_counts,
         subscriber_changes, boxes, normal_alerts, risk_cards, top_scores, severity_rejects, alert_messages, alert_texts, point_weather, auc_pr, model_comparison, csv_detections, json_events, resumed_parts, geojson_risks, new_subscribers, order_days, stored_day_risks,
-        recent_detections, sniffed_texts, strict_times, active_fire_kpis, anomaly_flags, weather_summary, served_count, dates_known, listed_alerts, prediction_payloads, stored_profile, stored_trend, topic_sample, model_candidates,
+        recent_detections, sniffed_texts, strict_times, active_fire_kpis, anomaly_flags, weather_summary, served_count, dates_known, listed_alerts, prediction_payloads, prediction_upsert, stored_profile, stored_trend, topic_sample, model_candidates,
     )
 }
