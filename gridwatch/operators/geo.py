@@ -23,15 +23,18 @@ def within_polygons(points: DataFrame, edges: DataFrame, lat: str = "latitude",
     """Points inside the outer ring (0) and outside all holes of some polygon. Null coordinates are outside. Edges are counted first."""
     if edges.limit(MAX_EDGES + 1).count() > MAX_EDGES:
         return within_cells(points, edges, lat, lon)
-    rings = edges.groupBy("poly", "ring").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
-    polys = rings.groupBy("poly").agg(F.collect_list(F.struct("ring", "edges")).alias("rings"))
-    box = edges.agg(*[f(F.least(a, b) if f is F.min else F.greatest(a, b)).alias(n) for f, a, b, n in ((F.min, "x1", "x2", "_x0"), (F.min, "y1", "y2", "_y0"), (F.max, "x1", "x2", "_x1"), (F.max, "y1", "y2", "_y1"))])
-    told = polys.agg(F.collect_list("rings").alias("_polys")).crossJoin(box)
-    y, x = F.col(lat), F.col(lon)
+    ends = [f(F.least(a, b) if f is F.min else F.greatest(a, b)).alias(n) for f, a, b, n in ((F.min, "x1", "x2", "x0"), (F.min, "y1", "y2", "y0"), (F.max, "x1", "x2", "x9"), (F.max, "y1", "y2", "y9"))]
+    wider = [f(n).alias(n) for f, n in ((F.min, "x0"), (F.min, "y0"), (F.max, "x9"), (F.max, "y9"))]
+    rings = edges.groupBy("poly", "ring").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"), *ends)
+    polys = rings.groupBy("poly").agg(F.collect_list(F.struct("ring", "edges")).alias("rings"), *wider)
+    whole = polys.agg(F.collect_list("rings").alias("polys"), *wider)
+    # One value of a subquery, not a row to join: as a join's condition the test may be moved to where the point's columns are not.
+    y, x, t = F.col(lat), F.col(lon), F.col("_told")
     odd = lambda r: F.aggregate(r["edges"], F.lit(False), lambda s, e: s != crosses(y, x, e))
-    inside = F.exists("_polys", lambda p: F.exists(p, lambda r: (r["ring"] == 0) & odd(r)) & ~F.exists(p, lambda r: (r["ring"] > 0) & odd(r)))
-    near = points.crossJoin(F.broadcast(told)).filter(x.between(F.col("_x0"), F.col("_x1")) & y.between(F.col("_y0"), F.col("_y1")))
-    return near.filter(inside).drop("_polys", "_x0", "_y0", "_x1", "_y1")
+    inside = F.exists(t["polys"], lambda p: F.exists(p, lambda r: (r["ring"] == 0) & odd(r)) & ~F.exists(p, lambda r: (r["ring"] > 0) & odd(r)))
+    # A subquery's value, not a joined row: Spark may move a nested lambda in a join's condition to where the point's columns are not.
+    near = points.withColumn("_told", whole.select(F.struct("polys", "x0", "y0", "x9", "y9")).scalar())
+    return near.filter(x.between(t["x0"], t["x9"]) & y.between(t["y0"], t["y9"]) & inside).drop("_told")
 
 
 def edge_cells(edges: DataFrame, cell: float) -> DataFrame:
