@@ -65,11 +65,13 @@ def cell_stations(features: DataFrame) -> DataFrame:
     return features.groupBy("grid_id").agg(F.avg("station_distance_km").alias("avg_station_distance_km"), F.avg("weather_points_count").alias("avg_weather_points"))
 
 
-def delivery_counts(log: DataFrame) -> DataFrame:
-    """Deliveries of each alert: sent by channel, skipped and failed."""
+def delivery_counts(log: DataFrame, times: str | None = None) -> DataFrame:
+    """Deliveries of each alert: sent by channel, skipped and failed. A row stands for one delivery, or for as many as `times` tells."""
+    n = F.lit(1) if times is None else F.col(times)
+    told = lambda hit: F.sum(F.when(hit, n).otherwise(0)).cast("long")
     return log.groupBy("alert_id").agg(
-        *[F.count_if((F.col("status") == "sent") & (F.col("channel") == c)).alias(c) for c in ("telegram", "email")],
-        *[F.count_if(F.col("status") == s).alias(s) for s in ("skipped", "failed")],
+        *[told((F.col("status") == "sent") & (F.col("channel") == c)).alias(c) for c in ("telegram", "email")],
+        *[told(F.col("status") == s).alias(s) for s in ("skipped", "failed")],
     )
 
 
