@@ -102,3 +102,19 @@ def byte_text(n: Column) -> Column:
     """A size with one decimal, from B to GB; ties go to the even digit. Null stays null."""
     size = lambda unit, name: F.format_string(f"%.1f {name}", F.bround(n / unit, 1))
     return F.when(n < 1 << 10, size(1, "B")).when(n < 1 << 20, size(1 << 10, "KB")).when(n < 1 << 30, size(1 << 20, "MB")).when(n.isNotNull(), size(1 << 30, "GB"))
+
+
+def fixed_text(name: str, digits: int) -> Column:
+    """A double's text with so many digits, rounded as the exact value of its bits says, as printf does in C; ties go to the even digit.
+
+    Java rounds the shortest text instead: 0.975, whose bits lie below it, would be 0.98. The value is cut into halves whose products
+    with a power of ten are exact, so what is left over the half digit has the right sign. Beyond 2^40 Java's text stands.
+    """
+    x, scale = F.col(name).cast("double"), F.lit(10.0**digits)
+    y = F.abs(x)
+    high = y * 134217729.0 - (y * 134217729.0 - y)
+    below = F.floor(y * scale)
+    over = (high * scale - (below + 0.5)) + (y - high) * scale
+    up = F.when((over > 0) | ((over == 0) & (below % 2 == 1)), 1).otherwise(0)
+    shown = F.when(y < 2.0**40, F.signum(x) * ((below + up) / scale)).otherwise(x)
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f", shown))

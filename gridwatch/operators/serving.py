@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridwatch.functions.grid import severity_rank
+from gridwatch.functions.grid import fixed_text, severity_rank
 from gridwatch.operators.measures import ranges, sums_before
 
 #: Fixed value: degrees that coordinates may have.
@@ -189,8 +189,8 @@ def rendered(alerts: DataFrame) -> DataFrame:
     forecast = F.col("alert_type") == "FORECAST_RISK"
     word = F.upper("severity_label")
     line = lambda form, *c: F.when(reduce(and_, [F.col(x).isNotNull() for x in c]), F.format_string(form, *c))
-    place = line("%.4f, %.4f", "latitude", "longitude")
-    score = F.when(forecast, line("%.2f", "risk_score"))
+    place = F.concat(fixed_text("latitude", 4), F.lit(", "), fixed_text("longitude", 4))
+    score = F.when(forecast, fixed_text("risk_score", 2))
     counts = F.when(~forecast, line("Fire count: %d (threshold %d)", "fire_count", "threshold"))
     window = F.when(~forecast, line("Window: %s -> %s", "window_start", "window_end"))
     head = F.when(forecast, F.format_string(HEADINGS["forecast"], word, "forecast_date")).otherwise(F.format_string(HEADINGS["zone"], word))

@@ -7,6 +7,7 @@ import sys
 
 from pyspark.sql import functions as F
 
+from gridwatch.functions.grid import fixed_text
 from gridwatch.operators import alerts as AL
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -66,3 +67,12 @@ def test_counts_of_what_is_not_delivered(spark):
     assert {r.subscriber_id: r.n for r in AL.undelivered_counts(alerts, subscribers, logged).collect()} == want
     left = AL.undelivered(AL.matching_subscribers(alerts, subscribers), logged).groupBy("subscriber_id").agg(F.count(F.lit(1)).alias("n"))
     assert {r.subscriber_id: r.n for r in left.collect()} == want
+
+
+def test_texts_of_numbers_round_by_their_bits(spark):
+    draw = random.Random(3)
+    xs = [n / (n + 1) for n in range(1, 2000)] + [0.125, 0.375, 2.5, 1.005, 0.0, 0.004, 0.005, 0.995, 123456.785, 2.0**41 + 0.25] + [draw.randrange(10**6) / 1000 + 0.0005 for _ in range(3000)]
+    xs += [-x for x in xs]
+    rows = spark.createDataFrame([(x,) for x in [*xs, None]], "x double").select("x", fixed_text("x", 2).alias("two"), fixed_text("x", 4).alias("four")).collect()
+    assert rows[-1][:] == (None, None, None)
+    assert [r for r in rows[:-1] if (r.two, r.four) != (f"{r.x:.2f}", f"{r.x:.4f}")] == []
