@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwatch.functions.grid import risk_level
-from gridwatch.operators.measures import class_weights
 
 
 def filled(df: DataFrame, names: list[str]) -> DataFrame:
@@ -22,9 +21,17 @@ def filled(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def weighted(df: DataFrame, label: str = "label") -> DataFrame:
-    """Adds balanced class weights; data of one class is refused."""
-    w = class_weights(df, label)
-    return df.crossJoin(F.broadcast(w)).withColumn("weight", F.when(F.col(label) == 1, F.col("weight1")).otherwise(F.col("weight0"))).drop("n0", "n1", "weight0", "weight1")
+    """Adds balanced class weights, n / (classes * n_class) over the classes that there are: of one class alone all weights are 1."""
+    n, n1 = F.col("_n"), F.col("_n1")
+    counts = df.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(label) == 1).alias("_n1"))
+    classes = F.when((n1 == 0) | (n1 == n), 1).otherwise(2)
+    of_class = F.when(F.col(label) == 1, n1).otherwise(n - n1)
+    return df.crossJoin(F.broadcast(counts)).withColumn("weight", n / (classes * of_class)).drop("_n", "_n1")
+
+
+def labelled(df: DataFrame, label: str = "label") -> DataFrame:
+    """df with a label that is told to be of two classes, so that rows of one class, or a fold of them, can be learned from too."""
+    return df.withMetadata(label, {"ml_attr": {"type": "nominal", "num_vals": 2}})
 
 
 def _stages(names: list[str], classifier) -> Pipeline:
@@ -32,7 +39,7 @@ def _stages(names: list[str], classifier) -> Pipeline:
 
 
 def forest(train: DataFrame, names: list[str], trees: int = 50, depth: int = 5, seed: int = 42) -> PipelineModel:
-    return _stages(names, RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=seed)).fit(filled(train, names))
+    return _stages(names, RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=seed)).fit(labelled(filled(train, names)))
 
 
 def tuned(train: DataFrame, names: list[str], kind: str = "forest", folds: int = 2, parallelism: int = 2, seed: int = 42, grid: dict | None = None):
@@ -43,7 +50,7 @@ def tuned(train: DataFrame, names: list[str], kind: str = "forest", folds: int =
     for k, v in grid.items():
         space = space.addGrid(c.getParam(k), v)
     score = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    return CrossValidator(estimator=_stages(names, c), estimatorParamMaps=space.build(), evaluator=score, numFolds=folds, parallelism=parallelism, seed=seed).fit(filled(train, names))
+    return CrossValidator(estimator=_stages(names, c), estimatorParamMaps=space.build(), evaluator=score, numFolds=folds, parallelism=parallelism, seed=seed).fit(labelled(filled(train, names)))
 
 
 def candidates(fitted, names: list[str], model: str, folds: int) -> DataFrame:
