@@ -8,6 +8,7 @@ their own. It adds what attention finds in the window to the corpus's log table
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,9 +20,10 @@ STEP = WINDOW - CONTEXT
 END = INPUTS - 1
 #: Windows that are scored at once.
 BATCH = 96
+#: Steps of a task at least where it is asked for them, and the first rate.
 STEPS, RATE = 150, 0.01
-#: Windows of a training step, and how often each window of the sample is drawn on average.
-DRAWN, EPOCHS = 64, 0.75
+#: Windows of a training step, and after how many steps the rate is down to 0.7 of the first.
+DRAWN, SLOWER = 128, 1000
 
 
 @dataclass
@@ -54,67 +56,118 @@ def inputs_of(rank: np.ndarray) -> np.ndarray:
 CLASS_OF = np.append(classes_of(np.arange(INPUTS - 1)), CLASSES - 1).astype(np.int64)
 
 
+SHAPES = {"E": (INPUTS, WIDTH), "P": (WINDOW, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH), "O": (WIDTH, WIDTH), "U": (WIDTH, CLASSES)}
+
+
 def start_weights(seed: int = 3) -> dict[str, np.ndarray]:
     draw = np.random.default_rng(seed)
-    scale = {"E": (INPUTS, WIDTH), "P": (WINDOW, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH), "O": (WIDTH, WIDTH)}
-    return {k: draw.normal(0, 0.3, s).astype(np.float32) for k, s in scale.items()} | {"U": np.zeros((WIDTH, CLASSES), np.float32)}
+    return {k: np.zeros(s, np.float32) if k == "U" else draw.normal(0, 0.3, s).astype(np.float32) for k, s in SHAPES.items()}
 
 
 #: The most that a position's attention to another may be, before exp(): a float32's range for those before, nothing for those after.
 CAP = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), np.float32(80), np.float32(-1e9))
+#: Logits up to here are within a float32's range after exp(); they are log probabilities plus a few units.
+MOST = 79
 
 #: Columns of ones: a product with them is a sum over a window's positions or over the classes.
 ONES, ALL = np.ones((WINDOW, 1), np.float32), np.ones((CLASSES, 1), np.float32)
 
 
-def forward(p: dict, bigram: np.ndarray, seen: np.ndarray, first: int = 0, wanted: np.ndarray | None = None):
-    """Hidden states and class logits (not normalised) at positions `first` and later of each window; `wanted` picks some of these for the logits."""
-    x = p["E"][seen]
+def forward(p: dict, bigram: np.ndarray, seen: np.ndarray, first: int = 0):
+    """Hidden states and class logits (not normalised) at positions `first` and later of each window."""
+    x = p["E"].take(seen, axis=0) + p["P"]
+    a = (x[:, first:] @ (p["Q"] / np.float32(np.sqrt(WIDTH)))) @ (x @ p["K"]).transpose(0, 2, 1)
+    a = np.exp(np.clip(a, np.float32(-80), CAP[first:]))
+    h = x[:, first:] + (a / a.sum(axis=2, keepdims=True)) @ (x @ p["V"]) @ p["O"]
+    return h, h @ p["U"] + bigram[CLASS_OF[seen[:, first:]]]
+
+
+@dataclass
+class Asked:
+    """What `forward` makes where `wanted` (positions from CONTEXT on) says, in one row each; attention's queries are packed by window."""
+
+    cell: np.ndarray  # of each row, its number among the packed queries
+    place: np.ndarray  # its number among all positions of the windows
+    x: np.ndarray  # all embeddings
+    own: np.ndarray  # embeddings of the rows
+    q: np.ndarray
+    k: np.ndarray
+    v: np.ndarray
+    a: np.ndarray  # not divided by its sums
+    sums: np.ndarray
+    c: np.ndarray
+    h: np.ndarray
+    logits: np.ndarray
+
+
+def forward_at(p: dict, bigram: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> Asked:
+    at, count = np.flatnonzero(wanted), np.count_nonzero(wanted, axis=1)
+    window, most = at // STEP, int(count.max(initial=0))
+    cell = np.arange(len(at)) + np.repeat(np.arange(len(seen)) * most - (np.cumsum(count) - count), count)
+    place = at + CONTEXT * (window + 1)
+    x = p["E"].take(seen, axis=0)
     x += p["P"]
-    qkv = x.reshape(-1, WIDTH) @ np.concatenate([p["Q"] / np.float32(np.sqrt(WIDTH)), p["K"], p["V"]], axis=1)
-    qkv = qkv.reshape(*seen.shape, 3 * WIDTH)
-    q, k, v = qkv[:, first:, :WIDTH], qkv[:, :, WIDTH : 2 * WIDTH], qkv[:, :, 2 * WIDTH :]
+    x = x.reshape(-1, WIDTH)
+    kv = (x @ np.concatenate([p["K"], p["V"]], axis=1)).reshape(*seen.shape, 2 * WIDTH)
+    k, v, own = kv[:, :, :WIDTH], kv[:, :, WIDTH:], x.take(place, axis=0)
+    q = np.zeros((len(seen) * most, WIDTH), np.float32)
+    q[cell] = own @ (p["Q"] / np.float32(np.sqrt(WIDTH)))
+    q = q.reshape(len(seen), most, WIDTH)
+    line = np.full(len(seen) * most, CONTEXT)
+    line[cell] = place - window * WINDOW
     a = q @ k.transpose(0, 2, 1)
-    np.minimum(a, CAP[first:], out=a)
+    np.clip(a, np.float32(-80), CAP.take(line, axis=0).reshape(a.shape), out=a)
     np.exp(a, out=a)
-    if wanted is None:
-        a /= a.sum(axis=2, keepdims=True)
-        c = a @ v
-        h, own = x[:, first:] + c @ p["O"], seen[:, first:]
-    else:
-        sums = (a @ ONES)[wanted]
-        c = (a @ v)[wanted] / sums
-        h, own = x[:, first:][wanted] + c @ p["O"], seen[:, first:][wanted]
+    sums = (a.reshape(-1, WINDOW) @ ONES).take(cell, axis=0)
+    c = (a @ v).reshape(-1, WIDTH).take(cell, axis=0)
+    c /= sums
+    h = own + c @ p["O"]
     logits = h @ p["U"]
-    logits += bigram[CLASS_OF[own]]
-    return x, q, k, v, a, c, h, logits
-
-
-def gradients(p: dict, bigram: np.ndarray, seen: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict]:
-    x, q, k, v, a, c, h, logits = forward(p, bigram, seen)
-    logits -= logits.max(axis=2, keepdims=True)
-    prob = np.exp(logits)
-    prob /= prob.sum(axis=2, keepdims=True)
-    at = np.take_along_axis(prob, target[..., None], 2)[..., 0]
-    n = max(1.0, float(weight.sum()))
-    loss = float(-(np.log(at + 1e-12) * weight).sum() / n)
-    d = prob * (weight / n)[..., None]
-    np.put_along_axis(d, target[..., None], np.take_along_axis(d, target[..., None], 2) - (weight / n)[..., None], 2)
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    g = {"U": flat(h).T @ flat(d)}
+    logits += bigram.take(CLASS_OF[seen.ravel().take(place)], axis=0)
+    return Asked(cell, place, x, own, q, k, v, a, sums, c, h, logits)
+
+
+def steep(p: dict) -> float:
+    return float(np.sqrt((p["U"] ** 2).sum(axis=0).max()))
+
+
+def beyond(steepest: float, h: np.ndarray) -> bool:
+    """Whether logits may leave a float32's range; the states' norms tell."""
+    return bool(len(h)) and steepest * math.sqrt(float(np.einsum("ij,ij->i", h, h).max())) > MOST
+
+
+def gradients(p: dict, bigram: np.ndarray, seen: np.ndarray, target: np.ndarray, wanted: np.ndarray) -> dict:
+    """Of the mean loss at the `wanted` positions from CONTEXT on, of which there is one at least."""
+    f = forward_at(p, bigram, seen, wanted)
+    d, n, root = f.logits, len(f.h), np.float32(np.sqrt(WIDTH))
+    if beyond(steep(p), f.h):
+        d -= d.max(axis=1, keepdims=True)
+    np.exp(d, out=d)
+    d /= d @ ALL
+    d[np.arange(n), target[wanted]] -= 1
     dh = d @ p["U"].T
-    g["O"] = flat(c).T @ flat(dh)
+    dh /= np.float32(n)
+    g = {"U": f.h.T @ d / np.float32(n), "O": f.c.T @ dh}
     dc = dh @ p["O"].T
-    da = dc @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dc
-    root = np.float32(np.sqrt(WIDTH))
-    g["Q"], g["K"], g["V"] = flat(x).T @ flat(dq) / root, flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-    dx = dh + dq @ (p["Q"].T / root) + dk @ p["K"].T + dv @ p["V"].T
-    g["P"] = dx.sum(axis=0)
-    g["E"] = np.zeros_like(p["E"])
-    np.add.at(g["E"], seen.ravel(), flat(dx))
-    return loss, g
+    dc /= f.sums
+    full = np.zeros((f.q.shape[0] * f.q.shape[1], WIDTH + 1), np.float32)  # last: what the softmax takes off
+    full[f.cell, :WIDTH] = dc
+    full[f.cell, WIDTH] = np.einsum("ij,ij->i", dc, f.c)
+    full = full.reshape(*f.q.shape[:2], WIDTH + 1)
+    dc = full[:, :, :WIDTH]
+    ds = dc @ f.v.transpose(0, 2, 1)
+    ds -= full[:, :, WIDTH:]
+    ds *= f.a
+    dq = (ds @ f.k).reshape(-1, WIDTH).take(f.cell, axis=0)
+    dkv = np.concatenate([ds.transpose(0, 2, 1) @ f.q, f.a.transpose(0, 2, 1) @ dc], axis=2).reshape(-1, 2 * WIDTH)
+    g["Q"] = f.own.T @ dq / root
+    g["K"], g["V"] = np.split(f.x.T @ dkv, 2, axis=1)
+    dx = dkv @ np.concatenate([p["K"], p["V"]], axis=1).T
+    dx[f.place] += dh + dq @ (p["Q"].T / root)
+    g["P"] = dx.reshape(*seen.shape, WIDTH).sum(axis=0)
+    cells = seen.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
+    g["E"] = np.bincount(cells.ravel(), dx.ravel(), INPUTS * WIDTH).reshape(INPUTS, WIDTH)
+    return g
 
 
 def windows(sequences: list[np.ndarray], goals: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,40 +176,73 @@ def windows(sequences: list[np.ndarray], goals: list[np.ndarray]) -> tuple[np.nd
     goals: for each sequence the class after each input, -1 where none is asked for. Windows start STEP apart
     with CONTEXT positions before what they score, so each goal is scored once.
     """
-    seen, target = [], []
-    for s, g in zip(sequences, goals, strict=True):
-        n = len(s) - 1
-        count = -(-n // STEP)
-        padded = np.full(CONTEXT + count * STEP, END, np.int64)
-        padded[CONTEXT : CONTEXT + n] = s[:-1]
-        goal = np.full(count * STEP, -1, np.int64)
-        goal[:n] = g
-        at = np.arange(count)[:, None] * STEP
-        seen.append(padded[at + np.arange(WINDOW)])
-        target.append(goal.reshape(count, STEP))
-    seen, target = np.concatenate(seen), np.concatenate(target)
-    return seen, np.maximum(target, 0), target >= 0
-
-
-def train(sequences: list[np.ndarray], goals: list[np.ndarray], bigram: np.ndarray, p: dict[str, np.ndarray], steps: int = STEPS, seed: int = 5) -> tuple[dict[str, np.ndarray], int]:
-    """Adam from weights p over random windows of the sequences: `steps` at least, and as many as draw each window EPOCHS times on average.
-
-    Gives the new weights and the number of windows.
+    n = np.fromiter(map(len, goals), np.int64, len(goals))
+    count, number = -(-n // STEP), np.arange(len(n))
+    at = np.arange(n.sum()) + np.repeat((np.cumsum(count) - count) * STEP - (np.cumsum(n) - n), n)
+    goal = np.full(count.sum() * STEP, -1, np.int64)
+    goal[at] = np.concatenate(goals)
+    padded = np.full(len(goal) + CONTEXT * len(n), END, np.int64)  # CONTEXT before each sequence
+    padded[at + np.repeat(CONTEXT * (number + 1), n)] = np.concatenate([s[:-1] for s in sequences])
+    starts = np.arange(count.sum()) * STEP + np.repeat(CONTEXT * number, count)
+    target = goal.reshape(-1, STEP)
+    return padded[starts[:, None] + np.arange(WINDOW)], np.maximum(target, 0), target >= 0
+
+
+class Trainer:
+    """Adam from weights p, over windows that come in parts."""
+
+    def __init__(self, p: dict[str, np.ndarray], seed: int = 5):
+        self.row = packed(p).astype(np.float32)
+        self.p, self.draw, self.steps = unpacked(self.row), np.random.default_rng(seed), 0  # p: views of the row
+        self.m, self.v = np.zeros_like(self.row), np.zeros_like(self.row)
+
+    def learn(self, bigram: np.ndarray, seen: np.ndarray, target: np.ndarray, wanted: np.ndarray) -> None:
+        """Each of these windows once, in an order drawn anew; each asks for something."""
+        order = self.draw.permutation(len(seen))
+        for i in range(0, len(order), DRAWN):
+            pick = order[i : i + DRAWN]
+            self.step(packed(gradients(self.p, bigram, seen[pick], target[pick], wanted[pick])).astype(np.float32))
+
+    def step(self, g: np.ndarray) -> None:
+        self.steps += 1
+        rate = RATE / math.sqrt(1 + self.steps / SLOWER) / (1 - 0.9**self.steps)
+        self.m *= np.float32(0.9)
+        self.m += np.float32(0.1) * g
+        g *= g
+        g *= np.float32(0.01)
+        self.v *= np.float32(0.99)
+        self.v += g
+        root = np.sqrt(self.v)
+        root *= np.float32(1 / math.sqrt(1 - 0.99**self.steps))
+        root += np.float32(1e-8)
+        np.divide(self.m, root, out=root)
+        root *= np.float32(rate)
+        self.row -= root
+
+
+def train_parts(parts: Iterable[tuple[list[np.ndarray], list[np.ndarray]]], bigram: np.ndarray, p: dict[str, np.ndarray], steps: int) -> tuple[dict[str, np.ndarray], int]:
+    """New weights from p after each window of all parts (sequences, goals) that asks for something, and the number of these windows.
+
+    All are taken once; if that makes fewer than `steps`, all again until there are so many. Only so few are kept.
     """
-    if not sequences:
-        return p, 0
-    seen, target, weight = windows(sequences, goals)
-    before = np.zeros((len(seen), CONTEXT), np.int64)
-    goal, flags = np.concatenate([before, target], axis=1), np.concatenate([before, weight], axis=1).astype(np.float32)
-    p, draw, m, v = dict(p), np.random.default_rng(seed), {}, {}
-    for t in range(1, max(steps, math.ceil(EPOCHS * len(seen) / DRAWN)) + 1):
-        pick = draw.integers(0, len(seen), DRAWN)
-        _, g = gradients(p, bigram, seen[pick], goal[pick], flags[pick])
-        for k, x in g.items():
-            m[k] = 0.9 * m.get(k, 0) + 0.1 * x
-            v[k] = 0.99 * v.get(k, 0) + 0.01 * x * x
-            p[k] = (p[k] - RATE * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
-    return p, len(seen)
+    trainer, kept, n = Trainer(p), [], 0
+    for sequences, goals in parts:
+        if sequences:
+            seen, target, wanted = windows(sequences, goals)
+            asks = wanted.any(axis=1)
+            some = seen[asks], target[asks], wanted[asks]
+            trainer.learn(bigram, *some)
+            n += len(some[0])
+            kept = [*kept, some] if trainer.steps < steps else []
+    while n and trainer.steps < steps:
+        for some in kept:
+            trainer.learn(bigram, *some)
+    return trainer.p if n else p, n
+
+
+def train(sequences: list[np.ndarray], goals: list[np.ndarray], bigram: np.ndarray, p: dict[str, np.ndarray], steps: int = STEPS) -> tuple[dict[str, np.ndarray], int]:
+    """`train_parts` of one part."""
+    return train_parts([(sequences, goals)], bigram, p, steps)
 
 
 def packed(p: dict[str, np.ndarray]) -> np.ndarray:
@@ -165,24 +251,29 @@ def packed(p: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def unpacked(row: np.ndarray) -> dict[str, np.ndarray]:
-    like, at, p = start_weights(), 0, {}
-    for k in sorted(like):
-        p[k] = row[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
-        at += like[k].size
+    """Views of a float32 row."""
+    at, p = 0, {}
+    for k, shape in sorted(SHAPES.items()):
+        p[k] = row[at : at + math.prod(shape)].reshape(shape).astype(np.float32, copy=False)
+        at += math.prod(shape)
     return p
 
 
 def class_scores(model: Model, sequences: list[np.ndarray], goals: list[np.ndarray]) -> np.ndarray:
     """Log probability of each goal (-1: none), one sequence after the other."""
-    seen, target, weight = windows(sequences, goals)
-    out, steepest = [], float(np.sqrt((model.weights["U"] ** 2).sum(axis=0).max()))
-    for i in range(0, len(seen), BATCH):
-        wanted = weight[i : i + BATCH]
-        *_, h, logits = forward(model.weights, model.bigram, seen[i : i + BATCH], CONTEXT, wanted)
-        # A float32's range; logits are log probabilities plus a few units. No bound is needed where the states' norms keep them below.
-        if len(h) and steepest * math.sqrt(float(np.einsum("ij,ij->i", h, h).max())) > 79:
+    seen, target, wanted = windows(sequences, goals)
+    found, steepest = np.zeros(wanted.shape), steep(model.weights)
+    order = np.argsort(np.count_nonzero(wanted, axis=1), kind="stable")  # packed queries are as many as those of the window with most
+    for i in range(0, len(order), BATCH):
+        pick = order[i : i + BATCH]
+        asks = wanted[pick]
+        f = forward_at(model.weights, model.bigram, seen[pick], asks)
+        logits = f.logits
+        if beyond(steepest, f.h):
             np.minimum(logits, 80, out=logits)
-        at = logits[np.arange(len(logits)), target[i : i + BATCH][wanted]].astype(np.float64)
+        at = logits[np.arange(len(logits)), target[pick][asks]].astype(np.float64)
         np.exp(logits, out=logits)
-        out.append(at - np.log((logits @ ALL)[:, 0].astype(np.float64)))
-    return np.concatenate(out)
+        some = np.zeros(asks.shape)
+        some[asks] = at - np.log((logits @ ALL)[:, 0].astype(np.float64))
+        found[pick] = some
+    return found[wanted]

@@ -2,8 +2,8 @@
 
 The model is one of classes: from the subword ids before it, attention tells the class of the subword that begins
 the next word (or the end), and the corpus shares the class out among its words, add one. So what it knows
-beyond the base is what attention sees. Counts are over all training rows; attention weights are trained in
-tasks on a share of the rows that grows with the corpus, and averaged.
+beyond the base is what attention sees. Counts are over all training rows, and attention weights are trained
+on all of them, in tasks whose weights are averaged.
 """
 
 from __future__ import annotations
@@ -29,10 +29,10 @@ from gridwatch.llm.lines import NO_ID, keyed
 FOLDS, HELD_OUT = 7, 2
 #: Words whose counts are broadcast (16 bytes each); all others are looked up by a join.
 HEAD_WORDS = 50_000
-#: Attention weights are trained on this share of the training rows, or on so many if those are more.
-SAMPLE_SHARE, SAMPLE_DOCS = 0.01, 2000
-#: Rows that a task trains on, about, and how often all tasks' weights are averaged.
-TASK_DOCS, ROUNDS = 250, 2
+#: Training rows of the first round, about; later rounds take more, the last one all that are left.
+FIRST_DOCS = 2000
+#: Rows that a task of the rounds before the last trains on, about, and how often all tasks' weights are averaged.
+TASK_DOCS, ROUNDS = 250, 3
 #: Words that a worker keeps with their subword ids, of so many bytes at most each: some 80 MB.
 CACHE, CACHED_BYTES = 400_000, 64
 #: What a document's own pass gives.
@@ -191,23 +191,30 @@ def asked(words: tuple, input_of: np.ndarray, class_of: np.ndarray) -> tuple[lis
     return [np.concatenate([[A.END], x, [A.END]]).astype(np.int64) for x in cut[0]], [np.append(g, A.CLASSES - 1) for g in cut[1]]
 
 
-def trained(batches: Iterator[pa.RecordBatch], path: str, input_of: np.ndarray, class_of: np.ndarray, bigram: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A task's weights after training on its texts, each times the number of windows; nothing without texts."""
+def trained(batches: Iterator[pa.RecordBatch], path: str, input_of: np.ndarray, class_of: np.ndarray, bigram: np.ndarray, start: np.ndarray, steps: int) -> Iterator[pa.RecordBatch]:
+    """A task's weights after training on each of its texts, each times the number of windows; nothing without texts."""
     schema = pa.schema([("i", pa.int32()), ("w", pa.float64()), ("n", pa.int64())])
-    parts = [asked(distinct_words(texts, path), input_of, class_of) for _, texts in slices(batches)]
-    if parts:
-        p, n = A.train([s for x, _ in parts for s in x], [g for _, x in parts for g in x], bigram, A.unpacked(start))
+    p, n = A.train_parts((asked(distinct_words(texts, path), input_of, class_of) for _, texts in slices(batches)), bigram, A.unpacked(start), steps)
+    if n:
         row = A.packed(p).astype(np.float64) * n
         yield batch_of(schema, i=np.arange(len(row), dtype=np.int32), w=row, n=np.full(len(row), n))
 
 
-def fit(train: DataFrame, path: str, counted: DataFrame, rows: int, sample_docs: int) -> tuple[A.Model, np.ndarray]:
+def round_ends(rows: int, first_docs: int) -> list[float]:
+    """Up to which share of the training rows each round goes: from `first_docs` of them to all, in even ratios."""
+    share = min(1.0, max(first_docs, 1) / max(rows, 1))
+    return [share ** ((ROUNDS - 1 - i) / max(1, ROUNDS - 1)) for i in range(ROUNDS)]
+
+
+def fit(train: DataFrame, path: str, counted: DataFrame, rows: int, first_docs: int) -> tuple[A.Model, np.ndarray]:
     """The model, and by class the log10 of what shares a class out: its tokens, its distinct words and one.
 
     counted: kind, w, c, first of all training rows; rows: how many these are. Ranks, shares and pairs of
-    classes are those of all rows; attention weights are from a sample that grows with them. Tasks train on
-    TASK_DOCS sampled rows each and Spark averages their weights by windows, ROUNDS times; the driver gets
-    counts by id and by pair of classes, and one set of weights.
+    classes are those of all rows, and every row trains the attention weights: ROUNDS rounds deal the rows out by
+    hash, each to one round, and if there are no more than `first_docs`, all to each round. Tasks train on their rows
+    of a round and Spark averages their weights by windows. Rounds before the last give a task TASK_DOCS
+    rows; the last, with most rows, takes them where they are read. The driver gets counts by id and by pair
+    of classes, and one set of weights.
     """
     size = tokenizer(path).n_vocab
     by_id = counted.filter(F.col("kind") == SUBWORD).select("w", "c").toArrow()
@@ -222,13 +229,15 @@ def fit(train: DataFrame, path: str, counted: DataFrame, rows: int, sample_docs:
     pairs[table["k"].to_numpy()] += table["c"].to_numpy()
     pairs = pairs.reshape(A.CLASSES, A.CLASSES)
     bigram = np.log(pairs / pairs.sum(axis=1, keepdims=True)).astype(np.float32)
-    draw, share_drawn = 1 << 30, min(1.0, max(SAMPLE_SHARE, sample_docs / max(rows, 1)))
-    sample = train.filter(F.pmod(F.xxhash64("did", "th"), F.lit(draw)) < math.ceil(draw * share_drawn))
-    tasks = max(1, math.ceil(rows * share_drawn / TASK_DOCS))
-    sample = materialize(sample.repartition(tasks, "did", "th").sortWithinPartitions("did", "th").select("text"), "sample")
-    weights = A.packed(A.start_weights())
-    for _ in range(ROUNDS):
-        told = map_arrow(sample, lambda b, now=weights: trained(b, path, input_of, class_of, bigram, now), "i int, w double, n long")
+    weights, ends, draw = A.packed(A.start_weights()), round_ends(rows, first_docs), 1 << 30
+    drawn = F.pmod(F.xxhash64("did", "th"), F.lit(draw))
+    for low, high in pairwise([0.0, *ends]):
+        low, last = 0.0 if ends[0] == 1 else low, ends[0] < 1 == high
+        part = train.filter((drawn >= math.ceil(draw * low)) & (drawn < math.ceil(draw * high)))
+        if not last:
+            tasks = max(1, math.ceil(rows * (high - low) / TASK_DOCS))
+            part = part.repartition(tasks, "did", "th").sortWithinPartitions("did", "th")
+        told = map_arrow(part.select("text"), lambda b, now=weights, steps=0 if last else A.STEPS: trained(b, path, input_of, class_of, bigram, now, steps), "i int, w double, n long")
         mean = told.groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow()
         weights = weights.copy()
         weights[mean["i"].to_numpy()] = mean["w"].to_numpy()
@@ -246,7 +255,7 @@ def class_logs(model: A.Model, norms: np.ndarray, words: tuple) -> np.ndarray:
     return np.add.reduceat(logs, np.append(0, last[:-1]))
 
 
-def lm_scores(docs: DataFrame, path: str, folds: int = FOLDS, held_out: int = HELD_OUT, head_words: int = HEAD_WORDS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def lm_scores(docs: DataFrame, path: str, folds: int = FOLDS, held_out: int = HELD_OUT, head_words: int = HEAD_WORDS, first_docs: int = FIRST_DOCS) -> DataFrame:
     """A row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from rows whose crc32(doc_id) mod `folds` is not `held_out`. Tokens are the words, A-Z
@@ -254,8 +263,8 @@ def lm_scores(docs: DataFrame, path: str, folds: int = FOLDS, held_out: int = HE
     by 64-bit hash. score is the log10 probability of the text's words and end: that of each one's class by
     attention on subword ids, times the word's share of its class, (c + 1) of the class's tokens, distinct words
     and one. Counts of the commonest `head_words` words are broadcast; the rest are joined, which gives the
-    same scores. Counts of words, subwords and classes are of all training rows; attention weights are trained on SAMPLE_SHARE
-    of them (`sample_docs` rows at least), drawn by hash. Each word is one token, as in the base: its first subword's class is predicted
+    same scores. Counts of words, subwords and classes are of all training rows, and attention weights are trained on all of
+    them, in rounds of which the first takes about `first_docs`. Each word is one token, as in the base: its first subword's class is predicted
     from all subwords before it, and the word drawn from its class, so every token is scored once, in one window. Very long texts
     only make more windows.
     A null text counts as empty: its end alone. Repeated rows get equal results. Without training rows all
@@ -274,7 +283,7 @@ def lm_scores(docs: DataFrame, path: str, folds: int = FOLDS, held_out: int = HE
     head = counts.orderBy(F.desc("c"), "w").limit(head_words).toArrow()
     w, c = head["w"].to_numpy(), head["c"].to_numpy()
     order = np.argsort(w)
-    told = spark.sparkContext.broadcast((w[order], c[order], *fit(learned, path, counted, ends, sample_docs)))
+    told = spark.sparkContext.broadcast((w[order], c[order], *fit(learned, path, counted, ends, first_docs)))
     end_score = math.log10(ends + 1) - norm
 
     def look_up(h: np.ndarray) -> np.ndarray:

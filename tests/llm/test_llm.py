@@ -380,6 +380,53 @@ def test_model_counts_cover_rows_outside_the_sample(spark):
     assert np.allclose(10**norms, want)
 
 
+def test_every_training_row_trains_the_weights(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = scoring.keyed(frame(spark, [(i, t) for i, t in corpus(6) if t and len(t.split()) > 20][:6])).repartition(2, "did").cache()
+    counted = scoring.map_arrow(rows.select("text"), lambda b: scoring.word_counts(b, path), scoring.COUNTED)
+    counted = counted.groupBy("kind", "w").agg(F.sum("c").alias("c"), F.min("first").alias("first")).cache()
+    weights = lambda some: attention.packed(scoring.fit(some, path, counted, 6, 1)[0].weights)
+    whole, ids = weights(rows), [r.did for r in rows.select("did").collect()]
+    assert len(ids) == 6
+    for i in ids:
+        assert np.abs(weights(rows.filter(F.col("did") != i)) - whole).max() > 1e-4
+
+
+def test_rounds_deal_out_all_rows():
+    assert scoring.round_ends(100, 2000) == [1.0] * scoring.ROUNDS and scoring.round_ends(0, 2000)[-1] == 1.0
+    ends = scoring.round_ends(200_000, 2000)
+    assert np.allclose(ends, [0.01, 0.1, 1]) and ends[-1] == 1.0
+
+
+def test_gradients_are_the_loss_s_slopes():
+    draw, p = np.random.default_rng(4), attention.start_weights()
+    p["U"] = draw.normal(0, 0.1, p["U"].shape).astype(np.float32)
+    seen, target, wanted = draw.integers(0, attention.INPUTS, (3, attention.WINDOW)), draw.integers(0, attention.CLASSES, (3, attention.STEP)), draw.random((3, attention.STEP)) < 0.4
+    flat = np.full((attention.CLASSES, attention.CLASSES), -np.log(attention.CLASSES), np.float32)
+
+    def loss(k, i, by):
+        q = {n: x.astype(float) for n, x in p.items()}
+        q[k][i] += by
+        logits = attention.forward(q, flat, seen, attention.CONTEXT)[-1][wanted]
+        return (np.log(np.exp(logits).sum(axis=1)) - logits[np.arange(len(logits)), target[wanted]]).mean()
+
+    for k, g in attention.gradients(p, flat, seen, target, wanted).items():
+        for i in [np.unravel_index(np.abs(g).argmax(), g.shape), *zip(*(draw.integers(0, n, 3) for n in g.shape), strict=True)]:
+            assert np.isclose(g[i], (loss(k, i, 1e-3) - loss(k, i, -1e-3)) / 2e-3, rtol=1e-3, atol=1e-6)
+
+
+def test_each_window_is_trained_on_once_unless_there_are_too_few(monkeypatch):
+    told = []
+    monkeypatch.setattr(attention, "gradients", lambda p, b, seen, *_: told.append(seen[:, attention.CONTEXT]) or {k: np.zeros_like(x) for k, x in p.items()})
+    parts = [([np.array([attention.END, *range(k, k + 96), attention.END])], [np.array([1] * 96 + [2])]) for k in (0, 300, 600)]
+    start = [attention.END, 23, 47, 71, 95]
+    want = sorted(start + [k + x for k in (300, 600) for x in start[1:]] + [attention.END] * 2)
+    for steps, times in ((0, 1), (3, 1), (4, 2)):
+        told.clear()
+        assert attention.train_parts(parts, None, attention.start_weights(), steps)[1] == 15
+        assert sorted(np.concatenate(told).tolist()) == sorted(want * times)
+
+
 def test_words_tokenize_alike_alone_and_together():
     path = public_tokenizers.path("byte_bpe_50k.json")
     library, words = Tokenizer.from_file(path), ["don't", "'s", "<|endoftext|>", "a<|endoftext|>b", "éß", "中文", "x\u00a0y", "\u2028", "\u00a0", "12ab", "!?", "plain", "𝒳"]
