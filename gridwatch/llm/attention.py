@@ -66,11 +66,13 @@ def start_weights(seed: int = 3) -> dict[str, np.ndarray]:
 
 #: The most that a position's attention to another may be, before exp(): a float32's range for those before, nothing for those after.
 CAP = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), np.float32(80), np.float32(-1e9))
-#: Logits up to here are within a float32's range after exp(); they are log probabilities plus a few units.
-MOST = 79
+#: Logits up to here are within a float32's range after exp(), also times weights and summed; they are log probabilities plus a few units.
+MOST = 60
 
 #: Columns of ones: a product with them is a sum over a window's positions or over the classes.
 ONES, ALL = np.ones((WINDOW, 1), np.float32), np.ones((CLASSES, 1), np.float32)
+#: Where an input's row of embeddings lies among all of them.
+CELLS = np.arange(INPUTS * WIDTH).reshape(INPUTS, WIDTH)
 
 
 def forward(p: dict, bigram: np.ndarray, seen: np.ndarray, first: int = 0):
@@ -101,9 +103,11 @@ class Asked:
 
 
 def forward_at(p: dict, bigram: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> Asked:
-    at, count = np.flatnonzero(wanted), np.count_nonzero(wanted, axis=1)
-    window, most = at // STEP, int(count.max(initial=0))
-    cell = np.arange(len(at)) + np.repeat(np.arange(len(seen)) * most - (np.cumsum(count) - count), count)
+    at = np.flatnonzero(wanted)
+    window = at // STEP
+    count = np.bincount(window, minlength=len(seen))
+    most = int(count.max(initial=0))
+    cell = np.arange(len(at)) + (np.arange(len(seen)) * most - (np.cumsum(count) - count)).take(window)
     place = at + CONTEXT * (window + 1)
     x = p["E"].take(seen, axis=0)
     x += p["P"]
@@ -116,7 +120,8 @@ def forward_at(p: dict, bigram: np.ndarray, seen: np.ndarray, wanted: np.ndarray
     line = np.full(len(seen) * most, CONTEXT)
     line[cell] = place - window * WINDOW
     a = q @ k.transpose(0, 2, 1)
-    np.clip(a, np.float32(-80), CAP.take(line, axis=0).reshape(a.shape), out=a)
+    np.maximum(a, np.float32(-80), out=a)
+    np.minimum(a, CAP.take(line, axis=0).reshape(a.shape), out=a)
     np.exp(a, out=a)
     sums = (a.reshape(-1, WINDOW) @ ONES).take(cell, axis=0)
     c = (a @ v).reshape(-1, WIDTH).take(cell, axis=0)
@@ -143,30 +148,32 @@ def gradients(p: dict, bigram: np.ndarray, seen: np.ndarray, target: np.ndarray,
     if beyond(steep(p), f.h):
         d -= d.max(axis=1, keepdims=True)
     np.exp(d, out=d)
-    d /= d @ ALL
-    d[np.arange(n), target[wanted]] -= 1
+    sums = d @ ALL  # d stays times these; what it is multiplied with has fewer columns
+    d.ravel()[np.arange(n) * CLASSES + target.ravel().take(np.flatnonzero(wanted))] -= sums[:, 0]
+    sums *= np.float32(n)
     dh = d @ p["U"].T
-    dh /= np.float32(n)
-    g = {"U": f.h.T @ d / np.float32(n), "O": f.c.T @ dh}
+    dh /= sums
+    g = {"U": (d.T @ (f.h / sums)).T, "O": f.c.T @ dh}
     dc = dh @ p["O"].T
     dc /= f.sums
-    full = np.zeros((f.q.shape[0] * f.q.shape[1], WIDTH + 1), np.float32)  # last: what the softmax takes off
-    full[f.cell, :WIDTH] = dc
-    full[f.cell, WIDTH] = np.einsum("ij,ij->i", dc, f.c)
-    full = full.reshape(*f.q.shape[:2], WIDTH + 1)
-    dc = full[:, :, :WIDTH]
+    full, off = np.zeros((f.q.shape[0] * f.q.shape[1], WIDTH), np.float32), np.zeros((f.q.shape[0] * f.q.shape[1], 1), np.float32)
+    full[f.cell] = dc
+    off[f.cell, 0] = np.einsum("ij,ij->i", dc, f.c)  # what the softmax takes off
+    dc = full.reshape(f.q.shape)
     ds = dc @ f.v.transpose(0, 2, 1)
-    ds -= full[:, :, WIDTH:]
+    ds -= off.reshape(*f.q.shape[:2], 1)
     ds *= f.a
     dq = (ds @ f.k).reshape(-1, WIDTH).take(f.cell, axis=0)
-    dkv = np.concatenate([ds.transpose(0, 2, 1) @ f.q, f.a.transpose(0, 2, 1) @ dc], axis=2).reshape(-1, 2 * WIDTH)
+    dkv = np.empty((*seen.shape, 2 * WIDTH), np.float32)
+    np.matmul(ds.transpose(0, 2, 1), f.q, out=dkv[:, :, :WIDTH])
+    np.matmul(f.a.transpose(0, 2, 1), dc, out=dkv[:, :, WIDTH:])
+    dkv = dkv.reshape(-1, 2 * WIDTH)
     g["Q"] = f.own.T @ dq / root
-    g["K"], g["V"] = np.split(f.x.T @ dkv, 2, axis=1)
+    g["K"], g["V"] = np.split((dkv.T @ f.x).T, 2, axis=1)
     dx = dkv @ np.concatenate([p["K"], p["V"]], axis=1).T
     dx[f.place] += dh + dq @ (p["Q"].T / root)
     g["P"] = dx.reshape(*seen.shape, WIDTH).sum(axis=0)
-    cells = seen.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
-    g["E"] = np.bincount(cells.ravel(), dx.ravel(), INPUTS * WIDTH).reshape(INPUTS, WIDTH)
+    g["E"] = np.bincount(CELLS.take(seen.ravel(), axis=0).ravel(), dx.ravel(), INPUTS * WIDTH).reshape(INPUTS, WIDTH)
     return g
 
 

@@ -33,8 +33,8 @@ HEAD_WORDS = 50_000
 FIRST_DOCS = 2000
 #: Rows that a task of the rounds before the last trains on, about, and how often all tasks' weights are averaged.
 TASK_DOCS, ROUNDS = 250, 3
-#: Words that a worker keeps with their subword ids, of so many bytes at most each: some 80 MB.
-CACHE, CACHED_BYTES = 400_000, 64
+#: Words that a worker keeps with their subword ids, of so many bytes at most each, and how many ids, about: some 60 MB, seldom more than half.
+CACHE, CACHED_BYTES, CACHED_IDS = 1_000_000, 64, 16_000_000
 #: What a document's own pass gives.
 DOC = [pa.field("held_out", pa.bool_()), pa.field("n", pa.int64()), pa.field("known", pa.int64()), pa.field("logs", pa.float64()), pa.field("score", pa.float64())]
 LN10 = math.log(10)
@@ -72,10 +72,30 @@ def begins(path: str) -> np.ndarray:
     return found
 
 
+class Spellings:
+    """Subword ids of the words seen first, and so mostly the common ones, by the words' 64-bit hashes."""
+
+    def __init__(self):
+        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)  # by hash
+        self.ids, self.used = np.zeros(1 << 16, np.uint16), 0
+
+    def put(self, ids: np.ndarray) -> int:
+        """Where these ids stand; others take their place but for the first ones, as many as `keep` adds to `used`."""
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(ids), np.uint16)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        return self.used
+
+    def keep(self, keys: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.begin, self.size = (np.insert(old, at, new) for old, new in ((self.keys, keys), (self.begin, begin), (self.size, size)))
+        self.used += int(size.sum())
+
+
 @lru_cache(maxsize=1)
-def cache(path: str) -> dict[bytes, bytes]:
-    """Word -> its subword ids, 16 bits each; one for a worker."""
-    return {}
+def cache(path: str) -> Spellings:
+    """One for a worker."""
+    return Spellings()
 
 
 def tokenized(words: list[bytes], path: str) -> list[bytes]:
@@ -95,31 +115,44 @@ def tokenized(words: list[bytes], path: str) -> list[bytes]:
     return [array("H", tokenizer(path).encode(" " + w.decode(), allowed_special="all")).tobytes() for w in words]
 
 
-def word_ids(words: list[bytes], path: str) -> list[bytes]:
-    """Packed subword ids of each of these distinct words, with a space before it.
+def word_ids(found: Words, h: np.ndarray, first: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Subword ids, with a space before each word, of the distinct words with these sorted hashes (first: a place of each) one after the other, and where each word's begin.
 
-    A full cache keeps what it has, the words seen first and so mostly the common ones.
+    A full cache keeps what it has.
     """
     known = cache(path)
-    found = list(map(known.get, words))
-    new = [i for i, ids in enumerate(found) if ids is None]
-    if new:
-        fresh = tokenized([words[i] for i in new], path)
-        for i, ids in zip(new, fresh, strict=True):
-            found[i] = ids
-        if len(known) < CACHE:
-            known.update((words[i], found[i]) for i in new if len(words[i]) <= CACHED_BYTES)
-    return found
+    begin, size = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+    at = np.searchsorted(known.keys, h)
+    seen = np.flatnonzero(known.keys.take(at, mode="clip") == h) if len(known.keys) else np.zeros(0, np.int64)
+    begin[seen], size[seen] = known.begin[at[seen]], known.size[at[seen]]
+    new = np.delete(np.arange(len(h)), seen)
+    if len(new):
+        short = (found.end - found.start)[first[new]] <= CACHED_BYTES
+        new, kept = np.concatenate([new[short], new[~short]]), new[short]
+        buf, spans = found.buf.tobytes(), (found.start[first[new]].tolist(), found.end[first[new]].tolist())
+        fresh = tokenized([buf[i:j] for i, j in zip(*spans, strict=True)], path)
+        size[new] = np.fromiter(map(len, fresh), np.int64, len(fresh)) // 2
+        begin[new] = known.put(np.frombuffer(b"".join(fresh), np.uint16)) + np.cumsum(size[new]) - size[new]
+        if len(known.keys) < CACHE and known.used < CACHED_IDS:
+            known.keep(h[kept], begin[kept], size[kept])
+    starts = np.concatenate([[0], np.cumsum(size)])
+    subs = known.ids.take(np.arange(starts[-1]) + np.repeat(begin - starts[:-1], size))
+    if len(known.ids) > 2 * CACHED_IDS:  # a very long text's
+        known.ids = known.ids[: known.used].copy()
+    return subs, starts
 
 
 def distinct_words(texts: list, path: str) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words; their distinct hashes, each word's number among these and how often each occurs; the subword ids of the distinct words one after the other, and where each word's begin."""
     found = Words(texts, lower=True)
-    h, first, number, times = np.unique(found.hashes(), return_index=True, return_inverse=True, return_counts=True)
-    buf = found.buf.tobytes()
-    packed = word_ids([buf[i:j] for i, j in zip(found.start[first].tolist(), found.end[first].tolist(), strict=True)], path)
-    starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed)) // 2)])
-    return found, h, number, times, np.frombuffer(b"".join(packed), np.uint16), starts
+    h = found.hashes()
+    order = np.argsort(h)
+    h = h.take(order)
+    edge = np.ones(len(h), bool)
+    np.not_equal(h[1:], h[:-1], out=edge[1:])
+    at, number = np.flatnonzero(edge), np.empty(len(h), np.int64)
+    number[order] = np.cumsum(edge) - 1
+    return found, h[at], number, np.diff(at, append=len(h)), *word_ids(found, h[at], order[at], path)
 
 
 WORD, SUBWORD, PAIR = 0, 1, 2

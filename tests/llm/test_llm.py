@@ -435,6 +435,43 @@ def test_words_tokenize_alike_alone_and_together():
         assert got == [library.encode(" " + w, add_special_tokens=False).ids for w in part]
 
 
+def test_a_worker_spells_each_of_its_words_once(monkeypatch):
+    path, told, spell = public_tokenizers.path("byte_bpe_50k.json"), [], scoring.tokenized
+    monkeypatch.setattr(scoring, "tokenized", lambda words, p: told.append(len(words)) or spell(words, p))
+    scoring.cache.cache_clear()
+    texts = [b" ".join(b"w%x" % i for i in range(k, k + 10_000)) for k in range(0, 450_000, 10_000)]
+    once, again = ([scoring.distinct_words([t], path)[4:] for t in texts] for _ in range(2))
+    for (ids, starts), (ids2, starts2) in zip(list(once), list(again), strict=True):
+        assert (ids == ids2).all() and (starts == starts2).all()
+    assert sum(told) == 450_000
+    scoring.cache.cache_clear()
+
+
+def test_spellings_are_the_library_s_whatever_is_kept(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, texts = Tokenizer.from_file(path), [t for _, t in corpus(8) if t] + ["x" * 3000 + " abE " + "longer" * 40, "", "abE zz\u00a0y abE", "z" * 70]
+    for kept, ids in ((0, 1 << 20), (25, 1 << 20), (1 << 20, 40), (1 << 20, 1 << 20)):
+        monkeypatch.setattr(scoring, "CACHE", kept)
+        monkeypatch.setattr(scoring, "CACHED_IDS", ids)
+        scoring.cache.cache_clear()
+        for some in [texts[:5], texts[5:], texts[::-1], [None, ""], texts]:
+            found, h, number, times, subs, starts = scoring.distinct_words([t and t.encode() for t in some], path)
+            words = [lower(w) for t in some for w in re.findall(WORD, t or "")]
+            assert len(number) == len(words) == times.sum() and len(set(words)) == len(h) == len(starts) - 1
+            for w, i in zip(words, number.tolist(), strict=True):
+                assert subs[starts[i] : starts[i + 1]].tolist() == library.encode(" " + w, add_special_tokens=False).ids
+    scoring.cache.cache_clear()
+
+
+def test_gradients_of_steep_weights_are_finite():
+    draw, p = np.random.default_rng(5), attention.start_weights()
+    seen, target, wanted = draw.integers(0, attention.INPUTS, (9, attention.WINDOW)), draw.integers(0, attention.CLASSES, (9, attention.STEP)), draw.random((9, attention.STEP)) < 0.4
+    for scale in (1, 10, 100):
+        p["U"] = draw.normal(0, scale, p["U"].shape).astype(np.float32)
+        found = attention.gradients(p, np.full((attention.CLASSES, attention.CLASSES), -20, np.float32), seen, target, wanted)
+        assert all(np.isfinite(g).all() for g in found.values()) and np.abs(found["U"]).max() > 0
+
+
 def test_scores_beat_the_base_on_held_out_rows(spark):
     docs = spark.read.parquet(DATA.replace("0.001", "0.01") + "/documents.parquet")
     rows = scoring.lm_scores(docs, public_tokenizers.path("byte_bpe_50k.json")).filter("held_out").collect()
